@@ -1,0 +1 @@
+"""Every source, operator and job of this library is batch, so nothing lives here."""
