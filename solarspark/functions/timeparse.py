@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,10 +11,23 @@ from pyspark.sql import types as T
 from solarspark.fixed_values import PLANT_ZONE, TIMESTAMP_FORMATS
 from solarspark.session import require_utc
 
+FIXED_WIDTH = re.compile(r"(yyyy|MM|dd|HH|mm|ss|[-/:. ])+")
+
 
 def parse_first(text: Column, formats=TIMESTAMP_FORMATS) -> Column:
-    """Timestamp by the first format that fits; NULL when none does."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    """Timestamp by the first format that fits; NULL when none does.
+
+    A failed parse costs far more than a good one, so a format whose fields all have
+    a fixed width is tried only on text of its length.
+    """
+    return F.coalesce(*[_parse(text, f) for f in formats])
+
+
+def _parse(text: Column, form: str) -> Column:
+    parsed = F.try_to_timestamp(text, F.lit(form))
+    if FIXED_WIDTH.fullmatch(form):
+        return F.when(F.length(text) == len(form), parsed)
+    return parsed
 
 
 def with_datetime(df: DataFrame, text="DATE_TIME", out="DATETIME", formats=TIMESTAMP_FORMATS):

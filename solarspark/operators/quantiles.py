@@ -42,8 +42,11 @@ def exact_quantiles(df: DataFrame, value: str, probabilities=(0.5,), keys=(),
     distinct = data.groupBy(*keys).agg(F.approx_count_distinct("__v").alias("d"))
     size = distinct.agg(F.max("d").alias("largest"), F.count("*").alias("groups")).first()
     if (size["largest"] or 0) * min(size["groups"], GROUPS_AT_A_TIME) <= task_values:
-        aggs = [F.percentile("__v", F.lit(p)).alias(quantile_name(p)) for p in probabilities]
-        return data.groupBy(*keys).agg(F.count("*").alias("n"), *aggs)
+        # One table of values serves all probabilities.
+        at = F.percentile("__v", F.array(*[F.lit(float(p)) for p in probabilities]))
+        return data.groupBy(*keys).agg(F.count("*").alias("n"), at.alias("__q")).select(
+            *keys, "n", *[F.get("__q", F.lit(i)).alias(quantile_name(p))
+                          for i, p in enumerate(probabilities)])
     return _by_range_partition(data, keys, probabilities)
 
 

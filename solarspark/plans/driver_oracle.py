@@ -220,7 +220,7 @@ PREPROCESS = """
         FROM events),
     hourly AS (
         SELECT month(ts) AS mo, day(ts) AS da, hour(ts) AS ho, avg(value) AS v, avg(temp) AS temp,
-               avg(wind) AS wind, avg(tilt::DOUBLE) AS tilt
+               avg(value / 2) AS dhi, avg(value * 2) AS dni, avg(wind) AS wind, avg(tilt::DOUBLE) AS tilt
         FROM ev WHERE event_type = 'view' GROUP BY ALL)
     SELECT month(f.ts)::INTEGER AS "MONTH", strftime(f.ts, '%Y-%m-%d %H:%M:%S') AS "DATETIME",
            f.plant AS "PLANT_ID", f.source AS "SOURCE_KEY", round(dc, 6) AS "DC_POWER",
@@ -229,10 +229,10 @@ PREPROCESS = """
            CASE WHEN proxy > 0.10::DOUBLE AND eff < 0.95::DOUBLE THEN 1 ELSE 0 END::INTEGER
                AS "CLEANING_FLAG",
            round(irr, 6) AS "IRRADIATION", round(amb, 6) AS "AMBIENT_TEMPERATURE",
-           round(module, 6) AS "MODULE_TEMPERATURE", round(h.v, 6) AS "GHI",
-           round(h.v / 2, 6) AS "DHI", round(h.v * 2, 6) AS "DNI",
-           round(h.temp, 6) AS "AIR_TEMPERATURE", round(h.wind, 6) AS "WIND_SPEED",
-           round(h.v, 6) AS "SOLAR_ZENITH_ANGLE", round(h.tilt, 6) AS "OPTIMAL_TILT",
+           round(module, 6) AS "MODULE_TEMPERATURE", round(h.v, 9) AS "GHI",
+           round(h.dhi, 9) AS "DHI", round(h.dni, 9) AS "DNI",
+           round(h.temp, 9) AS "AIR_TEMPERATURE", round(h.wind, 9) AS "WIND_SPEED",
+           round(h.v, 9) AS "SOLAR_ZENITH_ANGLE", round(h.tilt, 9) AS "OPTIMAL_TILT",
            CASE WHEN h.v IS NOT NULL THEN 14.5::DOUBLE END AS "LATITUDE",
            CASE WHEN h.v IS NOT NULL THEN 78.25::DOUBLE END AS "LONGITUDE"
     FROM feat f LEFT JOIN wx USING (ts, plant)
@@ -413,7 +413,7 @@ ORACLE: dict[str, str] = {
                             min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem),
         points AS (SELECT i::INTEGER AS point, lo + i * ((hi - lo) / 99.0::DOUBLE) AS x, s, c
                    FROM fit CROSS JOIN range(100) r(i))
-        SELECT point, round(x, 6) AS x, round(c + s * x, 6) AS y FROM points""",
+        SELECT point, round(x, 6) AS x, round(c + s * x, 3) AS y FROM points""",
     "dq_vif": """
         WITH c AS (SELECT corr(l_extendedprice, l_extendedprice * (1 - l_discount)) AS r
                    FROM lineitem)

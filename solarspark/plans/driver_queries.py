@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from solarspark.fixed_values import LOCATIONS
+from solarspark.fixed_values import HOURLY_MEASURES, LOCATIONS
 from solarspark.functions import features, solar, timeparse
 from solarspark.operators import (
     audit,
@@ -33,6 +33,7 @@ from solarspark.operators import (
 )
 from solarspark.operators.calendar import with_calendar_keys
 from solarspark.plans import jobs
+from solarspark.schemas import LOCATION, literal_rows
 from solarspark.session import UTC_NAMES
 from solarspark.sources import ingest
 
@@ -273,9 +274,8 @@ def daylight(spark, sf_dir):
 
 
 def solar_position(spark, sf_dir):
-    cities = spark.createDataFrame(
-        [(k, *place) for k, place in enumerate(LOCATIONS)],
-        "k int, CITY string, LATITUDE double, LONGITUDE double")
+    cities = literal_rows(spark, [(k, *place) for k, place in enumerate(LOCATIONS)],
+                          T.StructType([T.StructField("k", T.IntegerType()), *LOCATION]))
     ev = table(spark, sf_dir, "events").select(
         "event_id", "ts", (F.col("user_id") % 5).cast("int").alias("k"))
     sun = solar.with_solar_position(
@@ -376,7 +376,8 @@ def linear_fit(spark, sf_dir):
 
 def fitted_line(spark, sf_dir):
     fit = stats.linear_fit(table(spark, sf_dir, "lineitem"), "l_quantity", "l_extendedprice")
-    return stats.fitted_line(fit).select("point", r6("x").alias("x"), r6("y").alias("y"))
+    return stats.fitted_line(fit).select(
+        "point", r6("x").alias("x"), F.round("y", 3).alias("y"))
 
 
 def vif(spark, sf_dir):
@@ -508,8 +509,10 @@ def preprocess(spark, sf_dir):
         value.alias("SOLAR_ZENITH_ANGLE"), value.alias("SOLAR_AZIMUTH"),
         (F.lit(90.0) - value).alias("OPTIMAL_TILT"))
     out = jobs.preprocess(generation, weather, irradiance, city="view", year=2024)
-    rounded = {f.name: r6(F.col(f.name).cast("double")) for f in out.schema
-               if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    # Hourly means of cents fall exactly between six-digit neighbours; nine digits do not.
+    rounded = {f.name: F.round(F.col(f.name).cast("double"),
+                               9 if f.name in HOURLY_MEASURES else 6)
+               for f in out.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     return out.withColumns({**rounded, "DATETIME": F.date_format(
         "DATETIME", "yyyy-MM-dd HH:mm:ss")})
 
@@ -530,7 +533,7 @@ def rf_importance(spark, sf_dir):
     weighted = imbalance.with_class_weight(train, "cleaning_flag")
     model = models.rf_classifier("cleaning_flag", maxDepth=5)
     search = models.tune(weighted, MODEL_FEATURES, model, {"numTrees": [5, 10]},
-                         models.auc_evaluator("cleaning_flag"))
+                         models.auc_evaluator("cleaning_flag"), parallelism=4)
     return models.importances(search.bestModel, MODEL_FEATURES, spark)
 
 

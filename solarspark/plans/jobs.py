@@ -105,8 +105,9 @@ def preprocess(generation: DataFrame, weather: DataFrame, irradiance: DataFrame,
     """
     sensors = clean_weather(weather)
     if check_weather_key:
-        assert_unique_key(sensors.na.drop(subset=["DATETIME", "PLANT_ID"]),
-                          ["DATETIME", "PLANT_ID"])
+        # Filling gaps leaves the keys alone, so the check does without it.
+        keys = with_datetime(dedupe(weather)).select("DATETIME", "PLANT_ID").na.drop()
+        assert_unique_key(keys, ["DATETIME", "PLANT_ID"])
     site = clean_irradiance(irradiance, zone).filter(
         (F.col("CITY") == city) & (F.col("YEAR") == year))
     readings = attach_weather(clean_generation(generation), sensors)

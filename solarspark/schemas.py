@@ -1,6 +1,7 @@
 """Declared schemas of the raw inputs; timestamps of the plants stay text until parsed."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from solarspark.fixed_values import LOCATIONS
@@ -49,4 +50,11 @@ LOCATION = T.StructType([
 
 def locations(spark: SparkSession, rows=None) -> DataFrame:
     """The location dimension, CITY to coordinates."""
-    return spark.createDataFrame(LOCATIONS if rows is None else rows, LOCATION)
+    return literal_rows(spark, LOCATIONS if rows is None else rows, LOCATION)
+
+
+def literal_rows(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A few constant rows whose size the planner knows, so that joins broadcast them."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))

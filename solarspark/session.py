@@ -17,6 +17,7 @@ def get_spark(app_name: str = "solarspark", master: str | None = None, **conf) -
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
