@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from solarspark.session import materialize
+from solarspark.session import stage
 
 BROADCAST_ROWS = 100_000
 
@@ -23,15 +23,16 @@ def join_aggregate(df: DataFrame, aggregate: DataFrame, on, how: str = "left",
     Its size is counted first: over the distinct keys of ``keys_from``, a cheap scan
     of the key columns that bounds the aggregate from above and leaves the aggregate
     lazy, or without that over the aggregate itself, computed once. Up to
-    ``max_rows`` it is broadcast and the big side is not shuffled at all; above that
-    both sides are shuffled on the key, and a key that dominates ``df`` is split by
-    the adaptive skew join (the aggregate has one row per key, so splitting copies
-    next to nothing).
+    ``max_rows`` it is broadcast and the big side is not shuffled at all. Above that
+    it is read back from a table and both sides are shuffled on the key; a key that
+    dominates ``df`` is split by the adaptive skew join, which works only when both
+    inputs of the join are plain shuffles, hence the table.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if keys_from is None:
-        aggregate = materialize(aggregate)
-        small = has_at_most(aggregate, max_rows)
-    else:
+    if keys_from is not None:
         small = has_at_most(keys_from.select(*keys).distinct(), max_rows)
+        aggregate = aggregate if small else stage(aggregate)
+    else:
+        aggregate = stage(aggregate)
+        small = has_at_most(aggregate, max_rows)
     return df.join(F.broadcast(aggregate) if small else aggregate, keys, how)

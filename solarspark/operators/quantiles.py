@@ -17,9 +17,9 @@ from pyspark.sql.window import Window
 
 from solarspark.functions.features import valid
 from solarspark.operators.lookup import BROADCAST_ROWS, has_at_most
-from solarspark.session import materialize
+from solarspark.session import stage
 
-# Distinct values one aggregating task may hold, and the groups it holds at a time
+# Distinct values one task may hold, and the groups an aggregation holds at a time
 # (Spark sorts and spills beyond that many).
 TASK_VALUES = 2_000_000
 GROUPS_AT_A_TIME = 128
@@ -40,24 +40,26 @@ def exact_quantiles(df: DataFrame, value: str, probabilities=(0.5,), keys=(),
     data = df.select(*keys, valid(df, value).cast("double").alias("__v")).filter(
         F.col("__v").isNotNull())
     distinct = data.groupBy(*keys).agg(F.approx_count_distinct("__v").alias("d"))
-    size = distinct.agg(F.max("d").alias("largest"), F.count("*").alias("groups")).first()
+    size = distinct.agg(F.max("d").alias("largest"), F.sum("d").alias("total"),
+                        F.count("*").alias("groups")).first()
     if (size["largest"] or 0) * min(size["groups"], GROUPS_AT_A_TIME) <= task_values:
         # One table of values serves all probabilities.
         at = F.percentile("__v", F.array(*[F.lit(float(p)) for p in probabilities]))
         return data.groupBy(*keys).agg(F.count("*").alias("n"), at.alias("__q")).select(
             *keys, "n", *[F.get("__q", F.lit(i)).alias(quantile_name(p))
                           for i, p in enumerate(probabilities)])
-    return _by_range_partition(data, keys, probabilities)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(parts, size["total"] // TASK_VALUES + 1)
+    return _by_range_partition(data, keys, probabilities, parts)
 
 
-def _by_range_partition(data: DataFrame, keys: list[str], probabilities: list[float]):
+def _by_range_partition(data: DataFrame, keys: list[str], probabilities: list[float],
+                        parts: int) -> DataFrame:
     # Copies of a value shrink to one row map-side, then the distinct values are laid
-    # out in order; the checkpoint pins which partition holds which value.
-    spark = data.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # out in order; the table pins which partition holds which value.
     # Join keys that compare equal for NULL groups as well.
     group = F.struct(*keys) if keys else F.lit(0)
-    ordered = materialize(
+    ordered = stage(
         data.groupBy(group.alias("__g"), "__v").agg(F.count("*").alias("__n"))
         .repartitionByRange(parts, "__g", "__v")
         .withColumn("__part", F.spark_partition_id()))
@@ -77,7 +79,7 @@ def _by_range_partition(data: DataFrame, keys: list[str], probabilities: list[fl
               .withColumn("__rank", F.explode(F.array_distinct(F.array(
                   F.floor(position), F.ceil(position)))))
               .filter("__rank >= __before and __rank < __before + __total"))
-    wanted = materialize(
+    wanted = stage(
         wanted.select("__g", "__part", "__p", "__rank", "__before", "__size"))
     touched = wanted.select("__g", "__part").distinct()
     if has_at_most(wanted, BROADCAST_ROWS):

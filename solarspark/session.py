@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,13 +36,11 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone!r}")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and continue from the files.
+def _shared_folder(spark: SparkSession) -> str:
+    """This application's part of the folder named in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only a
-    local session without that setting gets a temporary one.
+    Only a local session without that setting gets a temporary one.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -50,4 +49,21 @@ def materialize(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="solarspark-checkpoint-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared folder and go on from there, lineage cut."""
+    _shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """The same as a table, for frames that are joined next.
+
+    Unlike a checkpoint it tells the planner its size and claims no partitioning, so
+    a join shuffles both sides itself and can split a dominant key.
+    """
+    path = f"{_shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
