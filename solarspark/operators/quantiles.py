@@ -1,22 +1,26 @@
 """Exact quantiles per group, with linear interpolation.
 
-Two ways to the same numbers. Spark's own ``percentile`` keeps a table of the
-distinct values of a group in one task, so it is taken only after a count shows
-every group to be small. Beyond that the distinct values are range-partitioned,
-a rank is located by partition totals first, and only the partitions that hold a
-wanted rank are ranked inside; no task ever sees more than one range partition,
-whatever the size of a group.
+Spark's own ``percentile`` keeps a table of the distinct values of a group in one
+task, so it is taken only after a count shows every group to be small. Beyond that
+the values are read twice and hardly shuffled: a bounded sketch gives, around each
+probability, two values that must enclose the wanted ranks; rows between them keep
+their value, all others shrink map-side to one count per gap. The enclosed values, a
+few per ten thousand rows, are laid out in range partitions, and a rank is located by
+partition totals first and inside its partition second. No task ever holds more than
+one range partition, whatever the size of a group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from solarspark.functions.features import valid
-from solarspark.operators.lookup import BROADCAST_ROWS, has_at_most
+from solarspark.operators.lookup import BROADCAST_ROWS, has_at_most, join_aggregate
 from solarspark.session import stage
 
 # Distinct values one task may hold, and the groups an aggregation holds at a time
@@ -24,6 +28,10 @@ from solarspark.session import stage
 TASK_VALUES = 2_000_000
 GROUPS_AT_A_TIME = 128
 
+# The sketch misses a rank by at most n / SKETCH_ACCURACY; MARGIN allows five times that.
+SKETCH_ACCURACY = 10_000
+MARGIN = 5.0 / SKETCH_ACCURACY
+
 
 def quantile_name(p: float) -> str:
     return "median" if p == 0.5 else f"q{p * 100:g}".replace(".", "_")
@@ -36,33 +44,82 @@ def exact_quantiles(df: DataFrame, value: str, probabilities=(0.5,), keys=(),
     NULL and NaN are left out; a group without values has no row, except that an
     ungrouped call always gives one.
     """
-    keys, probabilities = list(keys), list(probabilities)
+    keys, probabilities = list(keys), [float(p) for p in probabilities]
     data = df.select(*keys, valid(df, value).cast("double").alias("__v")).filter(
         F.col("__v").isNotNull())
     distinct = data.groupBy(*keys).agg(F.approx_count_distinct("__v").alias("d"))
-    size = distinct.agg(F.max("d").alias("largest"), F.sum("d").alias("total"),
-                        F.count("*").alias("groups")).first()
+    size = distinct.agg(F.max("d").alias("largest"), F.count("*").alias("groups")).first()
     if (size["largest"] or 0) * min(size["groups"], GROUPS_AT_A_TIME) <= task_values:
         # One table of values serves all probabilities.
-        at = F.percentile("__v", F.array(*[F.lit(float(p)) for p in probabilities]))
+        at = F.percentile("__v", F.array(*map(F.lit, probabilities)))
         return data.groupBy(*keys).agg(F.count("*").alias("n"), at.alias("__q")).select(
             *keys, "n", *[F.get("__q", F.lit(i)).alias(quantile_name(p))
                           for i, p in enumerate(probabilities)])
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(parts, size["total"] // TASK_VALUES + 1)
-    return _by_range_partition(data, keys, probabilities, parts)
+    return _of_large_groups(data, keys, probabilities, max(task_values, 100))
 
 
-def _by_range_partition(data: DataFrame, keys: list[str], probabilities: list[float],
-                        parts: int) -> DataFrame:
-    # Copies of a value shrink to one row map-side, then the distinct values are laid
-    # out in order; the table pins which partition holds which value.
-    # Join keys that compare equal for NULL groups as well.
+def _of_large_groups(data: DataFrame, keys: list[str], probabilities: list[float],
+                     task_values: int) -> DataFrame:
+    # A struct of the keys compares equal for NULL groups as well.
     group = F.struct(*keys) if keys else F.lit(0)
-    ordered = stage(
-        data.groupBy(group.alias("__g"), "__v").agg(F.count("*").alias("__n"))
-        .repartitionByRange(parts, "__g", "__v")
-        .withColumn("__part", F.spark_partition_id()))
+    data = data.select(group.alias("__g"), "__v")
+    found = _values_at_ranks(_enclosed_counts(data, probabilities), probabilities, task_values)
+    if not found.filter("not __exact").isEmpty():
+        # The sketch broke its promise; keep every value.
+        every = data.groupBy("__g", "__v").agg(F.count("*").alias("__n"),
+                                               F.lit(True).alias("__exact"))
+        found = _values_at_ranks(every, probabilities, task_values)
+
+    # The same weighting of the two neighbours that percentile uses.
+    low, high = F.min_by("__v", "__rank"), F.max_by("__v", "__rank")
+    position = F.col("__p") * (F.max("__size") - 1)
+    mixed = (F.max("__rank") - position) * low + (position - F.min("__rank")) * high
+    per_p = found.groupBy("__g", "__p").agg(
+        F.max("__size").alias("n"),
+        F.when(F.min("__rank") == F.max("__rank"), low).otherwise(mixed).alias("__q"))
+    result = per_p.groupBy("__g").agg(
+        F.max("n").alias("n"),
+        *[F.max(F.when(F.col("__p") == p, F.col("__q"))).alias(quantile_name(p))
+          for p in probabilities])
+    return result.select(*[F.col("__g").getField(k).alias(k) for k in keys], "n",
+                         *map(quantile_name, probabilities))
+
+
+def _enclosed_counts(data: DataFrame, probabilities: list[float]) -> DataFrame:
+    """Counts per value near the wanted ranks and per gap elsewhere: __g, __v, __n, __exact.
+
+    A gap stands at its greatest value, which keeps it in order between its neighbours.
+    """
+    ends = [min(1.0, max(0.0, p + side)) for p in probabilities for side in (-MARGIN, MARGIN)]
+    sketch = F.percentile_approx("__v", ends, SKETCH_ACCURACY)
+    brackets = data.groupBy("__g").agg(sketch.alias("__ends"))
+
+    def end(i: int) -> Column:
+        return F.get("__ends", F.lit(i))
+
+    v = F.col("__v")
+    pairs = range(0, len(ends), 2)
+    inside = reduce(Column.__or__, [v.between(end(i), end(i + 1)) for i in pairs])
+    gap = reduce(Column.__add__, [(v > end(i + 1)).cast("int") for i in pairs])
+    return (join_aggregate(data, brackets, "__g", "inner")
+            .select("__g", "__v", inside.alias("__exact"),
+                    F.when(inside, v).alias("__at"), F.when(~inside, gap).alias("__gap"))
+            .groupBy("__g", "__exact", "__at", "__gap")
+            .agg(F.max("__v").alias("__v"), F.count("*").alias("__n"))
+            .select("__g", "__v", "__n", "__exact"))
+
+
+def _values_at_ranks(counts: DataFrame, probabilities: list[float],
+                     task_values: int) -> DataFrame:
+    """The values at the two ranks next to each p * (n - 1), from counts per value."""
+    counts = stage(counts)
+    parts = counts.count() // task_values + 1
+    if parts == 1:
+        ordered = counts.withColumn("__part", F.lit(0))
+    else:
+        # The table pins which partition holds which value.
+        ordered = stage(counts.repartitionByRange(parts, "__g", "__v")
+                        .withColumn("__part", F.spark_partition_id()))
 
     # At most groups + partitions rows; a window sees one row per partition.
     totals = ordered.groupBy("__g", "__part").agg(F.sum("__n").alias("__total"))
@@ -72,15 +129,13 @@ def _by_range_partition(data: DataFrame, keys: list[str], probabilities: list[fl
         (F.sum("__total").over(by_part) - F.col("__total")).alias("__before"),
         F.sum("__total").over(Window.partitionBy("__g")).alias("__size"))
 
-    # Zero-based ranks each probability needs: the two neighbours of p * (n - 1).
     wanted = totals.withColumn("__p", F.explode(F.array(*map(F.lit, probabilities))))
     position = F.col("__p") * (F.col("__size") - 1)
     wanted = (wanted
               .withColumn("__rank", F.explode(F.array_distinct(F.array(
                   F.floor(position), F.ceil(position)))))
               .filter("__rank >= __before and __rank < __before + __total"))
-    wanted = stage(
-        wanted.select("__g", "__part", "__p", "__rank", "__before", "__size"))
+    wanted = stage(wanted.select("__g", "__part", "__p", "__rank", "__before", "__size"))
     touched = wanted.select("__g", "__part").distinct()
     if has_at_most(wanted, BROADCAST_ROWS):
         wanted, touched = F.broadcast(wanted), F.broadcast(touched)
@@ -91,24 +146,11 @@ def _by_range_partition(data: DataFrame, keys: list[str], probabilities: list[fl
     at = F.col("__rank") - F.col("__before")
     found = (ranked.join(wanted, ["__g", "__part"])
              .filter((at < F.col("__upto")) & (at >= F.col("__upto") - F.col("__n"))))
-
-    # The same weighting of the two neighbours that percentile uses.
-    low, high = F.min_by("__v", "__rank"), F.max_by("__v", "__rank")
-    position = F.col("__p") * (F.max("__size") - 1)
-    mixed = ((F.max("__rank") - position) * low + (position - F.min("__rank")) * high)
-    per_p = (found.groupBy("__g", "__p")
-             .agg(F.max("__size").alias("n"),
-                  F.when(F.min("__rank") == F.max("__rank"), low).otherwise(mixed).alias("__q")))
-    result = per_p.groupBy("__g").agg(
-        F.max("n").alias("n"),
-        *[F.max(F.when(F.col("__p") == p, F.col("__q"))).alias(quantile_name(p))
-          for p in probabilities])
-    names = ["n", *map(quantile_name, probabilities)]
-    return result.select(*[F.col("__g").getField(k).alias(k) for k in keys], *names)
+    return stage(found.select("__g", "__p", "__rank", "__size", "__v", "__exact"))
 
 
 def approx_quantiles(df: DataFrame, value: str, probabilities=(0.5,), keys=(),
-                     accuracy: int = 10_000) -> DataFrame:
+                     accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """The same shape from a bounded sketch; rank error at most n / accuracy."""
     v = valid(df, value).cast(T.DoubleType())
     return df.groupBy(*keys).agg(

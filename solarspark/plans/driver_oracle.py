@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from solarspark.fixed_values import LOCATIONS
+from solarspark.fixed_values import LOCATIONS, PREPROCESSED_COLUMNS
 
 LINE = "l_orderkey, l_partkey, l_linenumber"
 
@@ -238,6 +238,42 @@ PREPROCESS = """
     FROM feat f LEFT JOIN wx USING (ts, plant)
     LEFT JOIN hourly h ON month(f.ts) = mo AND day(f.ts) = da AND hour(f.ts) = ho"""
 
+GENERATION = """
+    SELECT CASE WHEN l_linenumber % 2 = 0 THEN strftime(l_shipdate, '%d-%m-%Y %H:%M')
+                ELSE strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') END AS "DATE_TIME",
+           l_suppkey::INTEGER AS "PLANT_ID",
+           concat_ws('-', l_orderkey, l_partkey, l_linenumber) AS "SOURCE_KEY",
+           CASE WHEN l_tax > 0 THEN l_extendedprice END AS "DC_POWER",
+           l_quantity AS "TOTAL_YIELD", l_discount
+    FROM lineitem"""
+
+MERGED = PREPROCESS.replace("round(eff, 6)", "eff").replace("round(proxy, 6)", "proxy")
+
+PREPROCESSED_COLUMNS_SQL = " UNION ALL ".join(
+    f"""SELECT '{c}' AS item, count(*) FILTER ("{c}" IS NULL) AS n FROM merged"""
+    for c in PREPROCESSED_COLUMNS)
+
+MERGED_PAIRS = [("AC_POWER", "DC_POWER"), ("GHI", "DC_POWER"), ("GHI", "AC_POWER"),
+                ("EFFICIENCY", "DC_POWER"), ("EFFICIENCY", "AC_POWER"), ("EFFICIENCY", "GHI"),
+                ("SOILING_PROXY", "DC_POWER"), ("SOILING_PROXY", "AC_POWER"),
+                ("SOILING_PROXY", "GHI"), ("SOILING_PROXY", "EFFICIENCY")]
+
+AUDITED = {
+    "generation": (f"({GENERATION})", {
+        "DATE_TIME": "false", "PLANT_ID": "false", "SOURCE_KEY": "false",
+        "DC_POWER": '"DC_POWER" IS NULL', "AC_POWER": "false", "DAILY_YIELD": "l_discount <= 0",
+        "TOTAL_YIELD": "false"}),
+    "weather": ("(SELECT o_custkey FROM orders GROUP BY o_orderdate, o_custkey)", {
+        "DATE_TIME": "false", "PLANT_ID": "false", "SOURCE_KEY": "false",
+        "AMBIENT_TEMPERATURE": "false", "MODULE_TEMPERATURE": "o_custkey % 3 = 0",
+        "IRRADIATION": "false"}),
+    "irradiance": ("events", {
+        "DATETIME": "false", "ghi": "false", "dhi": "false", "dni": "false",
+        "temp_air": "event_id % 9 = 0", "wind_speed": "false", "CITY": "false",
+        "SERIAL": "false", "LATITUDE": "false", "LONGITUDE": "false", "YEAR": "false",
+        "SOLAR_ZENITH_ANGLE": "false", "SOLAR_AZIMUTH": "false", "OPTIMAL_TILT": "false"}),
+}
+
 ORACLE: dict[str, str] = {
     "dq_union_dedupe": "SELECT DISTINCT * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem)",
     "dq_union_missing": """
@@ -477,4 +513,30 @@ ORACLE: dict[str, str] = {
         SELECT "maxDepth", "numTrees", round("AUC", 6) AS "AUC"
         FROM ({SEARCH}) WHERE "maxDepth" = 2""",
     "dq_preprocess": PREPROCESS,
+    "dq_csv_scan": f"""
+        SELECT "DATE_TIME", "PLANT_ID", "SOURCE_KEY", "DC_POWER", "TOTAL_YIELD"
+        FROM ({GENERATION})""",
+    "dq_landing_zone": """
+        SELECT event_type AS "CITY", year(ts)::INTEGER AS "YEAR", count(*) AS n,
+               min(value) AS lowest, max(value) AS highest
+        FROM events GROUP BY ALL""",
+    "dq_job_audit": " UNION ALL ".join(f"""
+        SELECT '{source}' AS source, '{column}' AS "column",
+               count(*) FILTER ({gap}) AS missing, count(*) AS total, 0::BIGINT AS duplicates
+        FROM {relation}""" for source, (relation, gaps) in AUDITED.items()
+        for column, gap in gaps.items()),
+    "dq_job_validation": f"""
+        WITH merged AS ({MERGED})
+        {PREPROCESSED_COLUMNS_SQL}
+        UNION ALL SELECT 'flag ' || "CLEANING_FLAG", count(*) FROM merged GROUP BY 1""",
+    "dq_merged_correlation": f"WITH merged AS ({MERGED}) " + " UNION ALL ".join(f"""
+        SELECT '{i}' AS col_i, '{j}' AS col_j, count(*) AS pairs, round(corr("{i}", "{j}"), 6) AS r
+        FROM merged WHERE "{i}" IS NOT NULL AND "{j}" IS NOT NULL""" for i, j in MERGED_PAIRS),
+    "dq_zenith_fit": """
+        WITH sample AS (
+            SELECT value AS x, 90 - value AS y FROM events WHERE value > 50
+            ORDER BY md5(event_id::VARCHAR || ':42'), event_id LIMIT 5000)
+        SELECT count(*) AS n, round(regr_slope(y, x), 6) AS slope,
+               round(regr_intercept(y, x), 6) AS intercept
+        FROM sample""",
 }

@@ -32,10 +32,10 @@ from solarspark.operators import (
     stats,
 )
 from solarspark.operators.calendar import with_calendar_keys
-from solarspark.plans import jobs
+from solarspark.plans import analyses, jobs
 from solarspark.schemas import LOCATION, literal_rows
-from solarspark.session import UTC_NAMES
-from solarspark.sources import ingest
+from solarspark.session import UTC_NAMES, scratch_path
+from solarspark.sources import ingest, readers, writers
 
 NAN = float("nan")
 
@@ -151,6 +151,24 @@ def repeated_keys(spark, sf_dir):
     return merge.repeated_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def csv_scan(spark, sf_dir):
+    """Readings written as CSV and read back with the declared schema."""
+    path = scratch_path(spark)
+    writers.write_csv(generation_source(spark, sf_dir), path)
+    return readers.read_generation(spark, path).select(
+        "DATE_TIME", "PLANT_ID", "SOURCE_KEY", "DC_POWER", "TOTAL_YIELD")
+
+
+def landing_zone(spark, sf_dir):
+    """Events landed by type and year, read back and profiled per partition."""
+    path = scratch_path(spark)
+    series = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("CITY"), F.year("ts").alias("YEAR"), "event_id", "value")
+    writers.land_irradiance(series, path)
+    return readers.read_dataset(spark, path).groupBy("CITY", "YEAR").agg(
+        F.count("*").alias("n"), F.min("value").alias("lowest"), F.max("value").alias("highest"))
+
+
 # Audits.
 
 def null_audit(spark, sf_dir):
@@ -473,13 +491,11 @@ def grid_slice(spark, sf_dir):
     return out.withColumn("AUC", r6("AUC"))
 
 
-# The preprocessing job as a whole.
+# The jobs as a whole.
 
-def preprocess(spark, sf_dir):
-    if spark.conf.get("spark.sql.session.timeZone") not in UTC_NAMES:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    li = table(spark, sf_dir, "lineitem")
-    generation = li.select(
+def generation_source(spark, sf_dir) -> DataFrame:
+    """Line items as raw inverter readings with gaps and two timestamp formats."""
+    return table(spark, sf_dir, "lineitem").select(
         F.when(F.col("l_linenumber") % 2 == 0, F.date_format("l_shipdate", "dd-MM-yyyy HH:mm"))
         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("DATE_TIME"),
         F.col("l_suppkey").cast("int").alias("PLANT_ID"),
@@ -489,26 +505,50 @@ def preprocess(spark, sf_dir):
         F.when(F.col("l_discount") > 0, F.col("l_quantity")).otherwise(F.lit(NAN))
         .alias("DAILY_YIELD"),
         F.col("l_quantity").alias("TOTAL_YIELD"))
+
+
+def weather_source(spark, sf_dir) -> DataFrame:
+    """Orders as raw plant weather, one row per customer and date."""
     weather = table(spark, sf_dir, "orders").groupBy("o_orderdate", "o_custkey").agg(
         F.avg("o_totalprice").alias("IRRADIATION"), F.min("o_totalprice").alias("lowest"),
         F.max("o_totalprice").alias("highest"))
-    weather = weather.select(
+    return weather.select(
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("DATE_TIME"),
         F.col("o_custkey").cast("int").alias("PLANT_ID"), F.lit("sensor").alias("SOURCE_KEY"),
         F.col("lowest").alias("AMBIENT_TEMPERATURE"),
         F.when(F.col("o_custkey") % 3 > 0, F.col("highest")).alias("MODULE_TEMPERATURE"),
         "IRRADIATION")
+
+
+def irradiance_source(spark, sf_dir) -> DataFrame:
+    """Events as the raw hourly series, the event type as its city."""
     value = F.col("value")
-    irradiance = table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         F.col("ts").alias("DATETIME"), value.alias("ghi"), (value / 2).alias("dhi"),
         (value * 2).alias("dni"),
         F.when(F.col("event_id") % 9 > 0, value + 1).alias("temp_air"),
         F.col("user_id").cast("double").alias("wind_speed"),
-        F.col("event_type").alias("CITY"), F.lit(14.5).alias("LATITUDE"),
+        F.col("event_type").alias("CITY"), F.col("event_id").alias("SERIAL"),
+        F.lit(14.5).alias("LATITUDE"),
         F.lit(78.25).alias("LONGITUDE"), F.year("ts").alias("YEAR"),
         value.alias("SOLAR_ZENITH_ANGLE"), value.alias("SOLAR_AZIMUTH"),
         (F.lit(90.0) - value).alias("OPTIMAL_TILT"))
-    out = jobs.preprocess(generation, weather, irradiance, city="view", year=2024)
+
+
+def sources(spark, sf_dir) -> dict[str, DataFrame]:
+    if spark.conf.get("spark.sql.session.timeZone") not in UTC_NAMES:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return {"generation": generation_source(spark, sf_dir),
+            "weather": weather_source(spark, sf_dir),
+            "irradiance": irradiance_source(spark, sf_dir)}
+
+
+def merged(spark, sf_dir) -> DataFrame:
+    return jobs.preprocess(**sources(spark, sf_dir), city="view", year=2024)
+
+
+def preprocess(spark, sf_dir):
+    out = merged(spark, sf_dir)
     # Hourly means of cents fall exactly between six-digit neighbours; nine digits do not.
     rounded = {f.name: F.round(F.col(f.name).cast("double"),
                                9 if f.name in HOURLY_MEASURES else 6)
@@ -517,6 +557,35 @@ def preprocess(spark, sf_dir):
         "DATETIME", "yyyy-MM-dd HH:mm:ss")})
 
 
+def job_audit(spark, sf_dir):
+    tables = jobs.audit_sources(**sources(spark, sf_dir))
+    return tables["nulls"].join(tables["duplicates"], "source").select(
+        "source", "column", "missing", "total", "duplicates")
+
+
+def job_validation(spark, sf_dir):
+    """Remaining NULLs and label distribution of the job's written output."""
+    path = scratch_path(spark)
+    tables = jobs.run_preprocess(**sources(spark, sf_dir), out=path, city="view", year=2024)
+    nulls = tables["nulls"].select(F.col("column").alias("item"), F.col("missing").alias("n"))
+    flags = tables["flags"].select(
+        F.concat(F.lit("flag "), F.col("CLEANING_FLAG")).alias("item"), F.col("count").alias("n"))
+    return merge.union_all([nulls, flags])
+
+
+def merged_correlation(spark, sf_dir):
+    clean = merged(spark, sf_dir).select("DC_POWER", "AC_POWER", "GHI", "EFFICIENCY",
+                                         "SOILING_PROXY")
+    return analyses.correlation(None, clean)["lower"].select(
+        "col_i", "col_j", "pairs", r6("r").alias("r"))
+
+
+def zenith_fit(spark, sf_dir):
+    """Line of tilt over zenith through the sample of bright hours."""
+    tables = analyses.zenith_fit(irradiance_source(spark, sf_dir), ["SERIAL"])
+    return tables["fit"].select("n", r6("slope").alias("slope"), r6("intercept").alias("intercept"))
+
+
 # Models over the whole line item table; no SQL twin.
 
 MODEL_FEATURES = ["l_quantity", "l_extendedprice", "l_tax", "MONTH_SIN", "MONTH_COS"]
@@ -582,6 +651,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         corr_matrix, corr_lower, histogram, density_by_class, center_zero_share, box_summary,
         box_summary_all, linear_fit, fitted_line, vif, topn_chrono, hash_sample,
         temporal_split, class_weight, confusion, class_metrics, threshold_curve,
-        best_threshold, auc, reg_metrics, grid_table, grid_best, grid_slice, preprocess,
+        best_threshold, auc, reg_metrics, grid_table, grid_best, grid_slice, csv_scan,
+        landing_zone, preprocess, job_audit, job_validation, merged_correlation, zenith_fit,
         rf_importance, gbt_importance, reg_importance, search_grid, champion)
 }

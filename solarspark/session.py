@@ -19,6 +19,8 @@ def get_spark(app_name: str = "solarspark", master: str | None = None, **conf) -
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Recording the Python line of every column expression doubles planning time.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
@@ -58,12 +60,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A fresh path in the shared folder."""
+    return f"{_shared_folder(spark)}/stage-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """The same as a table, for frames that are joined next.
 
     Unlike a checkpoint it tells the planner its size and claims no partitioning, so
     a join shuffles both sides itself and can split a dominant key.
     """
-    path = f"{_shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -20,7 +20,7 @@ def skewed(spark, n=6000):
         .when(F.col("id") % 13 == 0, None).otherwise(F.round(F.rand(3) * 1000, 3)).alias("v"))
 
 
-@pytest.mark.parametrize("task_values", [quantiles.TASK_VALUES, 0])
+@pytest.mark.parametrize("task_values", [quantiles.TASK_VALUES, 300])
 def test_quantiles_match_numpy_either_way(spark, task_values):
     df = skewed(spark)
     frame = df.toPandas()
@@ -45,6 +45,23 @@ def test_both_ways_agree_to_the_bit(spark):
     assert {tuple(r) for r in one} == {tuple(r) for r in two}
 
 
+def test_gaps_shrink_and_order_is_kept(spark):
+    df = spark.range(50000).select(F.lit(0).alias("__g"), F.rand(9).alias("__v"))
+    counts = quantiles._enclosed_counts(df, [0.25, 0.75])
+    kept, gaps = counts.filter("__exact").count(), counts.filter("not __exact").collect()
+    assert kept < 200 and len(gaps) == 3
+    assert counts.agg(F.sum("__n")).first()[0] == 50000
+    values = [r["__v"] for r in counts.filter("__exact").collect()]
+    assert not any(min(values) < g["__v"] < max(values) and 0.3 > g["__v"] for g in gaps)
+
+
+def test_a_failing_sketch_is_noticed(spark, monkeypatch):
+    df = spark.range(3000).select(F.round(F.rand(5) * 1e6, 1).alias("v"))
+    right = quantiles.exact_quantiles(df, "v", [0.5]).first()
+    monkeypatch.setattr(quantiles, "MARGIN", -0.2)
+    assert quantiles.exact_quantiles(df, "v", [0.5], (), 1).first() == right
+
+
 def test_approximate_quantiles_are_close(spark):
     df = spark.range(10001).select(F.col("id").cast("double").alias("v"))
     assert quantiles.approx_quantiles(df, "v", [0.5]).first()["median"] == pytest.approx(5000, abs=2)
