@@ -11,6 +11,9 @@ from solarspark.functions.features import valid
 from solarspark.operators.lookup import join_aggregate
 from solarspark.operators.quantiles import exact_quantiles, quantile_name
 
+# Partner columns summed together: three moment functions each.
+CORRELATION_WIDTH = 10
+
 
 def grid_point(index: Column, low: Column, high: Column, points: int) -> Column:
     """Value ``index`` (from 0) of ``points`` evenly spaced values from low to high."""
@@ -128,45 +131,55 @@ def box_summary(df: DataFrame, column: str, keys=(), reach: float = 1.5) -> Data
 
 
 def corr_matrix(df: DataFrame, columns, min_pairs: int = MIN_CORRELATION_PAIRS,
-                pairs_per_aggregate: int = 200) -> DataFrame:
+                width: int = CORRELATION_WIDTH) -> DataFrame:
     """Pearson correlation of every pair, long form: i, j, col_i, col_j, pairs, r.
 
     Each pair uses the rows where both values are present. r is NULL with fewer
-    than ``min_pairs`` such rows or when one side is constant on them. One pass
-    over the data serves ``pairs_per_aggregate`` pairs.
+    than ``min_pairs`` such rows or when one side is constant on them.
+
+    A row is spread into one row per column and block of at most ``width`` partner
+    columns, which are summed map-side into k groups. One aggregate over all pairs
+    would need no spreading, but with some forty moment functions its code grows
+    past what the JVM compiles and runs many times slower.
     """
     columns = list(columns)
+    k = len(columns)
+    blocks = -(-k // width)
+    width = -(-k // blocks)
     clean = df.select(*[valid(df, c).cast("double").alias(f"c{i}")
                         for i, c in enumerate(columns)])
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1)]
-    blocks = [_corr_block(clean, columns, pairs[at:at + pairs_per_aggregate], min_pairs)
-              for at in range(0, len(pairs), pairs_per_aggregate)]
-    lower = blocks[0]
-    for block in blocks[1:]:
-        lower = lower.unionByName(block)
-    both = F.explode(F.when(F.col("i") == F.col("j"), F.array("s")).otherwise(F.array(
-        "s", F.struct(F.col("j").alias("i"), F.col("i").alias("j"), F.col("col_j").alias("col_i"),
-                      F.col("col_i").alias("col_j"), "pairs", "r"))))
-    return (lower.withColumn("s", F.struct("i", "j", "col_i", "col_j", "pairs", "r"))
-            .select(both.alias("s")).select("s.*"))
-
-
-def _corr_block(clean: DataFrame, columns, pairs, min_pairs: int) -> DataFrame:
-    aggs = []
-    for i, j in pairs:
-        a, b = f"c{i}", f"c{j}"
-        aggs += [F.regr_count(a, b).alias(f"n_{i}_{j}"), F.regr_sxy(a, b).alias(f"ab_{i}_{j}"),
-                 F.regr_sxx(b, a).alias(f"aa_{i}_{j}"), F.regr_sxx(a, b).alias(f"bb_{i}_{j}")]
-    cells = [
-        F.struct(
-            F.lit(i).alias("i"), F.lit(j).alias("j"),
-            F.lit(columns[i]).alias("col_i"), F.lit(columns[j]).alias("col_j"),
-            F.col(f"n_{i}_{j}").alias("pairs"),
-            F.when(F.col(f"n_{i}_{j}") >= min_pairs, F.try_divide(
-                F.col(f"ab_{i}_{j}"),
-                F.sqrt(F.col(f"aa_{i}_{j}")) * F.sqrt(F.col(f"bb_{i}_{j}")))).alias("r"))
-        for i, j in pairs]
-    return clean.agg(*aggs).select(F.inline(F.array(*cells)))
+
+    def partner(block: int, at: int) -> Column:
+        j = block * width + at
+        return F.col(f"c{j}") if j < k else F.lit(None).cast("double")
+
+    spread = clean.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.lit(b).alias("block"), F.col(f"c{i}").alias("x"),
+                 *[partner(b, at).alias(f"y{at}") for at in range(width)])
+        for i in range(k) for b in range(blocks)])))
+    sums = []
+    for at in range(width):
+        y = f"y{at}"
+        sums += [F.regr_count("x", y).alias(f"n{at}"), F.regr_sxy("x", y).alias(f"xy{at}"),
+                 F.regr_sxx(y, "x").alias(f"xx{at}")]
+    # From here on there are k x k rows: for (i, j) the variation of i where j is present.
+    ordered = spread.groupBy("i", "block").agg(*sums).select("i", F.inline(F.array(*[
+        F.struct((F.col("block") * width + at).alias("j"), F.col(f"n{at}").alias("n"),
+                 F.col(f"xy{at}").alias("xy"), F.col(f"xx{at}").alias("xx"))
+        for at in range(width)]))).filter(F.col("j") < k)
+    i, j = F.col("i"), F.col("j")
+    lower = ordered.groupBy(F.greatest("i", "j").alias("a"), F.least("i", "j").alias("b")).agg(
+        F.max("n").alias("pairs"), F.max(F.when(i >= j, F.col("xy"))).alias("xy"),
+        F.max(F.when(i >= j, F.col("xx"))).alias("aa"),
+        F.max(F.when(i <= j, F.col("xx"))).alias("bb"))
+    scale = F.sqrt("aa") * F.sqrt("bb")
+    r = F.when(F.col("pairs") >= min_pairs, F.try_divide(F.col("xy"), scale))
+    names = F.array(*map(F.lit, columns))
+    both = F.explode(F.array_distinct(F.array(F.struct(F.col("a").alias("i"), F.col("b").alias("j")),
+                                              F.struct(F.col("b").alias("i"), F.col("a").alias("j")))))
+    return (lower.select("pairs", r.alias("r"), both.alias("s"))
+            .select("s.i", "s.j", F.get(names, F.col("s.i")).alias("col_i"),
+                    F.get(names, F.col("s.j")).alias("col_j"), "pairs", "r"))
 
 
 def lower_triangle(corr: DataFrame) -> DataFrame:

@@ -144,7 +144,7 @@ def test_correlation_blocks_match_pandas(spark):
     frame.loc[::4, "b"] = np.nan
     df = spark.createDataFrame(frame)
     expected = frame.corr(min_periods=30)
-    for row in stats.corr_matrix(df, list("abcde"), pairs_per_aggregate=4).collect():
+    for row in stats.corr_matrix(df, list("abcde"), width=2).collect():
         assert row.r == pytest.approx(expected.loc[row.col_i, row.col_j])
 
 
