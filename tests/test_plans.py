@@ -53,7 +53,9 @@ def test_mean_fill_shuffles_the_deduplicated_rows_once(spark):
     assert "ReusedExchange" in text and "Join" not in text
 
 
-def test_hot_key_is_split_when_the_lookup_is_too_big_to_broadcast(spark):
+@pytest.fixture
+def small_thresholds(spark):
+    """Sizes at which test data count as large and skewed."""
     changed = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -66,14 +68,37 @@ def test_hot_key_is_split_when_the_lookup_is_too_big_to_broadcast(spark):
     before = {k: spark.conf.get(k, None) for k in changed}
     for k, v in changed.items():
         spark.conf.set(k, v)
-    try:
-        rows = spark.range(0, 60000, 1, 8).select(
-            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("p"),
-            F.col("id").cast("double").alias("y"))
-        means = rows.groupBy("p").agg(F.avg("y").alias("m"))
-        out = lookup.join_aggregate(rows, means, "p", keys_from=rows, max_rows=10)
-        assert "skew=true" in final_plan(out)
-        assert out.count() == 60000
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def skewed(spark, n=60000):
+    """A third of all rows under one key."""
+    return spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000).alias("p"),
+        F.col("id").cast("double").alias("y"))
+
+
+def test_hot_key_is_split_when_the_lookup_is_too_big_to_broadcast(spark, small_thresholds):
+    rows = skewed(spark)
+    means = rows.groupBy("p").agg(F.avg("y").alias("m"))
+    out = lookup.join_aggregate(rows, means, "p", keys_from=rows, max_rows=10)
+    assert "skew=true" in final_plan(out)
+    assert out.count() == 60000
+
+
+def test_hot_key_is_split_in_the_weather_join(spark, small_thresholds):
+    readings = skewed(spark).select("p", F.col("p").alias("t"), "y")
+    weather = merge.dedupe(spark.range(1000).select(
+        F.col("id").alias("p"), F.col("id").alias("t"), F.lit("s").alias("SOURCE_KEY"),
+        F.rand(1).alias("w")))
+    out = merge.attach_weather(readings, weather, ("t", "p"))
+    assert "skew=true" in final_plan(out)
+    assert out.count() == 60000 and out.filter("w is null").isEmpty()
+
+
+def test_group_mean_leaves_the_readings_unshuffled_while_groups_are_few(spark):
+    text = plan(merge.attach_group_mean(skewed(spark), "p", "y", "m"))
+    big_side = text[:text.index("BroadcastExchange")]
+    assert "BroadcastHashJoin" in big_side and "hashpartitioning" not in big_side
