@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +42,7 @@ def steps(batches: Iterator[pa.RecordBatch], sizes_of: str = "text") -> Iterator
     A batch always has one row at least, so that a very long text is its own batch.
     """
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column(sizes_of)).to_pylist()
+        lengths = pc.binary_length(batch.column(sizes_of)).to_pylist()
         start = held = 0
         for i, n in enumerate(lengths):
             if held and held + (n or 0) > STEP_CHARS:
