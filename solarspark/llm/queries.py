@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read
+from .decontaminate import ORACLE_SQL
 
 
 def tokenizer(name: str) -> str:
@@ -12,10 +13,31 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import decontaminate
+    return decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import encode_digests
+    return encode_digests(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
     return count_tokens(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op5_token_counts,)}
-ORACLE: dict[str, str] = {}
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import find_secrets
+    return find_secrets(read(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score_toxicity
+    return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_decontaminate, op2_bpe, op5_token_counts, op7_secrets, op9_toxicity)}
+ORACLE: dict[str, str] = {"op1_decontaminate": ORACLE_SQL}
