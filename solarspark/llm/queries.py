@@ -23,6 +23,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .partenum import similar_components
+    return similar_components(read(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
     return count_tokens(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -39,5 +44,5 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_bpe, op5_token_counts, op7_secrets, op9_toxicity)}
+    op1_decontaminate, op2_bpe, op4_ngram_jaccard, op5_token_counts, op7_secrets, op9_toxicity)}
 ORACLE: dict[str, str] = {"op1_decontaminate": ORACLE_SQL}
