@@ -192,6 +192,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram:
                     F.col("n_hit").isNotNull().alias("contaminated")))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """The rows of ``docs`` that hold no window of any item, unchanged. Rows of one id go together."""
+    hit = decontaminate(docs, benchmark, window).where("contaminated").select("doc_id").distinct()
+    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+
+
 #: The same by joining all windows as texts.
 ORACLE_SQL = r"""
 WITH dw AS (

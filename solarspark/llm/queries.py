@@ -23,6 +23,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprint import edited_fingerprints
+    return edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .partenum import similar_components
     return similar_components(read(spark, sf_dir, "documents"))
@@ -33,16 +38,32 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language import predict_language
+    return predict_language(read(spark, sf_dir, "documents"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .secrets import find_secrets
     return find_secrets(read(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract_text
+    return extract_text(read(spark, sf_dir, "pages"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import score_toxicity
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_quality
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_decontaminate, op2_bpe, op4_ngram_jaccard, op5_token_counts, op7_secrets, op9_toxicity)}
+    op1_decontaminate, op2_bpe, op3_fingerprints, op4_ngram_jaccard, op5_token_counts, op6_language,
+    op7_secrets, op8_html_text, op9_toxicity, op10_quality)}
 ORACLE: dict[str, str] = {"op1_decontaminate": ORACLE_SQL}
