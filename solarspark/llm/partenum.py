@@ -219,7 +219,8 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
 def keep_first(docs: DataFrame, percent: int = 90, n: int = 3) -> DataFrame:
     """One document of each component: the one with the smallest id, unchanged.
 
-    Of rows that repeat this id one stays. Documents without words all stay.
+    Of rows that repeat this id one stays. Documents without words all stay, and so do rows
+    with a null id, which nothing can name.
     """
     spare = similar_components(docs, percent, n).where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(spare, "doc_id", "left_anti").select(*docs.columns)

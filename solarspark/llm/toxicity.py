@@ -3,8 +3,8 @@
 A word enters as the sum of a word vector and the mean of vectors of its characters in
 groups, both from hashed tables, so that unseen words still have their parts. Two gated
 recurrent layers read a window of words forwards and backwards; attention weighs their
-states; a logistic unit scores the window. All overlapping windows of a text are scored
-and the highest counts.
+states; a logistic unit scores the window. All overlapping windows of a text are scored;
+a logistic map of the two highest scores and the mean gives the score of the text.
 
 The network is trained in numpy on a bounded sample of labelled documents. A label belongs
 to a document, so after a first pass over all windows only the highest window of a toxic
@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from .common import learnable, map_texts
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 48, 36
 HIDDEN, WIDTH = 8, 16
 BUCKETS = 1 << 15
-TRAIN_DOCS = 3000  # labelled documents of each class to learn from, at most
-TRAIN_WORDS = 600  # words of a document to learn from, at most
+TRAIN_DOCS = 2000  # labelled documents of each class to learn from, at most
+TRAIN_WORDS = 400  # words of a document to learn from, at most
 _WORD = re.compile(r"\w+")
 
 
@@ -38,10 +38,9 @@ def words_of(text: str) -> list[str]:
 def features(word: str) -> list[int]:
     """Table rows of a word: first the word's own, then those of its character groups."""
     marked = f"<{word}>"
-    groups = {marked[:n] for n in (5, 6, 7, 8)} | {marked[i:i + 4] for i in range(max(1, len(marked) - 3))}
     half = BUCKETS // 2
-    own = xxhash.xxh32_intdigest(marked) % half
-    return [own, *sorted(half + xxhash.xxh32_intdigest(g, seed=1) % half for g in groups)]
+    hashed = [xxhash.xxh32_intdigest(g) % half for g in (marked, marked[:4], marked[:6], marked[:8], marked[-4:])]
+    return [hashed[0], *(half + h for h in hashed[1:])]
 
 
 def windows_of(n: int) -> list[tuple[int, int]]:
@@ -68,7 +67,7 @@ class Network:
                   "b": np.zeros((2, 1, 3 * h), np.float32), "u": normal(2, h, 2 * h, scale=h ** -0.5),
                   "c": normal(2, h, h, scale=h ** -0.5), "att": normal(2 * h, scale=0.3),
                   "out": normal(2 * h, scale=0.3), "bias": np.float32([-1.0])}
-        self.calibration = np.float32([1.0, 0.0])
+        self.calibration = np.zeros(5)  # of the columns of document_features and a constant
 
     def vectors(self, rows: list[list[int]]) -> np.ndarray:
         """Input vectors of words given by their table rows."""
@@ -151,7 +150,7 @@ def padded(windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return index, mask
 
 
-def train(texts: list[str], labels: list[int], rounds: int = 4, batch: int = 128, rate: float = 0.01) -> Network:
+def train(texts: list[str], labels: list[int], rounds: int = 3, batch: int = 128, rate: float = 0.01) -> Network:
     """Fit by Adam; deterministic for the same rows in the same order."""
     net, rng = Network(), np.random.default_rng(2)
     vocabulary: dict[str, int] = {}
@@ -163,12 +162,11 @@ def train(texts: list[str], labels: list[int], rounds: int = 4, batch: int = 128
                 units.append(words[a:b])
                 owner.append(i)
     if not units or len(set(labels)) < 2:
-        net.calibration[:] = 0.0, -3.0
+        net.calibration[4] = -3.0
         return net
     rows = [features(w) for w in vocabulary]
     owner, y = np.array(owner), np.array(labels, np.float32)
     index, mask = padded(units)
-    share = float(np.clip(y.mean(), 0.01, 0.99))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
 
@@ -216,20 +214,36 @@ def train(texts: list[str], labels: list[int], rounds: int = 4, batch: int = 128
                 m[at] = 0.9 * m[at] + 0.1 * grad
                 v[at] = 0.99 * v[at] + 0.01 * grad ** 2
                 net.p[name][at] -= rate * (m[at] / (1 - 0.9 ** step)) / (np.sqrt(v[at] / (1 - 0.99 ** step)) + 1e-6)
-    # One-dimensional logistic fit from a document's highest logit to its label.
-    score = logits()
-    top = np.full(len(texts), -10.0)
-    np.maximum.at(top, owner, score)
-    a, b = 1.0, 0.0
-    weight = np.where(y == 1, 1.0, 1.0)
-    for _ in range(300):
-        e = (_sigmoid(a * top + b) - y) * weight
-        a, b = a - 0.05 * float((e * top).mean()), b - 0.2 * float(e.mean())
-    net.calibration[:] = a, b
-    net.share = share
+    net.calibration = _logistic(document_features(len(texts), owner, logits()), y)
     return net
 
 
+def document_features(n: int, owner: np.ndarray, logit: np.ndarray) -> np.ndarray:
+    """Of each of n documents: highest and second highest logit of its windows, whether it has
+    one window only, and the mean probability. ``owner`` gives the document of each window."""
+    out = np.tile([-8.0, -8.0, 1.0, 0.0], (n, 1))
+    if len(owner):
+        order = np.lexsort((-logit, owner))
+        who, value = owner[order], np.clip(logit[order], -8, 8)
+        first = np.flatnonzero(np.r_[True, who[1:] != who[:-1]])
+        many = np.diff(np.r_[first, len(who)])
+        out[who[first], 0] = out[who[first], 1] = value[first]
+        more = first[many > 1]
+        out[who[more], 1], out[who[more], 2] = value[more + 1], 0.0
+        out[who[first], 3] = np.add.reduceat(_sigmoid(value), first) / many
+    return out
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights and constant of a logistic fit with a small penalty, by Newton steps."""
+    x = np.hstack([x, np.ones((len(x), 1))])
+    w, penalty = np.zeros(x.shape[1]), 0.1 * np.eye(x.shape[1])
+    for _ in range(30):
+        p = _sigmoid(x @ w)
+        w = w + np.linalg.solve((x.T * (p * (1 - p))) @ x + penalty, x.T @ (y - p) - penalty @ w)
+    return w
+
+
 class Scorer:
     """Scores texts; remembers what distinct words add to the gates, up to a bound."""
 
@@ -270,18 +284,18 @@ class Scorer:
         return out + self._some(held)
 
     def _some(self, texts_words: list[list[str]]) -> list[float]:
-        top = np.full(len(texts_words), -10.0, np.float32)
+        if not texts_words:
+            return []
         units, owner = [], []
         for i, words in enumerate(self._indices(texts_words)):
             for a, b in windows_of(len(words)):
                 if b > a:
                     units.append(words[a:b])
                     owner.append(i)
-        for s in range(0, len(units), 1024):
-            index, mask = padded(units[s:s + 1024])
-            np.maximum.at(top, owner[s:s + 1024], self.net.forward(self.gates, index, mask))
-        a, b = self.net.calibration
-        return _sigmoid(a * top + b).astype(float).tolist()
+        parts = [self.net.forward(self.gates, *padded(units[s:s + 1024])) for s in range(0, len(units), 1024)]
+        x = document_features(len(texts_words), np.array(owner, np.int64), np.concatenate(parts) if parts else np.zeros(0))
+        w = self.net.calibration
+        return _sigmoid(x @ w[:-1] + w[-1]).tolist()
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:

@@ -1,0 +1,319 @@
+"""Operators with an exact answer, against the definition or the public library."""
+
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+import oracle
+from solarspark.llm import bpe, decontaminate, fingerprint, partenum, secrets, token_counts
+from solarspark.llm.queries import ORACLE, QUERIES, tokenizer
+
+HARD = [None, "", " ", "a", "a b", "Hello,  World!\n\n x", "é" * 50, "𝔘𝔫𝔦 日本 ΣΑΣ İ", "word " * 3000,
+        "x" * 5000, "'s 'LL don't <|endoftext|> 12 ½", "á  b\x85c d\x1ce", "▁ ▁▁x  y", "\x00\x01"]
+
+
+def by_id(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+# --- decontamination
+
+def _windows(words):
+    n = min(10, len(words))
+    return [tuple(words[i:i + n]) for i in range(len(words) - n + 1)] if words else []
+
+
+def _words(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered)
+
+
+def brute_hits(text, items):
+    words, hit, found = _words(text), set(), set()
+    for item, body in items:
+        for w in _windows(_words(body)):
+            for i in range(len(words) - len(w) + 1):
+                if tuple(words[i:i + len(w)]) == w:
+                    hit.update(range(i, i + len(w)))
+                    found.add("null" if item is None else str(item))
+    return len(words), len(hit), sorted(found)
+
+
+def test_decontamination_is_exact(spark, documents):
+    rng = random.Random(1)
+    vocabulary = ["a", "b", "c", "Dd", "é", "x1"]
+    draw = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(i, draw(rng.choice([0, 1, 2, 4, 9, 10, 11, 14, 30]))) for i in range(12)]
+    items += [(3, draw(12)), (None, draw(15)), (50, None), (51, ""), (52, "one two, three")]
+    texts = HARD + [draw(rng.randint(0, 60)) for _ in range(40)]
+    texts += [f"{draw(5)} {body} {draw(4)}" for _, body in items if body] + ["One TWO three four one two three"]
+    bench = spark.createDataFrame([(i, t, 7) for i, t in items], "item_id bigint, text string, row int")
+    found = by_id(decontaminate.decontaminate(documents(texts), bench))
+    for i, text in enumerate(texts):
+        n, hit, names = brute_hits(text, items)
+        r = found[i]
+        assert (r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) == (n, hit, len(names), hit > 0)
+        assert r["items_sha256"] == hashlib.sha256(",".join(names).encode()).hexdigest()
+
+
+def test_decontamination_by_shuffle_join(spark, documents, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_GRAMS", 0)
+    words = [f"w{i}" for i in range(40)]
+    bench = spark.createDataFrame([(1, " ".join(words[5:25]))], "item_id bigint, text string")
+    found = by_id(decontaminate.decontaminate(documents([" ".join(words), " ".join(words[:14]), "w5"]), bench))
+    assert [found[i]["n_hit"] for i in range(3)] == [20, 0, 0]
+
+
+def test_decontamination_of_nothing(spark, documents):
+    bench = spark.createDataFrame([], "item_id bigint, text string")
+    assert decontaminate.decontaminate(documents([]), bench).count() == 0
+    assert [r["contaminated"] for r in decontaminate.decontaminate(documents(["a b"]), bench).collect()] == [False]
+    assert decontaminate.drop_contaminated(documents(["a b", None], [None, 1]), bench).count() == 2
+
+
+def test_winnowing_keeps_a_gram_of_every_window():
+    rng = np.random.default_rng(0)
+    for _ in range(50):
+        h = rng.integers(0, 5, rng.integers(6, 40)).astype(np.uint64)
+        kept = set(decontaminate.winnow(h, 6).tolist())
+        assert all(kept & set(range(s, s + 6)) for s in range(len(h) - 5))
+
+
+# --- encoding and decoding
+
+def test_encoding_is_the_librarys(spark, documents, sf_dir):
+    import tokenizers
+    path = tokenizer("word_bpe_49k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    texts = HARD + [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect()]
+    docs = documents(texts)
+    for words in (50, 100_000):
+        found = by_id(bpe.encode_digests(docs, path, table_words=words))
+        for i, text in enumerate(texts):
+            ids = library.encode(text or "", add_special_tokens=False).ids
+            decoded = library.decode(ids, skip_special_tokens=False)
+            assert found[i]["n_tokens"] == len(ids)
+            assert found[i]["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+            assert found[i]["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
+    encoded = bpe.encode_texts(docs, path)
+    again = by_id(bpe.decode_ids(encoded, path))
+    assert all(again[i]["decoded"] == r["decoded"] for i, r in by_id(encoded).items())
+
+
+def test_encoding_of_nothing(documents):
+    path = tokenizer("word_bpe_49k.json")
+    assert bpe.encode_digests(documents([]), path).count() == 0
+    rows = bpe.encode_digests(documents(["a", "a"], [None, None]), path).collect()
+    assert len(rows) == 2 and rows[0] == rows[1] and rows[0]["doc_id"] is None
+
+
+# --- token counts
+
+@pytest.mark.parametrize("chunk", [7, 40, 262_144])
+def test_token_counts_are_the_librarys(spark, documents, sf_dir, chunk):
+    import sentencepiece
+    path = tokenizer("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(chunk)
+    texts = HARD[:8] + HARD[9:] + ["".join(rng.choices("abthein .,\n=-é日▁<s>", k=rng.randint(1, 90))) for _ in range(200)]
+    if chunk > 1000:
+        texts += HARD + [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(80).collect()]
+    found = by_id(token_counts.count_tokens(documents(texts), path, limit=20, chunk_chars=chunk))
+    assert len(found) == len(texts)
+    for i, text in enumerate(texts):
+        n = len(model.encode(text or ""))
+        assert (found[i]["n_tokens"], found[i]["over_limit"]) == (n, n > 20)
+        assert found[i]["n_bytes"] == len((text or "").encode())
+
+
+def test_chunk_maps_compose_in_any_order():
+    counter = token_counts.Counter(tokenizer("piece_bpe_32k.model"))
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "".join(rng.choices("ab the\nin==é", k=rng.randint(3, 40)))
+        escaped = token_counts.SPACE + counter.escaped(text)
+        a, b, c = (counter.chunk(escaped[i::1][:j]) if j else ("", None, "")
+                   for i, j in ((0, len(escaped) // 3), (len(escaped) // 3, len(escaped) // 3), (2 * (len(escaped) // 3), len(escaped))))
+        left = counter.compose(counter.compose(a, b), c)
+        right = counter.compose(a, counter.compose(b, c))
+        assert counter.total(left) == counter.total(right) == counter.count(text)
+
+
+def test_token_counts_do_not_depend_on_the_number_of_states(monkeypatch):
+    path = tokenizer("piece_bpe_32k.model")
+    texts = ["The weather of tomorrow", "sunshine and thunderstorms", "aaaa bbbb" * 20]
+    expected = [token_counts.Counter(path).count(t) for t in texts]
+    monkeypatch.setattr(token_counts, "MAX_STATES", 3)
+    monkeypatch.setattr(token_counts, "MAX_WORDS", 2)
+    assert [token_counts.Counter(path).count(t) for t in texts] == expected
+
+
+# --- fingerprints
+
+def test_edited_texts(documents):
+    rng = random.Random(2)
+    texts = HARD + [". ".join("".join(rng.choices("abc de\n", k=60)) for _ in range(rng.randint(1, 12))) for _ in range(30)]
+    ids = rng.sample(range(1000), len(texts))
+    rows = fingerprint.edited_fingerprints(documents(texts, ids)).orderBy("doc_id").collect()
+    ordered = [t or "" for _, t in sorted(zip(ids, texts), key=lambda p: p[0])]
+    assert len(rows) == len(ordered)
+    for i, (text, r) in enumerate(zip(ordered, rows)):
+        half, following = len(text) // 2, ordered[(i + 1) % len(ordered)]
+        edited = text[:len(text) - half] + following[:half]
+        assert r["n_chars"] == len(text)
+        assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        parts = fingerprint.parts_of(edited)
+        assert r["edited_fingerprint"] == fingerprint.name(fingerprint.fingerprint(parts), not edited)
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+    names = defaultdict(set)
+    for text, r in zip(ordered, rows):
+        names[text].add(r["fingerprint"])
+    assert all(len(v) == 1 for v in names.values()) and len(set.union(*names.values())) == len(names)
+
+
+def test_fingerprints_are_sums():
+    a, b = ["one", "two", "two"], ["three"]
+    state = fingerprint.fingerprint(a)
+    assert (state == fingerprint.fingerprint(["two", "one", "two"])).all()
+    assert (state != fingerprint.fingerprint(["two", "one"])).any()
+    assert (fingerprint.inserted(state, b) == fingerprint.fingerprint(a + b)).all()
+    assert (fingerprint.deleted(fingerprint.fingerprint(a + b), a) == fingerprint.fingerprint(b)).all()
+    many = [str(i) for i in range(100)]
+    near = fingerprint.likeness(fingerprint.fingerprint(many), fingerprint.fingerprint(many[:80] + ["x" + m for m in many[:20]]))
+    assert 0.65 < near < 0.95
+
+
+def test_fingerprints_of_few(documents):
+    assert fingerprint.edited_fingerprints(documents([])).count() == 0
+    alone = fingerprint.edited_fingerprints(documents(["abcd"])).collect()
+    assert len(alone) == 1 and alone[0]["edited_sha256"] == hashlib.sha256(b"abab").hexdigest()
+    twice = fingerprint.edited_fingerprints(documents(["ab", "ab", None], [1, 1, None])).collect()
+    assert len(twice) == 3
+
+
+# --- similarity join
+
+def _set(text):
+    words = re.findall("[^\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(words[i:i + 3]) for i in range(max(1, len(words) - 2))} if words else set()
+
+
+def brute_components(texts, percent):
+    sets, parent = [_set(t) for t in texts], list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= percent * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    return [len(s) for s in sets], [find(i) for i in range(len(texts))]
+
+
+def _near_texts(rng):
+    texts = list(HARD)
+    for size in (3, 8, 12, 25, 60, 150, 400):
+        for _ in range(2):
+            base = [f"w{rng.randrange(5000)}" for _ in range(size)]
+            for _ in range(9):
+                words = list(base)
+                for _ in range(rng.choice([0, 0, 1, 1, 2, 3, size // 30])):
+                    words[rng.randrange(size)] = f"v{rng.randrange(50)}"
+                texts.append(" ".join(words[rng.choice([0, 0, 1]):]))
+    return texts
+
+
+@pytest.mark.parametrize("percent,block", [(90, 1000), (90, 4), (80, 1000)])
+def test_components_are_exact(documents, monkeypatch, percent, block):
+    monkeypatch.setattr(partenum, "BLOCK", block)
+    texts = _near_texts(random.Random(percent + block))
+    sizes, expected = brute_components(texts, percent)
+    found = by_id(partenum.similar_components(documents(texts), percent))
+    assert [found[i]["n_shingles"] for i in range(len(texts))] == sizes
+    assert [found[i]["component_id"] for i in range(len(texts))] == expected
+
+
+def test_signatures_of_similar_sets_meet():
+    rng = np.random.default_rng(5)
+    for percent in (80, 90, 95):
+        for n in [*range(1, 60), 100, 333, 1000]:
+            for _ in range(3):
+                pool = np.unique(rng.integers(0, 2**64, 2 * n + 2, dtype=np.uint64))
+                rng.shuffle(pool)
+                gone = rng.integers(0, n + 1)
+                a, b = pool[:n], pool[gone:n + rng.integers(0, n + 2)]
+                common = len(np.intersect1d(a, b))
+                if 0 < common and 100 * common >= percent * (len(a) + len(b) - common) and set(a) != set(b):
+                    assert set(partenum.signatures(np.sort(a), percent)) & set(partenum.signatures(np.sort(b), percent))
+
+
+def test_keep_first(documents):
+    a = " ".join(f"w{i}" for i in range(50))
+    docs = documents([a, a + " x", "other text here", None, None, a, a], [5, 3, 9, 10, 11, 3, None])
+    kept = partenum.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [10, 11, 3, 9, None]
+    assert partenum.keep_first(documents([])).count() == 0
+
+
+# --- secrets
+
+def brute_base(text):
+    assign = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
+    found = [("assign", *m.span()) for m in assign.finditer(text) if len(m[2]) >= 6]
+    found += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found, key=lambda s: (s[1], ["assign", "access", "hex"].index(s[0])))
+
+
+def test_secrets(documents):
+    rng = random.Random(4)
+    pieces = ["password", "Token", "api_key", "APIKEY", ":", "=", " ", "'", '"', "AKIA", "ABCDEFGH12345678", "deadbeef" * 3,
+              "0123456789abcdef", "xyz", "é", "\n", "a.b/c", "abc=def", "hello world this is prose "]
+    texts = HARD + ["".join(rng.choices(pieces, k=rng.randint(1, 14))) for _ in range(400)]
+    found = by_id(secrets.find_secrets(documents(texts)))
+    for i, text in enumerate(texts):
+        base, r = brute_base(text or ""), found[i]
+        assert [r["n_assign"], r["n_access"], r["n_hex"]] == [sum(b[0] == k for b in base) for k in ("assign", "access", "hex")]
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{k}:{s}:{e}" for k, s, e in base).encode()).hexdigest()
+        assert set(f"{k}:{s}:{e}" for k, s, e in base) <= set(r["spans"].split(","))
+    assert secrets.find_secrets(documents([])).count() == 0
+
+
+def test_random_runs_are_found_and_prose_is_not():
+    rng = random.Random(6)
+    prose = "the quick brown foxes were running through incomprehensibilities and thtionertionshingthat words " * 20
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    caught = 0
+    for n in (24, 32, 40):
+        for _ in range(30):
+            key = "".join(rng.choices(letters, k=n))
+            spans = secrets.scan(f"{prose}{key} {prose}")
+            caught += ("random", len(prose), len(prose) + n) in spans
+            assert all(s[1] == len(prose) for s in spans)
+    assert caught >= 80
+    assert secrets.scan(prose) == []
+    assert secrets.scan("-" * 500 + "z" * 100 + "=" * 80) == []
+
+
+def test_redaction(documents):
+    out = by_id(secrets.redact_secrets(documents([None, "", "password = hunter22 ok", "clean"])))
+    assert [out[i]["text"] for i in range(4)] == [None, "", "[SECRET] ok", "clean"]
+
+
+# --- all of them, with SQL where there is some
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_same_as_sql(spark, sf_dir, name):
+    df, relation = QUERIES[name](spark, sf_dir), oracle.connect(sf_dir).sql(ORACLE[name])
+    assert oracle.type_difference(df, relation) == {}
+    assert oracle.difference(df.toPandas(), relation.df()) is None
