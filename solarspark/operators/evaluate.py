@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from solarspark.fixed_values import SWEEP_FIRST, SWEEP_LAST, SWEEP_POINTS
+from solarspark.operators.quantiles import TASK_VALUES
 from solarspark.operators.stats import grid_point, grid_points_reached
+from solarspark.session import stage
 
 
 def positive_score(scored: DataFrame, probability: str = "probability",
@@ -88,12 +90,37 @@ def best_threshold(curve: DataFrame) -> DataFrame:
     return curve.orderBy(F.desc("f1"), F.asc("threshold")).limit(1)
 
 
-def auc(scored: DataFrame, label: str, score: str = "rawPrediction", exact: bool = True) -> float:
-    """Area under the ROC curve; ``exact`` keeps every distinct score as a cut-off."""
-    evaluator = BinaryClassificationEvaluator(
-        labelCol=label, rawPredictionCol=score, metricName="areaUnderROC",
-        numBins=0 if exact else 1000)
-    return evaluator.evaluate(scored)
+def auc(scored: DataFrame, label: str, score: str = "rawPrediction",
+        task_values: int = TASK_VALUES) -> DataFrame:
+    """One row: the area under the ROC curve, every distinct score a cut-off.
+
+    It is the share of pairs of a positive and a negative row in which the positive one
+    scores higher, ties counting half. Rows are counted per distinct score; the running
+    sums go over ranges of scores and over the totals of the ranges, so no task holds
+    more than ``task_values`` scores. NULL without rows of both classes.
+    """
+    x = F.col(score)
+    if isinstance(scored.schema[score].dataType, VectorUDT):
+        x = vector_to_array(x)[1]
+    counts = stage(scored.filter(F.col(label).isin(0, 1)).groupBy(x.cast("double").alias("s")).agg(
+        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")))
+    parts = counts.count() // task_values + 1
+    if parts == 1:
+        upto = Window.orderBy("s")
+        ordered = counts.withColumn("before", F.lit(0))
+    else:
+        # The table pins which range holds which score.
+        ordered = stage(counts.repartitionByRange(parts, "s").withColumn("part", F.spark_partition_id()))
+        upto = Window.partitionBy("part").orderBy("s")
+        earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        ranges = ordered.groupBy("part").agg(F.sum("pos").alias("all")).select(
+            "part", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("before"))
+        ordered = ordered.join(F.broadcast(ranges), "part")  # one row for each range
+    # A positive loses against the negatives above it, and half against equal ones.
+    below = F.col("before") + F.sum("pos").over(upto) - F.col("pos")
+    lost = ordered.select("pos", "neg", (F.col("neg") * (below + F.col("pos") / 2)).alias("lost"))
+    return lost.agg((1.0 - F.try_divide(
+        F.sum("lost"), F.sum("pos").cast("double") * F.sum("neg"))).alias("auc"))
 
 
 def regression_metrics(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from solarspark.fixed_values import CLEANING_LABEL
 
 
-def class_ratio(df: DataFrame, label: str = CLEANING_LABEL) -> DataFrame:
-    """One row: n, positives, negatives, positive_rate and negatives per positive."""
-    counts = df.agg(
+def class_ratio(df: DataFrame, label: str = CLEANING_LABEL, keys=(), *more: Column) -> DataFrame:
+    """n, positives, negatives, positive_rate and negatives per positive, and ``more`` aggregates.
+
+    One row, or one for each combination of ``keys``.
+    """
+    counts = df.groupBy(*keys).agg(
         F.count("*").alias("n"),
         F.count_if(F.col(label) == 1).alias("positives"),
-        F.count_if(F.col(label) == 0).alias("negatives"))
+        F.count_if(F.col(label) == 0).alias("negatives"), *more)
     return counts.select(
         "*",
         F.try_divide(F.col("positives"), F.col("n")).alias("positive_rate"),

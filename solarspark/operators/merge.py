@@ -6,8 +6,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from solarspark.fixed_values import HOURLY_MEASURES
+from solarspark.functions.features import valid
 from solarspark.operators.calendar import calendar_keys, with_calendar_keys
 from solarspark.operators.lookup import join_aggregate
 from solarspark.operators.resample import hourly_profile
@@ -38,15 +40,29 @@ def assert_unique_key(df: DataFrame, keys) -> None:
         raise ValueError(f"key {list(keys)} is not unique")
 
 
+def with_unique_key(df: DataFrame, keys) -> DataFrame:
+    """The rows with complete keys; the query that reads them fails if a key repeats.
+
+    The check needs the rows of a key together, as a join on ``keys`` does, and shares
+    its shuffle.
+    """
+    copies = F.count("*").over(Window.partitionBy(*keys))
+    fails = F.raise_error(F.lit(f"key {list(keys)} is not unique")).cast("boolean")
+    checked = df.na.drop(subset=list(keys)).withColumn("__copies", copies)
+    return checked.filter(F.when(F.col("__copies") > 1, fails).otherwise(True)).drop("__copies")
+
+
 def attach_group_mean(df: DataFrame, keys, value: str, out: str,
                       keys_from: DataFrame | None = None) -> DataFrame:
     """Add to each row the mean of ``value`` over its group; NULL keys get NULL.
 
+    NaN counts as missing, as in the other means.
+
     ``keys_from`` is a cheaper frame with all keys of ``df``, such as its raw input;
     it serves to count the groups.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    means = df.groupBy(*keys).agg(F.avg(value).alias(out))
+    means = df.groupBy(*keys).agg(F.avg(valid(df, value)).alias(out))
     return join_aggregate(df, means, keys, keys_from=df if keys_from is None else keys_from)
 
 

@@ -61,7 +61,9 @@ def gbt_regressor(label: str = POWER_LABEL, **params) -> GBTRegressor:
 
 
 def auc_evaluator(label: str = CLEANING_LABEL) -> BinaryClassificationEvaluator:
-    return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
+    """Exact area under the curve: every distinct score is a cut-off."""
+    return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC",
+                                         numBins=0)
 
 
 def f1_evaluator(label: str = CLEANING_LABEL) -> MulticlassClassificationEvaluator:
@@ -89,14 +91,15 @@ def _columns_used(train: DataFrame, features, model) -> list[str]:
     return [c for c in dict.fromkeys(columns) if c in train.columns]
 
 
-def training_rows(train: DataFrame, features, model) -> DataFrame:
+def training_rows(train: DataFrame, features, model, fold_col: str | None = None) -> DataFrame:
     """The columns a fit reads, computed once.
 
     Bags and folds are drawn by row position. Rows kept in files come back in the
     same order when work of a lost executor is repeated, so that a row cannot
     change its fold halfway.
     """
-    return materialize(train.select(*_columns_used(train, features, model)))
+    columns = _columns_used(train, features, model) + ([fold_col] if fold_col else [])
+    return materialize(train.select(*columns))
 
 
 def fit(train: DataFrame, features, model) -> PipelineModel:
@@ -106,13 +109,20 @@ def fit(train: DataFrame, features, model) -> PipelineModel:
 
 
 def tune(train: DataFrame, features, model, values: dict[str, list], evaluator,
-         folds: int = FOLDS, seed: int = SEED, parallelism: int = 2) -> CrossValidatorModel:
-    """Search ``values`` by cross-validation of the whole assembler-scaler-model chain."""
+         folds: int = FOLDS, seed: int = SEED, parallelism: int = 2,
+         fold_col: str | None = None) -> CrossValidatorModel:
+    """Search ``values`` by cross-validation of the whole assembler-scaler-model chain.
+
+    ``fold_col`` names a column of fold numbers from 0; folds that follow a key do not
+    depend on the order of rows.
+    """
     search = CrossValidator(
         estimator=Pipeline(stages=[*feature_stages(features), model]),
         estimatorParamMaps=grid(model, values), evaluator=evaluator,
         numFolds=folds, seed=seed, parallelism=parallelism)
-    return search.fit(training_rows(train, features, model))
+    if fold_col:
+        search = search.setFoldCol(fold_col)
+    return search.fit(training_rows(train, features, model, fold_col))
 
 
 def trainable_rows(df: DataFrame, features) -> DataFrame:
@@ -168,6 +178,13 @@ def best_params(model: PipelineModel, names) -> dict:
     return {n: stage.getOrDefault(n) for n in names}
 
 
+def params_table(search: CrossValidatorModel, spark: SparkSession) -> DataFrame:
+    """The winning value of each searched parameter: parameter, value (as text)."""
+    names = sorted({p.name for combination in search.getEstimatorParamMaps() for p in combination})
+    chosen = best_params(search.bestModel, names)
+    return spark.createDataFrame([(n, str(chosen[n])) for n in names], "parameter string, value string")
+
+
 def comparison(spark: SparkSession, rows: list[dict]) -> DataFrame:
     """Scores of the rival models, a row each; the first column names the algorithm."""
     return spark.createDataFrame([Row(**r) for r in rows])

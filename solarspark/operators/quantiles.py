@@ -50,9 +50,11 @@ def exact_quantiles(df: DataFrame, value: str, probabilities=(0.5,), keys=(),
     distinct = data.groupBy(*keys).agg(F.approx_count_distinct("__v").alias("d"))
     size = distinct.agg(F.max("d").alias("largest"), F.count("*").alias("groups")).first()
     if (size["largest"] or 0) * min(size["groups"], GROUPS_AT_A_TIME) <= task_values:
-        # One table of values serves all probabilities.
-        at = F.percentile("__v", F.array(*map(F.lit, probabilities)))
-        return data.groupBy(*keys).agg(F.count("*").alias("n"), at.alias("__q")).select(
+        # One table of values serves all probabilities. Values are counted first, so that
+        # each distinct one reaches the task of its group once and not from every task.
+        counts = data.groupBy(*keys, "__v").agg(F.count("*").alias("__n"))
+        at = F.percentile("__v", F.array(*map(F.lit, probabilities)), F.col("__n"))
+        return counts.groupBy(*keys).agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("n"), at.alias("__q")).select(
             *keys, "n", *[F.get("__q", F.lit(i)).alias(quantile_name(p))
                           for i, p in enumerate(probabilities)])
     return _of_large_groups(data, keys, probabilities, max(task_values, 100))

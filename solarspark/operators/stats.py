@@ -13,6 +13,8 @@ from solarspark.operators.quantiles import exact_quantiles, quantile_name
 
 # Partner columns summed together: three moment functions each.
 CORRELATION_WIDTH = 10
+# Share of a column's variance that has to stay unexplained for a finite inflation factor.
+COLLINEAR = 1e-9
 
 
 def grid_point(index: Column, low: Column, high: Column, points: int) -> Column:
@@ -75,7 +77,7 @@ def density_by_class(df: DataFrame, column: str, label: str, bins: int = SCORE_B
     values = df.select(label, valid(df, column).cast("double").alias("__v")).filter(
         "__v is not null")
     ranges = _range_of(values, [label])
-    counts = (join_aggregate(values, ranges, label, "inner", keys_from=df)
+    counts = (join_aggregate(values, ranges, label, "inner", keys_from=df, nulls_match=True)
               .groupBy(label, _bin_of(bins).alias("bin"))
               .agg(F.count("*").alias("n")))
     frame = ranges.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
@@ -83,7 +85,9 @@ def density_by_class(df: DataFrame, column: str, label: str, bins: int = SCORE_B
     high = grid_point(F.col("bin"), F.col("__low"), F.col("__high"), bins + 1)
     width = (F.col("__high") - F.col("__low")) / F.lit(float(bins))
     density = F.coalesce("n", F.lit(0)) / (F.col("__all") * width)
-    return frame.join(counts, [label, "bin"], "left").select(
+    # Structs compare equal for the NULL class as well.
+    counts = counts.select(F.struct(label, "bin").alias("__cell"), "n")
+    return frame.withColumn("__cell", F.struct(label, "bin")).join(counts, "__cell", "left").select(
         label, "bin", low.alias("low"), high.alias("high"), density.alias("density"))
 
 
@@ -104,20 +108,18 @@ def box_summary(df: DataFrame, column: str, keys=(), reach: float = 1.5) -> Data
     """Quartiles, whisker ends and outlier count per group.
 
     Whiskers end at the outermost values within ``reach`` interquartile ranges of
-    the box, or at the box where there are none.
+    the box, or at the box where there are none. Rows with a NULL key are a group.
     """
     keys = list(keys)
     q1, q3 = quantile_name(0.25), quantile_name(0.75)
     quartiles = exact_quantiles(df, column, [0.25, 0.5, 0.75], keys)
-    # Copies of a value count once per group from here on.
-    counts = (df.select(*keys, valid(df, column).cast("double").alias("__v"))
-              .filter("__v is not null")
-              .groupBy(*keys, "__v").agg(F.count("*").alias("__n")))
+    values = df.select(*keys, valid(df, column).cast("double").alias("__v")).filter(
+        "__v is not null")
     if keys:
-        joined = join_aggregate(counts, quartiles, keys, "inner")
+        joined = join_aggregate(values, quartiles, keys, "inner", nulls_match=True)
     else:
         row = quartiles.select(F.struct("*").alias("q")).scalar()
-        joined = counts.withColumns({c: row.getField(c) for c in quartiles.columns})
+        joined = values.withColumns({c: row.getField(c) for c in quartiles.columns})
     spread = (F.col(q3) - F.col(q1)) * F.lit(reach)
     inside = F.col("__v").between(F.col(q1) - spread, F.col(q3) + spread)
     lowest = F.min(F.when(inside, F.col("__v")))
@@ -127,7 +129,7 @@ def box_summary(df: DataFrame, column: str, keys=(), reach: float = 1.5) -> Data
         F.first(q1).alias("q1"), F.first("median").alias("median"), F.first(q3).alias("q3"),
         F.least(F.coalesce(lowest, F.first(q1)), F.first(q1)).alias("whisker_low"),
         F.greatest(F.coalesce(highest, F.first(q3)), F.first(q3)).alias("whisker_high"),
-        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("__n"))).alias("outliers"))
+        F.count_if(~inside).alias("outliers"))
 
 
 def corr_matrix(df: DataFrame, columns, min_pairs: int = MIN_CORRELATION_PAIRS,
@@ -209,13 +211,20 @@ def fitted_line(fit: DataFrame, points: int = LINE_POINTS) -> DataFrame:
 def vif(df: DataFrame, columns) -> DataFrame:
     """Variance inflation factor of each column.
 
-    Spark computes the k x k correlations; only that small matrix is inverted on
-    the driver.
+    Spark computes the k x k correlations; only that small matrix is worked on by the
+    driver. A column that the others determine has an infinite factor, a constant one NULL
+    and no part in the factors of the others.
     """
     columns = list(columns)
     matrix = np.full((len(columns), len(columns)), np.nan)
     for cell in corr_matrix(df.select(*columns).na.drop(), columns, 2).collect():
         matrix[cell["i"], cell["j"]] = np.nan if cell["r"] is None else cell["r"]
-    factors = np.diag(np.linalg.inv(matrix))
+    varied = [i for i in range(len(columns)) if not np.isnan(matrix[i, i])]
+    factors: dict[int, float] = {}
+    for i in varied:
+        others = [j for j in varied if j != i]
+        toward = matrix[i, others]
+        explained = toward @ np.linalg.pinv(matrix[np.ix_(others, others)], rcond=1e-10) @ toward
+        factors[i] = 1.0 / float(1.0 - explained) if explained < 1.0 - COLLINEAR else float("inf")
     return df.sparkSession.createDataFrame(
-        [(c, float(v)) for c, v in zip(columns, factors)], "feature string, vif double")
+        [(c, factors.get(i)) for i, c in enumerate(columns)], "feature string, vif double")

@@ -111,13 +111,13 @@ def correlation(irradiance, clean) -> Tables:
     return {"correlation": full, "lower": stats.lower_triangle(full)}
 
 
-def zenith_fit(irradiance, keys=("DATETIME", "CITY")) -> Tables:
-    """Sample of bright hours and the line of tilt over zenith through it."""
+def zenith_fit(irradiance, keys=("DATETIME", "CITY"), n: int = fixed.SCATTER_ROWS) -> Tables:
+    """The line of tilt over zenith through all bright hours, and ``n`` of them as points."""
     if irradiance is None:
         return {}
     bright = above(irradiance, "ghi", fixed.SCATTER_GHI)
-    sample = hash_sample(bright, list(keys), fixed.SCATTER_ROWS)
-    fit = stats.linear_fit(sample, "SOLAR_ZENITH_ANGLE", "OPTIMAL_TILT")
+    sample = hash_sample(bright, list(keys), n)
+    fit = stats.linear_fit(bright, "SOLAR_ZENITH_ANGLE", "OPTIMAL_TILT")
     return {"sample": sample.select("CITY", "SOLAR_ZENITH_ANGLE", "ghi", "OPTIMAL_TILT"),
             "fit": fit, "line": stats.fitted_line(fit)}
 

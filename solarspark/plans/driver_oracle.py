@@ -21,6 +21,10 @@ GAPPY = """
 # Readings whose value is neither NULL nor NaN.
 VALID = f"SELECT * FROM ({GAPPY}) WHERE value IS NOT NULL AND NOT isnan(value)"
 
+UNCLASSED = f"""(
+    SELECT * REPLACE (CASE WHEN event_id % 6 > 0 THEN event_type END AS event_type)
+    FROM ({VALID}))"""
+
 FLAGGED = """
     SELECT *, CASE WHEN proxy > 0.10::DOUBLE AND efficiency < 0.95::DOUBLE THEN 1 ELSE 0 END
                   ::INTEGER AS cleaning_flag
@@ -99,7 +103,7 @@ def _corr(pairs) -> str:
 def _bins(source: str, value: str, bins: int, key: str = "") -> str:
     """Counts per equal-width bin from comparisons with the bin edges."""
     by = f"{key}, " if key else ""
-    match = f"b.{key} = v.{key} AND " if key else ""
+    match = f"b.{key} IS NOT DISTINCT FROM v.{key} AND " if key else ""
     return f"""
     ends AS (SELECT {by}min({value}) AS lo, max({value}) AS hi, count(*) AS n_all
              FROM {source} {f"GROUP BY {key}" if key else ""}),
@@ -118,20 +122,21 @@ def _bins(source: str, value: str, bins: int, key: str = "") -> str:
 
 def _box(source: str, value: str, key: str = "") -> str:
     by = f"{key}, " if key else ""
-    join = f"JOIN q USING ({key})" if key else "CROSS JOIN q"
+    join = f"JOIN q ON v.{key} IS NOT DISTINCT FROM q.{key}" if key else "CROSS JOIN q"
     group = f"GROUP BY {key}" if key else ""
+    own = f"v.{key}, " if key else ""
     return f"""
     WITH v AS ({source}),
     q AS (SELECT {by}quantile_cont({value}, 0.25) AS q1, quantile_cont({value}, 0.5) AS median,
                  quantile_cont({value}, 0.75) AS q3 FROM v {group})
-    SELECT {by}count(*) AS n,
+    SELECT {own}count(*) AS n,
            count(*) FILTER ({value} < q1 - 1.5 * (q3 - q1) OR {value} > q3 + 1.5 * (q3 - q1))
                AS outliers,
            round(any_value(q1), 6) AS q1, round(any_value(median), 6) AS median,
            round(any_value(q3), 6) AS q3,
            round(min({value}) FILTER ({value} >= q1 - 1.5 * (q3 - q1)), 6) AS whisker_low,
            round(max({value}) FILTER ({value} <= q3 + 1.5 * (q3 - q1)), 6) AS whisker_high
-    FROM v {join} {group}"""
+    FROM v {join} {f"GROUP BY v.{key}" if key else ""}"""
 
 
 def _places() -> str:
@@ -190,14 +195,17 @@ SOLAR = f"""
            round(90 - least(90, greatest(0, zenith)), 6) AS tilt
     FROM result"""
 
-PREPROCESS = """
+RAW_LINES = """(SELECT * FROM lineitem UNION ALL
+        SELECT * FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 40 = 0)"""
+
+PREPROCESS = f"""
     WITH gen_raw AS (
-        SELECT DISTINCT l_shipdate AS ts, l_suppkey::INTEGER AS plant,
+        SELECT DISTINCT CASE WHEN l_orderkey % 89 <> 0 THEN l_shipdate END AS ts, l_suppkey::INTEGER AS plant,
                concat_ws('-', l_orderkey, l_partkey, l_linenumber) AS source,
                CASE WHEN l_tax > 0 THEN l_extendedprice END AS dc,
                l_extendedprice * (1 - l_discount) AS ac,
                CASE WHEN l_discount > 0 THEN l_quantity END AS dy, l_quantity AS ty, l_linenumber
-        FROM lineitem),
+        FROM {RAW_LINES} WHERE l_orderkey % 97 <> 0),
     gen AS (SELECT ts, plant, source, coalesce(dc, avg(dc) OVER ()) AS dc, ac,
                    coalesce(dy, avg(dy) OVER ()) AS dy, ty FROM gen_raw),
     feat AS (
@@ -238,14 +246,16 @@ PREPROCESS = """
     FROM feat f LEFT JOIN wx USING (ts, plant)
     LEFT JOIN hourly h ON month(f.ts) = mo AND day(f.ts) = da AND hour(f.ts) = ho"""
 
-GENERATION = """
-    SELECT CASE WHEN l_linenumber % 2 = 0 THEN strftime(l_shipdate, '%d-%m-%Y %H:%M')
+GENERATION = f"""
+    SELECT CASE WHEN l_orderkey % 97 = 0 THEN NULL
+                WHEN l_orderkey % 89 = 0 THEN 'not a time'
+                WHEN l_linenumber % 2 = 0 THEN strftime(l_shipdate, '%d-%m-%Y %H:%M')
                 ELSE strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') END AS "DATE_TIME",
            l_suppkey::INTEGER AS "PLANT_ID",
            concat_ws('-', l_orderkey, l_partkey, l_linenumber) AS "SOURCE_KEY",
            CASE WHEN l_tax > 0 THEN l_extendedprice END AS "DC_POWER",
            l_quantity AS "TOTAL_YIELD", l_discount
-    FROM lineitem"""
+    FROM {RAW_LINES}"""
 
 MERGED = PREPROCESS.replace("round(eff, 6)", "eff").replace("round(proxy, 6)", "proxy")
 
@@ -260,10 +270,10 @@ MERGED_PAIRS = [("AC_POWER", "DC_POWER"), ("GHI", "DC_POWER"), ("GHI", "AC_POWER
 
 AUDITED = {
     "generation": (f"({GENERATION})", {
-        "DATE_TIME": "false", "PLANT_ID": "false", "SOURCE_KEY": "false",
+        "DATE_TIME": '"DATE_TIME" IS NULL', "PLANT_ID": "false", "SOURCE_KEY": "false",
         "DC_POWER": '"DC_POWER" IS NULL', "AC_POWER": "false", "DAILY_YIELD": "l_discount <= 0",
         "TOTAL_YIELD": "false"}),
-    "weather": ("(SELECT o_custkey FROM orders GROUP BY o_orderdate, o_custkey)", {
+    "weather": ("(SELECT o_orderdate, o_custkey FROM orders GROUP BY o_orderdate, o_custkey)", {
         "DATE_TIME": "false", "PLANT_ID": "false", "SOURCE_KEY": "false",
         "AMBIENT_TEMPERATURE": "false", "MODULE_TEMPERATURE": "o_custkey % 3 = 0",
         "IRRADIATION": "false"}),
@@ -274,6 +284,76 @@ AUDITED = {
         "SOLAR_ZENITH_ANGLE": "false", "SOLAR_AZIMUTH": "false", "OPTIMAL_TILT": "false"}),
 }
 
+STUMP_FEATURES = ["l_discount", "l_tax", "l_linenumber"]
+OTHER_FEATURES = ["l_tax", "l_linenumber"]
+
+
+def _stump(source: str, features: list[str], y: str, weight: str = "1.0::DOUBLE") -> str:
+    """The split of greatest gain over all features and midpoints: f, t, left and right mean.
+
+    For classes 0 and 1 the gain in Gini impurity is largest where that in variance is.
+    """
+    long = " UNION ALL ".join(
+        f"SELECT '{f}' AS f, {f}::DOUBLE AS x, {y} AS y, {weight} AS w FROM {source}" for f in features)
+    return f"""(
+        SELECT f, (x + following) / 2 AS t, sl / wl AS low, (sa - sl) / (wa - wl) AS high
+        FROM (SELECT f, x, lead(x) OVER by_value AS following,
+                     sum(w) OVER by_value AS wl, sum(s) OVER by_value AS sl,
+                     sum(w) OVER (PARTITION BY f) AS wa, sum(s) OVER (PARTITION BY f) AS sa
+              FROM (SELECT f, x, sum(w) AS w, sum(w * y) AS s FROM ({long}) GROUP BY f, x)
+              WINDOW by_value AS (PARTITION BY f ORDER BY x))
+        WHERE following IS NOT NULL
+        ORDER BY sl * sl / wl + (sa - sl) * (sa - sl) / (wa - wl) DESC, f LIMIT 1)"""
+
+
+def _side(features: list[str]) -> str:
+    """The value of a split's feature in a row."""
+    return "CASE f " + " ".join(f"WHEN '{f}' THEN {f}::DOUBLE" for f in features) + " END"
+
+
+def _gains(stump: str) -> str:
+    rows = ", ".join(f"('{f}')" for f in STUMP_FEATURES)
+    return f"""
+    SELECT name AS "Feature", CASE WHEN name = f THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "Importance"
+    FROM {stump} CROSS JOIN (VALUES {rows}) AS n(name)"""
+
+
+MONTHS = f"""
+    train AS (SELECT * FROM ({FLAGGED}) WHERE month(l_shipdate) = 5),
+    test AS (SELECT * FROM ({FLAGGED}) WHERE month(l_shipdate) = 6),
+    weighted AS (SELECT *, CASE WHEN cleaning_flag = 1 THEN (
+                     SELECT count(*) FILTER (cleaning_flag = 0)::DOUBLE / count(*) FILTER (cleaning_flag = 1)
+                     FROM train) ELSE 1.0::DOUBLE END AS weight FROM train)"""
+
+WEIGHTED_STUMP = _stump("weighted", STUMP_FEATURES, "cleaning_flag", "weight")
+
+
+def _fold_errors(fold: int) -> str:
+    """Root mean square errors of a constant and of a stump on one fold."""
+    rest, own = f"(SELECT * FROM train WHERE l_orderkey % 2 <> {fold})", f"train WHERE l_orderkey % 2 = {fold}"
+    return f"""
+        SELECT 0 AS depth, sqrt(avg(pow(l_extendedprice - m, 2))) AS rmse
+        FROM (SELECT l_extendedprice, (SELECT avg(l_extendedprice) FROM {rest}) AS m FROM {own})
+        UNION ALL
+        SELECT 1, sqrt(avg(pow(l_extendedprice - CASE WHEN {_side(STUMP_FEATURES)} <= t THEN low ELSE high END, 2)))
+        FROM (SELECT * FROM {own}) CROSS JOIN {_stump(rest, STUMP_FEATURES, "l_extendedprice")}"""
+
+
+def _rival(name: str, features: list[str]) -> str:
+    return f"""
+        SELECT '{name}' AS algorithm, sqrt(avg(pow(e, 2))) AS rmse,
+               1 - sum(pow(e, 2)) / (var_pop(l_extendedprice) * count(*)) AS r2
+        FROM (SELECT l_extendedprice, l_extendedprice
+                     - CASE WHEN {_side(features)} <= t THEN low ELSE high END AS e
+              FROM test CROSS JOIN {_stump("train", features, "l_extendedprice")})"""
+
+
+RIVALS = f"""
+    WITH {MONTHS}, rivals AS ({_rival("RF Regressor", OTHER_FEATURES)}
+        UNION ALL {_rival("GBT Regressor", STUMP_FEATURES)})"""
+
+BRIGHT = "(SELECT * FROM events WHERE value > 10)"
+
 ORACLE: dict[str, str] = {
     "dq_union_dedupe": "SELECT DISTINCT * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem)",
     "dq_union_missing": """
@@ -306,7 +386,8 @@ ORACLE: dict[str, str] = {
         FROM ev LEFT JOIN hourly ON month(lt) = mo AND day(lt) = da AND hour(lt) = ho""",
     "dq_group_mean": f"""
         SELECT {LINE}, plant_id,
-               round(avg(daily_yield) OVER (PARTITION BY plant_id), 6) AS plant_mean
+               round(avg(CASE WHEN l_linenumber <> 2 THEN daily_yield END)
+                     OVER (PARTITION BY plant_id), 6) AS plant_mean
         FROM ({READINGS})""",
     "dq_repeated_keys": """
         SELECT l_orderkey, l_linenumber, count(*) AS copies
@@ -427,7 +508,7 @@ ORACLE: dict[str, str] = {
         WITH {_bins("lineitem", "l_extendedprice", 80)}
         SELECT bin, round(low, 6) AS low, round(high, 6) AS high, n AS count FROM counted""",
     "dq_density_by_class": f"""
-        WITH {_bins("events", "value", 50, "event_type")}
+        WITH {_bins(UNCLASSED, "value", 50, "event_type")}
         SELECT event_type, bin, round(low, 6) AS low, round(high, 6) AS high,
                round(n / (n_all * ((hi - lo) / 50.0::DOUBLE)), 6) AS density
         FROM counted""",
@@ -436,7 +517,7 @@ ORACLE: dict[str, str] = {
                round(avg(l_discount), 6) AS mean, round(median(l_discount), 6) AS median,
                round(avg((l_discount = 0)::INTEGER), 6) AS zero_share
         FROM lineitem""",
-    "dq_box_summary": _box(VALID, "value", "event_type"),
+    "dq_box_summary": _box(f"SELECT * FROM {UNCLASSED}", "value", "event_type"),
     "dq_box_summary_all": _box("SELECT * FROM lineitem", "l_extendedprice"),
     "dq_linear_fit": """
         SELECT count(*) AS n, min(l_quantity) AS x_min, max(l_quantity) AS x_max,
@@ -453,7 +534,9 @@ ORACLE: dict[str, str] = {
     "dq_vif": """
         WITH c AS (SELECT corr(l_extendedprice, l_extendedprice * (1 - l_discount)) AS r
                    FROM lineitem)
-        SELECT unnest(['dc', 'ac']) AS feature, round(1 / (1 - r * r), 4) AS vif FROM c""",
+        SELECT unnest(['dc', 'ac', 'twin', 'same']) AS feature,
+               unnest(['inf'::DOUBLE, round(1 / (1 - r * r), 4), 'inf'::DOUBLE, NULL]) AS vif
+        FROM c""",
     "dq_topn_chrono": """
         SELECT event_id, ts, value FROM events ORDER BY ts, event_id LIMIT 500""",
     "dq_hash_sample": """
@@ -522,7 +605,8 @@ ORACLE: dict[str, str] = {
         FROM events GROUP BY ALL""",
     "dq_job_audit": " UNION ALL ".join(f"""
         SELECT '{source}' AS source, '{column}' AS "column",
-               count(*) FILTER ({gap}) AS missing, count(*) AS total, 0::BIGINT AS duplicates
+               count(*) FILTER ({gap}) AS missing, count(*) AS total,
+               count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {relation})) AS duplicates
         FROM {relation}""" for source, (relation, gaps) in AUDITED.items()
         for column, gap in gaps.items()),
     "dq_job_validation": f"""
@@ -534,9 +618,68 @@ ORACLE: dict[str, str] = {
         FROM merged WHERE "{i}" IS NOT NULL AND "{j}" IS NOT NULL""" for i, j in MERGED_PAIRS),
     "dq_zenith_fit": """
         WITH sample AS (
-            SELECT value AS x, 90 - value AS y FROM events WHERE value > 50
-            ORDER BY md5(event_id::VARCHAR || ':42'), event_id LIMIT 5000)
+            SELECT value AS x, 90 - value AS y FROM events WHERE value > 50)
         SELECT count(*) AS n, round(regr_slope(y, x), 6) AS slope,
                round(regr_intercept(y, x), 6) AS intercept
         FROM sample""",
+    "dq_rf_importance": f"WITH {MONTHS} {_gains(WEIGHTED_STUMP)}",
+    # The constant forest has an area of one half; the stump wins if it has more.
+    "dq_best_params": f"""
+        WITH {MONTHS}, folds AS ({" UNION ALL ".join(f"""
+            SELECT y, {_side(STUMP_FEATURES)} <= t AS here, low > high AS up, {k} AS fold
+            FROM (SELECT *, cleaning_flag AS y FROM train WHERE l_orderkey % 2 = {k}) CROSS JOIN {_stump(
+                f"(SELECT * FROM weighted WHERE l_orderkey % 2 <> {k})", STUMP_FEATURES, "cleaning_flag", "weight")}"""
+            for k in (0, 1))}),
+        areas AS (SELECT fold, 0.5 + 0.5 * (
+                      count(*) FILTER (y = 1 AND here = up)::DOUBLE / count(*) FILTER (y = 1)
+                      - count(*) FILTER (y = 0 AND here = up)::DOUBLE / count(*) FILTER (y = 0)) AS area
+                  FROM folds GROUP BY fold)
+        SELECT 'maxDepth' AS parameter, CASE WHEN avg(area) > 0.5 THEN '1' ELSE '0' END AS value
+        FROM areas""",
+    "dq_rf_scores": f"""
+        WITH {MONTHS}, s AS (
+            SELECT cleaning_flag AS y, CASE WHEN {_side(STUMP_FEATURES)} <= t THEN low ELSE high END AS p,
+                   low, high
+            FROM test CROSS JOIN {WEIGHTED_STUMP}),
+        c AS (SELECT count(*) FILTER (y = 0 AND p <= 0.5) AS tn, count(*) FILTER (y = 0 AND p > 0.5) AS fp,
+                     count(*) FILTER (y = 1 AND p <= 0.5) AS fn, count(*) FILTER (y = 1 AND p > 0.5) AS tp,
+                     count(*) FILTER (y = 0 AND p = greatest(low, high)) AS fp2,
+                     count(*) FILTER (y = 1 AND p = greatest(low, high)) AS tp2 FROM s)
+        SELECT round(0.5 + 0.5 * (tp2::DOUBLE / (tp + fn) - fp2::DOUBLE / (tn + fp)), 6) AS auc, tn, fp, fn, tp
+        FROM c""",
+    "dq_gbt_importance": f"""
+        WITH {MONTHS} {_gains(_stump("train", STUMP_FEATURES, "2.0::DOUBLE * cleaning_flag - 1"))}""",
+    "dq_reg_importance": f"WITH {MONTHS} {_gains(_stump('train', STUMP_FEATURES, 'l_extendedprice'))}",
+    "dq_search_grid": f"""
+        WITH {MONTHS}, errors AS ({_fold_errors(0)} UNION ALL {_fold_errors(1)})
+        SELECT depth::BIGINT AS "maxDepth", round(avg(rmse), 6) AS rmse FROM errors GROUP BY depth""",
+    "dq_champion": f"""
+        {RIVALS} SELECT algorithm, round(rmse, 6) AS rmse, round(r2, 6) AS r2
+        FROM rivals ORDER BY rivals.r2 DESC, algorithm <> 'GBT Regressor' LIMIT 1""",
+    "dq_best_scores": f"""
+        {RIVALS} SELECT round(min(rmse), 6) AS best_rmse, round(max(r2), 6) AS best_r2 FROM rivals""",
+    "dq_split_report": f"""
+        WITH {MONTHS}, sides AS (SELECT 'train' AS side, * FROM train UNION ALL SELECT 'test', * FROM test)
+        SELECT side, count(*) AS n, count(*) FILTER (cleaning_flag = 1) AS positives,
+               count(*) FILTER (cleaning_flag = 0) AS negatives,
+               round(count(*) FILTER (cleaning_flag = 1) / count(*), 6) AS positive_rate,
+               round(count(*) FILTER (cleaning_flag = 0) / count(*) FILTER (cleaning_flag = 1), 6) AS ratio,
+               count(*) FILTER (l_linenumber NOT IN (3, 4)) AS trainable
+        FROM sides GROUP BY side""",
+    "dq_null_keys": f"""
+        SELECT event_type, count(*) AS n FROM ({GAPPY})
+        WHERE value IS NOT NULL AND NOT isnan(value) AND user_id IS NOT NULL GROUP BY 1""",
+    "dq_analysis_cities": f"""
+        SELECT event_type AS "CITY", * EXCLUDE (event_type)
+        FROM ({_box(f"SELECT event_type, value FROM {BRIGHT}", "value", "event_type")})""",
+    "dq_analysis_monthly": """
+        WITH means AS (SELECT month(ts) AS m, avg(90 - value) AS tilt, avg(value) AS ghi FROM events GROUP BY 1)
+        SELECT i::INTEGER AS month, strftime(make_date(2000, i::INTEGER, 1), '%b') AS label,
+               round(tilt, 6) AS tilt, round(ghi, 6) AS ghi
+        FROM range(1, 13) r(i) LEFT JOIN means ON m = i""",
+    "dq_analysis_irradiance": " UNION ALL ".join(f"""
+        SELECT '{phase}' AS phase, count(value) AS n, count(*) FILTER (value = 0) AS zeros,
+               round(avg(value), 6) AS mean, round(median(value), 6) AS median,
+               round(avg((value = 0)::INTEGER), 6) AS zero_share FROM {source}"""
+        for phase, source in (("before", "events"), ("after", BRIGHT))),
 }

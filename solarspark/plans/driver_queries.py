@@ -34,7 +34,7 @@ from solarspark.operators import (
 from solarspark.operators.calendar import with_calendar_keys
 from solarspark.plans import analyses, jobs
 from solarspark.schemas import LOCATION, literal_rows
-from solarspark.session import UTC_NAMES, scratch_path
+from solarspark.session import scratch_path
 from solarspark.sources import ingest, readers, writers
 
 NAN = float("nan")
@@ -142,7 +142,8 @@ def hourly_join(spark, sf_dir):
 
 
 def group_mean(spark, sf_dir):
-    gen = readings(spark, sf_dir)
+    gen = readings(spark, sf_dir).withColumn(
+        "daily_yield", F.when(F.col("l_linenumber") == 2, F.lit(NAN)).otherwise(F.col("daily_yield")))
     return merge.attach_group_mean(gen, "plant_id", "daily_yield", "plant_mean").select(
         "l_orderkey", "l_partkey", "l_linenumber", "plant_id", r6("plant_mean").alias("plant_mean"))
 
@@ -362,8 +363,14 @@ def histogram(spark, sf_dir):
     return out.select("bin", r6("low").alias("low"), r6("high").alias("high"), "count")
 
 
+def unclassed_events(spark, sf_dir) -> DataFrame:
+    """Events with gaps in value, some without a type."""
+    return gappy_events(spark, sf_dir).withColumn(
+        "event_type", F.when(F.col("event_id") % 6 > 0, F.col("event_type")))
+
+
 def density_by_class(spark, sf_dir):
-    out = stats.density_by_class(table(spark, sf_dir, "events"), "value", "event_type")
+    out = stats.density_by_class(unclassed_events(spark, sf_dir), "value", "event_type")
     return out.select("event_type", "bin", *[r6(c).alias(c) for c in ("low", "high", "density")])
 
 
@@ -378,7 +385,7 @@ def _rounded_box(box: DataFrame, *keys: str) -> DataFrame:
 
 
 def box_summary(spark, sf_dir):
-    box = stats.box_summary(gappy_events(spark, sf_dir), "value", ["event_type"])
+    box = stats.box_summary(unclassed_events(spark, sf_dir), "value", ["event_type"])
     return _rounded_box(box, "event_type")
 
 
@@ -401,8 +408,9 @@ def fitted_line(spark, sf_dir):
 def vif(spark, sf_dir):
     gen = table(spark, sf_dir, "lineitem").select(
         F.col("l_extendedprice").alias("dc"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("ac"))
-    return stats.vif(gen, ["dc", "ac"]).withColumn("vif", F.round("vif", 4))
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("ac"),
+        (F.col("l_extendedprice") * 2 + 1).alias("twin"), F.lit(3.0).alias("same"))
+    return stats.vif(gen, ["dc", "ac", "twin", "same"]).withColumn("vif", F.round("vif", 4))
 
 
 # Samples, splits, scores.
@@ -458,8 +466,7 @@ def best_threshold(spark, sf_dir):
 
 
 def auc(spark, sf_dir):
-    area = evaluate.auc(scored(spark, sf_dir), "y", "score")
-    return spark.range(1).select(r6(F.lit(area)).alias("auc"))
+    return evaluate.auc(scored(spark, sf_dir), "y", "score").select(r6("auc").alias("auc"))
 
 
 def reg_metrics(spark, sf_dir):
@@ -494,9 +501,14 @@ def grid_slice(spark, sf_dir):
 # The jobs as a whole.
 
 def generation_source(spark, sf_dir) -> DataFrame:
-    """Line items as raw inverter readings with gaps and two timestamp formats."""
-    return table(spark, sf_dir, "lineitem").select(
-        F.when(F.col("l_linenumber") % 2 == 0, F.date_format("l_shipdate", "dd-MM-yyyy HH:mm"))
+    """Line items as raw inverter readings: gaps, two timestamp formats, missing and
+    unreadable times, and rows that come twice."""
+    li = table(spark, sf_dir, "lineitem")
+    li = li.unionAll(li.filter("l_linenumber = 1 and l_orderkey % 40 = 0"))
+    return li.select(
+        F.when(F.col("l_orderkey") % 97 == 0, None)
+        .when(F.col("l_orderkey") % 89 == 0, F.lit("not a time"))
+        .when(F.col("l_linenumber") % 2 == 0, F.date_format("l_shipdate", "dd-MM-yyyy HH:mm"))
         .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).alias("DATE_TIME"),
         F.col("l_suppkey").cast("int").alias("PLANT_ID"),
         F.concat_ws("-", "l_orderkey", "l_partkey", "l_linenumber").alias("SOURCE_KEY"),
@@ -536,8 +548,6 @@ def irradiance_source(spark, sf_dir) -> DataFrame:
 
 
 def sources(spark, sf_dir) -> dict[str, DataFrame]:
-    if spark.conf.get("spark.sql.session.timeZone") not in UTC_NAMES:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return {"generation": generation_source(spark, sf_dir),
             "weather": weather_source(spark, sf_dir),
             "irradiance": irradiance_source(spark, sf_dir)}
@@ -586,59 +596,127 @@ def zenith_fit(spark, sf_dir):
     return tables["fit"].select("n", r6("slope").alias("slope"), r6("intercept").alias("intercept"))
 
 
-# Models over the whole line item table; no SQL twin.
+# Models. Trees of depth 1 without bagging, over features with few values, have a split that
+# SQL can find by trying all; the estimators, chains, searches and tables are the jobs' own.
 
-MODEL_FEATURES = ["l_quantity", "l_extendedprice", "l_tax", "MONTH_SIN", "MONTH_COS"]
-POWER_FEATURES = ["l_quantity", "l_tax", "efficiency", "MONTH_SIN", "MONTH_COS"]
+STUMP_FEATURES = ["l_discount", "l_tax", "l_linenumber"]
+OTHER_FEATURES = ["l_tax", "l_linenumber"]
+STUMP = {"numTrees": 1, "maxDepth": 1, "bootstrap": False, "subsamplingRate": 1.0,
+         "featureSubsetStrategy": "all"}
 
 
-def _model_table(spark, sf_dir) -> DataFrame:
-    gen = features.with_time_features(flagged(spark, sf_dir), "l_shipdate")
-    return gen.withColumn("efficiency", F.col("efficiency").cast("double"))
+def _month_split(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    li = flagged(spark, sf_dir).withColumn("fold", (F.col("l_orderkey") % 2).cast("int"))
+    return split.by_month(li, "l_shipdate")
 
 
-def rf_importance(spark, sf_dir):
-    train, _ = split.by_month(_model_table(spark, sf_dir), "l_shipdate")
+def _classifier_search(spark, sf_dir):
+    train, test = _month_split(spark, sf_dir)
     weighted = imbalance.with_class_weight(train, "cleaning_flag")
-    model = models.rf_classifier("cleaning_flag", maxDepth=5)
-    search = models.tune(weighted, MODEL_FEATURES, model, {"numTrees": [5, 10]},
-                         models.auc_evaluator("cleaning_flag"), parallelism=4)
-    return models.importances(search.bestModel, MODEL_FEATURES, spark)
+    model = models.rf_classifier("cleaning_flag", **STUMP)
+    return models.tune(weighted, STUMP_FEATURES, model, {"maxDepth": [0, 1]},
+                       models.auc_evaluator("cleaning_flag"), folds=2, fold_col="fold"), test
+
+
+def rf_importance(spark, sf_dir):
+    search, _ = _classifier_search(spark, sf_dir)
+    return models.importances(search.bestModel, STUMP_FEATURES, spark)
+
+
+def best_params(spark, sf_dir):
+    search, _ = _classifier_search(spark, sf_dir)
+    return models.params_table(search, spark)
+
+
+def rf_scores(spark, sf_dir):
+    """Confusion cells and area under the curve of the best forest on the test month."""
+    search, test = _classifier_search(spark, sf_dir)
+    scored_rows = evaluate.positive_score(models.score(search.bestModel, test))
+    cells = evaluate.confusion(scored_rows, "cleaning_flag").select(F.struct("*").alias("c")).scalar()
+    return evaluate.auc(scored_rows, "cleaning_flag", "score").select(
+        r6("auc").alias("auc"), *[cells.getField(c).alias(c) for c in ("tn", "fp", "fn", "tp")])
 
 
 def gbt_importance(spark, sf_dir):
-    train, _ = split.by_month(_model_table(spark, sf_dir), "l_shipdate")
-    model = models.gbt_classifier("cleaning_flag", maxDepth=3, maxIter=5)
-    fitted = models.fit(train, MODEL_FEATURES, model)
-    return models.top_features(models.importances(fitted, MODEL_FEATURES, spark))
+    train, _ = _month_split(spark, sf_dir)
+    model = models.gbt_classifier("cleaning_flag", maxDepth=1, maxIter=1)
+    fitted = models.fit(train, STUMP_FEATURES, model)
+    return models.top_features(models.importances(fitted, STUMP_FEATURES, spark))
 
 
 def reg_importance(spark, sf_dir):
-    train, _ = split.by_month(_model_table(spark, sf_dir), "l_shipdate")
-    model = models.rf_regressor("l_extendedprice", maxDepth=4, numTrees=5)
-    fitted = models.fit(train, POWER_FEATURES, model)
-    return models.importances(fitted, POWER_FEATURES, spark)
+    train, _ = _month_split(spark, sf_dir)
+    fitted = models.fit(train, STUMP_FEATURES, models.rf_regressor("l_extendedprice", **STUMP))
+    return models.importances(fitted, STUMP_FEATURES, spark)
 
 
 def search_grid(spark, sf_dir):
-    train, _ = split.by_month(_model_table(spark, sf_dir), "l_shipdate")
-    model = models.rf_regressor("l_extendedprice", numTrees=3)
-    search = models.tune(train, POWER_FEATURES, model, {"maxDepth": [2, 3]},
-                         models.regression_evaluator("rmse", "l_extendedprice"), folds=2)
-    return models.grid_table(search, spark, "rmse")
-
-
-def champion(spark, sf_dir):
-    train, test = split.by_month(_model_table(spark, sf_dir), "l_shipdate")
-    rivals = {"RF Regressor": models.rf_regressor("l_extendedprice", maxDepth=4, numTrees=5),
-              "GBT Regressor": models.gbt_regressor("l_extendedprice", maxDepth=3, maxIter=3)}
+    train, _ = _month_split(spark, sf_dir)
+    search = models.tune(train, STUMP_FEATURES, models.rf_regressor("l_extendedprice", **STUMP),
+                         {"maxDepth": [0, 1]},
+                         models.regression_evaluator("rmse", "l_extendedprice"), folds=2,
+                         fold_col="fold")
+    return models.grid_table(search, spark, "rmse").select("maxDepth", r6("rmse").alias("rmse"))
+
+
+def _rivals(spark, sf_dir) -> DataFrame:
+    train, test = _month_split(spark, sf_dir)
+    rivals = {"RF Regressor": (OTHER_FEATURES, models.rf_regressor("l_extendedprice", **STUMP)),
+              "GBT Regressor": (STUMP_FEATURES,
+                                models.gbt_regressor("l_extendedprice", maxDepth=1, maxIter=1))}
     rows = []
-    for name, model in rivals.items():
-        fitted = models.fit(train, POWER_FEATURES, model)
+    for name, (columns, model) in rivals.items():
+        fitted = models.fit(train, columns, model)
         found = evaluate.regression_metrics(
             models.score(fitted, test), "l_extendedprice").first()
         rows.append({"algorithm": name, "rmse": found["rmse"], "r2": found["r2"]})
-    return models.champion(models.comparison(spark, rows), "r2", "GBT Regressor")
+    return models.comparison(spark, rows)
+
+
+def champion(spark, sf_dir):
+    best = models.champion(_rivals(spark, sf_dir), "r2", "GBT Regressor")
+    return best.select("algorithm", r6("rmse").alias("rmse"), r6("r2").alias("r2"))
+
+
+def best_scores(spark, sf_dir):
+    out = models.best_scores(_rivals(spark, sf_dir))
+    return out.select(*[r6(c).alias(c) for c in out.columns])
+
+
+def split_report(spark, sf_dir):
+    """Class balance and complete rows of both months."""
+    rows = flagged(spark, sf_dir).withColumn(
+        "l_tax", F.when(F.col("l_linenumber") == 3, None)
+        .when(F.col("l_linenumber") == 4, F.lit(NAN)).otherwise(F.col("l_tax")))
+    train, test = split.by_month(rows, "l_shipdate")
+    out = jobs.split_report(train, test, "cleaning_flag", STUMP_FEATURES)
+    return out.withColumns({c: r6(c) for c in ("positive_rate", "ratio")})
+
+
+# Analyses of the hourly series.
+
+def null_keys(spark, sf_dir):
+    return merge.drop_null_keys(gappy_events(spark, sf_dir), "value", "user_id").groupBy(
+        "event_type").agg(F.count("*").alias("n"))
+
+
+def analysis_cities(spark, sf_dir):
+    tables = analyses.cities(irradiance_source(spark, sf_dir))
+    boxes = _rounded_box(tables["boxes"], "CITY").drop("median", "n")
+    return tables["ranking"].join(boxes, "CITY").withColumn("median", r6("median"))
+
+
+def analysis_monthly(spark, sf_dir):
+    out = analyses.monthly_tilt(irradiance_source(spark, sf_dir))["monthly"]
+    return out.select("month", "label", r6("OPTIMAL_TILT").alias("tilt"), r6("ghi").alias("ghi"))
+
+
+def analysis_irradiance(spark, sf_dir):
+    tables = analyses.irradiance_levels(irradiance_source(spark, sf_dir))
+    return merge.union_all([
+        tables[f"{name}_center"].select(F.lit(name).alias("phase"), "n", "zeros",
+                                        *[r6(c).alias(c) for c in ("mean", "median", "zero_share")])
+        for name in ("before", "after")])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -653,5 +731,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         temporal_split, class_weight, confusion, class_metrics, threshold_curve,
         best_threshold, auc, reg_metrics, grid_table, grid_best, grid_slice, csv_scan,
         landing_zone, preprocess, job_audit, job_validation, merged_correlation, zenith_fit,
-        rf_importance, gbt_importance, reg_importance, search_grid, champion)
+        rf_importance, gbt_importance, reg_importance, search_grid, champion, rf_scores,
+        best_params, best_scores, split_report, null_keys, analysis_cities, analysis_monthly,
+        analysis_irradiance)
 }

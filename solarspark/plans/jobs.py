@@ -16,18 +16,18 @@ from solarspark.functions.features import (
     with_power_features,
     with_time_features,
 )
-from solarspark.functions.timeparse import to_local, with_datetime
+from solarspark.functions.timeparse import to_local, unparseable_count, with_datetime
 from solarspark.operators import audit, evaluate, imbalance, models, split
 from solarspark.operators.filters import daylight
 from solarspark.operators.impute import mean_fill
 from solarspark.operators.merge import (
-    assert_unique_key,
     attach_group_mean,
     attach_hourly,
     attach_weather,
     dedupe,
     drop_null_keys,
     union_all,
+    with_unique_key,
 )
 from solarspark.operators.sampling import first_in_time
 from solarspark.operators.stats import density_by_class
@@ -101,13 +101,11 @@ def preprocess(generation: DataFrame, weather: DataFrame, irradiance: DataFrame,
     """The analysis-ready table: readings with weather and the site's hourly irradiance.
 
     Every generation row is kept. A weather key that occurs twice would multiply
-    rows and is refused unless ``check_weather_key`` is off.
+    rows; the result then fails when it is computed, unless ``check_weather_key`` is off.
     """
     sensors = clean_weather(weather)
     if check_weather_key:
-        # Filling gaps leaves the keys alone, so the check does without it.
-        keys = with_datetime(dedupe(weather)).select("DATETIME", "PLANT_ID").na.drop()
-        assert_unique_key(keys, ["DATETIME", "PLANT_ID"])
+        sensors = with_unique_key(sensors, ["DATETIME", "PLANT_ID"])
     site = clean_irradiance(irradiance, zone).filter(
         (F.col("CITY") == city) & (F.col("YEAR") == year))
     readings = attach_weather(clean_generation(generation), sensors)
@@ -129,13 +127,23 @@ def validate_preprocessed(sources: dict[str, DataFrame], result: DataFrame,
 
 def run_preprocess(generation: DataFrame, weather: DataFrame, irradiance: DataFrame,
                    out: str, csv_out: str | None = None, **options) -> dict[str, DataFrame]:
-    """Preprocess, write Parquet once and validate what was written."""
-    write_dataset(preprocess(generation, weather, irradiance, **options), out)
-    result = generation.sparkSession.read.parquet(out)
+    """Preprocess, write Parquet by month once and validate what was written.
+
+    The report also counts the rows that deduplication takes away and the readings whose
+    time cannot be read.
+    """
+    write_dataset(preprocess(generation, weather, irradiance, **options), out,
+                  partition_by=["MONTH"])
+    result = generation.sparkSession.read.parquet(out).select(*fixed.PREPROCESSED_COLUMNS)
     if csv_out:
         write_csv(result, csv_out)
     sources = {"generation": generation, "weather": weather, "irradiance": irradiance}
-    return {"result": result, **validate_preprocessed(sources, result)}
+    removed = union_all([audit.duplicates(df).select(F.lit(name).alias("source"), "*")
+                         for name, df in sources.items()])
+    unread = union_all([unparseable_count(df).select(F.lit(name).alias("source"), "*")
+                        for name, df in sources.items() if name != "irradiance"])
+    return {"result": result, "removed": removed, "unread_times": unread,
+            **validate_preprocessed(sources, result)}
 
 
 # Models.
@@ -153,14 +161,15 @@ def model_rows(preprocessed: DataFrame) -> DataFrame:
     return with_power_features(with_time_features(daylight(preprocessed)))
 
 
-def _split_report(train: DataFrame, test: DataFrame, label: str, features) -> DataFrame:
-    parts = []
-    for name, side in (("train", train), ("test", test)):
-        balance = imbalance.class_ratio(side, label)
-        kept = models.trainable_rows(side, features).select(F.struct("*").alias("k")).scalar()
-        parts.append(balance.select(F.lit(name).alias("side"), "*",
-                                    kept.getField("trainable").alias("trainable")))
-    return union_all(parts)
+def split_report(train: DataFrame, test: DataFrame, label: str, features) -> DataFrame:
+    """Class balance and rows without gaps of both sides, in one pass over each."""
+    whole = F.lit(True)
+    for c in features:
+        whole = whole & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    sides = union_all([side.select(F.lit(name).alias("side"), F.col(label).alias("__y"),
+                                   whole.alias("__whole"))
+                       for name, side in (("train", train), ("test", test))])
+    return imbalance.class_ratio(sides, "__y", ["side"], F.count_if("__whole").alias("trainable"))
 
 
 def _scored_once(model, test: DataFrame, *columns: str) -> DataFrame:
@@ -186,8 +195,9 @@ def train_baseline(preprocessed: DataFrame, grid=None, features=None, folds: int
     auc = models.auc_evaluator(label).evaluate(scored)
     metrics = evaluate.classification_metrics(cells).select(F.lit(auc).alias("auc"), "*")
     return ModelReport({"random_forest": search}, {
-        "split": _split_report(train, test, label, features),
+        "split": split_report(train, test, label, features),
         "grid": models.grid_table(search, spark),
+        "best_params": models.params_table(search, spark),
         "metrics": metrics,
         "confusion": cells,
         "importances": models.importances(search.bestModel, features, spark),
@@ -199,8 +209,13 @@ def train_baseline(preprocessed: DataFrame, grid=None, features=None, folds: int
 
 def tune_models(preprocessed: DataFrame, grids: dict | None = None, folds: int = fixed.FOLDS,
                 parallelism: int = 2, regressor_parallelism: int = 1,
-                forecast_keys=("PLANT_ID", "SOURCE_KEY"), **split_options) -> ModelReport:
-    """Rival classifiers for the cleaning flag and regressors for DC power, and the winners."""
+                forecast_keys=("PLANT_ID", "SOURCE_KEY"), forecast_rows: int = fixed.FORECAST_ROWS,
+                **split_options) -> ModelReport:
+    """Rival classifiers for the cleaning flag and regressors for DC power, and the winners.
+
+    Of each regressor the report has all scored rows and, as its forecast, the first
+    ``forecast_rows`` in time.
+    """
     spark = preprocessed.sparkSession
     flag, power = fixed.CLEANING_LABEL, fixed.POWER_LABEL
     grids = {"rf": fixed.RF_GRID, "gbt": fixed.GBT_GRID, "rf_regressor": fixed.RF_REGRESSOR_GRID,
@@ -219,6 +234,7 @@ def tune_models(preprocessed: DataFrame, grids: dict | None = None, folds: int =
         scored = _scored_once(search.bestModel, test, flag, "rawPrediction", "prediction")
         report.searches[name] = search
         report.tables[f"{key}_grid"] = models.grid_table(search, spark)
+        report.tables[f"{key}_best_params"] = models.params_table(search, spark)
         rows.append({"algorithm": name, "cv_auc": float(max(search.avgMetrics)),
                      "test_auc": auc_of.evaluate(scored), "test_f1": f1_of.evaluate(scored)})
     report.tables["classifiers"] = models.comparison(spark, rows)
@@ -239,8 +255,10 @@ def tune_models(preprocessed: DataFrame, grids: dict | None = None, folds: int =
                               "prediction")
         report.searches[name] = search
         report.tables[f"{key}_grid"] = models.grid_table(search, spark, "rmse")
+        report.tables[f"{key}_best_params"] = models.params_table(search, spark)
+        report.tables[f"{key}_scored"] = scored
         report.tables[f"{key}_forecast"] = first_in_time(
-            scored, "DATETIME", forecast_keys).select("DATETIME", power, "prediction")
+            scored, "DATETIME", forecast_keys, forecast_rows).select("DATETIME", power, "prediction")
         found = evaluate.regression_metrics(scored, power).first()
         rows.append({"algorithm": name, "rmse": found["rmse"], "r2": found["r2"]})
     report.tables["regressors"] = models.comparison(spark, rows)
@@ -253,5 +271,5 @@ def tune_models(preprocessed: DataFrame, grids: dict | None = None, folds: int =
 
 
 def save_importances(table: DataFrame, path: str) -> None:
-    """Importances as one CSV file with header."""
-    write_csv(table, path, single_file=True)
+    """Importances as CSV with header; a row per feature, so one small part."""
+    write_csv(table, path)

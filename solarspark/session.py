@@ -21,6 +21,8 @@ def get_spark(app_name: str = "solarspark", master: str | None = None, **conf) -
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Recording the Python line of every column expression doubles planning time.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # Checkpoints go when nothing refers to them any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
@@ -69,8 +71,12 @@ def stage(df: DataFrame) -> DataFrame:
     """The same as a table, for frames that are joined next.
 
     Unlike a checkpoint it tells the planner its size and claims no partitioning, so
-    a join shuffles both sides itself and can split a dominant key.
+    a join shuffles both sides itself and can split a dominant key. The table belongs to
+    the application and is deleted when it ends.
     """
-    path = scratch_path(df.sparkSession)
+    spark = df.sparkSession
+    path = scratch_path(spark)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)

@@ -4,10 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from solarspark.operators.lookup import has_at_most
-
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_dataset(df: DataFrame, path: str, mode: str = "overwrite", partition_by=()) -> None:
     """Parquet; partition columns are rebalanced first.
@@ -21,16 +17,16 @@ def write_dataset(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def land_irradiance(series: DataFrame, path: str, mode: str = "append") -> None:
-    """Landing zone of the hourly series, a folder per city and year."""
-    write_dataset(series, path, mode, ["CITY", "YEAR"])
+def land_irradiance(series: DataFrame, path: str) -> None:
+    """Landing zone of the hourly series, a folder per city and year.
+
+    Loading a city and year again replaces it; all others stay.
+    """
+    series = series.hint("rebalance", "CITY", "YEAR")
+    (series.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("CITY", "YEAR").parquet(path))
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False,
-              max_rows: int = SINGLE_FILE_ROWS) -> None:
-    """CSV with header. One file means one task, so it is refused above ``max_rows``."""
-    if single_file:
-        if not has_at_most(df, max_rows):
-            raise ValueError(f"more than {max_rows} rows; write several files instead")
-        df = df.coalesce(1)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """CSV with header, a file per task."""
     df.write.mode(mode).option("header", True).csv(path)

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures
+from solarspark.operators.merge import assert_unique_key
 from solarspark import fixed_values as fixed
 from solarspark.operators import models, stats
 from solarspark.operators.merge import attach_hourly
@@ -86,8 +87,10 @@ def test_local_time_turns_the_correlation_around(raw, clean):
 
 def test_weather_key_is_checked(raw):
     twice = raw["weather"].unionByName(raw["weather"].withColumn("IRRADIATION", F.lit(9.0)))
+    with pytest.raises(Exception, match="not unique"):
+        jobs.preprocess(raw["generation"], twice, raw["irradiance"]).count()
     with pytest.raises(ValueError, match="not unique"):
-        jobs.preprocess(raw["generation"], twice, raw["irradiance"])
+        assert_unique_key(jobs.clean_weather(twice), ["DATETIME", "PLANT_ID"])
 
 
 def test_time_less_weather_matches_nothing(raw):

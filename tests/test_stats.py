@@ -233,4 +233,34 @@ def test_auc_against_pair_counting(spark):
     y, s = (rng.random(300) < 0.4).astype(int), np.round(rng.random(300), 1)
     df = spark.createDataFrame(pd.DataFrame({"y": y, "s": s}))
     pairs = [(1.0 if a > b else 0.5 if a == b else 0.0) for a in s[y == 1] for b in s[y == 0]]
-    assert evaluate.auc(df, "y", "s") == pytest.approx(math.fsum(pairs) / len(pairs))
+    for values in (2_000_000, 3):
+        found = evaluate.auc(df, "y", "s", task_values=values).first()["auc"]
+        assert found == pytest.approx(math.fsum(pairs) / len(pairs))
+
+
+def test_evaluator_keeps_every_score(spark):
+    from solarspark.operators.models import auc_evaluator
+    rng = np.random.default_rng(6)
+    s = rng.random(5000)
+    y = (rng.random(5000) < s).astype(float)
+    df = spark.createDataFrame(pd.DataFrame({"y": y, "rawPrediction": s}))
+    ranks = s.argsort().argsort() + 1
+    exact = (ranks[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (1 - y).sum())
+    assert auc_evaluator("y").evaluate(df) == pytest.approx(exact, abs=1e-12)
+    assert evaluate.auc(df, "y", "rawPrediction").first()["auc"] == pytest.approx(exact, abs=1e-12)
+
+
+def test_null_groups_and_collinear_columns(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 3.0), ("a", 5.0), ("a", 5.0)], "k string, v double")
+    box = {r.k: r for r in stats.box_summary(df, "v", ["k"]).collect()}
+    assert box[None].median == 2.0 and box[None].n == 3 and box["a"].outliers == 0
+    cells = stats.density_by_class(df, "v", "k", bins=4).collect()
+    for k in (None, "a"):
+        area = sum(r.density * (r.high - r.low) for r in cells if r.k == k)
+        assert area == pytest.approx(1.0)
+    rows = [(float(i), 2.0 * i + 1, float(i * i % 7), 4.0) for i in range(30)]
+    factors = {r.feature: r.vif for r in stats.vif(
+        spark.createDataFrame(rows, "x double, twin double, other double, same double"),
+        ["x", "twin", "other", "same"]).collect()}
+    assert factors["x"] == factors["twin"] == float("inf") and factors["same"] is None
+    assert 1.0 <= factors["other"] < 1.5
