@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from solarspark.fixed_values import IRRADIANCE_EXCLUDE, IRRADIANCE_GLOB
-from solarspark.operators.merge import union_all
+from solarspark.operators.lookup import join_aggregate
 from solarspark.schemas import GENERATION, IRRADIANCE, WEATHER
 from solarspark.session import require_utc
 
@@ -46,39 +46,49 @@ def _wanted_files(df: DataFrame) -> DataFrame:
 def read_irradiance(spark: SparkSession, folder: str, by_header: bool = False) -> DataFrame:
     """Hourly irradiance of every City_Year.csv in ``folder``; times are UTC instants.
 
-    All files are one scan when their headers agree. With ``by_header`` files are
-    grouped by header first, one scan per distinct header, and united by name;
-    columns a file lacks become NULL. That costs a look at the head of each file.
+    All files are one scan when their headers agree. With ``by_header`` every file is read
+    by its own header and columns go by name; those a file lacks become NULL. Only the
+    distinct headers come to the driver, however many files there are. Headers then have to
+    be plain and values must not hold line breaks.
     """
     require_utc(spark)
     if not by_header:
         scan = _csv(spark, IRRADIANCE).option("pathGlobFilter", IRRADIANCE_GLOB).csv(folder)
         return with_file_partition(_wanted_files(scan))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in irradiance_files(spark, folder):
-        header = tuple(spark.read.option("header", True).csv(path).columns)
-        groups.setdefault(header, []).append(path)
+    lines = _wanted_files(spark.read.option("pathGlobFilter", IRRADIANCE_GLOB).text(folder))
+    lines = with_file_partition(lines).select(
+        "value", "CITY", "YEAR", F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"))
+    # The first block of a file is read by one task from its first line on.
+    heads = lines.filter("start = 0").groupBy("path").agg(F.first("value").alias("header"))
+    headers = [r["header"] for r in heads.select("header").distinct().orderBy("header").collect()]
+    if not headers:
+        return spark.createDataFrame([], IRRADIANCE)
     known = {f.name: f for f in IRRADIANCE}
-    scans = []
-    for header, paths in groups.items():
+    schemas = {}
+    for header in headers:
         schema = StructType()
-        for name in header:
+        for name in header.split(","):
             schema = schema.add(known[name]) if name in known else schema.add(name, "string")
-        scans.append(with_file_partition(_csv(spark, schema).csv(paths)))
-    united = union_all(scans, allow_missing=True)
-    for field in IRRADIANCE:
-        if field.name not in united.columns:
-            united = united.withColumn(field.name, F.lit(None).cast(field.dataType))
-    extra = [c for c in united.columns if c not in known]
-    return united.select(*IRRADIANCE.names, *extra)
-
-
-def irradiance_files(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the irradiance files; only the listing is read."""
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", IRRADIANCE_GLOB)
-               .load(folder).select("path", F.element_at(F.split("path", "/"), -1).alias("name")))
-    rows = listing.filter(~F.contains("name", F.lit(IRRADIANCE_EXCLUDE))).orderBy("path")
-    return [row["path"] for row in rows.collect()]
+        schemas[header] = schema
+    extra = list(dict.fromkeys(n for s in schemas.values() for n in s.names if n not in known))
+    rows = join_aggregate(lines, heads, "path", "inner").filter("value <> header")
+
+    def column(name: str, kind: str):
+        held = F.lit(None).cast(kind)
+        for header, schema in schemas.items():
+            if name in schema.names:
+                held = F.when(F.col("header") == header, F.col(f"r{headers.index(header)}").getField(name)).otherwise(held)
+        return held.alias(name)
+
+    for i, header in enumerate(headers):
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas[header])
+        rows = rows.withColumn(f"r{i}", F.when(
+            F.col("header") == header, F.from_csv("value", fields, {"mode": "PERMISSIVE"})))
+    from_name = [n for n in ("CITY", "YEAR") if n not in known]
+    return rows.select(*[F.col(n) if n in ("CITY", "YEAR") else column(n, known[n].dataType.simpleString())
+                         for n in IRRADIANCE.names], *from_name, *[column(n, "string") for n in extra
+                                                                   if n not in ("CITY", "YEAR")])
 
 
 def read_dataset(spark: SparkSession, path: str) -> DataFrame:
