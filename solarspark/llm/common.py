@@ -30,10 +30,16 @@ def sha256(data: bytes) -> str:
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, lineage cut."""
-    path = scratch_path(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` written to the shared folder and read back: computed once, lineage cut.
+
+    The table is compressed well and deleted when the application ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark)
+    df.write.option("compression", "zstd").parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def steps(batches: Iterator[pa.RecordBatch], sizes_of: str = "text") -> Iterator[pa.RecordBatch]:

@@ -169,9 +169,12 @@ def extract_text(pages: DataFrame, many_pages: int = MANY_PAGES, many_share: flo
 
     parsed = staged(rows.mapInArrow(
         parse, "page_id bigint, url string, host string, blocks array<struct<text:string,around:array<bigint>>>")
-        .withColumn("row", F.monotonically_increasing_id()))
+        .withColumns({"row": F.monotonically_increasing_id(),
+                      "whole": ~F.exists("blocks", lambda b: F.size(b["around"]) > 0)}))
+    # Pages without a subtree that may be a template are done; the others meet theirs.
+    open_pages = parsed.where("not whole")
     around = F.array_distinct(F.flatten(F.col("blocks.around")))
-    subtrees = parsed.select("row", "host", F.explode(around).alias("subtree"))
+    subtrees = open_pages.select("row", "host", F.explode(around).alias("subtree"))
     sizes = parsed.groupBy("host").agg(F.count("*").alias("pages"))
     repeated = subtrees.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= many_pages)
     template = (repeated.join(sizes, "host").where(F.col("n") >= many_share * F.col("pages"))
@@ -180,6 +183,8 @@ def extract_text(pages: DataFrame, many_pages: int = MANY_PAGES, many_share: flo
             .agg(F.collect_set("subtree").alias("gone")))
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], F.coalesce(
         F.col("gone"), F.array().cast("array<bigint>"))))
-    text = F.concat_ws("\n", F.transform(kept, lambda b: b["text"])).alias("text")
-    return (parsed.join(gone, "row", "left").select("page_id", "url", text)
-            .select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars")))
+    ready = parsed.where("whole").select("page_id", "url", "blocks").unionByName(
+        open_pages.join(gone, "row", "left").select("page_id", "url", kept.alias("blocks")))
+    text = F.concat_ws("\n", F.col("blocks.text")).alias("text")
+    return ready.select("page_id", "url", text).select(
+        "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
