@@ -1,7 +1,8 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
-A word enters as the sum of a word vector and the mean of vectors of its characters in
-groups, both from hashed tables, so that unseen words still have their parts. Two gated
+A word enters as the sum of a word vector and the mean of vectors of characters at its
+beginning and end, so that unseen words still have their parts. The table holds the words
+and parts of enough training documents; all others share one row. Two gated
 recurrent layers read a window of words forwards and backwards; attention weighs their
 states; a logistic unit scores the window. All overlapping windows of a text are scored;
 a logistic map of the two highest scores and the mean gives the score of the text.
@@ -14,10 +15,10 @@ document is taught as toxic.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,9 +26,11 @@ from .common import learnable, map_texts
 
 WINDOW, STRIDE = 48, 36
 HIDDEN, WIDTH = 8, 16
-BUCKETS = 1 << 15
-TRAIN_DOCS = 2000  # labelled documents of each class to learn from, at most
-TRAIN_WORDS = 400  # words of a document to learn from, at most
+TABLE = 60_000  # words and parts in the table, at most
+LEAST_SHARE = 0.008  # of the training documents a word or part has to be in, and in two
+PARTS = 5  # keys of a word
+TRAIN_DOCS = 1500  # labelled documents of each class to learn from, at most
+TRAIN_WORDS = 4000  # words of a document to learn from, at most
 _WORD = re.compile(r"\w+")
 
 
@@ -35,12 +38,10 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def features(word: str) -> list[int]:
-    """Table rows of a word: first the word's own, then those of its character groups."""
+def keys_of(word: str) -> tuple[str, ...]:
+    """The word itself, three beginnings and one end."""
     marked = f"<{word}>"
-    half = BUCKETS // 2
-    hashed = [xxhash.xxh32_intdigest(g) % half for g in (marked, marked[:4], marked[:6], marked[:8], marked[-4:])]
-    return [hashed[0], *(half + h for h in hashed[1:])]
+    return marked, marked[:4] + "-", marked[:6] + "-", marked[:8] + "-", "-" + marked[-4:]
 
 
 def windows_of(n: int) -> list[tuple[int, int]]:
@@ -54,30 +55,34 @@ def _sigmoid(x):
 
 
 class Network:
-    """Parameters by name; two directions are stacked in the first axis."""
+    """Parameters by name; two directions are stacked in the first axis.
 
-    def __init__(self, seed: int = 1):
+    ``rows`` gives the table row of a key; row 0 is for all other keys.
+    """
+
+    def __init__(self, seed: int = 1, keys: list[str] = ()):
+        self.rows = {k: i for i, k in enumerate(keys, 1)}
         rng = np.random.default_rng(seed)
         h, d = HIDDEN, WIDTH
 
         def normal(*shape, scale):
             return rng.normal(0, scale, shape).astype(np.float32)
 
-        self.p = {"table": normal(BUCKETS, d, scale=0.1), "w": normal(2, d, 3 * h, scale=d ** -0.5),
+        self.p = {"table": normal(len(self.rows) + 1, d, scale=0.1), "w": normal(2, d, 3 * h, scale=d ** -0.5),
                   "b": np.zeros((2, 1, 3 * h), np.float32), "u": normal(2, h, 2 * h, scale=h ** -0.5),
                   "c": normal(2, h, h, scale=h ** -0.5), "att": normal(2 * h, scale=0.3),
                   "out": normal(2 * h, scale=0.3), "bias": np.float32([-1.0])}
-        self.calibration = np.zeros(5)  # of the columns of document_features and a constant
+        self.calibration = np.zeros(6)  # of the columns of document_features and a constant
+
+    def table_rows(self, words) -> np.ndarray:
+        """(words, PARTS) rows of the table."""
+        get = self.rows.get
+        return np.array([[get(k, 0) for k in keys_of(w)] for w in words], np.int64).reshape(-1, PARTS)
 
-    def vectors(self, rows: list[list[int]]) -> np.ndarray:
+    def vectors(self, rows: np.ndarray) -> np.ndarray:
         """Input vectors of words given by their table rows."""
-        lengths = np.array([len(r) for r in rows])
-        flat = np.concatenate([np.asarray(r) for r in rows])
-        starts = np.r_[0, np.cumsum(lengths)[:-1]]
         table = self.p["table"]
-        own = table[flat[starts]]
-        total = np.add.reduceat(table[flat], starts, axis=0)
-        return own + (total - own) / np.maximum(lengths - 1, 1)[:, None]
+        return table[rows[:, 0]] + table[rows[:, 1:]].mean(axis=1)
 
     def projected(self, x: np.ndarray) -> np.ndarray:
         """What words add to the gates, for both directions: (2, words, 3 h)."""
@@ -150,21 +155,30 @@ def padded(windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return index, mask
 
 
-def train(texts: list[str], labels: list[int], rounds: int = 3, batch: int = 128, rate: float = 0.01) -> Network:
-    """Fit by Adam; deterministic for the same rows in the same order."""
+def train(texts: list[str], labels: list[int], share: float | None = None, rounds: int = 3,
+          batch: int = 128, rate: float = 0.01) -> Network:
+    """Fit by Adam; deterministic for the same rows in the same order.
+
+    ``share`` is the share of label 1 among all documents, where the sample's is another.
+    """
     net, rng = Network(), np.random.default_rng(2)
+    seen = Counter()
     vocabulary: dict[str, int] = {}
     units, owner = [], []
     for i, text in enumerate(texts):
-        words = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(text)[:TRAIN_WORDS]], np.int64)
+        listed = words_of(text)[:TRAIN_WORDS]
+        seen.update({k for w in set(listed) for k in keys_of(w)})
+        words = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in listed], np.int64)
         for a, b in windows_of(len(words)):
             if b > a:
                 units.append(words[a:b])
                 owner.append(i)
     if not units or len(set(labels)) < 2:
-        net.calibration[4] = -3.0
+        net.calibration[-1] = -3.0
         return net
-    rows = [features(w) for w in vocabulary]
+    frequent = sorted((-n, k) for k, n in seen.items() if n >= max(2, LEAST_SHARE * len(texts)))[:TABLE]
+    net = Network(keys=[k for _, k in frequent])
+    rows = net.table_rows(vocabulary)
     owner, y = np.array(owner), np.array(labels, np.float32)
     index, mask = padded(units)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
@@ -174,7 +188,7 @@ def train(texts: list[str], labels: list[int], rounds: int = 3, batch: int = 128
         out = []
         for s in range(0, len(units), 2048):
             used, local = np.unique(index[s:s + 2048], return_inverse=True)
-            gates = net.projected(net.vectors([rows[u] for u in used]))
+            gates = net.projected(net.vectors(rows[used]))
             out.append(net.forward(gates, local.reshape(-1, WINDOW), mask[s:s + 2048]))
         return np.concatenate(out)
 
@@ -195,18 +209,17 @@ def train(texts: list[str], labels: list[int], rounds: int = 3, batch: int = 128
                 chosen = rng.permutation(chosen)
             pick = chosen[s:s + batch]
             used, local = np.unique(index[pick], return_inverse=True)
-            own = [rows[u] for u in used]
+            own = rows[used]
             x = net.vectors(own)
             logit, kept = net.forward(net.projected(x), local.reshape(-1, WINDOW), mask[pick], keep=True)
             error = (_sigmoid(logit) - y[owner[pick]]) / len(pick)
             g, d_x = net.gradients(x, local, mask[pick], error.astype(np.float32), kept)
-            lengths = np.array([len(r) for r in own])
-            flat = np.concatenate(own)
-            per_row = np.repeat(d_x / np.maximum(lengths - 1, 1)[:, None], lengths, axis=0)
-            per_row[np.r_[0, np.cumsum(lengths)[:-1]]] = d_x
-            table_rows, place = np.unique(flat, return_inverse=True)
+            table_rows, place = np.unique(own, return_inverse=True)
+            place = place.reshape(own.shape)
             table_g = np.zeros((len(table_rows), WIDTH), np.float32)
-            np.add.at(table_g, place, per_row)
+            np.add.at(table_g, place[:, 0], d_x)
+            for k in range(1, PARTS):
+                np.add.at(table_g, place[:, k], d_x / (PARTS - 1))
             step += 1
             for name, grad in [*g.items(), ("table", table_g)]:
                 at = table_rows if name == "table" else slice(None)
@@ -214,14 +227,17 @@ def train(texts: list[str], labels: list[int], rounds: int = 3, batch: int = 128
                 m[at] = 0.9 * m[at] + 0.1 * grad
                 v[at] = 0.99 * v[at] + 0.01 * grad ** 2
                 net.p[name][at] -= rate * (m[at] / (1 - 0.9 ** step)) / (np.sqrt(v[at] / (1 - 0.99 ** step)) + 1e-6)
-    net.calibration = _logistic(document_features(len(texts), owner, logits()), y)
+    net.calibration = _logistic(document_features(len(texts), owner, logits()), y, share)
     return net
 
 
 def document_features(n: int, owner: np.ndarray, logit: np.ndarray) -> np.ndarray:
     """Of each of n documents: highest and second highest logit of its windows, whether it has
-    one window only, and the mean probability. ``owner`` gives the document of each window."""
-    out = np.tile([-8.0, -8.0, 1.0, 0.0], (n, 1))
+    one window only, the mean probability and the logarithm of the number of windows.
+
+    ``owner`` gives the document of each window.
+    """
+    out = np.tile([-8.0, -8.0, 1.0, 0.0, 0.0], (n, 1))
     if len(owner):
         order = np.lexsort((-logit, owner))
         who, value = owner[order], np.clip(logit[order], -8, 8)
@@ -231,16 +247,24 @@ def document_features(n: int, owner: np.ndarray, logit: np.ndarray) -> np.ndarra
         more = first[many > 1]
         out[who[more], 1], out[who[more], 2] = value[more + 1], 0.0
         out[who[first], 3] = np.add.reduceat(_sigmoid(value), first) / many
+        out[who[first], 4] = np.log(many)
     return out
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights and constant of a logistic fit with a small penalty, by Newton steps."""
+def _logistic(x: np.ndarray, y: np.ndarray, share: float | None) -> np.ndarray:
+    """Weights and constant of a logistic fit with a small penalty, by Newton steps.
+
+    Rows are weighted so that label 1 has its ``share``.
+    """
+    own = y.mean()
+    share = min(max(own if share is None else share, 1e-3), 1 - 1e-3)
+    weight = np.where(y == 1, share / own, (1 - share) / (1 - own))
     x = np.hstack([x, np.ones((len(x), 1))])
     w, penalty = np.zeros(x.shape[1]), 0.1 * np.eye(x.shape[1])
     for _ in range(30):
         p = _sigmoid(x @ w)
-        w = w + np.linalg.solve((x.T * (p * (1 - p))) @ x + penalty, x.T @ (y - p) - penalty @ w)
+        step = np.linalg.solve((x.T * (weight * p * (1 - p))) @ x + penalty, x.T @ (weight * (y - p)) - penalty @ w)
+        w = w + step * min(1.0, 2.0 / (1e-9 + float(np.abs(step).max())))
     return w
 
 
@@ -267,7 +291,7 @@ class Scorer:
             for s in range(0, len(new), 20_000):
                 part = new[s:s + 20_000]
                 self.gates[:, start + s:start + s + len(part)] = self.net.projected(
-                    self.net.vectors([features(w) for w in part]))
+                    self.net.vectors(self.net.table_rows(part)))
             self.number.update(zip(new, range(start, start + len(new))))
         return [np.fromiter(map(self.number.__getitem__, words), np.int64, len(words)) for words in texts_words]
 
@@ -316,7 +340,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Netw
     rows = training_rows(docs, labels, "toxic", per_class).withColumn(
         "text", F.substring("text", 1, 16 * TRAIN_WORDS)).collect()
     rows = sorted({(r["doc_id"], r["text"], r["y"]) for r in rows})
-    return train([r[1] for r in rows], [r[2] for r in rows])
+    known = labels.where(learnable()).agg(F.count_if(F.col("toxic") == 1).alias("toxic"),
+                                          F.count_if(F.col("toxic") == 0).alias("clean")).first()
+    share = known["toxic"] / max(1, known["toxic"] + known["clean"])
+    return train([r[1] for r in rows], [r[2] for r in rows], share)
 
 
 _scorers: dict = {}

@@ -55,8 +55,9 @@ def test_language_without_labels(documents):
 # --- toxicity and quality
 
 def test_gradients_of_the_network():
-    net = toxicity.Network(seed=3)
-    rows = [toxicity.features(w) for w in ("one", "two", "three", "four")]
+    words = ("one", "two", "three", "four")
+    net = toxicity.Network(seed=3, keys=[k for w in words for k in toxicity.keys_of(w)])
+    rows = net.table_rows(words)
     index, mask = toxicity.padded([np.array([0, 1, 2, 3, 1]), np.array([3, 2])])
     y = np.array([1.0, 0.0])
     for value in net.p.values():
