@@ -9,7 +9,7 @@ from solarspark.plans.driver_queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 EAGER_MODELS = {"dq_rf_importance", "dq_gbt_importance", "dq_reg_importance", "dq_search_grid",
-                "dq_champion"}
+                "dq_champion", "dq_rf_scores", "dq_best_params", "dq_best_scores"}
 
 
 def plan(df):
@@ -102,3 +102,29 @@ def test_group_mean_leaves_the_readings_unshuffled_while_groups_are_few(spark):
     text = plan(merge.attach_group_mean(skewed(spark), "p", "y", "m"))
     big_side = text[:text.index("BroadcastExchange")]
     assert "BroadcastHashJoin" in big_side and "hashpartitioning" not in big_side
+
+
+def test_model_months_prune_the_written_table(spark, tmp_path):
+    from solarspark.operators.split import by_month
+    from solarspark.sources.writers import write_dataset
+    ev = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").select(
+        F.col("l_shipdate").alias("DATETIME"), F.month("l_shipdate").alias("MONTH"), "l_quantity")
+    write_dataset(ev, f"{tmp_path}/months", partition_by=["MONTH"])
+    for side in by_month(spark.read.parquet(f"{tmp_path}/months")):
+        text = plan(side)
+        filters_at = text[text.index("PartitionFilters: ["):]
+        assert "MONTH" in filters_at[:filters_at.index("]")]
+
+
+def test_quantiles_count_values_before_they_meet(spark):
+    from solarspark.operators.quantiles import exact_quantiles
+    text = plan(exact_quantiles(spark.read.parquet(f"{SF_DIR}/lineitem.parquet"), "l_quantity"))
+    above, below = text.split("Exchange SinglePartition", 1)
+    assert "partial_percentile" in below and "hashpartitioning(__v" in below
+
+
+def test_weather_check_shares_the_shuffle_of_the_join(spark):
+    left = spark.range(100).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    right = merge.with_unique_key(spark.range(100).select(F.col("id").alias("k")), ["k"])
+    text = plan(left.hint("merge").join(right, "k", "left"))
+    assert text.count("hashpartitioning(k") == 2
