@@ -31,14 +31,15 @@ _BLOCK = {"address", "article", "aside", "blockquote", "body", "caption", "cente
           "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
           "head", "header", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary",
           "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
-_DROPPED = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "svg",
+_DROPPED = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "option", "svg",
             "head", "object", "canvas", "audio", "video", "fieldset", "label", "input"} | _RAW
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu"}
 _NAMED = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|nav|navbar|navigation|menu\w*|"
-    r"side-?bar\w*|footer\w*|header|masthead|cookies?|consent|notices?|gdpr|comments?|disqus|respond|repl(?:y|ies)|"
+    r"side-?bar\w*|footer\w*|masthead|cookies?|consent|notices?|gdpr|comments?|disqus|respond|repl(?:y|ies)|"
     r"social|share|sharing|related|recommend\w*|breadcrumbs?|newsletter|subscri\w+|popup|modal|signup|login|"
     r"widgets?|pagination|pager|skip|toolbar|tags?)(?:$|[\s_-])", re.I)
+_HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.I)
 _CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
            "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
 _SCOPE = {"article", "aside", "body", "div", "html", "main", "ol", "section", "table", "td", "ul", "dl", "blockquote"}
@@ -54,9 +55,12 @@ class _Element:
         self.named = bool(label)
         self.main = (parent.main if parent else False) or tag in ("article", "main") or own.get("role") in ("main", "article")
         hidden = "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "")
+        # The header of an article holds its title; any other one is the site's.
+        header = not self.main and (tag == "header" or bool(label and _HEADER.search(label)))
         self.dropped = (parent.dropped if parent else False) or (
             tag not in ("html", "body", "article", "main") and (
-                tag in _DROPPED or own.get("role") in _ROLES or hidden or bool(label and _NAMED.search(label))))
+                tag in _DROPPED or header or own.get("role") in _ROLES or hidden
+                or bool(label and _NAMED.search(label))))
         self.digest = xxhash.xxh3_64(f"<{tag} {label}>")
 
 

@@ -157,13 +157,13 @@ def pages_of(spark, rows):
 
 def test_main_text(spark):
     body = ("<html><head><title>T</title><style>p{}</style></head><body><nav><a>Home</a></nav><div class='ad'>Buy</div>"
-            "<article><h1>Big  &amp; <i>bold</i></h1><p>One<br>two\n three &lt;p&gt;<p>Four <b>fi</b>ve"
+            "<header>Site</header><article><header class='article-header'>Top</header><h1>Big  &amp; <i>bold</i></h1><p>One<br>two\n three &lt;p&gt;<p>Four <b>fi</b>ve"
             "<div class='comments'><p>nice!</p></div><script>var t='</p>';</script><form><input>go</form><!-- <p>no</p> -->"
             "<ul><li>a<li>b</ul></article><aside>side</aside><footer>&copy; x</footer>")
     rows = [("http://a.com/1", body), ("http://a.com/2", None), (None, ""), ("http://b.com", "plain < text"),
             ("http://b.com/2", "<p>unclosed <b>tag"), ("http://b.com/3", "<nav>only"), ("http://b.com/4", "<p>" * 3000 + "deep")]
     found = {r["page_id"]: r for r in html_text.extract_text(pages_of(spark, rows)).collect()}
-    assert found[0]["text"] == "Big & bold\nOne two three <p>\nFour five\na\nb"
+    assert found[0]["text"] == "Top\nBig & bold\nOne two three <p>\nFour five\na\nb"
     assert [found[i]["text"] for i in range(1, 7)] == ["", "", "plain < text", "unclosed tag", "", "deep"]
     assert all(r["n_chars"] == len(r["text"]) for r in found.values()) and found[3]["url"] == "http://b.com"
     assert html_text.extract_text(pages_of(spark, [])).count() == 0
