@@ -42,7 +42,8 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def steps(batches: Iterator[pa.RecordBatch], sizes_of: str = "text") -> Iterator[pa.RecordBatch]:
+def steps(batches: Iterator[pa.RecordBatch], sizes_of: str = "text",
+          limit: int = STEP_CHARS) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded text, whatever size Spark hands over.
 
     A batch always has one row at least, so that a very long text is its own batch.
@@ -51,7 +52,7 @@ def steps(batches: Iterator[pa.RecordBatch], sizes_of: str = "text") -> Iterator
         lengths = pc.binary_length(batch.column(sizes_of)).to_pylist()
         start = held = 0
         for i, n in enumerate(lengths):
-            if held and held + (n or 0) > STEP_CHARS:
+            if held and held + (n or 0) > limit:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += n or 0

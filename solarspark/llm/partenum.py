@@ -7,16 +7,20 @@ all ranges but k, so
 
 * for a small k every combination of three out of k + 3 ranges gives a signature, and at
   least one combination agrees;
-* for a larger k each of k + 3 ranges gives a signature, and at least three agree. A range
-  without elements gives none, unless a set has three or more of them.
+* for a larger k each of k + 1 + e + k / 4 ranges gives a signature, and all but k agree. A
+  range without elements gives none, unless a set has more than e of them; e is chosen by
+  band so that hardly any set has. So similar sets share more than k / 4 signatures.
 
-Signatures shared by several sets link them as candidates. Components of candidates are
+Signatures that only one set has are dropped, and then all of a set in a band with fewer
+left than similar sets share; that is done twice, as it leaves others alone. What is left
+links sets as candidates. Components of candidates are
 small; their sets meet in one task, or block by block if there are many, and are compared
 exactly. Equal sets are one class from the beginning, so copies cost nothing further.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from functools import lru_cache
 from itertools import combinations
@@ -24,14 +28,18 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, steps
+from .common import STEP_CHARS, staged, steps
 from .components import components
 from .decontaminate import _gram_hashes, _Hashes
 
 BLOCK = 1000  # sets of a candidate component compared in one task, against as many others
+FEW = 8  # up to so many differing elements, ranges are combined
+BAND_BITS = 10
+RARE = 12  # an element of so many sets at most is counted pair by pair
+ROUNDS = 2  # of dropping signatures that cannot lead to a link
 BITS = 24  # the table of candidate sets has 2**24 places
 
 #: Lower-cases A-Z. bytes.split() then cuts at U+0020 and U+0009 to U+000D, and nowhere else.
@@ -48,17 +56,32 @@ def gram_set(text: str | None, hashes: dict, n: int) -> np.ndarray:
 
 
 @lru_cache(4)
-def _bands(percent: int) -> tuple[list[int], list[int]]:
-    """Upper ends of the size bands, and how many elements sets of a band and the next may differ in."""
+def _bands(percent: int) -> tuple[list[int], list[int], list[int], list[int]]:
+    """Upper ends of the size bands; how many elements sets of a band and the next may differ
+    in; how many ranges may be empty; and how many signatures similar sets share at least."""
     ends = [next(n for n in range(1, 1 << 30) if n * (100 - percent) // percent >= 1) - 1]
-    while ends[-1] < 1 << 40:
+    while ends[-1] < 1 << 32:
         ends.append((ends[-1] + 1) * 100 // percent)
-    return ends, [e * (100 - percent) // percent for e in ends]
+    differ, empty = [e * (100 - percent) // percent for e in ends], []
+    for k, least in zip(differ, [1, *(e + 1 for e in ends)]):
+        best = (-1.0, 2)
+        spare = 2
+        while k > FEW and spare <= k + 2 and best[0] < 5.0:
+            # Empty ranges are about Poisson distributed: how many deviations are left?
+            parts = k + 1 + k // 4 + spare
+            mean = parts * math.exp(-least / parts)
+            best = max(best, ((spare - mean) / math.sqrt(mean), spare))
+            spare += 1 + spare // 20
+        empty.append(best[1])
+    return ends, differ, empty, [1 if k <= FEW else 1 + k // 4 for k in differ]
 
 
 def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
-    """Signatures of a sorted set; sets within the first band match only if they are equal."""
-    n, (ends, differ) = len(elements), _bands(percent)
+    """Signatures of a sorted set, each with its band in the last bits.
+
+    Sets within the first band match only if they are equal and have none.
+    """
+    n, (ends, differ, empty, shared) = len(elements), _bands(percent)
     own = bisect_left(ends, n)
     if not n:
         return np.zeros(0, np.int64)
@@ -68,24 +91,25 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
             k = differ[band]
             if k == 0:
                 continue
-            parts = k + 3
+            parts = k + 3 if k <= FEW else k + shared[band] + empty[band]
             borders = (np.arange(1, parts, dtype=np.float64) / parts * 2.0 ** 64).astype(np.uint64)
             at = np.r_[0, np.searchsorted(elements, borders), n]
             each = sums[at[1:]] - sums[at[:-1]]
-            if k <= 3:
+            if k <= FEW:
                 chosen = list(combinations(range(parts), 3))
                 values = np.array([each[list(c)].sum(dtype=np.uint64) for c in chosen], np.uint64)
                 names = np.arange(len(chosen), dtype=np.uint64)
             else:
                 full = at[1:] > at[:-1]
                 names = np.arange(parts, dtype=np.uint64)
-                if parts - int(full.sum()) <= 2:
+                if parts - int(full.sum()) <= empty[band]:
                     each, names = each[full], names[full]
                 values = each
             salt = (names + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band * 0x632BE59BD9B4E019 % 2**64)
             mixed = (values ^ salt) * np.uint64(0xFF51AFD7ED558CCD)
             mixed = (mixed ^ (mixed >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-            out.append(mixed ^ (mixed >> np.uint64(33)))
+            mixed ^= mixed >> np.uint64(33)
+            out.append(mixed >> np.uint64(BAND_BITS) << np.uint64(BAND_BITS) | np.uint64(band))
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
@@ -106,12 +130,24 @@ def linked(sets: list[np.ndarray], percent: int, split: int | None = None) -> np
     column, owner = column[shared], owner[shared]
     column = np.unique(column, return_inverse=True)[1] if len(column) else column
     common = np.zeros((m, m), np.float32)
+    degree = np.bincount(column)
+    # Elements of few sets add to their pairs one by one, those of many by products.
+    for d in np.unique(degree[degree <= RARE]).tolist():
+        owners = owner[degree[column] == d].reshape(-1, d)
+        for i in range(d):
+            for j in range(i):
+                np.add.at(common, (owners[:, j], owners[:, i]), 1)
+    common += common.T
+    often = degree[column] > RARE
+    column, owner = column[often], owner[often]
+    column = np.unique(column, return_inverse=True)[1] if len(column) else column
     width = max(256, min(4096, 16_000_000 // max(m, 1)))
     for start in range(0, int(column.max()) + 1 if len(column) else 0, width):
         a, b = np.searchsorted(column, [start, start + width])
-        part = np.zeros((m, width), np.float32)
+        part = np.zeros((m, min(width, int(column[b - 1]) + 1 - start)), np.float32)
         part[owner[a:b], column[a:b] - start] = 1
         common += part @ part.T
+    np.fill_diagonal(common, sizes)
     near = 100 * common >= percent * (sizes[:, None] + sizes[None] - common)
     if split is not None:
         near[:split, :split] = near[split:, split:] = False
@@ -138,28 +174,50 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def summarise(batches):
-        hashes, seen = _Hashes(), set()
+        hashes = _Hashes()
         for batch in steps(batches):
-            keys, sizes, signed = [], [], []
+            keys, sizes = [], []
+            for text in batch.column("text").to_pylist():
+                elements = gram_set(text, hashes, n)
+                keys.append(xxhash.xxh3_128_digest(elements.tobytes()) if len(elements) else None)
+                sizes.append(len(elements))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64())],
+                names=["doc_id", "key", "n"])
+
+    def sign(batches):
+        hashes, seen = _Hashes(), set()
+        for batch in steps(batches, limit=STEP_CHARS // 4):
+            nodes, signed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for text in batch.column("text").to_pylist():
                 elements = gram_set(text, hashes, n)
                 key = xxhash.xxh3_128_digest(elements.tobytes())
+                if key in seen:
+                    continue
                 if len(seen) > 200_000:
                     seen.clear()
-                signed.append([] if key in seen else signatures(elements, percent))
                 seen.add(key)
-                keys.append(key if len(elements) else None)
-                sizes.append(len(elements))
+                signed.append(signatures(elements, percent))
+                nodes.append(np.full(len(signed[-1]), int.from_bytes(key[:7], "big")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                 pa.array(signed, pa.list_(pa.int64()))], names=["doc_id", "key", "n", "signed"])
-
-    rows = staged(texts.mapInArrow(summarise, "doc_id bigint, key binary, n bigint, signed array<bigint>"))
-    node = F.conv(F.hex(F.substring("key", 1, 7)), 16, 10).cast("bigint").alias("node")
-    signed = rows.where(F.size("signed") > 0).select(node, F.explode("signed").alias("sig"))
-    from pyspark.sql import Window
-    hubs = (signed.select("node", F.min("node").over(Window.partitionBy("sig")).alias("hub"))
-            .where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+                [pa.array(np.concatenate(signed)), pa.array(np.concatenate(nodes))], names=["sig", "node"])
+
+    rows = staged(texts.mapInArrow(summarise, "doc_id bigint, key binary, n bigint"))
+    alike = Window.partitionBy("sig")
+
+    def shared_by_several(signed):
+        ends = signed.select("sig", "node", F.min("node").over(alike).alias("hub"), F.max("node").over(alike).alias("last"))
+        return ends.where("hub <> last")
+
+    signed = staged(shared_by_several(texts.mapInArrow(sign, "sig bigint, node bigint")).select("sig", "node").distinct())
+    band = F.col("sig").bitwiseAND((1 << BAND_BITS) - 1).cast("int")
+    needed = F.get(F.array(*map(F.lit, _bands(percent)[3])), F.col("band"))
+    for _ in range(ROUNDS):
+        signed = signed.withColumn("band", band)
+        strong = staged(signed.groupBy("node", "band").agg(F.count("*").alias("n")).where(F.col("n") >= needed)
+                        .select("node", "band"))
+        signed = staged(shared_by_several(signed.join(strong, ["node", "band"]).select("sig", "node")))
+    hubs = signed.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     groups = staged(components(hubs))
     bits = np.zeros(1 << BITS, np.uint8)
     places = groups.select(F.pmod("node", F.lit(1 << BITS)).cast("int").alias("p")).distinct().toPandas()
