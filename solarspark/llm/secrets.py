@@ -1,6 +1,7 @@
 """Secret scan: fixed patterns, and runs of characters that look random.
 
-Runs of key characters that no pattern covers go through a battery of tests:
+What the patterns leave of a run of key characters is cut at equals signs before more
+characters and around the words of paths. The pieces go through a battery of tests:
 
 * The alphabet is the smallest of a few encodings that has all characters of the run.
 * Against chance: a chi-squared test of uniform use of that alphabet, a runs test around
@@ -33,13 +34,18 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "random")
 
-RUN = 20  # characters a run has at least; every access and hex match lies inside one
+RUN = 20  # characters a run or piece has at least; every access and hex match lies inside one
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ENCODINGS = [_DIGITS + "abcdef", _DIGITS + "ABCDEF", _UPPER + "234567", _DIGITS + _LOWER,
              _DIGITS + _UPPER, _DIGITS + _UPPER + _LOWER, _UPPER + _LOWER + _DIGITS + "+/",
              _UPPER + _LOWER + _DIGITS + "-_", _UPPER + _LOWER + _DIGITS + "+/-_"]
 _IN_RUN = np.zeros(129, bool)
 _IN_RUN[[ord(c) for c in _DIGITS + _LOWER + _UPPER + "+/_=-"]] = True
+# A piece ends before an equals sign; up to two at the end of its run are padding.
+_PIECE = re.compile(r"[^=]+(?:={1,2}(?![^=]))?")
+# A part of a path that reads like words: three letters of one case in a row somewhere.
+_SUBWORD = "(?>[A-Z]{2,}|[vV]?[0-9]{1,4}|[A-Za-z]?[a-z]*)"
+_WORDS = re.compile(rf"(?=.*[a-z]{{3}}|.*[A-Z]{{3}}){_SUBWORD}(?:[-_+]{_SUBWORD})*+")
 
 
 def _two_sided(z: float) -> float:
@@ -72,6 +78,42 @@ def battery(run: str) -> tuple[int, float]:
     return size, min(1.0, 3 * min(p_uniform, p_runs, p_serial))
 
 
+def pieces(text: str, start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Parts of a run outside ``taken`` spans that are judged on their own."""
+    rests, at = [], start
+    for s, e in taken:
+        if s < end and e > at:
+            rests.append((at, s))
+            at = e
+    rests.append((at, end))
+    out = []
+    for a, b in rests:
+        if b - a < RUN:
+            continue
+        for match in _PIECE.finditer(text, a, b):
+            first, last = match.span()
+            parts, place = [], first
+            for part in match[0].split("/"):
+                parts.append((place, place + len(part), bool(_WORDS.fullmatch(part.rstrip("=")))))
+                place += len(part) + 1
+            if not any(p[2] for p in parts):
+                # A separator beside a span that was taken is no part of a key.
+                first += first == a > start and text[first] in "/-_"
+                out.append((first, last))
+                continue
+            held = None
+            for s, e, word in [*parts, (last, last, True)]:
+                if word:
+                    if held:
+                        out.append(held)
+                    held = None
+                elif e > s:
+                    held = (held[0] if held else s, e)
+            # A key made of words only is one of the parts.
+            out += [(s, e) for s, e, word in parts if word]
+    return [(s, e) for s, e in out if e - s >= RUN]
+
+
 def _random_runs(runs: list[tuple[int, int]], text: str, points: np.ndarray, alpha: float,
                  uneven: float) -> list[tuple[int, int]]:
     if not runs:
@@ -113,7 +155,7 @@ def scan(text: str, alpha: float = 1e-4, uneven: float = 1e-3) -> list[tuple[str
             found += [(kind, *m.span()) for m in pattern.finditer(text, start, end)
                       if m.end() - m.start() >= LEAST[kind]]
     taken = sorted((s, e) for _, s, e in found)
-    free = [r for r in runs if not any(s < r[1] and r[0] < e for s, e in taken)] if taken else runs
+    free = [piece for r in runs for piece in pieces(text, *r, taken)]
     found += [("random", s, e) for s, e in _random_runs(free, text, points, alpha, uneven)]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
