@@ -8,7 +8,8 @@ characters and around the words of paths. The pieces go through a battery of tes
   its middle, and a test of serial correlation. A run is dropped if any of them says that
   a uniform source would hardly give it.
 * Against ordinary text: the likelihood of the run under the uniform source is divided by
-  that under the letters of its own document. One over this ratio bounds the probability
+  that under the letters of its document outside all runs judged, on top of a fixed
+  stock of ordinary letters, so that keys do not count as ordinary text. One over this ratio bounds the probability
   that ordinary letters give such a run, and falls with its length. The runs of a document
   are judged together by the Benjamini-Hochberg procedure, with weights by length.
 """
@@ -39,6 +40,13 @@ _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHI
 ENCODINGS = [_DIGITS + "abcdef", _DIGITS + "ABCDEF", _UPPER + "234567", _DIGITS + _LOWER,
              _DIGITS + _UPPER, _DIGITS + _UPPER + _LOWER, _UPPER + _LOWER + _DIGITS + "+/",
              _UPPER + _LOWER + _DIGITS + "-_", _UPPER + _LOWER + _DIGITS + "+/-_"]
+# Ordinary letters a document starts with: fixed counts of characters below 128, then others.
+_STOCK = np.ones(129)
+for _chars, _count in ((" ", 90), ("e", 55), ("t", 38), ("anios", 34), ("r", 32), ("hl", 22), ("d", 20), ("uc", 16), ("m", 13),
+                       ("pgf", 10), ("bvw", 8), ("y", 7), ("kz", 4), ("jqx", 1), (".,\n", 5), ("-_/", 1),
+                       (_UPPER, 0.6), (_DIGITS, 1)):
+    for _c in _chars:
+        _STOCK[ord(_c)] += _count
 _IN_RUN = np.zeros(129, bool)
 _IN_RUN[[ord(c) for c in _DIGITS + _LOWER + _UPPER + "+/_=-"]] = True
 # A piece ends before an equals sign; up to two at the end of its run are padding.
@@ -114,11 +122,14 @@ def pieces(text: str, start: int, end: int, taken: list[tuple[int, int]]) -> lis
     return [(s, e) for s, e in out if e - s >= RUN]
 
 
-def _random_runs(runs: list[tuple[int, int]], text: str, points: np.ndarray, alpha: float,
-                 uneven: float) -> list[tuple[int, int]]:
+def _random_runs(runs: list[tuple[int, int]], taken: list[tuple[int, int]], text: str, points: np.ndarray,
+                 alpha: float, uneven: float) -> list[tuple[int, int]]:
     if not runs:
         return []
-    letters = np.bincount(np.minimum(points, 128), minlength=129) + 1.0
+    outside = np.ones(len(points), bool)
+    for start, end in [*runs, *taken]:
+        outside[start:end] = False
+    letters = np.bincount(np.minimum(points[outside], 128), minlength=129) + _STOCK
     log_text = np.log(letters / letters.sum())
     judged = []
     for start, end in runs:
@@ -156,7 +167,7 @@ def scan(text: str, alpha: float = 1e-4, uneven: float = 1e-3) -> list[tuple[str
                       if m.end() - m.start() >= LEAST[kind]]
     taken = sorted((s, e) for _, s, e in found)
     free = [piece for r in runs for piece in pieces(text, *r, taken)]
-    found += [("random", s, e) for s, e in _random_runs(free, text, points, alpha, uneven)]
+    found += [("random", s, e) for s, e in _random_runs(free, taken, text, points, alpha, uneven)]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
