@@ -1,11 +1,12 @@
 """Main text of web pages, with what a site repeats on its pages taken out.
 
-Each page is read into blocks of text. A block knows the element subtrees it lies in, each
-by a hash of its tags, classes and text. Spark counts, for every host, on how many pages a
-subtree occurs; subtrees on many pages of a host are its template and their blocks go.
-Elements that by their name, role or class are menus, headers, footers, sidebars, notices,
-adverts, forms or comments go too. Paragraphs and headings of an article are never taken
-for a template, so that an article served under several addresses keeps its text.
+Each page is read into blocks of text. All element subtrees of a page, within articles too,
+get a hash of their tags, classes and text. Spark counts, for every host, on how many
+different contents a subtree occurs; subtrees on many of a host are its template and their
+blocks go. The content of a page is the text it would have without this, so that an article
+served under several addresses counts once and keeps its text. Only small labelled parts of
+an article that hold no paragraph count by address. Elements that by their name, role or
+class are menus, headers, footers, sidebars, notices, adverts, forms or comments go too.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .common import staged, steps
 
-MANY_PAGES = 4  # a subtree on as many pages of a host at least
-MANY_SHARE = 0.2  # and on this share of the host's pages is a part of its template
+MANY_PAGES = 4  # a subtree on as many different pages of a host at least
+MANY_SHARE = 0.2  # and on this share of the host's different pages is a part of its template
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -42,17 +43,19 @@ _NAMED = re.compile(
 _HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.I)
 _CLOSES = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
            "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "option": {"option"}}
+_ROOTS = {"", "html", "body", "article", "main"}  # never a template themselves
+_PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote", "pre", "td", "th", "dd", "dt"}
 _SCOPE = {"article", "aside", "body", "div", "html", "main", "ol", "section", "table", "td", "ul", "dl", "blockquote"}
 
 
 class _Element:
-    __slots__ = ("tag", "digest", "dropped", "main", "named", "parent", "number")
+    __slots__ = ("tag", "digest", "dropped", "main", "named", "parent", "number", "length", "prose")
 
     def __init__(self, tag, parent, attributes, number):
         own = {k.lower(): html.unescape((v or "").strip("\"'")) for k, v in _ATTRIBUTE.findall(attributes)} if attributes else {}
         label = f"{own.get('class', '')} {own.get('id', '')}".strip()
         self.tag, self.parent, self.number = tag, parent, number
-        self.named = bool(label)
+        self.named, self.length, self.prose = bool(label), 0, tag in _PROSE
         self.main = (parent.main if parent else False) or tag in ("article", "main") or own.get("role") in ("main", "article")
         hidden = "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "")
         # The header of an article holds its title; any other one is the site's.
@@ -64,33 +67,45 @@ class _Element:
         self.digest = xxhash.xxh3_64(f"<{tag} {label}>")
 
 
-def read_page(source: str) -> list[tuple[str, bool, list[int]]]:
-    """Blocks of a page in order: text, whether it lies in an article, and the hashes of the
-    subtrees around it that may be a template. Dropped elements give no block."""
+def read_page(source: str) -> tuple[list[tuple[str, list[int]]], list[int], list[int]]:
+    """Blocks of a page in order, each a text and the places of the subtrees around it; the
+    hashes of all subtrees with text; and the places of those that count by address.
+
+    Dropped elements give no block; if there is an article, only its blocks are given.
+    """
     numbers = 0
     root = _Element("", None, "", 0)
-    stack, blocks, text, holder = [root], [], [], root
+    stack, elements, blocks, text, holder = [root], [], [], [], None
 
     def flush():
-        nonlocal text
+        nonlocal text, holder
         if text:
             whole = " ".join(html.unescape("".join(text)).split())
             text = []
             if whole and not holder.dropped:
                 blocks.append((whole, holder))
+            holder = None
 
     def pop():
         element = stack.pop()
         if stack:
             stack[-1].digest.update(element.digest.digest())
+            stack[-1].length += element.length
+            stack[-1].prose |= element.prose
 
     def add(piece):
         nonlocal holder
         if piece:
-            if not text:
-                holder = stack[-1]
             text.append(piece)
-            stack[-1].digest.update(piece.strip())
+            bare = piece.strip()
+            if bare:
+                # The innermost element around all of the block.
+                if holder is None:
+                    holder = stack[-1]
+                while holder not in stack:
+                    holder = holder.parent
+                stack[-1].digest.update(bare)
+                stack[-1].length += len(bare)
 
     at, raw_end = 0, len(source)
     for match in iter(lambda: _TOKEN.search(source, at), None):
@@ -123,6 +138,7 @@ def read_page(source: str) -> list[tuple[str, bool, list[int]]]:
                 at = end.end() if end else raw_end
             elif not match[3].rstrip().endswith("/") or tag in _BLOCK:
                 stack.append(element)
+                elements.append(element)
         else:
             if tag in _BLOCK or tag in _DROPPED:
                 flush()
@@ -134,19 +150,28 @@ def read_page(source: str) -> list[tuple[str, bool, list[int]]]:
     flush()
     while len(stack) > 1:
         pop()
+    if any(e.main for _, e in blocks):
+        blocks = [b for b in blocks if b[1].main]
+    places: dict[int, int] = {}
+    by_address, place_of = set(), {}
+    half = sum(len(t) for t, _ in blocks) / 2
+    for element in elements:
+        if element.length and element.tag not in _ROOTS:
+            place = place_of[element.number] = places.setdefault(element.digest.intdigest() - (1 << 63), len(places))
+            if element.main and element.named and not element.prose and element.length < half:
+                by_address.add(place)
     out = []
     for whole, element in blocks:
-        around, in_main = [], element.main
-        # Within an article only elements that carry a class or an id may be a template.
-        while element.parent is not None:
-            if element.tag not in ("html", "body", "article", "main") and (not element.main or element.named):
-                around.append(element.digest.intdigest() - (1 << 63))
+        around = []
+        while element is not None:
+            if element.number in place_of:
+                around.append(place_of[element.number])
             element = element.parent
-        out.append((whole, in_main, around))
-    return out
+        out.append((whole, around))
+    return out, list(places), sorted(by_address)
 
 
-_BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int64()))]))
+_BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int32()))]))
 
 
 def extract_text(pages: DataFrame, many_pages: int = MANY_PAGES, many_share: float = MANY_SHARE) -> DataFrame:
@@ -161,34 +186,41 @@ def extract_text(pages: DataFrame, many_pages: int = MANY_PAGES, many_share: flo
 
     def parse(batches):
         for batch in steps(batches, "html"):
-            found = []
+            found, contents, subtrees, labelled = [], [], [], []
             for source in batch.column("html").to_pylist():
-                blocks = read_page(source) if source else []
-                if any(b[1] for b in blocks):
-                    blocks = [b for b in blocks if b[1]]
-                found.append([{"text": t, "around": a} for t, _, a in blocks])
+                blocks, hashes, by_address = read_page(source) if source else ([], [], [])
+                found.append([{"text": t, "around": a} for t, a in blocks])
+                contents.append(xxhash.xxh3_64_intdigest("\n".join(t for t, _ in blocks)) - (1 << 63))
+                subtrees.append(hashes)
+                labelled.append(by_address)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(found, _BLOCKS)],
-                names=["page_id", "url", "host", "blocks"])
+                [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(found, _BLOCKS),
+                 pa.array(contents, pa.int64()), pa.array(subtrees, pa.list_(pa.int64())),
+                 pa.array(labelled, pa.list_(pa.int32()))],
+                names=["page_id", "url", "host", "blocks", "content", "subtrees", "labelled"])
 
     parsed = staged(rows.mapInArrow(
-        parse, "page_id bigint, url string, host string, blocks array<struct<text:string,around:array<bigint>>>")
-        .withColumns({"row": F.monotonically_increasing_id(),
-                      "whole": ~F.exists("blocks", lambda b: F.size(b["around"]) > 0)}))
-    # Pages without a subtree that may be a template are done; the others meet theirs.
-    open_pages = parsed.where("not whole")
-    around = F.array_distinct(F.flatten(F.col("blocks.around")))
-    subtrees = open_pages.select("row", "host", F.explode(around).alias("subtree"))
-    sizes = parsed.groupBy("host").agg(F.count("*").alias("pages"))
-    repeated = subtrees.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= many_pages)
-    template = (repeated.join(sizes, "host").where(F.col("n") >= many_share * F.col("pages"))
-                .select("host", "subtree"))
-    gone = (subtrees.join(template, ["host", "subtree"]).groupBy("row")
-            .agg(F.collect_set("subtree").alias("gone")))
+        parse, "page_id bigint, url string, host string, blocks array<struct<text:string,around:array<int>>>,"
+               " content bigint, subtrees array<bigint>, labelled array<int>")
+        .withColumn("row", F.monotonically_increasing_id()))
+    subtree = F.xxhash64("host", "subtree").alias("subtree")
+    counted = parsed.select("host", "content", F.xxhash64("url").alias("address"), "labelled",
+                            F.posexplode("subtrees").alias("place", "subtree"))
+    counted = counted.select("host", subtree, F.when(F.array_contains("labelled", F.col("place")), F.col("address"))
+                             .otherwise(F.col("content")).alias("page")).distinct()
+    sizes = parsed.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    repeated = counted.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= many_pages)
+    template = (repeated.join(sizes, "host").where(F.col("n") >= many_share * F.col("pages")).select("subtree"))
+    # Only subtrees around text that is left can still take something away.
+    places = parsed.select("row", "host", "subtrees", F.explode(
+        F.array_distinct(F.flatten(F.col("blocks.around")))).alias("place"))
+    places = places.select("row", "place", F.col("host"), F.get("subtrees", "place").alias("subtree")).select(
+        "row", "place", subtree)
+    # Staged, so that a small table is known to be small before the texts would be shuffled.
+    gone = staged(places.join(template, "subtree").groupBy("row").agg(F.collect_set("place").alias("gone")))
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], F.coalesce(
-        F.col("gone"), F.array().cast("array<bigint>"))))
-    ready = parsed.where("whole").select("page_id", "url", "blocks").unionByName(
-        open_pages.join(gone, "row", "left").select("page_id", "url", kept.alias("blocks")))
+        F.col("gone"), F.array().cast("array<int>"))))
+    ready = parsed.join(gone, "row", "left").select("page_id", "url", kept.alias("blocks"))
     text = F.concat_ws("\n", F.col("blocks.text")).alias("text")
     return ready.select("page_id", "url", text).select(
         "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))

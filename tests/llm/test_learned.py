@@ -180,6 +180,21 @@ def test_template_of_a_site_goes(spark):
     assert [found[i] for i in range(7, 13)] == ["Same article"] * 6
 
 
+def test_template_within_articles_goes(spark):
+    page = ("<body><article><h1>Title {0}</h1><p><b>Note</b> of {0}</p><p>Sign up for our newsletter</p>"
+            "<div>All rights <i>reserved</i></div></article></body>")
+    rows = [(f"http://a.com/{i}", page.format(f"story {i}")) for i in range(6)]
+    rows += [(f"http://b.com/{i}", page.format("the same")) for i in range(6)]
+    rows += [("http://c.com/", f"<p>One text</p><p>Two</p><nav>{i}</nav>") for i in range(6)]
+    rows += [(f"http://d.com/{i}", "<article><div class='body'>Only a <b>text</b></div></article>") for i in range(6)]
+    found = {r["page_id"]: r["text"] for r in html_text.extract_text(pages_of(spark, rows)).collect()}
+    assert [found[i] for i in range(6)] == [f"Title story {i}\nNote of story {i}" for i in range(6)]
+    assert {found[i] for i in range(6, 12)} == {
+        "Title the same\nNote of the same\nSign up for our newsletter\nAll rights reserved"}
+    assert {found[i] for i in range(12, 18)} == {"One text\nTwo"}
+    assert {found[i] for i in range(18, 24)} == {"Only a text"}
+
+
 # --- components, queries, pipeline
 
 def test_components_of_chains_and_stars(spark):
