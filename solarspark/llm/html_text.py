@@ -21,8 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import staged, steps
 
-MANY_PAGES = 4  # a subtree on as many different pages of a host at least
-MANY_SHARE = 0.2  # and on this share of the host's different pages is a part of its template
+MANY_PAGES = 4  # a subtree on as many different pages of a host at least is a part of its template
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -174,7 +173,7 @@ def read_page(source: str) -> tuple[list[tuple[str, list[int]]], list[int], list
 _BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int32()))]))
 
 
-def extract_text(pages: DataFrame, many_pages: int = MANY_PAGES, many_share: float = MANY_SHARE) -> DataFrame:
+def extract_text(pages: DataFrame, many_pages: int = MANY_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages`` (page_id, url, html).
 
     If a page has an article or main element, only that is read, else the whole body. A
@@ -206,11 +205,10 @@ def extract_text(pages: DataFrame, many_pages: int = MANY_PAGES, many_share: flo
     subtree = F.xxhash64("host", "subtree").alias("subtree")
     counted = parsed.select("host", "content", F.xxhash64("url").alias("address"), "labelled",
                             F.posexplode("subtrees").alias("place", "subtree"))
-    counted = counted.select("host", subtree, F.when(F.array_contains("labelled", F.col("place")), F.col("address"))
+    counted = counted.select(subtree, F.when(F.array_contains("labelled", F.col("place")), F.col("address"))
                              .otherwise(F.col("content")).alias("page")).distinct()
-    sizes = parsed.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    repeated = counted.groupBy("host", "subtree").agg(F.count("*").alias("n")).where(F.col("n") >= many_pages)
-    template = (repeated.join(sizes, "host").where(F.col("n") >= many_share * F.col("pages")).select("subtree"))
+    template = (counted.groupBy("subtree").agg(F.count("*").alias("n"))
+                .where(F.col("n") >= many_pages).select("subtree"))
     # Only subtrees around text that is left can still take something away.
     places = parsed.select("row", "host", "subtrees", F.explode(
         F.array_distinct(F.flatten(F.col("blocks.around")))).alias("place"))

@@ -195,6 +195,15 @@ def test_template_within_articles_goes(spark):
     assert {found[i] for i in range(18, 24)} == {"Only a text"}
 
 
+def test_template_of_a_section_goes_and_copies_stay(spark):
+    section = "<body><p>Weather desk, all days</p><p>{}</p></body>"
+    rows = [(f"http://a.com/{i}", section.format(f"story {i}") if i < 6 else f"<p>Page {i}</p>") for i in range(60)]
+    rows += [(f"http://b.com/{i}", "<p>First of a text</p><p>Second</p>") for i in range(4)] + [("http://b.com/x", "<p>y</p>")]
+    found = {r["page_id"]: r["text"] for r in html_text.extract_text(pages_of(spark, rows)).collect()}
+    assert [found[i] for i in range(60)] == [f"story {i}" if i < 6 else f"Page {i}" for i in range(60)]
+    assert [found[i] for i in range(60, 65)] == ["First of a text\nSecond"] * 4 + ["y"]
+
+
 # --- components, queries, pipeline
 
 def test_components_of_chains_and_stars(spark):
