@@ -15,6 +15,7 @@ document is taught as toxic.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -30,7 +31,6 @@ TABLE = 60_000  # words and parts in the table, at most
 LEAST_SHARE = 0.008  # of the training documents a word or part has to be in, and in two
 PARTS = 5  # keys of a word
 TRAIN_DOCS = 1500  # labelled documents of each class to learn from, at most
-TRAIN_WORDS = 4000  # words of a document to learn from, at most
 _WORD = re.compile(r"\w+")
 
 
@@ -157,42 +157,51 @@ def padded(windows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def train(texts: list[str], labels: list[int], share: float | None = None, rounds: int = 3,
           batch: int = 128, rate: float = 0.01) -> Network:
-    """Fit by Adam; deterministic for the same rows in the same order.
+    """Fit by Adam on all windows; deterministic for the same rows in the same order.
 
     ``share`` is the share of label 1 among all documents, where the sample's is another.
     """
     net, rng = Network(), np.random.default_rng(2)
     seen = Counter()
     vocabulary: dict[str, int] = {}
-    units, owner = [], []
+    flat, starts, ends, owner = array("i"), array("q"), array("q"), array("i")
     for i, text in enumerate(texts):
-        listed = words_of(text)[:TRAIN_WORDS]
+        listed = words_of(text)
         seen.update({k for w in set(listed) for k in keys_of(w)})
-        words = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in listed], np.int64)
-        for a, b in windows_of(len(words)):
+        at = len(flat)
+        flat.extend(vocabulary.setdefault(w, len(vocabulary)) for w in listed)
+        for a, b in windows_of(len(listed)):
             if b > a:
-                units.append(words[a:b])
+                starts.append(at + a)
+                ends.append(at + b)
                 owner.append(i)
-    if not units or len(set(labels)) < 2:
+    if not owner or len(set(labels)) < 2:
         net.calibration[-1] = -3.0
         return net
     frequent = sorted((-n, k) for k, n in seen.items() if n >= max(2, LEAST_SHARE * len(texts)))[:TABLE]
     net = Network(keys=[k for _, k in frequent])
     rows = net.table_rows(vocabulary)
     owner, y = np.array(owner), np.array(labels, np.float32)
-    index, mask = padded(units)
+    flat, starts, ends = np.array(flat), np.array(starts), np.array(ends)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     step = 0
 
+    def windows(pick):
+        """Words and mask of some windows; all windows at once would be many times the texts."""
+        at = starts[pick][:, None] + np.arange(WINDOW)
+        mask = at < ends[pick][:, None]
+        return np.where(mask, flat[np.minimum(at, len(flat) - 1)], 0), mask
+
     def logits():
         out = []
-        for s in range(0, len(units), 2048):
-            used, local = np.unique(index[s:s + 2048], return_inverse=True)
+        for s in range(0, len(owner), 2048):
+            index, mask = windows(slice(s, s + 2048))
+            used, local = np.unique(index, return_inverse=True)
             gates = net.projected(net.vectors(rows[used]))
-            out.append(net.forward(gates, local.reshape(-1, WINDOW), mask[s:s + 2048]))
+            out.append(net.forward(gates, local.reshape(-1, WINDOW), mask))
         return np.concatenate(out)
 
-    chosen = np.arange(len(units))
+    chosen = np.arange(len(owner))
     for k in range(rounds):
         if k:
             score = logits()
@@ -208,12 +217,13 @@ def train(texts: list[str], labels: list[int], share: float | None = None, round
             if s == 0:
                 chosen = rng.permutation(chosen)
             pick = chosen[s:s + batch]
-            used, local = np.unique(index[pick], return_inverse=True)
+            index, mask = windows(pick)
+            used, local = np.unique(index, return_inverse=True)
             own = rows[used]
             x = net.vectors(own)
-            logit, kept = net.forward(net.projected(x), local.reshape(-1, WINDOW), mask[pick], keep=True)
+            logit, kept = net.forward(net.projected(x), local.reshape(-1, WINDOW), mask, keep=True)
             error = (_sigmoid(logit) - y[owner[pick]]) / len(pick)
-            g, d_x = net.gradients(x, local, mask[pick], error.astype(np.float32), kept)
+            g, d_x = net.gradients(x, local, mask, error.astype(np.float32), kept)
             table_rows, place = np.unique(own, return_inverse=True)
             place = place.reshape(own.shape)
             table_g = np.zeros((len(table_rows), WIDTH), np.float32)
@@ -337,8 +347,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Network:
-    rows = training_rows(docs, labels, "toxic", per_class).withColumn(
-        "text", F.substring("text", 1, 16 * TRAIN_WORDS)).collect()
+    rows = training_rows(docs, labels, "toxic", per_class).collect()
     rows = sorted({(r["doc_id"], r["text"], r["y"]) for r in rows})
     known = labels.where(learnable()).agg(F.count_if(F.col("toxic") == 1).alias("toxic"),
                                           F.count_if(F.col("toxic") == 0).alias("clean")).first()

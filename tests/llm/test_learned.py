@@ -110,6 +110,21 @@ def test_toxicity(spark, documents):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in found.items() if r["score"] < 0.5}
 
 
+def test_toxicity_learns_from_the_end_of_long_texts(spark, documents):
+    rng = random.Random(12)
+    words = [f"{a}{b}" for a in ("lo", "mi", "ta", "ru") for b in ("ne", "sa", "ko", "vi", "da")]
+    texts, values = [], []
+    for i in range(80):
+        toxic = i % 2
+        tail = [w if rng.random() < 0.5 or not toxic else rng.choice(["badword", "vilest"]) for w in rng.choices(words, k=90)]
+        texts.append(" ".join(rng.choices(words, k=4010) + tail))
+        values.append((None, toxic))
+    net = toxicity.fit(documents(texts), labels_of(spark, values))
+    assert "<badword>" in net.rows
+    found = by_id(toxicity.score_toxicity(documents(texts), labels_of(spark, values)))
+    assert np.mean([found[i]["predicted"] == values[i][1] for i in range(80) if held(i)]) > 0.9
+
+
 def test_quality(spark, documents):
     rng = random.Random(3)
     texts, values = [], []
