@@ -23,7 +23,6 @@ from .common import learnable, map_texts
 from .toxicity import training_rows
 
 TRAIN_DOCS = 2000  # labelled documents of each class to learn from, at most
-TRAIN_CHARS = 20_000  # characters of a document to learn from, at most
 TRAIN_LINES = 64  # lines of one training sequence
 OWN = 16  # features of a line by itself; three such rows and a constant make one
 
@@ -217,8 +216,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3,
     row each; a null id counts as held out; null labels teach nothing; with labels of one
     class every text gets the same score, 0.5 with none. Other columns are not looked at.
     """
-    rows = training_rows(docs, labels, "quality", per_class).withColumn(
-        "text", F.substring("text", 1, TRAIN_CHARS)).collect()
+    rows = training_rows(docs, labels, "quality", per_class).collect()
     rows = sorted({(r["doc_id"], r["text"], r["y"]) for r in rows})
     sent = docs.sparkSession.sparkContext.broadcast(train([r[1] for r in rows], [r[2] for r in rows]))
 

@@ -141,6 +141,22 @@ def test_quality(spark, documents):
     assert all(0 <= r["score"] <= 1 for r in found.values()) and len(found) == 400 + len(HARD)
 
 
+def test_quality_learns_from_the_end_of_long_texts(spark, documents):
+    rng = random.Random(13)
+    texts, values = [], []
+    for i in range(60):
+        good = i % 2
+        lines = [" ".join(rng.sample("one two three four five six seven".split(), 6)) + "." for _ in range(760)]
+        if not good:
+            lines += ["one%%% two%%% three%%%"] * 300
+        texts.append("\n".join(lines))
+        values.append((good, None))
+    assert min(map(len, texts)) > 20_000
+    found = by_id(quality.score_quality(documents(texts), labels_of(spark, values)))
+    held_out = [i for i in range(60) if held(i)]
+    assert max(found[i]["score"] for i in held_out if not values[i][0]) < min(found[i]["score"] for i in held_out if values[i][0]) - 0.1
+
+
 @pytest.mark.parametrize("values", [[], [(None, None)], [(1, 1)] * 9])
 def test_labels_that_teach_nothing(spark, documents, values):
     docs = documents([*HARD, "some words"])
