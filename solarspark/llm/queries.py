@@ -63,6 +63,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrases import collocations
+    return collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .spelling import spelling_variants
     return spelling_variants(read(spark, sf_dir, "documents"), slip_every=97)
@@ -75,6 +80,6 @@ def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_bpe, op3_fingerprints, op4_ngram_jaccard, op5_token_counts, op6_language,
-    op7_secrets, op8_html_text, op9_toxicity, op10_quality, op12_spelling,
-    op13_minhash)}
+    op7_secrets, op8_html_text, op9_toxicity, op10_quality, op11_phrases,
+    op12_spelling, op13_minhash)}
 ORACLE: dict[str, str] = {"op1_decontaminate": ORACLE_SQL}
