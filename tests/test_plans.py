@@ -116,11 +116,14 @@ def test_model_months_prune_the_written_table(spark, tmp_path):
         assert "MONTH" in filters_at[:filters_at.index("]")]
 
 
-def test_quantiles_count_values_before_they_meet(spark):
-    from solarspark.operators.quantiles import exact_quantiles
-    text = plan(exact_quantiles(spark.read.parquet(f"{SF_DIR}/lineitem.parquet"), "l_quantity"))
-    above, below = text.split("Exchange SinglePartition", 1)
-    assert "partial_percentile" in below and "hashpartitioning(__v" in below
+def test_quantiles_count_bins_and_do_not_exchange_values(spark, monkeypatch):
+    from solarspark.operators import quantiles
+    plans, settle = [], quantiles._settle
+    monkeypatch.setattr(quantiles, "_settle", lambda df: plans.append(plan(df)) or settle(df))
+    quantiles.exact_quantiles(spark.read.parquet(f"{SF_DIR}/lineitem.parquet"), "l_extendedprice", [0.5], (), 100)
+    assert any("partial_count" in text and "bin#" in text for text in plans)
+    for text in plans:
+        assert not [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "__v" in line]
 
 
 def test_weather_check_shares_the_shuffle_of_the_join(spark):

@@ -20,46 +20,74 @@ def skewed(spark, n=6000):
         .when(F.col("id") % 13 == 0, None).otherwise(F.round(F.rand(3) * 1000, 3)).alias("v"))
 
 
-@pytest.mark.parametrize("task_values", [quantiles.TASK_VALUES, 300])
-def test_quantiles_match_numpy_either_way(spark, task_values):
+@pytest.fixture
+def sizes(monkeypatch):
+    """Set sizes at which test data count as large."""
+    def put(**values):
+        for name, value in values.items():
+            monkeypatch.setattr(quantiles, name, value)
+    return put
+
+
+@pytest.mark.parametrize("values,bins,local", [(quantiles.INTERVAL_VALUES, 1024, 10_000), (300, 16, 10_000), (0, 4, 3)])
+def test_quantiles_match_numpy_at_any_size(spark, sizes, values, bins, local):
+    sizes(BINS=bins, LOCAL_ROWS=local)
     df = skewed(spark)
     frame = df.toPandas()
     frame["g"] = frame["g"].astype(object).where(frame["g"].notna(), None)
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    rows = quantiles.exact_quantiles(df, "v", probabilities, ["g"], task_values).collect()
+    rows = quantiles.exact_quantiles(df, "v", probabilities, ["g"], values).collect()
     assert len(rows) == frame["g"].nunique(dropna=False)
     for row in rows:
         group = frame[frame["g"].isna()] if row.g is None else frame[frame["g"] == row.g]
-        values = group["v"].dropna().to_numpy()
-        assert row.n == len(values)
-        assert list(row)[2:] == pytest.approx(list(np.quantile(values, probabilities)), rel=1e-12)
-    whole = quantiles.exact_quantiles(df, "v", [0.25, 0.5], (), task_values).first()
+        found = group["v"].dropna().to_numpy()
+        assert row.n == len(found)
+        assert list(row)[2:] == pytest.approx(list(np.quantile(found, probabilities)), rel=1e-12)
+    whole = quantiles.exact_quantiles(df, "v", [0.25, 0.5], (), values).first()
     assert list(whole)[1:] == pytest.approx(
         list(np.quantile(frame["v"].dropna(), [0.25, 0.5])), rel=1e-12)
 
 
-def test_both_ways_agree_to_the_bit(spark):
+def test_passes_do_not_change_a_bit(spark, sizes):
     df = skewed(spark)
     one = quantiles.exact_quantiles(df, "v", [0.3, 0.77], ["g"]).collect()
+    sizes(BINS=5)
     two = quantiles.exact_quantiles(df, "v", [0.3, 0.77], ["g"], 0).collect()
     assert {tuple(r) for r in one} == {tuple(r) for r in two}
 
 
-def test_gaps_shrink_and_order_is_kept(spark):
+def test_ranks_among_extreme_values(spark, sizes):
+    """Clusters of different scale, infinities, the least steps between doubles and signed zeros."""
+    sizes(BINS=3)
+    inf = float("inf")
+    values = ([-inf, inf, 1.7976931348623157e308, -1.7976931348623157e308, 5e-324, 1e-323, -5e-324, 0.0, -0.0]
+              + [1 + i * 2.0 ** -52 for i in range(9)] + [10.0 ** e for e in range(-300, 300, 25)])
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    steps = [i / (len(values) - 1) for i in range(len(values))]
+    found = quantiles.exact_quantiles(df, "v", steps, (), 0).first()
+    place = [p * (len(values) - 1) for p in steps]
+    for got, at in zip(list(found)[1:], place):
+        if at == int(at):
+            assert got == sorted(values)[int(at)]
+
+
+def test_no_values(spark):
+    df = spark.createDataFrame([("a", None), ("b", NAN)], "g string, v double")
+    assert quantiles.exact_quantiles(df, "v", [0.5], ["g"]).count() == 0
+    assert tuple(quantiles.exact_quantiles(df, "v", [0.5]).first()) == (0, None)
+    one = quantiles.exact_quantiles(spark.createDataFrame([(3,)], "v int"), "v", [0.0, 0.5, 1.0]).first()
+    assert tuple(one) == (1, 3.0, 3.0, 3.0)
+
+
+def test_bins_are_counted_in_order(spark):
     df = spark.range(50000).select(F.lit(0).alias("__g"), F.rand(9).alias("__v"))
-    counts = quantiles._enclosed_counts(df, [0.25, 0.75])
-    kept, gaps = counts.filter("__exact").count(), counts.filter("not __exact").collect()
-    assert kept < 200 and len(gaps) == 3
-    assert counts.agg(F.sum("__n")).first()[0] == 50000
-    values = [r["__v"] for r in counts.filter("__exact").collect()]
-    assert not any(min(values) < g["__v"] < max(values) and 0.3 > g["__v"] for g in gaps)
-
-
-def test_a_failing_sketch_is_noticed(spark, monkeypatch):
-    df = spark.range(3000).select(F.round(F.rand(5) * 1e6, 1).alias("v"))
-    right = quantiles.exact_quantiles(df, "v", [0.5]).first()
-    monkeypatch.setattr(quantiles, "MARGIN", -0.2)
-    assert quantiles.exact_quantiles(df, "v", [0.5], (), 1).first() == right
+    state = df.groupBy("__g").agg(F.lit(7).alias("below"), F.min("__v").alias("low"), F.max("__v").alias("high"))
+    counts = quantiles._bin_counts(df, quantiles._brackets(state, 2), 2, True).orderBy("start").collect()
+    assert len(counts) <= quantiles.BINS and sum(r["held"] for r in counts) == 50000
+    start = 7
+    for before, r in zip([None, *counts], counts):
+        assert r["start"] == start and r["low"] <= r["high"] and (before is None or before["high"] < r["low"])
+        start += r["held"]
 
 
 def test_approximate_quantiles_are_close(spark):
