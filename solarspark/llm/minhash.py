@@ -8,10 +8,9 @@ neighbouring coordinates make a band; sets that agree in a band share a bucket.
 similarity of 0.85 a pair shares none of the ``BANDS`` buckets with a probability of 3e-7.
 
 Links are confirmed on the full sets of 64-bit n-gram hashes. Equal sets are one class from
-the beginning. Buckets are compared in a few rounds of growing numbers of bands, and after
-each round only buckets that still hold several components are looked at, and in them only
-sets of different components: near copies are joined by the first bands and then cost no
-more. A bucket of many sets, or of large ones, is compared block against block, so that no
+the beginning. A few bands are compared first. After that only buckets that still hold
+several groups are looked at, and in them only sets of different groups: most near copies
+are joined by the first bands and then cost no more. A bucket of many sets, or of large ones, is compared block against block, so that no
 task holds more than two blocks.
 """
 
@@ -31,7 +30,7 @@ from .decontaminate import _Hashes
 from .partenum import gram_set
 
 BANDS, ROWS = 32, 6
-ROUNDS = ((0, 2), (2, 8), (8, BANDS))  # bands compared together
+ROUNDS = ((0, 3), (3, BANDS))  # bands compared together
 BLOCK_SETS = 500  # sets of a bucket held at once, against as many others
 BLOCK_ELEMENTS = 2_000_000  # and their elements, unless one set has more
 FEW_TEXTS = 500_000  # so many row hashes at most are sent to all tasks
@@ -77,11 +76,11 @@ def bucket_names(signatures: np.ndarray) -> np.ndarray:
     return name.view(np.int64)
 
 
-def links(sets: list[np.ndarray], labels: list, percent: int, split: int | None = None) -> list[tuple[int, int]]:
-    """Places of sets that are similar enough and have different labels, none more than needed.
+def joined(sets: list[np.ndarray], labels: list, percent: int, split: int | None = None) -> list[tuple[int, int]]:
+    """For every set that links join to an earlier one, its place and the first place it is joined to.
 
-    Sets are sorted arrays. Pairs within what is already joined are left out. With ``split``
-    only pairs of one set before it and one from it on count.
+    Sets are sorted arrays; those of one label count as joined, and pairs of them are left out.
+    With ``split`` only links of one set before it and one from it on count.
     """
     m = len(sets)
     number = np.unique(np.array(labels, object), return_inverse=True)[1]
@@ -108,7 +107,8 @@ def links(sets: list[np.ndarray], labels: list, percent: int, split: int | None
             part = np.zeros((m, int(column[b - 1]) + 1 - start), np.float32)
             part[owner[a:b], column[a:b] - start] = 1
             common += np.triu(part @ part.T)
-    near = np.triu(100 * common.astype(np.int64) >= percent * (sizes[:, None] + sizes[None] - common.astype(np.int64)), 1)
+    shared = common.astype(np.int64)
+    near = np.triu(100 * shared >= percent * (sizes[:, None] + sizes[None] - shared), 1)
     near &= number[:, None] != number[None]
     if split is not None:
         near[:split, :split] = near[split:, split:] = False
@@ -119,12 +119,15 @@ def links(sets: list[np.ndarray], labels: list, percent: int, split: int | None
             parent[i] = i = parent[parent[i]]
         return i
 
-    out = []
-    for i, j in np.argwhere(near).tolist():
-        a, b = root(number[i]), root(number[j])
-        if a != b:
-            parent[a] = b
-            out.append((i, j))
+    linked = np.argwhere(near).tolist()
+    for i, j in linked:
+        parent[root(number[i])] = root(number[j])
+    touched = {root(number[i]) for i, _ in linked}
+    center, out = {}, []
+    for i in range(m):
+        group = root(number[i])
+        if group in touched and center.setdefault(group, i) != i:
+            out.append((i, center[group]))
     return out
 
 
@@ -144,24 +147,24 @@ def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[list[d
 
 
 def _compare(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: links between sets of different labels in buckets ``name, key, label, n``."""
-    load = staged(buckets.groupBy("name").agg(
+    """``a, b``: sets joined within buckets ``name, key, n, label`` that have several labels."""
+    several = staged(buckets.groupBy("name").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"),
         F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
-        .where("blocks > 1"))
-    buckets = buckets.join(load, "name", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+        .where("low <> high").select("name", "blocks"))
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     # Each block meets every block of its bucket, itself included, once.
     meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(
         F.least(j, block).alias("x"), F.greatest(j, block).alias("y")))
-    placed = (buckets.select("name", "key", "label", block.alias("block"), F.explode(meet).alias("at"))
+    placed = (buckets.join(several, "name").select("name", "key", "label", block.alias("block"), F.explode(meet).alias("at"))
               .select("name", "key", "label", "block", "at.x", "at.y").join(sets, "key"))
 
     def run(batches):
         for rows in _groups(batches, ["name", "x", "y"]):
             rows.sort(key=lambda r: (r["block"], r["key"]))
             split = sum(r["block"] == r["x"] for r in rows)
-            found = links([np.frombuffer(r["elements"], np.uint64) for r in rows], [r["label"] for r in rows],
-                          percent, split if rows[0]["x"] != rows[0]["y"] else None)
+            found = joined([np.frombuffer(r["elements"], np.uint64) for r in rows], [r["label"] for r in rows],
+                           percent, split if rows[0]["x"] != rows[0]["y"] else None)
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([rows[i]["key"] for i, _ in found], pa.binary()),
@@ -218,8 +221,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, n: int = 5, id_col: str
 
     # One text of every set in such a bucket is read again for its elements.
     wanted = buckets.select("key").distinct()
-    chosen = staged(rows.where("key is not null").join(wanted, "key", "left_semi").groupBy("key").agg(
-        F.min("row").alias("row")))
+    one = rows.where("key is not null").groupBy("key").agg(F.min("row").alias("row"))
+    chosen = staged(one.join(wanted, "key", "left_semi"))
     few = chosen.count() <= FEW_TEXTS
 
     def elements_of(batches):
@@ -236,17 +239,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, n: int = 5, id_col: str
 
     known = None
     for low, high in ROUNDS:
-        part = buckets.where(F.col("band").between(low, high - 1))
+        part = buckets.where(F.col("band").between(low, high - 1)).select("name", "key", "n")
         if known is None:
-            part = part.select("name", "key", "n", F.col("key").alias("label"))
+            part = part.withColumn("label", F.col("key"))
         else:
-            part = (part.join(labels, part["key"] == labels["node"], "left")
-                    .select("name", "key", "n", F.coalesce("label", "key").alias("label")))
-        part = staged(part)
-        several = part.groupBy("name").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        found = staged(_compare(part.join(staged(several.select("name")), "name"), sets, percent))
+            # What one round joined is one label, as far as one step shows; components come last.
+            seen = known.groupBy("a").agg(F.min("b").alias("label")).withColumnRenamed("a", "key")
+            part = staged(part.join(seen, "key", "left").withColumn("label", F.coalesce("label", "key")))
+        found = staged(_compare(part, sets, percent))
         known = found if known is None else known.unionByName(found)
-        labels = staged(components(known))
+    labels = staged(components(known))
 
     classes = rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
     named = staged(classes.join(labels.withColumnRenamed("node", "key"), "key", "left").select(

@@ -105,28 +105,27 @@ def test_coordinates_agree_as_often_as_sets_overlap():
         assert np.std(agree) < 1.3 * np.sqrt(percent * (100 - percent) / 1e4 / (minhash.BANDS * minhash.ROWS))
 
 
-def test_links_leave_out_what_is_joined():
+def test_sets_are_joined_as_all_pairs_would():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 60, rng.integers(20, 60)).astype(np.uint64)) for _ in range(40)]
     for labels, split in (([str(i) for i in range(40)], None), ([str(i // 3) for i in range(40)], None),
                           ([str(i) for i in range(40)], 17)):
-        near = {(i, j) for i in range(40) for j in range(i + 1, 40) if labels[i] != labels[j]
+        near = [(i, j) for i in range(40) for j in range(i + 1, 40) if labels[i] != labels[j]
                 and (split is None or i < split <= j)
-                and 100 * len(np.intersect1d(sets[i], sets[j])) >= 70 * len(np.union1d(sets[i], sets[j]))}
-        found = minhash.links(sets, labels, 70, split)
-        assert set(found) <= near
+                and 100 * len(np.intersect1d(sets[i], sets[j])) >= 52 * len(np.union1d(sets[i], sets[j]))]
+        found = minhash.joined(sets, labels, 52, split)
+        assert found and all(j < i for i, j in found)
 
         def parts(pairs):
-            part = {}
             name = {x: x for x in labels}
+
             def root(x):
                 while name[x] != x:
                     x = name[x]
                 return x
             for i, j in pairs:
-                name[root(labels[i])] = root(labels[j])
-            for x in labels:
-                part.setdefault(root(x), set()).add(x)
-            return sorted(map(sorted, part.values()))
+                if root(labels[i]) != root(labels[j]):
+                    name[root(labels[i])] = root(labels[j])
+            return sorted(sorted(i for i in range(40) if root(labels[i]) == r) for r in set(map(root, labels)))
 
         assert parts(found) == parts(near)
