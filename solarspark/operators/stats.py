@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +14,8 @@ from solarspark.functions.features import valid
 from solarspark.operators.lookup import join_aggregate
 from solarspark.operators.quantiles import exact_quantiles, quantile_name
 
-# Partner columns summed together: three moment functions each.
-CORRELATION_WIDTH = 10
+# Share of a sum of squares that may be left of a constant by rounding.
+ROUNDING = 1e-12
 # Share of a column's variance that has to stay unexplained for a finite inflation factor.
 COLLINEAR = 1e-9
 
@@ -132,56 +135,54 @@ def box_summary(df: DataFrame, column: str, keys=(), reach: float = 1.5) -> Data
         F.count_if(~inside).alias("outliers"))
 
 
-def corr_matrix(df: DataFrame, columns, min_pairs: int = MIN_CORRELATION_PAIRS,
-                width: int = CORRELATION_WIDTH) -> DataFrame:
+def _moment_sums(df: DataFrame, columns: list[str]) -> np.ndarray:
+    """Sums of the products of every column's presence, centred value and square, 3 k x 3 k.
+
+    Centred is by the mean, or by the value itself where a column has only one; a missing
+    value has zeros.
+    """
+    clean = df.select(*[valid(df, c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    k = range(len(columns))
+    one = clean.agg(*[F.when(F.min(f"c{i}") == F.max(f"c{i}"), F.min(f"c{i}")).otherwise(F.avg(f"c{i}")).alias(f"c{i}")
+                      for i in k], F.count("*").alias("rows")).first()
+    if not one["rows"]:
+        return np.zeros((3 * len(columns), 3 * len(columns)))
+    centred = clean.select(*[(F.col(f"c{i}") - F.lit(one[i] or 0.0)).alias(f"c{i}") for i in k])
+    zero = F.lit(0.0)
+    parts = [*[F.col(f"c{i}").isNotNull().cast("double").alias(f"m{i}") for i in k],
+             *[F.coalesce(f"c{i}", zero).alias(f"x{i}") for i in k],
+             *[F.coalesce(F.col(f"c{i}") * F.col(f"c{i}"), zero).alias(f"q{i}") for i in k]]
+    moments = centred.select(*parts)
+    rows = VectorAssembler(inputCols=moments.columns, outputCol="z", handleInvalid="keep").transform(moments).select("z")
+    return RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "z"), 0, 3 * len(columns)).computeGramianMatrix().toArray()
+
+
+def corr_matrix(df: DataFrame, columns, min_pairs: int = MIN_CORRELATION_PAIRS) -> DataFrame:
     """Pearson correlation of every pair, long form: i, j, col_i, col_j, pairs, r.
 
     Each pair uses the rows where both values are present. r is NULL with fewer
     than ``min_pairs`` such rows or when one side is constant on them.
 
-    A row is spread into one row per column and block of at most ``width`` partner
-    columns, which are summed map-side into k groups. One aggregate over all pairs
-    would need no spreading, but with some forty moment functions its code grows
-    past what the JVM compiles and runs many times slower.
+    ``df`` is read twice, for the means and then as vectors of presence, centred value and
+    square: one sum of their products, formed partition by partition and in a tree, holds
+    all that any pair needs. Only that matrix comes to the driver; its size follows from the
+    number of columns.
     """
     columns = list(columns)
     k = len(columns)
-    blocks = -(-k // width)
-    width = -(-k // blocks)
-    clean = df.select(*[valid(df, c).cast("double").alias(f"c{i}")
-                        for i, c in enumerate(columns)])
-
-    def partner(block: int, at: int) -> Column:
-        j = block * width + at
-        return F.col(f"c{j}") if j < k else F.lit(None).cast("double")
-
-    spread = clean.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(b).alias("block"), F.col(f"c{i}").alias("x"),
-                 *[partner(b, at).alias(f"y{at}") for at in range(width)])
-        for i in range(k) for b in range(blocks)])))
-    sums = []
-    for at in range(width):
-        y = f"y{at}"
-        sums += [F.regr_count("x", y).alias(f"n{at}"), F.regr_sxy("x", y).alias(f"xy{at}"),
-                 F.regr_sxx(y, "x").alias(f"xx{at}")]
-    # From here on there are k x k rows: for (i, j) the variation of i where j is present.
-    ordered = spread.groupBy("i", "block").agg(*sums).select("i", F.inline(F.array(*[
-        F.struct((F.col("block") * width + at).alias("j"), F.col(f"n{at}").alias("n"),
-                 F.col(f"xy{at}").alias("xy"), F.col(f"xx{at}").alias("xx"))
-        for at in range(width)]))).filter(F.col("j") < k)
-    i, j = F.col("i"), F.col("j")
-    lower = ordered.groupBy(F.greatest("i", "j").alias("a"), F.least("i", "j").alias("b")).agg(
-        F.max("n").alias("pairs"), F.max(F.when(i >= j, F.col("xy"))).alias("xy"),
-        F.max(F.when(i >= j, F.col("xx"))).alias("aa"),
-        F.max(F.when(i <= j, F.col("xx"))).alias("bb"))
-    scale = F.sqrt("aa") * F.sqrt("bb")
-    r = F.when(F.col("pairs") >= min_pairs, F.try_divide(F.col("xy"), scale))
-    names = F.array(*map(F.lit, columns))
-    both = F.explode(F.array_distinct(F.array(F.struct(F.col("a").alias("i"), F.col("b").alias("j")),
-                                              F.struct(F.col("b").alias("i"), F.col("a").alias("j")))))
-    return (lower.select("pairs", r.alias("r"), both.alias("s"))
-            .select("s.i", "s.j", F.get(names, F.col("s.i")).alias("col_i"),
-                    F.get(names, F.col("s.j")).alias("col_j"), "pairs", "r"))
+    sums = _moment_sums(df, columns)
+    m, x, q = slice(0, k), slice(k, 2 * k), slice(2 * k, 3 * k)
+    pairs, value, square, product = sums[m, m], sums[x, m], sums[q, m], sums[x, x]
+    with np.errstate(all="ignore"):
+        # (i, j): variation of i where j is present, and how they vary together.
+        own = square - value * value / pairs
+        own[own <= ROUNDING * square] = 0.0
+        r = (product - value * value.T / pairs) / np.sqrt(own * own.T)
+    known = (pairs >= max(min_pairs, 1)) & ~(own == 0.0) & ~(own.T == 0.0)
+    return df.sparkSession.createDataFrame(
+        [(i, j, columns[i], columns[j], int(pairs[i, j]), float(r[i, j]) if known[i, j] else None)
+         for i in range(k) for j in range(k)],
+        "i int, j int, col_i string, col_j string, pairs bigint, r double")
 
 
 def lower_triangle(corr: DataFrame) -> DataFrame:

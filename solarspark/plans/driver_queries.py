@@ -34,7 +34,7 @@ from solarspark.operators import (
 from solarspark.operators.calendar import with_calendar_keys
 from solarspark.plans import analyses, jobs
 from solarspark.schemas import LOCATION, literal_rows
-from solarspark.session import scratch_path
+from solarspark.session import scratch_path, stage
 from solarspark.sources import ingest, readers, writers
 
 NAN = float("nan")
@@ -586,7 +586,7 @@ def job_validation(spark, sf_dir):
 def merged_correlation(spark, sf_dir):
     clean = merged(spark, sf_dir).select("DC_POWER", "AC_POWER", "GHI", "EFFICIENCY",
                                          "SOILING_PROXY")
-    return analyses.correlation(None, clean)["lower"].select(
+    return analyses.correlation(None, stage(clean))["lower"].select(
         "col_i", "col_j", "pairs", r6("r").alias("r"))
 
 

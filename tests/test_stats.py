@@ -166,14 +166,30 @@ def test_correlation_hazards(spark):
     assert {(r.col_i, r.col_j) for r in lower} == {("b", "a"), ("k", "a"), ("k", "b")}
 
 
-def test_correlation_blocks_match_pandas(spark):
+def test_correlations_match_pandas(spark):
     rng = np.random.default_rng(1)
-    frame = pd.DataFrame(rng.normal(size=(300, 5)), columns=list("abcde"))
+    frame = pd.DataFrame(rng.normal(size=(300, 5)) * [1, 1e-9, 1e9, 1, 1] + [0, 0, 1e12, 1e6, -3], columns=list("abcde"))
+    frame["e"] += frame["a"] * 2
     frame.loc[::4, "b"] = np.nan
+    frame.loc[::7, "e"] = np.nan
     df = spark.createDataFrame(frame)
     expected = frame.corr(min_periods=30)
-    for row in stats.corr_matrix(df, list("abcde"), width=2).collect():
-        assert row.r == pytest.approx(expected.loc[row.col_i, row.col_j])
+    for row in stats.corr_matrix(df, list("abcde")).collect():
+        assert row.r == pytest.approx(expected.loc[row.col_i, row.col_j], rel=1e-6)
+        assert row.pairs == (frame[row.col_i].notna() & frame[row.col_j].notna()).sum()
+
+
+def test_correlation_of_what_is_constant_or_missing(spark):
+    rows = [(0.1, float(i), 0.3 if i % 2 else None, 1e9 + 0.1 if i % 3 else float(i), None) for i in range(100)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
+    cells = {(r.col_i, r.col_j): (r.pairs, r.r) for r in stats.corr_matrix(df, list("abcde"), 2).collect()}
+    assert cells["a", "b"] == (100, None) and cells["c", "b"] == (50, None) and cells["e", "b"] == (0, None)
+    some = df.filter("d > 1e8")
+    assert {(r.col_i, r.col_j): r.r for r in stats.corr_matrix(some, ["b", "d"], 2).collect()}["b", "d"] is None
+    with_c = spark.createDataFrame([(1e9 + 0.1 if i % 3 else float(i), float(i) if i % 3 else None) for i in range(99)],
+                                   "x double, y double")
+    assert {(r.col_i, r.col_j): r.r for r in stats.corr_matrix(with_c, ["x", "y"], 2).collect()}["x", "y"] is None
+    assert all(r.r is None and r.pairs == 0 for r in stats.corr_matrix(df.limit(0), ["a", "b"], 2).collect())
 
 
 def test_line_recovers_the_tilt_formula(spark):
