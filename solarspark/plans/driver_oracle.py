@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from solarspark.fixed_values import LOCATIONS, PREPROCESSED_COLUMNS
+from solarspark.fixed_values import LOCATIONS, PREPROCESSED_COLUMNS, WEATHER_MEASURES
 
 LINE = "l_orderkey, l_partkey, l_linenumber"
 
@@ -257,6 +257,9 @@ GENERATION = f"""
            l_quantity AS "TOTAL_YIELD", l_discount
     FROM {RAW_LINES}"""
 
+# The cleaned readings of the same query, before weather and irradiance join them.
+PREPROCESS_GENERATION = PREPROCESS[:PREPROCESS.index("    feat AS (")].rstrip().rstrip(",") + " SELECT * FROM gen"
+
 MERGED = PREPROCESS.replace("round(eff, 6)", "eff").replace("round(proxy, 6)", "proxy")
 
 PREPROCESSED_COLUMNS_SQL = " UNION ALL ".join(
@@ -682,4 +685,48 @@ ORACLE: dict[str, str] = {
                round(avg(value), 6) AS mean, round(median(value), 6) AS median,
                round(avg((value = 0)::INTEGER), 6) AS zero_share FROM {source}"""
         for phase, source in (("before", "events"), ("after", BRIGHT))),
+    "dq_malformed": f"""
+        WITH lines AS (SELECT *, l_orderkey % 53 = 0 OR l_orderkey % 59 = 0 AS bad,
+                              CASE WHEN l_tax > 0 THEN l_extendedprice END AS dc FROM {RAW_LINES})
+        SELECT 'read' AS item, count(*) AS n, (count(*) FILTER (bad))::DOUBLE AS value FROM lines
+        UNION ALL SELECT 'set apart', count(*), (count(*) FILTER (l_orderkey % 53 = 0))::DOUBLE FROM lines WHERE bad
+        UNION ALL SELECT 'kept', count(*), round(avg(dc), 6) FROM lines WHERE NOT bad""",
+    "dq_city_year_scan": """
+        SELECT event_type AS "CITY", year(ts)::INTEGER AS "YEAR", count(*) AS n,
+               count(*) FILTER (length(event_type) % 2 = 0) AS dhi,
+               count(*) FILTER (length(event_type) % 2 = 1) AS notes,
+               strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first, max(value) AS highest,
+               round(avg(CASE WHEN event_id % 9 > 0 THEN value + 1 END), 6) AS temp,
+               round(avg(90 - value), 6) AS tilt
+        FROM events GROUP BY ALL""",
+    "dq_analysis_missing": " UNION ALL ".join([f"""
+        SELECT 'before' AS phase, '{source}' AS source, '{column}' AS "column",
+               count(*) FILTER ({gap}) AS missing FROM {relation}"""
+        for source, (relation, gaps) in AUDITED.items() for column, gap in gaps.items()
+        if source == "generation" or column in ("ghi", "dhi", "dni", "temp_air", "wind_speed")
+        or source == "weather" and column in WEATHER_MEASURES]) + f"""
+        UNION ALL SELECT * FROM (
+            SELECT 'after', 'merged', 'AC_POWER', count(*) FILTER (dc <= 1000) AS missing
+            FROM ({PREPROCESS_GENERATION})) WHERE missing > 0""",
+    "dq_analysis_dc_power": " UNION ALL ".join(f"""
+        SELECT '{phase}' AS phase, center.*, histogram.* FROM (
+            SELECT count(v) AS n, count(*) FILTER (v = 0) AS zeros, round(avg(v), 6) AS mean,
+                   round(median(v), 6) AS median, round(avg((v = 0)::INTEGER), 6) AS zero_share
+            FROM {source}) center CROSS JOIN (
+            WITH {_bins(f"(SELECT v FROM {source} WHERE v IS NOT NULL)", "v", 80)}
+            SELECT count(*) AS bins, sum(n)::BIGINT AS binned, max(n) AS fullest FROM counted) histogram"""
+        for phase, source in (
+            ("before", f"(SELECT CASE WHEN l_tax > 0 THEN l_extendedprice END AS v FROM {RAW_LINES})"),
+            ("after", "(SELECT l_extendedprice AS v FROM lineitem WHERE l_extendedprice > 0)"))),
+    "dq_analysis_boxes": " UNION ALL ".join(f"""
+        SELECT '{phase}' AS phase, '{name}' AS variable, * FROM ({_box(source, "v")})"""
+        for phase, name, source in (
+            ("before", "DC_POWER", f"""SELECT dc / max(dc) OVER () AS v FROM (
+                SELECT CASE WHEN l_tax > 0 THEN l_extendedprice END AS dc FROM {RAW_LINES}) WHERE dc IS NOT NULL"""),
+            ("before", "DAILY_YIELD", f"""SELECT dy / max(dy) OVER () AS v FROM (
+                SELECT CASE WHEN l_discount > 0 THEN l_quantity END AS dy FROM {RAW_LINES}) WHERE dy IS NOT NULL"""),
+            ("before", "ghi", "SELECT value / max(value) OVER () AS v FROM events WHERE value > 0"),
+            ("after", "EFFICIENCY", f"SELECT efficiency AS v FROM ({FLAGGED}) WHERE efficiency BETWEEN 0 AND 1"),
+            ("after", "SOILING_PROXY", f"SELECT greatest(0, least(1, proxy)) AS v FROM ({FLAGGED})"),
+            ("after", "OPTIMAL_TILT", "SELECT greatest(0, least(1, l_quantity * 2 / 90.0::DOUBLE)) AS v FROM lineitem"))),
 }

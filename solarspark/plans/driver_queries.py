@@ -26,6 +26,7 @@ from solarspark.operators import (
     merge,
     models,
     profiles,
+    quarantine,
     resample,
     sampling,
     split,
@@ -160,6 +161,44 @@ def csv_scan(spark, sf_dir):
         "DATE_TIME", "PLANT_ID", "SOURCE_KEY", "DC_POWER", "TOTAL_YIELD")
 
 
+def malformed(spark, sf_dir):
+    """Readings with planted bad numbers: what the scan sets apart, counts and keeps."""
+    order = F.split("SOURCE_KEY", "-")[0].cast("bigint")
+    raw = generation_source(spark, sf_dir).withColumns({
+        "DC_POWER": F.when(order % 53 == 0, F.concat(F.coalesce("DC_POWER", F.lit(1.5)), F.lit(" kW")))
+        .otherwise(F.col("DC_POWER").cast("string")),
+        "PLANT_ID": F.when(order % 59 == 0, F.lit("seven")).otherwise(F.col("PLANT_ID").cast("string"))})
+    path, apart = scratch_path(spark), scratch_path(spark)
+    writers.write_csv(raw, path)
+    read = readers.read_generation(spark, path, keep_malformed=True)
+    writers.write_dataset(quarantine.malformed_rows(read), apart)
+    counts = quarantine.malformed_counts(read)
+    kept = impute.mean_fill(quarantine.well_formed(read), ["DC_POWER"])
+    return merge.union_all([
+        counts.agg(F.sum("total").alias("n"), F.sum("malformed").cast("double").alias("value"))
+        .select(F.lit("read").alias("item"), "n", "value"),
+        readers.read_dataset(spark, apart).agg(
+            F.count("*").alias("n"), F.count_if(F.contains("line", F.lit(" kW"))).cast("double").alias("value"))
+        .select(F.lit("set apart").alias("item"), "n", "value"),
+        kept.agg(F.count("*").alias("n"), r6(F.avg("DC_POWER")).alias("value"))
+        .select(F.lit("kept").alias("item"), "n", "value")])
+
+
+def city_year_scan(spark, sf_dir):
+    """Hourly series in files named by city and year, some with other columns in another order."""
+    folder = scratch_path(spark)
+    series = irradiance_source(spark, sf_dir).drop("SERIAL")
+    odd = F.length("CITY") % 2 == 1
+    writers.write_city_files(series.filter(~odd), folder)
+    writers.write_city_files(series.filter(odd).select(
+        "OPTIMAL_TILT", "ghi", "DATETIME", "temp_air", F.lit("x").alias("note"), "CITY", "YEAR"), folder)
+    back = readers.read_irradiance(spark, folder, by_header=True)
+    return back.groupBy("CITY", "YEAR").agg(
+        F.count("*").alias("n"), F.count("dhi").alias("dhi"), F.count("note").alias("notes"),
+        F.date_format(F.min("DATETIME"), "yyyy-MM-dd HH:mm:ss").alias("first"), F.max("ghi").alias("highest"), r6(F.avg("temp_air")).alias("temp"),
+        r6(F.avg("OPTIMAL_TILT")).alias("tilt"))
+
+
 def landing_zone(spark, sf_dir):
     """Events landed by type and year, read back and profiled per partition."""
     path = scratch_path(spark)
@@ -700,6 +739,34 @@ def null_keys(spark, sf_dir):
         "event_type").agg(F.count("*").alias("n"))
 
 
+def analysis_missing(spark, sf_dir):
+    clean = jobs.clean_generation(generation_source(spark, sf_dir)).select(
+        "PLANT_ID", "SOURCE_KEY", "DC_POWER", F.when(F.col("DC_POWER") > 1000, F.col("AC_POWER")).alias("AC_POWER"))
+    return analyses.missing_values(generation_source(spark, sf_dir), weather_source(spark, sf_dir),
+                                   irradiance_source(spark, sf_dir), clean)["missing"]
+
+
+def analysis_dc_power(spark, sf_dir):
+    """Centres and the bins around the readings before and after cleaning."""
+    tables = analyses.dc_power(generation_source(spark, sf_dir),
+                               table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("DC_POWER")))
+    return merge.union_all([
+        tables[f"{name}_center"].crossJoin(tables[f"{name}_histogram"].agg(
+            F.count("*").alias("bins"), F.sum("count").alias("binned"), F.max("count").alias("fullest")))
+        .select(F.lit(name).alias("phase"), "n", "zeros", *[r6(c).alias(c) for c in ("mean", "median", "zero_share")],
+                "bins", "binned", "fullest")
+        for name in ("before", "after")])
+
+
+def analysis_boxes(spark, sf_dir):
+    clean = flagged(spark, sf_dir).select(
+        F.col("efficiency").alias("EFFICIENCY"), F.col("proxy").alias("SOILING_PROXY"),
+        (F.col("l_quantity") * 2).alias("OPTIMAL_TILT"))
+    tables = analyses.boxes(generation_source(spark, sf_dir), irradiance_source(spark, sf_dir), clean)
+    return merge.union_all([_rounded_box(tables[p], "variable").select(F.lit(p).alias("phase"), "*")
+                            for p in ("before", "after")])
+
+
 def analysis_cities(spark, sf_dir):
     tables = analyses.cities(irradiance_source(spark, sf_dir))
     boxes = _rounded_box(tables["boxes"], "CITY").drop("median", "n")
@@ -733,5 +800,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         landing_zone, preprocess, job_audit, job_validation, merged_correlation, zenith_fit,
         rf_importance, gbt_importance, reg_importance, search_grid, champion, rf_scores,
         best_params, best_scores, split_report, null_keys, analysis_cities, analysis_monthly,
-        analysis_irradiance)
+        analysis_irradiance, malformed, city_year_scan, analysis_missing, analysis_dc_power,
+        analysis_boxes)
 }

@@ -29,6 +29,7 @@ from solarspark.operators.merge import (
     union_all,
     with_unique_key,
 )
+from solarspark.operators.quarantine import holds_malformed, malformed_counts, malformed_rows, well_formed
 from solarspark.operators.sampling import first_in_time
 from solarspark.operators.stats import density_by_class
 from solarspark.session import materialize
@@ -39,8 +40,13 @@ from solarspark.sources.writers import write_csv, write_dataset
 
 def audit_sources(generation: DataFrame, weather: DataFrame,
                   irradiance: DataFrame) -> dict[str, DataFrame]:
-    """Gaps, duplicates, statistics and volume of the three raw tables, each as one table."""
-    sources = {"generation": generation, "weather": weather, "irradiance": irradiance}
+    """Gaps, duplicates, statistics and volume of the three raw tables, each as one table.
+
+    Of sources read with their malformed rows, these are counted per file and left out of the
+    rest.
+    """
+    read = {"generation": generation, "weather": weather, "irradiance": irradiance}
+    sources = {n: well_formed(df) for n, df in read.items()}
     described = {
         "generation": ["DC_POWER", "AC_POWER", "DAILY_YIELD"],
         "weather": ["IRRADIATION"],
@@ -56,9 +62,16 @@ def audit_sources(generation: DataFrame, weather: DataFrame,
         "duplicates": tagged(lambda n, df: audit.duplicates(df)),
         "describe": tagged(lambda n, df: audit.describe(df, described[n])),
         "volume": audit.volume(sources),
+        **_malformed_report(read),
     }
 
 
+def _malformed_report(read: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    counts = [malformed_counts(df).select(F.lit(n).alias("source"), "*")
+              for n, df in read.items() if holds_malformed(df)]
+    return {"malformed": union_all(counts)} if counts else {}
+
+
 # Preprocessing.
 
 def clean_generation(raw: DataFrame) -> DataFrame:
@@ -126,12 +139,20 @@ def validate_preprocessed(sources: dict[str, DataFrame], result: DataFrame,
 
 
 def run_preprocess(generation: DataFrame, weather: DataFrame, irradiance: DataFrame,
-                   out: str, csv_out: str | None = None, **options) -> dict[str, DataFrame]:
+                   out: str, csv_out: str | None = None, quarantine: str | None = None,
+                   **options) -> dict[str, DataFrame]:
     """Preprocess, write Parquet by month once and validate what was written.
 
     The report also counts the rows that deduplication takes away and the readings whose
-    time cannot be read.
+    time cannot be read. Malformed rows of sources read with them are left out, counted per
+    file and, where ``quarantine`` names a folder, written there, one table per source.
     """
+    read = {"generation": generation, "weather": weather, "irradiance": irradiance}
+    if quarantine:
+        for name, df in read.items():
+            if holds_malformed(df):
+                write_dataset(malformed_rows(df), f"{quarantine}/{name}")
+    generation, weather, irradiance = map(well_formed, read.values())
     write_dataset(preprocess(generation, weather, irradiance, **options), out,
                   partition_by=["MONTH"])
     result = generation.sparkSession.read.parquet(out).select(*fixed.PREPROCESSED_COLUMNS)
@@ -143,7 +164,7 @@ def run_preprocess(generation: DataFrame, weather: DataFrame, irradiance: DataFr
     unread = union_all([unparseable_count(df).select(F.lit(name).alias("source"), "*")
                         for name, df in sources.items() if name != "irradiance"])
     return {"result": result, "removed": removed, "unread_times": unread,
-            **validate_preprocessed(sources, result)}
+            **validate_preprocessed(sources, result), **_malformed_report(read)}
 
 
 # Models.

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from solarspark.session import scratch_path
+
 
 def write_dataset(df: DataFrame, path: str, mode: str = "overwrite", partition_by=()) -> None:
     """Parquet; partition columns are rebalanced first.
@@ -30,3 +32,25 @@ def land_irradiance(series: DataFrame, path: str) -> None:
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with header, a file per task."""
     df.write.mode(mode).option("header", True).csv(path)
+
+
+def write_city_files(series: DataFrame, folder: str) -> None:
+    """CSV files named City_Year_part.csv with the hourly series of a city and year.
+
+    The columns CITY and YEAR go into the names. Files of other cities and years stay; large
+    ones are written in several parts.
+    """
+    spark = series.sparkSession
+    parts = scratch_path(spark)
+    (series.hint("rebalance", "CITY", "YEAR").write.option("header", True)
+     .partitionBy("CITY", "YEAR").csv(parts))
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(parts).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(hadoop.Path(folder))
+    found = system.globStatus(hadoop.Path(f"{parts}/CITY=*/YEAR=*/*.csv"))
+    for i in range(len(found)):
+        path = found[i].getPath()
+        year, city = path.getParent(), path.getParent().getParent()
+        name = f"{city.getName().removeprefix('CITY=')}_{year.getName().removeprefix('YEAR=')}_{i}.csv"
+        system.rename(path, hadoop.Path(f"{folder}/{name}"))
+    system.delete(hadoop.Path(parts), True)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import fixtures
+from solarspark.operators import quarantine
 from solarspark.schemas import locations
 from solarspark.sources import ingest, readers, writers
 
@@ -47,6 +48,50 @@ def test_other_header_order_is_refused_or_matched_by_name(spark, tmp_path):
     assert all(r.dni is None for r in b) and any(r.dni for r in a)
 
 
+def test_malformed_values_are_set_apart_whatever_is_read(spark, tmp_path):
+    header = ["DATE_TIME", "PLANT_ID", "SOURCE_KEY", "DC_POWER", "AC_POWER", "DAILY_YIELD", "TOTAL_YIELD"]
+    good = ["2020-05-29 00:00:00", 1, "a", 1.5, 2.5, 3.5, 4.5]
+    rows = [good, [None, 1, "b", None, 1, 1, 1], [*good[:3], "1,5x".replace(",", ";"), *good[4:]], good[:4],
+            [*good[:6], "n/a"], [good[0], "seven", *good[2:]]]
+    fixtures.write(tmp_path / "one.csv", header, rows)
+    fixtures.write(tmp_path / "two.csv", header, [good] * 3)
+    df = readers.read_generation(spark, str(tmp_path), keep_malformed=True)
+    counts = {r.file: (r.total, r.malformed) for r in quarantine.malformed_counts(df).collect()}
+    assert counts == {"one.csv": (6, 4), "two.csv": (3, 0)}
+    kept = quarantine.well_formed(df)
+    assert kept.columns == header and kept.count() == 5
+    assert kept.select("SOURCE_KEY").count() == 5 and kept.agg(F.sum("TOTAL_YIELD")).first()[0] == 19
+    lines = {r.line for r in quarantine.malformed_rows(df).collect()}
+    assert lines == {",".join(map(str, r)) for r in rows[2:]}
+    assert readers.read_generation(spark, str(tmp_path)).count() == 9
+    assert quarantine.well_formed(kept) is kept
+
+
+def test_malformed_values_by_header(spark, tmp_path):
+    rows = fixtures.irradiance_rows("A", 1.0, 2.0, 2020, fixtures.DAYS[:1])
+    header = fixtures.IRRADIANCE_HEADER
+    fixtures.write(tmp_path / "A_2020.csv", header, [[*rows[0][:1], "bad", *rows[0][2:]], *rows[1:]])
+    fixtures.write(tmp_path / "B_2020.csv", header[::-1], [["?", *r[:0:-1], r[0]][:13] if i == 3 else r[::-1]
+                                                           for i, r in enumerate(rows)])
+    df = readers.read_irradiance(spark, str(tmp_path), by_header=True, keep_malformed=True)
+    assert {r.file: (r.total, r.malformed) for r in quarantine.malformed_counts(df).collect()} == {
+        "A_2020.csv": (24, 1), "B_2020.csv": (24, 1)}
+    assert quarantine.well_formed(df).count() == 46
+    plain = readers.read_irradiance(spark, str(tmp_path), by_header=True)
+    assert plain.count() == 48 and quarantine.MALFORMED not in plain.columns
+
+
+def test_city_files_are_named_and_read_back(spark, tmp_path):
+    df = spark.range(100).select(F.timestamp_seconds(F.col("id") * 3600).alias("DATETIME"), F.col("id").cast("double").alias("ghi"),
+                                 F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("CITY"), F.lit(2020).alias("YEAR"))
+    writers.write_city_files(df.filter("CITY = 'A'"), f"{tmp_path}/out")
+    writers.write_city_files(df.filter("CITY = 'B'"), f"{tmp_path}/out")
+    names = {p.name[:7] for p in (tmp_path / "out").glob("*.csv")}
+    assert names == {"A_2020_", "B_2020_"}
+    back = readers.read_irradiance(spark, f"{tmp_path}/out", by_header=True)
+    assert {tuple(r) for r in back.groupBy("CITY", "YEAR").agg(F.sum("ghi")).collect()} == {("A", 2020, 2450.0), ("B", 2020, 2500.0)}
+
+
 def test_jobs_do_not_grow_with_files(spark, tmp_path):
     rows = fixtures.irradiance_rows("A", 1.0, 2.0, 2020, fixtures.DAYS[:1])
     jobs = []
