@@ -23,7 +23,13 @@ from solarspark.fixed_values import (
     POWER_LABEL,
     SEED,
 )
-from solarspark.session import materialize
+from solarspark.session import materialize, stage
+
+FOLD_COLUMN = "FOLD"
+
+# Layout of staged training rows: rows of a file, as long as files are not too many.
+ROWS_PER_FILE = 8_192
+MOST_FILES = 2_000
 
 
 def feature_stages(features) -> list:
@@ -102,6 +108,19 @@ def training_rows(train: DataFrame, features, model, fold_col: str | None = None
     return materialize(train.select(*columns))
 
 
+def stage_training(train: DataFrame, columns, keys, folds: int) -> DataFrame:
+    """A table of ``columns`` and the fold of each row, for all searches that read them.
+
+    Folds follow a hash of the row key, and so does the place of a row: files hold rows in
+    the same order however ``train`` is partitioned or repeated, so bags drawn by position
+    are the same as well.
+    """
+    place = F.xxhash64(*keys)
+    rows = train.select(*columns, F.pmod(place, F.lit(folds)).cast("int").alias(FOLD_COLUMN), place.alias("__place"))
+    files = min(MOST_FILES, max(1, -(-train.count() // ROWS_PER_FILE)))
+    return stage(rows.repartition(files, "__place").sortWithinPartitions("__place", *columns).drop("__place"))
+
+
 def fit(train: DataFrame, features, model) -> PipelineModel:
     """One fit of assembler, scaler and model."""
     stages = [*feature_stages(features), model]
@@ -110,11 +129,12 @@ def fit(train: DataFrame, features, model) -> PipelineModel:
 
 def tune(train: DataFrame, features, model, values: dict[str, list], evaluator,
          folds: int = FOLDS, seed: int = SEED, parallelism: int = 2,
-         fold_col: str | None = None) -> CrossValidatorModel:
+         fold_col: str | None = None, staged: bool = False) -> CrossValidatorModel:
     """Search ``values`` by cross-validation of the whole assembler-scaler-model chain.
 
     ``fold_col`` names a column of fold numbers from 0; folds that follow a key do not
-    depend on the order of rows.
+    depend on the order of rows. ``staged`` says that ``train`` is a table in files already
+    (see ``stage_training``), which is not copied again.
     """
     search = CrossValidator(
         estimator=Pipeline(stages=[*feature_stages(features), model]),
@@ -122,6 +142,9 @@ def tune(train: DataFrame, features, model, values: dict[str, list], evaluator,
         numFolds=folds, seed=seed, parallelism=parallelism)
     if fold_col:
         search = search.setFoldCol(fold_col)
+    if staged:
+        columns = _columns_used(train, features, model) + ([fold_col] if fold_col else [])
+        return search.fit(train.select(*columns))
     return search.fit(training_rows(train, features, model, fold_col))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from solarspark.fixed_values import LOCATIONS, PREPROCESSED_COLUMNS, WEATHER_MEASURES
+from solarspark.fixed_values import BASELINE_FEATURES, LOCATIONS, PREPROCESSED_COLUMNS, WEATHER_MEASURES
 
 LINE = "l_orderkey, l_partkey, l_linenumber"
 
@@ -357,6 +357,60 @@ RIVALS = f"""
 
 BRIGHT = "(SELECT * FROM events WHERE value > 10)"
 
+MODEL_SOURCE = f"""
+    SELECT month(l_shipdate) AS mo, cleaning_flag AS y, l_extendedprice AS p, efficiency AS "EFFICIENCY",
+           20.0 + l_orderkey % 7 AS "GHI", l_linenumber AS "DNI", round(l_tax * 100) AS "DHI",
+           l_partkey % 5 AS "AIR_TEMPERATURE", round(l_discount * 100) AS "MODULE_TEMPERATURE",
+           round(l_discount * 100) - l_partkey % 3 AS "TEMP_DIFF", ceil(l_quantity / 5) AS "IRRADIATION",
+           l_orderkey % 3 AS "WIND_SPEED", l_orderkey % 4 AS "SOLAR_ZENITH_ANGLE"
+    FROM ({FLAGGED})"""
+
+# Features that vary; the others are constant at midnight or in a month and are never split on.
+VARIED = {"baseline": ["GHI", "AIR_TEMPERATURE", "SOLAR_ZENITH_ANGLE", "EFFICIENCY"],
+          "classifier": ["GHI", "DNI", "DHI", "AIR_TEMPERATURE", "MODULE_TEMPERATURE", "WIND_SPEED",
+                         "SOLAR_ZENITH_ANGLE", "TEMP_DIFF"],
+          "regressor": ["IRRADIATION", "GHI", "MODULE_TEMPERATURE", "AIR_TEMPERATURE", "SOLAR_ZENITH_ANGLE",
+                        "TEMP_DIFF"]}
+
+MODEL_SIDES = f"""
+    rows AS ({MODEL_SOURCE}),
+    train AS (SELECT * FROM rows WHERE mo = 5), test AS (SELECT * FROM rows WHERE mo = 6),
+    weighted AS (SELECT *, CASE WHEN y = 1 THEN (
+        SELECT count(*) FILTER (y = 0)::DOUBLE / count(*) FILTER (y = 1) FROM train) ELSE 1.0::DOUBLE END AS w
+        FROM train)"""
+
+
+def _class_cells(features: list[str], stump: str, cut: str) -> str:
+    """Cells and area of a stump whose leaves have two scores, positive above ``cut``."""
+    return f"""(
+        SELECT *, 0.5::DOUBLE + 0.5::DOUBLE * (tp2 / (tp + fn) - fp2 / (tn + fp)) AS auc
+        FROM (SELECT (count(*) FILTER (y = 0 AND s <= {cut}))::DOUBLE AS tn,
+                     (count(*) FILTER (y = 0 AND s > {cut}))::DOUBLE AS fp,
+                     (count(*) FILTER (y = 1 AND s <= {cut}))::DOUBLE AS fn,
+                     (count(*) FILTER (y = 1 AND s > {cut}))::DOUBLE AS tp,
+                     (count(*) FILTER (y = 0 AND s = top))::DOUBLE AS fp2,
+                     (count(*) FILTER (y = 1 AND s = top))::DOUBLE AS tp2
+              FROM (SELECT y, CASE WHEN {_side(features)} <= t THEN low ELSE high END AS s,
+                           greatest(low, high) AS top FROM test CROSS JOIN {stump})))"""
+
+
+def _weighted_f1() -> str:
+    """F1 of both classes, weighted by their rows."""
+    return """(tn + fp) / (tn + fp + fn + tp) * 2 * tn / (2 * tn + fp + fn)
+              + (tp + fn) / (tn + fp + fn + tp) * 2 * tp / (2 * tp + fp + fn)"""
+
+
+def _power_errors(name: str) -> str:
+    return f"""
+        SELECT '{name}' AS algorithm, sqrt(avg(e * e)) AS rmse,
+               1 - sum(e * e) / (var_pop(p) * count(*)) AS r2
+        FROM (SELECT p, p - CASE WHEN {_side(VARIED["regressor"])} <= t THEN low ELSE high END AS e
+              FROM test CROSS JOIN {_stump("train", VARIED["regressor"], "p")})"""
+
+
+FOREST = _stump("weighted", VARIED["classifier"], "y", "w")
+BOOSTED = _stump("train", VARIED["classifier"], "2.0::DOUBLE * y - 1")
+
 ORACLE: dict[str, str] = {
     "dq_union_dedupe": "SELECT DISTINCT * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem)",
     "dq_union_missing": """
@@ -729,4 +783,28 @@ ORACLE: dict[str, str] = {
             ("after", "EFFICIENCY", f"SELECT efficiency AS v FROM ({FLAGGED}) WHERE efficiency BETWEEN 0 AND 1"),
             ("after", "SOILING_PROXY", f"SELECT greatest(0, least(1, proxy)) AS v FROM ({FLAGGED})"),
             ("after", "OPTIMAL_TILT", "SELECT greatest(0, least(1, l_quantity * 2 / 90.0::DOUBLE)) AS v FROM lineitem"))),
+    "dq_baseline_job": f"""
+        WITH {MODEL_SIDES},
+        stump AS (SELECT * FROM {_stump("weighted", VARIED["baseline"], "y", "w")}),
+        cells AS (SELECT * FROM {_class_cells(VARIED["baseline"], "stump", "0.5::DOUBLE")})
+        SELECT name AS item, CASE WHEN name = f THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS value
+        FROM stump CROSS JOIN (VALUES {", ".join(f"('{c}')" for c in BASELINE_FEATURES)}) AS n(name)
+        UNION ALL SELECT 'auc', round(auc, 6) FROM cells
+        {" ".join(f"UNION ALL SELECT '{c}', {c} FROM cells" for c in ("tn", "fp", "fn", "tp"))}
+        UNION ALL SELECT 'trainable train', count(*)::DOUBLE FROM train
+        UNION ALL SELECT 'trainable test', count(*)::DOUBLE FROM test""",
+    "dq_tuned_job": f"""
+        WITH {MODEL_SIDES},
+        rivals AS (SELECT 'Random Forest' AS algorithm, * FROM {_class_cells(VARIED["classifier"], FOREST, "0.5::DOUBLE")}
+                   UNION ALL SELECT 'GBT', * FROM {_class_cells(VARIED["classifier"], BOOSTED, "0.0::DOUBLE")}),
+        errors AS ({_power_errors("RF Regressor")} UNION ALL {_power_errors("GBT Regressor")}),
+        top AS (SELECT algorithm FROM rivals ORDER BY round(auc, 12) DESC, algorithm <> 'GBT' LIMIT 1)
+        SELECT algorithm, 'auc' AS item, round(auc, 6) AS value FROM rivals
+        UNION ALL SELECT algorithm, 'f1', round({_weighted_f1()}, 6) FROM rivals
+        UNION ALL SELECT algorithm, 'rmse', round(rmse, 6) FROM errors
+        UNION ALL SELECT algorithm, 'r2', round(r2, 6) FROM errors
+        UNION ALL SELECT algorithm, 'winner', 1.0::DOUBLE FROM (
+            SELECT algorithm FROM errors ORDER BY round(r2, 12) DESC, algorithm <> 'GBT Regressor' LIMIT 1)
+        UNION ALL SELECT CASE (SELECT algorithm FROM top) WHEN 'GBT' THEN g.f ELSE r.f END, 'importance', 1.0::DOUBLE
+        FROM {FOREST} r CROSS JOIN {BOOSTED} g""",
 }

@@ -732,6 +732,52 @@ def split_report(spark, sf_dir):
     return out.withColumns({c: r6(c) for c in ("positive_rate", "ratio")})
 
 
+def model_source(spark, sf_dir) -> DataFrame:
+    """Line items as the preprocessed table; model features have few values each."""
+    li, tenths = flagged(spark, sf_dir), F.round(F.col("l_discount") * 100).cast("double")
+    return li.select(
+        F.month("l_shipdate").alias("MONTH"), F.col("l_shipdate").alias("DATETIME"),
+        F.col("plant_id").alias("PLANT_ID"), F.concat_ws("-", "l_orderkey", "l_partkey", "l_linenumber").alias("SOURCE_KEY"),
+        F.col("l_extendedprice").alias("DC_POWER"), F.col("efficiency").alias("EFFICIENCY"),
+        F.col("cleaning_flag").alias("CLEANING_FLAG"), (20.0 + F.col("l_orderkey") % 7).alias("GHI"),
+        F.col("l_linenumber").cast("double").alias("DNI"), F.round(F.col("l_tax") * 100).alias("DHI"),
+        (F.col("l_partkey") % 5).cast("double").alias("AIR_TEMPERATURE"), tenths.alias("MODULE_TEMPERATURE"),
+        (F.col("l_partkey") % 3).cast("double").alias("AMBIENT_TEMPERATURE"),
+        F.ceil(F.col("l_quantity") / 5).cast("double").alias("IRRADIATION"),
+        (F.col("l_orderkey") % 3).cast("double").alias("WIND_SPEED"),
+        (F.col("l_orderkey") % 4).cast("double").alias("SOLAR_ZENITH_ANGLE"))
+
+
+STUMP_GRID = {name: [value] for name, value in STUMP.items()}
+BOOST_GRID = {"maxIter": [1], "maxDepth": [1]}
+
+
+def baseline_job(spark, sf_dir):
+    """The baseline job with a forest of one stump: importances and scores of the test month."""
+    tables = jobs.train_baseline(model_source(spark, sf_dir), STUMP_GRID, folds=2).tables
+    scores = tables["metrics"].select("auc").crossJoin(
+        tables["confusion"].select("tn", "fp", "fn", "tp")).unpivot([], None, "item", "value")
+    sides = tables["split"].select(F.concat(F.lit("trainable "), "side").alias("item"), F.col("trainable").cast("double").alias("value"))
+    return merge.union_all([
+        tables["importances"].select(F.col("Feature").alias("item"), F.col("Importance").alias("value")),
+        scores, sides]).withColumn("value", r6("value"))
+
+
+def tuned_job(spark, sf_dir):
+    """The tuning job with stumps: scores of the rivals on the test month and the winners."""
+    tables = jobs.tune_models(model_source(spark, sf_dir), {
+        "rf": STUMP_GRID, "gbt": BOOST_GRID, "rf_regressor": STUMP_GRID, "gbt_regressor": BOOST_GRID}, folds=2).tables
+    return merge.union_all([
+        tables["classifiers"].select("algorithm", F.lit("auc").alias("item"), F.col("test_auc").alias("value")),
+        tables["classifiers"].select("algorithm", F.lit("f1").alias("item"), F.col("test_f1").alias("value")),
+        tables["regressors"].select("algorithm", F.lit("rmse").alias("item"), F.col("rmse").alias("value")),
+        tables["regressors"].select("algorithm", F.lit("r2").alias("item"), F.col("r2").alias("value")),
+        tables["best_regressor"].select("algorithm", F.lit("winner").alias("item"), F.lit(1.0).alias("value")),
+        models.top_features(tables["clf_importances"], 1).select(
+            F.col("Feature").alias("algorithm"), F.lit("importance").alias("item"), F.col("Importance").alias("value")),
+    ]).withColumn("value", r6("value"))
+
+
 # Analyses of the hourly series.
 
 def null_keys(spark, sf_dir):
@@ -801,5 +847,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rf_importance, gbt_importance, reg_importance, search_grid, champion, rf_scores,
         best_params, best_scores, split_report, null_keys, analysis_cities, analysis_monthly,
         analysis_irradiance, malformed, city_year_scan, analysis_missing, analysis_dc_power,
-        analysis_boxes)
+        analysis_boxes, baseline_job, tuned_job)
 }

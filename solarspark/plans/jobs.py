@@ -198,16 +198,24 @@ def _scored_once(model, test: DataFrame, *columns: str) -> DataFrame:
     return materialize(model.transform(test).select(*columns))
 
 
+ROW_KEYS = ("PLANT_ID", "SOURCE_KEY", "DATETIME")
+
+
 def train_baseline(preprocessed: DataFrame, grid=None, features=None, folds: int = fixed.FOLDS,
-                   parallelism: int = 2, **split_options) -> ModelReport:
-    """Tuned random forest for the cleaning flag, with every table its report needs."""
+                   parallelism: int = 2, keys=ROW_KEYS, **split_options) -> ModelReport:
+    """Tuned random forest for the cleaning flag, with every table its report needs.
+
+    ``keys`` name a reading; the folds follow them.
+    """
     spark, label = preprocessed.sparkSession, fixed.CLEANING_LABEL
     features = features or fixed.BASELINE_FEATURES
     train, test = split.by_month(model_rows(preprocessed), **split_options)
+    rows = models.stage_training(imbalance.with_class_weight(train, label),
+                                 [*features, label, "sample_weight"], keys, folds)
     search = models.tune(
-        imbalance.with_class_weight(train, label), features, models.rf_classifier(label),
-        grid or fixed.BASELINE_GRID, models.auc_evaluator(label), folds,
-        parallelism=parallelism)
+        rows, features, models.rf_classifier(label), grid or fixed.BASELINE_GRID,
+        models.auc_evaluator(label), folds, parallelism=parallelism,
+        fold_col=models.FOLD_COLUMN, staged=True)
     scored = _scored_once(search.bestModel, test, label, "rawPrediction", "probability",
                           "prediction")
     with_score = evaluate.positive_score(scored)
@@ -228,13 +236,27 @@ def train_baseline(preprocessed: DataFrame, grid=None, features=None, folds: int
     })
 
 
+def _grid_views(key: str, search, scores: DataFrame, values: dict) -> dict[str, DataFrame]:
+    """Depth by trees and the learning curve over trees at the best depth, for a forest; the best
+    score by step and rounds, for boosted trees. What was not searched has no view."""
+    views = {}
+    if {"maxDepth", "numTrees"} <= set(values):
+        depth = models.best_params(search.bestModel, ["maxDepth"])["maxDepth"]
+        views[f"{key}_pivot"] = models.grid_pivot(scores, "maxDepth", "numTrees", values["numTrees"])
+        views[f"{key}_curve"] = models.grid_slice(scores, "maxDepth", depth, "numTrees")
+    if {"stepSize", "maxIter"} <= set(values):
+        views[f"{key}_best_by"] = models.grid_best_by(scores, ["stepSize", "maxIter"])
+    return views
+
+
 def tune_models(preprocessed: DataFrame, grids: dict | None = None, folds: int = fixed.FOLDS,
                 parallelism: int = 2, regressor_parallelism: int = 1,
                 forecast_keys=("PLANT_ID", "SOURCE_KEY"), forecast_rows: int = fixed.FORECAST_ROWS,
-                **split_options) -> ModelReport:
+                keys=ROW_KEYS, **split_options) -> ModelReport:
     """Rival classifiers for the cleaning flag and regressors for DC power, and the winners.
 
-    Of each regressor the report has all scored rows and, as its forecast, the first
+    Both classifiers read one staged table and both regressors another, with folds that
+    follow the ``keys`` of a reading. Of each regressor the report has all scored rows and, as its forecast, the first
     ``forecast_rows`` in time.
     """
     spark = preprocessed.sparkSession
@@ -242,7 +264,8 @@ def tune_models(preprocessed: DataFrame, grids: dict | None = None, folds: int =
     grids = {"rf": fixed.RF_GRID, "gbt": fixed.GBT_GRID, "rf_regressor": fixed.RF_REGRESSOR_GRID,
              "gbt_regressor": fixed.GBT_REGRESSOR_GRID, **(grids or {})}
     train, test = split.by_month(model_rows(preprocessed), **split_options)
-    weighted = imbalance.with_class_weight(train, flag)
+    weighted = models.stage_training(imbalance.with_class_weight(train, flag),
+                                     [*fixed.CLF_FEATURES, flag, "sample_weight"], keys, folds)
     auc_of, f1_of = models.auc_evaluator(flag), models.f1_evaluator(flag)
     report = ModelReport()
 
@@ -251,11 +274,12 @@ def tune_models(preprocessed: DataFrame, grids: dict | None = None, folds: int =
     rows = []
     for name, (key, model) in classifiers.items():
         search = models.tune(weighted, fixed.CLF_FEATURES, model, grids[key], auc_of, folds,
-                             parallelism=parallelism)
+                             parallelism=parallelism, fold_col=models.FOLD_COLUMN, staged=True)
         scored = _scored_once(search.bestModel, test, flag, "rawPrediction", "prediction")
         report.searches[name] = search
         report.tables[f"{key}_grid"] = models.grid_table(search, spark)
         report.tables[f"{key}_best_params"] = models.params_table(search, spark)
+        report.tables |= _grid_views(key, search, report.tables[f"{key}_grid"], grids[key])
         rows.append({"algorithm": name, "cv_auc": float(max(search.avgMetrics)),
                      "test_auc": auc_of.evaluate(scored), "test_f1": f1_of.evaluate(scored)})
     report.tables["classifiers"] = models.comparison(spark, rows)
@@ -268,10 +292,12 @@ def tune_models(preprocessed: DataFrame, grids: dict | None = None, folds: int =
     regressors = {"RF Regressor": ("rf_regressor", models.rf_regressor(power)),
                   "GBT Regressor": ("gbt_regressor", models.gbt_regressor(power))}
     rows = []
+    readings = models.stage_training(train, [*dict.fromkeys([*fixed.REG_FEATURES, power])], keys, folds)
     for name, (key, model) in regressors.items():
-        search = models.tune(train, fixed.REG_FEATURES, model, grids[key],
+        search = models.tune(readings, fixed.REG_FEATURES, model, grids[key],
                              models.regression_evaluator("rmse", power), folds,
-                             parallelism=regressor_parallelism)
+                             parallelism=regressor_parallelism, fold_col=models.FOLD_COLUMN,
+                             staged=True)
         scored = _scored_once(search.bestModel, test, "DATETIME", *forecast_keys, power,
                               "prediction")
         report.searches[name] = search

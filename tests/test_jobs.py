@@ -191,6 +191,8 @@ def test_tuning(clean):
     t = report.tables
     rivals = {r.algorithm: r for r in t["classifiers"].collect()}
     assert set(rivals) == {"Random Forest", "GBT"}
+    assert t["rf_pivot"].columns == ["maxDepth", "3"] and t["rf_pivot"].count() == 2
+    assert t["rf_curve"].count() == 1 and t["gbt_best_by"].count() == 1
     best = t["best_classifier"].first()
     assert best.test_auc == max(r.test_auc for r in rivals.values())
     regressors = {r.algorithm: r for r in t["regressors"].collect()}
@@ -217,3 +219,19 @@ def test_champion_prefers_the_named_rival_on_a_tie(spark):
 def test_tilt_and_zenith_are_opposites(clean):
     cell = stats.corr_matrix(clean.filter("GHI > 10"), ["OPTIMAL_TILT", "SOLAR_ZENITH_ANGLE"])
     assert cell.filter("i > j").first().r == pytest.approx(-1, abs=1e-3)
+
+
+def test_folds_and_bags_follow_the_key_and_not_the_layout(spark):
+    from solarspark.operators import models
+    rows = spark.range(4000).select(
+        F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("x"), F.sin("id").alias("z"),
+        (F.rand(3) < 0.2 + F.col("id") % 7 / 20).cast("int").alias("y"), F.lit(1.0).alias("sample_weight"))
+    rows = spark.createDataFrame(rows.collect(), rows.schema)
+    found = []
+    for layout in (rows.repartition(3), rows.orderBy(F.desc("z")).repartition(5, "x"), rows):
+        table = models.stage_training(layout, ["x", "z", "y", "sample_weight"], ["k"], 2)
+        assert table.count() == 4000 and {r[0] for r in table.select("FOLD").distinct().collect()} == {0, 1}
+        search = models.tune(table, ["x", "z"], models.rf_classifier("y"), {"numTrees": [3], "maxDepth": [2, 5]},
+                             models.auc_evaluator("y"), 2, fold_col="FOLD", staged=True)
+        found.append(search.avgMetrics)
+    assert found[0] == found[1] == found[2]

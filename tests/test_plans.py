@@ -9,7 +9,8 @@ from solarspark.plans.driver_queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 EAGER_MODELS = {"dq_rf_importance", "dq_gbt_importance", "dq_reg_importance", "dq_search_grid",
-                "dq_champion", "dq_rf_scores", "dq_best_params", "dq_best_scores"}
+                "dq_champion", "dq_rf_scores", "dq_best_params", "dq_best_scores", "dq_baseline_job",
+                "dq_tuned_job"}
 
 
 def plan(df):
