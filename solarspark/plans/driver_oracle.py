@@ -807,4 +807,5 @@ ORACLE: dict[str, str] = {
             SELECT algorithm FROM errors ORDER BY round(r2, 12) DESC, algorithm <> 'GBT Regressor' LIMIT 1)
         UNION ALL SELECT CASE (SELECT algorithm FROM top) WHEN 'GBT' THEN g.f ELSE r.f END, 'importance', 1.0::DOUBLE
         FROM {FOREST} r CROSS JOIN {BOOSTED} g""",
+    "dq_incremental": PREPROCESS,
 }

@@ -78,10 +78,14 @@ def clean_generation(raw: DataFrame) -> DataFrame:
     """Inverter readings with parsed time and performance features."""
     filled = mean_fill(drop_null_keys(dedupe(raw), "DATE_TIME"), fixed.GENERATION_MEASURES)
     timed = with_datetime(filled).withColumn("MONTH", F.month("DATETIME"))
-    featured = attach_group_mean(
-        timed.withColumn("EFFICIENCY", efficiency(F.col("AC_POWER"), F.col("DC_POWER"))),
-        "PLANT_ID", "DAILY_YIELD", "PLANT_MEAN", keys_from=raw,
-    ).withColumn("SOILING_PROXY", soiling_proxy(F.col("DAILY_YIELD"), F.col("PLANT_MEAN")))
+    return with_performance(attach_group_mean(timed, "PLANT_ID", "DAILY_YIELD", "PLANT_MEAN", keys_from=raw))
+
+
+def with_performance(readings: DataFrame) -> DataFrame:
+    """Efficiency, soiling proxy and cleaning flag of filled readings that know their PLANT_MEAN."""
+    featured = readings.withColumns({
+        "EFFICIENCY": efficiency(F.col("AC_POWER"), F.col("DC_POWER")),
+        "SOILING_PROXY": soiling_proxy(F.col("DAILY_YIELD"), F.col("PLANT_MEAN"))})
     return featured.withColumn(
         "CLEANING_FLAG", cleaning_flag(F.col("SOILING_PROXY"), F.col("EFFICIENCY"))
     ).select("DATETIME", "MONTH", "PLANT_ID", "SOURCE_KEY", *fixed.GENERATION_MEASURES,
@@ -107,22 +111,25 @@ def clean_irradiance(raw: DataFrame, zone: str = fixed.PLANT_ZONE) -> DataFrame:
         "LATITUDE", "LONGITUDE")
 
 
-def preprocess(generation: DataFrame, weather: DataFrame, irradiance: DataFrame,
-               city: str = fixed.PLANT_CITY, year: int = fixed.PLANT_YEAR,
-               zone: str = fixed.PLANT_ZONE, include_year: bool = False,
-               check_weather_key: bool = True) -> DataFrame:
-    """The analysis-ready table: readings with weather and the site's hourly irradiance.
+def preprocess(generation: DataFrame, weather: DataFrame, irradiance: DataFrame, **options) -> DataFrame:
+    """The analysis-ready table of the three raw sources; ``options`` as for ``combine``."""
+    return combine(clean_generation(generation), clean_weather(weather), irradiance, **options)
+
+
+def combine(readings: DataFrame, sensors: DataFrame, irradiance: DataFrame,
+            city: str = fixed.PLANT_CITY, year: int = fixed.PLANT_YEAR,
+            zone: str = fixed.PLANT_ZONE, include_year: bool = False,
+            check_weather_key: bool = True) -> DataFrame:
+    """Clean readings with clean weather and the site's hourly irradiance.
 
     Every generation row is kept. A weather key that occurs twice would multiply
     rows; the result then fails when it is computed, unless ``check_weather_key`` is off.
     """
-    sensors = clean_weather(weather)
     if check_weather_key:
         sensors = with_unique_key(sensors, ["DATETIME", "PLANT_ID"])
     site = clean_irradiance(irradiance, zone).filter(
         (F.col("CITY") == city) & (F.col("YEAR") == year))
-    readings = attach_weather(clean_generation(generation), sensors)
-    merged = attach_hourly(readings, site, include_year=include_year)
+    merged = attach_hourly(attach_weather(readings, sensors), site, include_year=include_year)
     return merged.select(*fixed.PREPROCESSED_COLUMNS)
 
 
