@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +43,32 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in tables:
+        for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def bit_table(df: DataFrame, mark: str, bits: int):
+    """Broadcast table of 2**bits bits, those at the first ``bits`` bits of every ``mark`` set.
+
+    The driver gets 2**(bits - 5) numbers at most, however many rows there are.
+    """
+    place = F.shiftrightunsigned(mark, 64 - bits)
+    rows = df.select(place.alias("p")).groupBy(F.shiftright("p", 5).cast("int").alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1, cast(p & 31 as int))")).alias("bits")).toArrow()
+    words = np.zeros(1 << (bits - 5), np.int32)
+    words[rows.column("w").to_numpy()] = rows.column("bits").to_numpy()
+    return df.sparkSession.sparkContext.broadcast(words.astype("<i4").tobytes())
+
+
+def unpacked(table) -> np.ndarray:
+    """The bits of a broadcast table as booleans."""
+    return np.unpackbits(np.frombuffer(table.value, np.uint8), bitorder="little").view(bool)
+
+
 def steps(batches: Iterator[pa.RecordBatch], sizes_of: str = "text",
           limit: int = STEP_CHARS) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded text, whatever size Spark hands over.

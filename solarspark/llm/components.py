@@ -5,21 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import free, staged
 
 
 def _stars(edges: DataFrame) -> DataFrame:
-    """Hang every node and its smaller neighbours on the smallest of them, then the larger ones."""
+    """Hang every node and its smaller neighbours on the smallest of them, then the larger ones.
+
+    The staged ``edges`` are deleted.
+    """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     # Read back from a table, so that the join can split a node with very many neighbours.
     least = staged(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
     large = (both.join(least, "a").where(F.col("b") > F.col("a"))
              .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct())
     large = staged(large)
-    least = staged(large.groupBy("a").agg(F.min("b").alias("m")))
-    small = (large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-             .unionByName(least.select("a", F.col("m").alias("b"))))
-    return staged(small.distinct())
+    low = staged(large.groupBy("a").agg(F.min("b").alias("m")))
+    small = (large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+             .unionByName(low.select("a", F.col("m").alias("b"))))
+    small = staged(small.distinct())
+    free(edges, least, large, low)
+    return small
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -31,16 +31,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import STEP_CHARS, staged, steps
+from .common import STEP_CHARS, bit_table, free, staged, steps, unpacked
 from .components import components
 from .decontaminate import _gram_hashes, _Hashes
 
-BLOCK = 1000  # sets of a candidate component compared in one task, against as many others
+BLOCK = 2000  # sets of a candidate component compared in one task, against as many others
+BLOCK_BYTES = 32_000_000  # and their elements, unless one set has more
 FEW = 8  # up to so many differing elements, ranges are combined
 BAND_BITS = 10
 RARE = 12  # an element of so many sets at most is counted pair by pair
 ROUNDS = 2  # of dropping signatures that cannot lead to a link
-BITS = 24  # the table of candidate sets has 2**24 places
+BITS = 27  # the table of candidate sets has 2**27 places at most, eight for each set below that
 
 #: Lower-cases A-Z. bytes.split() then cuts at U+0020 and U+0009 to U+000D, and nowhere else.
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -216,23 +217,25 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
         signed = signed.withColumn("band", band)
         strong = staged(signed.groupBy("node", "band").agg(F.count("*").alias("n")).where(F.col("n") >= needed)
                         .select("node", "band"))
-        signed = staged(shared_by_several(signed.join(strong, ["node", "band"]).select("sig", "node")))
+        left = staged(shared_by_several(signed.join(strong, ["node", "band"]).select("sig", "node")))
+        free(signed, strong)
+        signed = left
     hubs = signed.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     groups = staged(components(hubs))
-    bits = np.zeros(1 << BITS, np.uint8)
-    places = groups.select(F.pmod("node", F.lit(1 << BITS)).cast("int").alias("p")).distinct().toPandas()
-    bits[places["p"].to_numpy(np.int64)] = 1
-    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
+    free(signed)
+    # Only sets that are candidates leave the task that reads their text, others by chance.
+    bits = min(BITS, max(10, (8 * groups.count()).bit_length()))
+    sent = bit_table(groups.select(F.shiftleft("node", 8).alias("mark")), "mark", bits)
 
     def sets(batches):
-        hashes, seen, table = _Hashes(), set(), np.unpackbits(np.frombuffer(sent.value, np.uint8))
+        hashes, seen, table = _Hashes(), set(), unpacked(sent)
         for batch in steps(batches):
             keys, nodes, found = [], [], []
             for text in batch.column("text").to_pylist():
                 elements = gram_set(text, hashes, n)
                 key = xxhash.xxh3_128_digest(elements.tobytes())
                 number = int.from_bytes(key[:7], "big")
-                if len(elements) and table[number % (1 << BITS)] and key not in seen:
+                if len(elements) and table[number >> (56 - bits)] and key not in seen:
                     if len(seen) > 200_000:
                         seen.clear()
                     seen.add(key)
@@ -244,9 +247,11 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
                 names=["key", "node", "elements"])
 
     own = texts.mapInArrow(sets, "key binary, node bigint, elements binary")
-    size = groups.groupBy("label").agg(F.count("*").alias("m"))
-    labelled = groups.join(size, "label").select("node", "label", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    once = own.groupBy("node", "key").agg(F.first("elements").alias("elements")).join(labelled, "node")
+    once = staged(own.groupBy("node", "key").agg(F.first("elements").alias("elements")).join(groups, "node"))
+    large = staged(once.groupBy("label").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.length("elements")) / BLOCK_BYTES)).cast("int").alias("blocks"))
+        .where("blocks > 1"))
+    once = once.join(large, "label", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(
         F.least(j, block).alias("x"), F.greatest(j, block).alias("y")))

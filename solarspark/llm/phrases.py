@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged, steps
+from .common import bit_table, staged, steps, unpacked
 
 BITS = 24  # bins and bit tables have 2**24 places
 TRIE_PHRASES = 300_000  # phrases of one trie, about
@@ -85,20 +85,6 @@ def _by_language(batch: pa.RecordBatch) -> dict[str, list[str]]:
     return texts
 
 
-def _bit_table(df: DataFrame, mark: str = "mark"):
-    """Broadcast table of 2**BITS bits with those of all ``mark`` set, from a bounded number of rows."""
-    place = F.shiftrightunsigned(mark, 64 - BITS)
-    rows = df.select(place.alias("p")).groupBy(F.shiftright("p", 5).cast("int").alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1, cast(p & 31 as int))")).alias("bits")).toArrow()
-    words = np.zeros(1 << (BITS - 5), np.int32)
-    words[rows.column("w").to_numpy()] = rows.column("bits").to_numpy()
-    return df.sparkSession.sparkContext.broadcast(words.astype("<i4").tobytes())
-
-
-def _unpacked(table) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(table.value, np.uint8), bitorder="little").view(bool)
-
-
 def _place(marks: np.ndarray, table: np.ndarray) -> np.ndarray:
     return (marks >> np.uint64(65 - len(table).bit_length())).astype(np.int64)
 
@@ -146,7 +132,7 @@ def _encoded(texts: DataFrame, frequent, seed: int) -> DataFrame:
     """``lang, words, places``: distinct word hashes of a stretch of text and, for each place, which
     of them stands there (counted from 1) or a break (0)."""
     def run(batches):
-        words, table = _Words(seed), _unpacked(frequent)
+        words, table = _Words(seed), unpacked(frequent)
         for batch in steps(batches):
             langs, names, places = [], [], []
             for lang, found in _by_language(batch).items():
@@ -208,7 +194,7 @@ def _hopeful(lang: str, words: np.ndarray, places: np.ndarray, k: int, shorter:
 def _candidates(coded: DataFrame, k: int, shorter, min_count: int) -> DataFrame:
     """``lang, words, mark``: distinct phrases of k words that may be frequent."""
     def count(batches):
-        known, bins, waiting, held = _unpacked(shorter), np.zeros(1 << BITS, np.int32), [], 0
+        known, bins, waiting, held = unpacked(shorter), np.zeros(1 << BITS, np.int32), [], 0
         for lang, words, places in _stretches(batches):
             waiting.append(_place(_hopeful(lang, words, places, k, known)[1], bins))
             held += len(waiting[-1])
@@ -224,11 +210,11 @@ def _candidates(coded: DataFrame, k: int, shorter, min_count: int) -> DataFrame:
                 [pa.array(part.astype(np.int32)), pa.array(np.minimum(bins[part], min_count))], names=["bin", "n"])
 
     binned = coded.mapInArrow(count, "bin int, n int").groupBy("bin").agg(F.sum("n").alias("n"))
-    often = _bit_table(binned.where(F.col("n") >= min_count).select(
-        F.shiftleft(F.col("bin").cast("bigint"), 64 - BITS).alias("mark")))
+    often = bit_table(binned.where(F.col("n") >= min_count).select(
+        F.shiftleft(F.col("bin").cast("bigint"), 64 - BITS).alias("mark")), "mark", BITS)
 
     def propose(batches):
-        known, chosen, seen = _unpacked(shorter), _unpacked(often), set()
+        known, chosen, seen = unpacked(shorter), unpacked(often), set()
         for lang, words, places in _stretches(batches):
             at, mark, flat = _hopeful(lang, words, places, k, known)
             kept = chosen[_place(mark, chosen)]
@@ -415,7 +401,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, most: int = 5, lang_
         seed += 1
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     single = counted.where(F.col("n") >= min_count)
-    shorter = _bit_table(single)
+    shorter = bit_table(single, "mark", BITS)
     coded = staged(_encoded(texts, shorter, seed))
     levels = [single.select("lang", "words", F.lit(1).alias("k"), "n")]
     for k in range(2, most + 1):
@@ -437,7 +423,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, most: int = 5, lang_
             level = level.unionByName(more)
         level = staged(level.select("lang", "words", "mark", F.lit(k).alias("k"), "n"))
         levels.append(level.select("lang", "words", "k", "n"))
-        shorter = _bit_table(level)
+        shorter = bit_table(level, "mark", BITS)
     phrases = levels[0]
     for more in levels[1:]:
         phrases = phrases.unionByName(more)
