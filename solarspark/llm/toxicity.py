@@ -31,6 +31,7 @@ TABLE = 60_000  # words and parts in the table, at most
 LEAST_SHARE = 0.008  # of the training documents a word or part has to be in, and in two
 PARTS = 5  # keys of a word
 TRAIN_DOCS = 1500  # labelled documents of each class to learn from, at most
+ROUND_STEPS = 150  # steps of a round, at least; few windows are gone through several times
 _WORD = re.compile(r"\w+")
 
 
@@ -61,7 +62,7 @@ class Network:
     """
 
     def __init__(self, seed: int = 1, keys: list[str] = ()):
-        self.rows = {k: i for i, k in enumerate(keys, 1)}
+        self.rows = {k: i for i, k in enumerate(dict.fromkeys(keys), 1)}
         rng = np.random.default_rng(seed)
         h, d = HIDDEN, WIDTH
 
@@ -213,10 +214,10 @@ def train(texts: list[str], labels: list[int], share: float | None = None, round
             top = clean[np.argsort(-score[clean], kind="stable")[:4 * int(y.sum()) + 500]]
             rest = rng.choice(clean, min(len(clean), 4 * int(y.sum()) + 500), replace=False)
             chosen = np.unique(np.concatenate([first[y[owner[first]] == 1], top, rest]))
-        for s in range(0, len(chosen), batch):
-            if s == 0:
-                chosen = rng.permutation(chosen)
-            pick = chosen[s:s + batch]
+        passes = max(1, -(-ROUND_STEPS * batch // len(chosen)))
+        shuffled = np.concatenate([rng.permutation(chosen) for _ in range(passes)])
+        for s in range(0, len(shuffled), batch):
+            pick = shuffled[s:s + batch]
             index, mask = windows(pick)
             used, local = np.unique(index, return_inverse=True)
             own = rows[used]
