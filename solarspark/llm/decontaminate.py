@@ -193,9 +193,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, gram:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The rows of ``docs`` that hold no window of any item, unchanged. Rows of one id go together."""
-    hit = decontaminate(docs, benchmark, window).where("contaminated").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that hold no window of any item, unchanged.
+
+    Each row is judged by its own text, whatever its id: null and repeated ids, null and empty
+    texts and repeated rows need no care. Null and empty texts stay.
+    """
+    named = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    hit = decontaminate(named, benchmark, window, id_col="__row").where("contaminated").select(
+        F.col("doc_id").alias("__row")).distinct()
+    return named.join(hit, "__row", "left_anti").select(*docs.columns)
 
 
 #: The same by joining all windows as texts.

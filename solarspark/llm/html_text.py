@@ -5,7 +5,9 @@ get a hash of their tags, classes and text. Spark counts, for every host, on how
 different contents a subtree occurs; subtrees on many of a host are its template and their
 blocks go. The content of a page is the text it would have without this, so that an article
 served under several addresses counts once and keeps its text. Only small labelled parts of
-an article that hold no paragraph count by address. Elements that by their name, role or
+an article that hold no paragraph count by address. A plain part of an article, without a
+class or id, is taken out only from its beginning or end: a heading, sentence or quotation
+that many articles have between their own paragraphs stays. Elements that by their name, role or
 class are menus, headers, footers, sidebars, notices, adverts, forms or comments go too.
 """
 
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 import xxhash
@@ -23,7 +26,9 @@ from .common import staged, steps
 
 MANY_PAGES = 4  # a subtree on as many different pages of a host at least is a part of its template
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)>""", re.S)
+#: The rest of a tag up to its end. Nothing is tried twice, so a tag takes time in proportion to its length.
+_REST = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+""")
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*+)")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _RAW = {"script", "style", "noscript", "template", "iframe", "textarea", "title", "xmp", "noembed", "noframes"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -48,13 +53,13 @@ _SCOPE = {"article", "aside", "body", "div", "html", "main", "ol", "section", "t
 
 
 class _Element:
-    __slots__ = ("tag", "digest", "dropped", "main", "named", "parent", "number", "length", "prose")
+    __slots__ = ("tag", "digest", "dropped", "main", "named", "parent", "number", "length", "prose", "open")
 
     def __init__(self, tag, parent, attributes, number):
         own = {k.lower(): html.unescape((v or "").strip("\"'")) for k, v in _ATTRIBUTE.findall(attributes)} if attributes else {}
         label = f"{own.get('class', '')} {own.get('id', '')}".strip()
         self.tag, self.parent, self.number = tag, parent, number
-        self.named, self.length, self.prose = bool(label), 0, tag in _PROSE
+        self.named, self.length, self.prose, self.open = bool(label), 0, tag in _PROSE, True
         self.main = (parent.main if parent else False) or tag in ("article", "main") or own.get("role") in ("main", "article")
         hidden = "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "")
         # The header of an article holds its title; any other one is the site's.
@@ -66,15 +71,37 @@ class _Element:
         self.digest = xxhash.xxh3_64(f"<{tag} {label}>")
 
 
-def read_page(source: str) -> tuple[list[tuple[str, list[int]]], list[int], list[int]]:
+def next_tag(source: str, at: int) -> tuple[int, int, str, str, str] | None:
+    """``start, end, closing, name, rest`` of the next tag; comments and the like have no name.
+
+    A tag that the end of the page cuts off takes the rest of the page with it.
+    """
+    while (at := source.find("<", at)) >= 0:
+        if source.startswith("<!--", at):
+            end = source.find("-->", at + 4)
+            return at, len(source) if end < 0 else end + 3, "", "", ""
+        if source.startswith(("<!", "<?"), at):
+            return at, source.find(">", at) + 1 or len(source), "", "", ""
+        if name := _NAME.match(source, at + 1):
+            rest = _REST.match(source, name.end())
+            if rest.end() == len(source):
+                return at, len(source), "", "", ""
+            return at, rest.end() + 1, name[1], name[2].lower(), rest[0]
+        at += 1
+    return None
+
+
+def read_page(source: str) -> tuple[list[tuple[str, list[int]]], list[int], list[int], list[int]]:
     """Blocks of a page in order, each a text and the places of the subtrees around it; the
-    hashes of all subtrees with text; and the places of those that count by address.
+    hashes of all subtrees with text; the places of those that count by address; and the
+    places of those that are plain parts of an article wherever they stand.
 
     Dropped elements give no block; if there is an article, only its blocks are given.
     """
     numbers = 0
     root = _Element("", None, "", 0)
     stack, elements, blocks, text, holder = [root], [], [], [], None
+    opened = Counter()
 
     def flush():
         nonlocal text, holder
@@ -87,6 +114,8 @@ def read_page(source: str) -> tuple[list[tuple[str, list[int]]], list[int], list
 
     def pop():
         element = stack.pop()
+        element.open = False
+        opened[element.tag] -= 1
         if stack:
             stack[-1].digest.update(element.digest.digest())
             stack[-1].length += element.length
@@ -101,26 +130,26 @@ def read_page(source: str) -> tuple[list[tuple[str, list[int]]], list[int], list
                 # The innermost element around all of the block.
                 if holder is None:
                     holder = stack[-1]
-                while holder not in stack:
+                while not holder.open:
                     holder = holder.parent
                 stack[-1].digest.update(bare)
                 stack[-1].length += len(bare)
 
     at, raw_end = 0, len(source)
-    for match in iter(lambda: _TOKEN.search(source, at), None):
-        add(source[at:match.start()])
-        at = match.end()
-        tag = (match[2] or "").lower()
+    while found := next_tag(source, at):
+        start, end, closing, tag, rest = found
+        add(source[at:start])
+        at = end
         if not tag:
             continue
-        if not match[1]:
+        if not closing:
             if tag == "br":
                 add(" ")
                 continue
             if tag in _BLOCK or tag in _DROPPED:
                 flush()
             closes = _CLOSES.get(tag) or ({"p"} if tag in _BLOCK else None)
-            while closes and any(e.tag in closes for e in stack[1:]):
+            while closes and any(opened[t] for t in closes):
                 inner = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag in closes or stack[i].tag in _SCOPE), 0)
                 if not inner or stack[inner].tag not in closes:
                     break
@@ -129,19 +158,20 @@ def read_page(source: str) -> tuple[list[tuple[str, list[int]]], list[int], list
             if tag in _VOID:
                 continue
             numbers += 1
-            element = _Element(tag, stack[-1], match[3], numbers)
+            element = _Element(tag, stack[-1], rest, numbers)
             if tag in _RAW:
-                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
-                element.digest.update(source[at:end.start() if end else raw_end])
+                close = re.compile(rf"</{tag}\b", re.I).search(source, at)
+                element.digest.update(source[at:close.start() if close else raw_end])
                 stack[-1].digest.update(element.digest.digest())
-                at = end.end() if end else raw_end
-            elif not match[3].rstrip().endswith("/") or tag in _BLOCK:
+                at = (source.find(">", close.end()) + 1 if close else 0) or raw_end
+            elif not rest.rstrip().endswith("/") or tag in _BLOCK:
                 stack.append(element)
+                opened[tag] += 1
                 elements.append(element)
         else:
             if tag in _BLOCK or tag in _DROPPED:
                 flush()
-            inner = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            inner = opened[tag] and next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
             if inner and (tag in _BLOCK or not any(e.tag in _BLOCK for e in stack[inner + 1:])):
                 while len(stack) > inner:
                     pop()
@@ -152,13 +182,14 @@ def read_page(source: str) -> tuple[list[tuple[str, list[int]]], list[int], list
     if any(e.main for _, e in blocks):
         blocks = [b for b in blocks if b[1].main]
     places: dict[int, int] = {}
-    by_address, place_of = set(), {}
+    by_address, place_of, plain, other = set(), {}, set(), set()
     half = sum(len(t) for t, _ in blocks) / 2
     for element in elements:
         if element.length and element.tag not in _ROOTS:
             place = place_of[element.number] = places.setdefault(element.digest.intdigest() - (1 << 63), len(places))
             if element.main and element.named and not element.prose and element.length < half:
                 by_address.add(place)
+            (plain if element.main and not element.named else other).add(place)
     out = []
     for whole, element in blocks:
         around = []
@@ -167,7 +198,7 @@ def read_page(source: str) -> tuple[list[tuple[str, list[int]]], list[int], list
                 around.append(place_of[element.number])
             element = element.parent
         out.append((whole, around))
-    return out, list(places), sorted(by_address)
+    return out, list(places), sorted(by_address), sorted(plain - other)
 
 
 _BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("around", pa.list_(pa.int32()))]))
@@ -185,22 +216,23 @@ def extract_text(pages: DataFrame, many_pages: int = MANY_PAGES) -> DataFrame:
 
     def parse(batches):
         for batch in steps(batches, "html"):
-            found, contents, subtrees, labelled = [], [], [], []
+            found, contents, subtrees, labelled, plain = [], [], [], [], []
             for source in batch.column("html").to_pylist():
-                blocks, hashes, by_address = read_page(source) if source else ([], [], [])
+                blocks, hashes, by_address, unnamed = read_page(source) if source else ([], [], [], [])
                 found.append([{"text": t, "around": a} for t, a in blocks])
                 contents.append(xxhash.xxh3_64_intdigest("\n".join(t for t, _ in blocks)) - (1 << 63))
                 subtrees.append(hashes)
                 labelled.append(by_address)
+                plain.append(unnamed)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(found, _BLOCKS),
                  pa.array(contents, pa.int64()), pa.array(subtrees, pa.list_(pa.int64())),
-                 pa.array(labelled, pa.list_(pa.int32()))],
-                names=["page_id", "url", "host", "blocks", "content", "subtrees", "labelled"])
+                 pa.array(labelled, pa.list_(pa.int32())), pa.array(plain, pa.list_(pa.int32()))],
+                names=["page_id", "url", "host", "blocks", "content", "subtrees", "labelled", "plain"])
 
     parsed = staged(rows.mapInArrow(
         parse, "page_id bigint, url string, host string, blocks array<struct<text:string,around:array<int>>>,"
-               " content bigint, subtrees array<bigint>, labelled array<int>")
+               " content bigint, subtrees array<bigint>, labelled array<int>, plain array<int>")
         .withColumn("row", F.monotonically_increasing_id()))
     subtree = F.xxhash64("host", "subtree").alias("subtree")
     counted = parsed.select("host", "content", F.xxhash64("url").alias("address"), "labelled",
@@ -216,9 +248,16 @@ def extract_text(pages: DataFrame, many_pages: int = MANY_PAGES) -> DataFrame:
         "row", "place", subtree)
     # Staged, so that a small table is known to be small before the texts would be shuffled.
     gone = staged(places.join(template, "subtree").groupBy("row").agg(F.collect_set("place").alias("gone")))
-    kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["around"], F.coalesce(
-        F.col("gone"), F.array().cast("array<int>"))))
-    ready = parsed.join(gone, "row", "left").select("page_id", "url", kept.alias("blocks"))
+    ready = parsed.join(gone, "row", "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
+    # A plain part of an article goes only with all that stands before it, or all that follows.
+    ready = ready.withColumn("own", F.transform("blocks", lambda b: ~F.arrays_overlap(b["around"], "gone")))
+    ready = ready.withColumns({
+        "first": F.array_position("own", True), "last": F.size("own") + 1 - F.array_position(F.reverse("own"), True),
+        "named": F.array_except("gone", "plain")})
+    between = lambda i: (F.col("first") > 0) & (i + 1 > F.col("first")) & (i + 1 < F.col("last"))
+    kept = F.filter("blocks", lambda b, i: ~F.arrays_overlap(b["around"], "named") & (
+        ~F.arrays_overlap(b["around"], "gone") | between(i)))
+    ready = ready.select("page_id", "url", kept.alias("blocks"))
     text = F.concat_ws("\n", F.col("blocks.text")).alias("text")
     return ready.select("page_id", "url", text).select(
         "page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))

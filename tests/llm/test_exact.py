@@ -75,6 +75,16 @@ def test_decontamination_of_nothing(spark, documents):
     assert decontaminate.drop_contaminated(documents(["a b", None], [None, 1]), bench).count() == 2
 
 
+def test_rows_are_dropped_by_their_text_and_not_by_their_id(spark, documents):
+    words = " ".join(f"w{i}" for i in range(20))
+    bench = spark.createDataFrame([(1, words)], "item_id bigint, text string")
+    docs = documents([words, words, "clean text", "clean too", words, None, "", words], [None, 7, 7, None, 8, 9, 9, 8])
+    kept = decontaminate.drop_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(7, "clean text"), (None, "clean too"), (9, None), (9, "")], key=str)
+
+
 def test_winnowing_keeps_a_gram_of_every_window():
     rng = np.random.default_rng(0)
     for _ in range(50):

@@ -226,6 +226,33 @@ def test_template_within_articles_goes(spark):
     assert {found[i] for i in range(18, 24)} == {"Only a text"}
 
 
+def test_what_articles_share_between_their_own_parts_stays(spark):
+    page = ("<body><article><p>Share this page</p><h1>Title {0}</h1><p>First part of {0}</p><h2>History</h2><p>Second part of {0}</p>"
+            "<blockquote>To be or not to be</blockquote><p>See below.</p><p>Last part of {0}</p><div class='more'>Read on</div>"
+            "<p>End of {0}</p><p>All rights reserved</p></article></body>")
+    rows = [(f"http://a.com/{i}", page.format(f"story {i}")) for i in range(6)]
+    found = {r["page_id"]: r["text"] for r in html_text.extract_text(pages_of(spark, rows)).collect()}
+    assert [found[i] for i in range(6)] == [
+        f"Title story {i}\nFirst part of story {i}\nHistory\nSecond part of story {i}\nTo be or not to be\nSee below.\n"
+        f"Last part of story {i}\nEnd of story {i}" for i in range(6)]
+
+
+def test_broken_and_deep_pages_take_linear_time():
+    import time
+    pages = ["<p>ok</p><a href=\"x" + " b=\"c\"" * 10_000, "<p>ok</p>" + "<a b='" * 20_000, "<p>ok</p>" + "<!x" * 20_000,
+             "<div>" * 100_000 + "<p>ok</p>", "<b>" * 50_000 + "<p>ok" + "</i>" * 50_000, "<p>ok</p><script>" + "</script" * 20_000]
+    for source in pages:
+        start = time.perf_counter()
+        blocks = html_text.read_page(source)[0]
+        assert time.perf_counter() - start < 15  # without the bounds, minutes or never
+        assert [b[0] for b in blocks] == ["ok"]
+
+
+def test_raw_text_ends_where_it_says():
+    source = "<p>a</p><script>if (a<b && c) x = \"</script><p>b 1 < 2 and 3 > 2</p><textarea><p>no</p></textarea><p title=\"x>y\">c"
+    assert [b[0] for b in html_text.read_page(source)[0]] == ["a", "b 1 < 2 and 3 > 2", "c"]
+
+
 def test_template_of_a_section_goes_and_copies_stay(spark):
     section = "<body><p>Weather desk, all days</p><p>{}</p></body>"
     rows = [(f"http://a.com/{i}", section.format(f"story {i}") if i < 6 else f"<p>Page {i}</p>") for i in range(60)]
