@@ -17,31 +17,41 @@ DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score as toxic go."""
+    """Documents that score as toxic go.
+
+    Null and empty texts score as low as texts can and stay. Repeated rows score alike.
+    """
     return keep_clean(docs.select(DOCUMENTS), read(spark, sf_dir, "labels"))
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by similar word n-grams, the smallest id stays.
 
-    Near-duplicate stages take five words and a similarity of 0.8.
+    Near-duplicate stages take five words and a similarity of 0.8. Null and empty texts and
+    rows with a null id all stay; of rows that repeat an id that stays, one does.
     """
     return keep_first(docs.select(DOCUMENTS), percent=80, n=5)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item go.
+
+    Each row is judged by its text; null and empty ones stay, repeated rows go together.
+    """
     return drop_contaminated(docs.select(DOCUMENTS), read(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; all documents stay."""
+    """Secrets are replaced by a mark; all documents stay.
+
+    A null text stays null and keeps its n_chars, others are counted anew.
+    """
     length = F.coalesce(F.char_length("text").cast("bigint"), F.col("n_chars"))
     return redact_secrets(docs.select(DOCUMENTS)).withColumn("n_chars", length)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of what is left."""
+    """Token counts and digests of what is left, a row each; a null text counts as empty."""
     return encode_digests(docs, tokenizer("word_bpe_49k.json"))
 
 
