@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import oracle_sql
 from .common import read
 from .decontaminate import ORACLE_SQL
 
@@ -82,4 +83,6 @@ QUERIES = {f.__name__: f for f in (
     op1_decontaminate, op2_bpe, op3_fingerprints, op4_ngram_jaccard, op5_token_counts, op6_language,
     op7_secrets, op8_html_text, op9_toxicity, op10_quality, op11_phrases,
     op12_spelling, op13_minhash)}
-ORACLE: dict[str, str] = {"op1_decontaminate": ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op1_decontaminate": ORACLE_SQL, "op4_ngram_jaccard": oracle_sql.similar(3, 90), "op11_phrases": oracle_sql.phrases(),
+    "op12_spelling": oracle_sql.spelling(), "op13_minhash": oracle_sql.similar(5, 85, kept=True)}

@@ -273,7 +273,7 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op11_phrases", "op12_spelling"}))
 def test_queries_return_a_row_for_every_input(spark, sf_dir, name):
     table = "pages" if name == "op8_html_text" else "documents"
     key = "page_id" if table == "pages" else "doc_id"
