@@ -52,6 +52,39 @@ def duplicates(df: DataFrame) -> DataFrame:
         F.coalesce(F.try_divide(extra * 100.0, F.col("total")), F.lit(0.0)).alias("percent"))
 
 
+def profile(df: DataFrame, described=()) -> DataFrame:
+    """One wide row with all that the audit of a source tells, from one scan and one shuffle.
+
+    ``total`` and ``distinct_rows``, missing values per column, and statistics of the
+    ``described`` columns. Copies of a row meet in the count of different rows, which all
+    other aggregates share. ``profile_tables`` lays the row out.
+    """
+    aggs = [F.count("*").alias("total"), F.count_distinct(F.struct(*df.columns)).alias("distinct_rows")]
+    aggs += [F.count_if(is_missing(df, c)).alias(f"missing{i}") for i, c in enumerate(df.columns)]
+    for i, c in enumerate(described):
+        aggs += _statistics(df, c, i)
+    return df.agg(*aggs)
+
+
+def profile_tables(row, columns, described) -> dict[str, list[tuple]]:
+    """Rows of the tables nulls, duplicates, describe and volume from one row of ``profile``."""
+    extra = row["total"] - row["distinct_rows"]
+    return {
+        "nulls": [(c, row[f"missing{i}"]) for i, c in enumerate(columns)],
+        "duplicates": [(row["total"], row["distinct_rows"], extra,
+                        extra * 100.0 / row["total"] if row["total"] else 0.0)],
+        "describe": [(c, *(row[f"{name}{i}"] for name in ("n", "mean", "sd", "min", "max")))
+                     for i, c in enumerate(described)],
+        "volume": [(row["total"],)],
+    }
+
+
+def _statistics(df: DataFrame, column: str, i: int) -> list:
+    v = valid(df, column).cast("double")
+    return [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"sd{i}"),
+            F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}")]
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
@@ -61,10 +94,7 @@ def describe(df: DataFrame, columns=None) -> DataFrame:
     columns = numeric_columns(df) if columns is None else list(columns)
     aggs = []
     for i, c in enumerate(columns):
-        v = valid(df, c).cast("double")
-        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mean{i}"),
-                 F.stddev_samp(v).alias(f"sd{i}"), F.min(v).alias(f"min{i}"),
-                 F.max(v).alias(f"max{i}")]
+        aggs += _statistics(df, c, i)
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
                      F.col(f"mean{i}").alias("mean"), F.col(f"sd{i}").alias("stddev"),
                      F.col(f"min{i}").alias("min"), F.col(f"max{i}").alias("max"))

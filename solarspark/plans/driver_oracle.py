@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from solarspark.fixed_values import BASELINE_FEATURES, LOCATIONS, PREPROCESSED_COLUMNS, WEATHER_MEASURES
+from solarspark.fixed_values import (
+    BASELINE_FEATURES,
+    IRRADIANCE_MEASURES,
+    LOCATIONS,
+    MIN_TOTAL_ROWS,
+    PREPROCESSED_COLUMNS,
+    WEATHER_MEASURES,
+)
 
 LINE = "l_orderkey, l_partkey, l_linenumber"
 
@@ -287,6 +294,20 @@ AUDITED = {
         "SOLAR_ZENITH_ANGLE": "false", "SOLAR_AZIMUTH": "false", "OPTIMAL_TILT": "false"}),
 }
 
+DESCRIBED = {
+    "generation": (f"""(
+        SELECT CASE WHEN l_tax > 0 THEN l_extendedprice END AS "DC_POWER",
+               l_extendedprice * (1 - l_discount) AS "AC_POWER",
+               CASE WHEN l_discount > 0 THEN l_quantity END AS "DAILY_YIELD" FROM {RAW_LINES})""",
+                   ["DC_POWER", "AC_POWER", "DAILY_YIELD"]),
+    "weather": ("""(SELECT avg(o_totalprice) AS "IRRADIATION" FROM orders GROUP BY o_orderdate, o_custkey)""",
+                ["IRRADIATION"]),
+    "irradiance": ("""(
+        SELECT value AS ghi, value / 2 AS dhi, value * 2 AS dni,
+               CASE WHEN event_id % 9 > 0 THEN value + 1 END AS temp_air, user_id::DOUBLE AS wind_speed,
+               value AS "SOLAR_ZENITH_ANGLE", 90 - value AS "OPTIMAL_TILT" FROM events)""", IRRADIANCE_MEASURES),
+}
+
 STUMP_FEATURES = ["l_discount", "l_tax", "l_linenumber"]
 OTHER_FEATURES = ["l_tax", "l_linenumber"]
 
@@ -808,4 +829,13 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT CASE (SELECT algorithm FROM top) WHEN 'GBT' THEN g.f ELSE r.f END, 'importance', 1.0::DOUBLE
         FROM {FOREST} r CROSS JOIN {BOOSTED} g""",
     "dq_incremental": PREPROCESS,
+    "dq_job_describe": " UNION ALL ".join(f"""
+        SELECT '{source}' AS source, '{c}' AS "column", count("{c}") AS count, round(avg("{c}"), 6) AS mean,
+               round(stddev_samp("{c}"), 6) AS stddev, round(min("{c}"), 6) AS min, round(max("{c}"), 6) AS max
+        FROM {relation}""" for source, (relation, columns) in DESCRIBED.items() for c in columns),
+    "dq_job_volume": " UNION ALL ".join(
+        f"SELECT '{source}' AS source, count(*) AS rows, NULL::BOOLEAN AS requirement_met FROM {relation}"
+        for source, (relation, _) in DESCRIBED.items()) + " UNION ALL SELECT 'TOTAL', " + " + ".join(
+        f"(SELECT count(*) FROM {relation})" for relation, _ in DESCRIBED.values()) + f""", {" + ".join(
+        f"(SELECT count(*) FROM {relation})" for relation, _ in DESCRIBED.values())} >= {MIN_TOTAL_ROWS}""",
 }

@@ -628,6 +628,15 @@ def job_audit(spark, sf_dir):
         "source", "column", "missing", "total", "duplicates")
 
 
+def job_describe(spark, sf_dir):
+    out = jobs.audit_sources(**sources(spark, sf_dir))["describe"]
+    return out.withColumns({c: r6(c) for c in ("mean", "stddev", "min", "max")})
+
+
+def job_volume(spark, sf_dir):
+    return jobs.audit_sources(**sources(spark, sf_dir))["volume"]
+
+
 def job_validation(spark, sf_dir):
     """Remaining NULLs and label distribution of the job's written output."""
     path = scratch_path(spark)
@@ -863,5 +872,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rf_importance, gbt_importance, reg_importance, search_grid, champion, rf_scores,
         best_params, best_scores, split_report, null_keys, analysis_cities, analysis_monthly,
         analysis_irradiance, malformed, city_year_scan, analysis_missing, analysis_dc_power,
-        analysis_boxes, baseline_job, tuned_job, incremental)
+        analysis_boxes, baseline_job, tuned_job, incremental, job_describe,
+        job_volume)
 }

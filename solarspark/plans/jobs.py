@@ -38,32 +38,39 @@ from solarspark.sources.writers import write_csv, write_dataset
 
 # Audit of the raw sources.
 
+AUDIT_SCHEMAS = {
+    "nulls": "source string, column string, missing bigint",
+    "duplicates": "source string, total bigint, distinct_rows bigint, duplicates bigint, percent double",
+    "describe": "source string, column string, count bigint, mean double, stddev double, min double, max double",
+    "volume": "source string, rows bigint, requirement_met boolean",
+}
+
+
 def audit_sources(generation: DataFrame, weather: DataFrame,
                   irradiance: DataFrame) -> dict[str, DataFrame]:
     """Gaps, duplicates, statistics and volume of the three raw tables, each as one table.
 
-    Of sources read with their malformed rows, these are counted per file and left out of the
+    Every source is scanned once and gives one wide row; the tables are made of these. Of sources read with their malformed rows, these are counted per file and left out of the
     rest.
     """
     read = {"generation": generation, "weather": weather, "irradiance": irradiance}
-    sources = {n: well_formed(df) for n, df in read.items()}
     described = {
         "generation": ["DC_POWER", "AC_POWER", "DAILY_YIELD"],
         "weather": ["IRRADIATION"],
         "irradiance": fixed.IRRADIANCE_MEASURES,
     }
-
-    def tagged(make):
-        return union_all([make(n, df).select(F.lit(n).alias("source"), "*")
-                          for n, df in sources.items()])
-
-    return {
-        "nulls": tagged(lambda n, df: audit.null_counts_long(df)),
-        "duplicates": tagged(lambda n, df: audit.duplicates(df)),
-        "describe": tagged(lambda n, df: audit.describe(df, described[n])),
-        "volume": audit.volume(sources),
-        **_malformed_report(read),
-    }
+    found: dict[str, list[tuple]] = {}
+    for name, df in read.items():
+        df = well_formed(df)
+        row = audit.profile(df, described[name]).first()
+        for table, rows in audit.profile_tables(row, df.columns, described[name]).items():
+            found.setdefault(table, []).extend((name, *r) for r in rows)
+    total = sum(rows for _, rows in found["volume"])
+    found["volume"] = [(name, rows, None) for name, rows in found["volume"]] + [
+        ("TOTAL", total, total >= fixed.MIN_TOTAL_ROWS)]
+    spark = generation.sparkSession
+    return {**{table: spark.createDataFrame(rows, AUDIT_SCHEMAS[table]) for table, rows in found.items()},
+            **_malformed_report(read)}
 
 
 def _malformed_report(read: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -132,3 +132,11 @@ def test_weather_check_shares_the_shuffle_of_the_join(spark):
     right = merge.with_unique_key(spark.range(100).select(F.col("id").alias("k")), ["k"])
     text = plan(left.hint("merge").join(right, "k", "left"))
     assert text.count("hashpartitioning(k") == 2
+
+
+def test_an_audit_scans_a_source_once(spark):
+    from solarspark.operators import audit
+    li = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    text = final_plan(audit.profile(li, ["l_quantity", "l_tax"]))
+    assert text.count("FileScan parquet") == 1 and "Expand" not in text
+    assert "partial_count" in text and "partial_stddev" in text
