@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import map_texts, sha256, staged, steps
 
 TABLE_WORDS = 200_000
-COUNT_BINS = 100_000  # counts are compared up to here
+COUNT_BINS = 100_000  # counts are compared one by one up to here, beyond by powers of two
 MAX_TAIL = 100_000  # rare words a task remembers
 
 
@@ -106,13 +106,15 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
 def word_table(docs: DataFrame, path: str, table_words: int = TABLE_WORDS) -> DataFrame:
     """``word, ids, decoded`` of the most frequent words, ``table_words`` rows at most.
 
-    All words that occur as often are in or out together.
+    All words that occur as often are in or out together, and so are those above
+    ``COUNT_BINS`` whose counts have one power of two.
     """
     spark = docs.sparkSession
-    counts = staged(word_counts(docs, path).where("n > 1"))
-    bins = counts.groupBy(F.least("n", F.lit(COUNT_BINS)).alias("n")).count().collect()
-    least, held = COUNT_BINS + 1, 0
-    for n, rows in sorted(((r["n"], r["count"]) for r in bins), reverse=True):
+    level = F.when(F.col("n") < COUNT_BINS, F.col("n")).otherwise(COUNT_BINS + F.floor(F.log2("n")))
+    counts = staged(word_counts(docs, path).where("n > 1").withColumn("level", level))
+    bins = counts.groupBy("level").count().collect()
+    least, held = COUNT_BINS + 64, 0
+    for n, rows in sorted(((r["level"], r["count"]) for r in bins), reverse=True):
         held += rows
         if held > table_words:
             break
@@ -126,7 +128,7 @@ def word_table(docs: DataFrame, path: str, table_words: int = TABLE_WORDS) -> Da
                 [batch.column("word"), pa.array(tokenizer.encode_words(words), pa.list_(pa.int32()))],
                 names=["word", "ids"])
 
-    encoded = (counts.where(F.col("n") >= least).select("word").repartition(12, "word")
+    encoded = (counts.where(F.col("level") >= least).select("word").repartition("word")
                .mapInArrow(encode, "word string, ids array<int>"))
     pieces = spark.createDataFrame(sorted(load(path).pieces.items()), "id int, piece string")
     decoded = (encoded.select("word", "ids", F.posexplode("ids").alias("at", "id"))

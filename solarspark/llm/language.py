@@ -25,18 +25,18 @@ ROUNDS = 12
 OVERLAP = 3  # neighbouring trigrams share letters; their joint weight is divided by this
 
 
-@lru_cache(1)
-def _letters() -> np.ndarray:
-    """True for code points of letters and of marks on them."""
-    return np.array([unicodedata.category(chr(i))[0] in "LM" for i in range(0x110000)])
+@lru_cache(2)
+def _in_category(kinds: str) -> np.ndarray:
+    """True for code points whose category begins with one of the letters."""
+    return np.array([unicodedata.category(chr(i))[0] in kinds for i in range(0x110000)])
 
 
 def grams(text: str) -> np.ndarray:
     """Places of the letter trigrams of a text, sorted; words are set off by a blank."""
     points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-    is_letter = _letters()[points]
-    if not is_letter.any():
+    if not _in_category("L")[points].any():  # marks alone are no text
         return np.zeros(0, np.uint16)
+    is_letter = _in_category("LM")[points]
     points = np.where(is_letter, points, 32).astype(np.uint32)
     keep = np.r_[True, (points[1:] != 32) | (points[:-1] != 32)]
     p = points[keep]

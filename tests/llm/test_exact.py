@@ -114,6 +114,17 @@ def test_encoding_is_the_librarys(spark, documents, sf_dir):
     assert all(again[i]["decoded"] == r["decoded"] for i, r in by_id(encoded).items())
 
 
+@pytest.mark.parametrize("bins,words", [(3, 2), (3, 8), (2, 1), (100_000, 4)])
+def test_table_of_words_keeps_to_its_size(documents, monkeypatch, bins, words):
+    monkeypatch.setattr(bpe, "COUNT_BINS", bins)
+    names = [f"w{c}x" for c in "abcdefghij"]
+    texts = [" ".join(w for i, w in enumerate(names) for _ in range(3 + i * i))]
+    table = bpe.word_table(documents(texts), tokenizer("word_bpe_49k.json"), words).collect()
+    assert len(table) <= words
+    if bins > 1000:
+        assert {r["word"].strip() for r in table} == set(names[-words:])
+
+
 def test_encoding_of_nothing(documents):
     path = tokenizer("word_bpe_49k.json")
     assert bpe.encode_digests(documents([]), path).count() == 0

@@ -42,6 +42,7 @@ def test_language(documents):
     right = [found[i]["lang_pred"] == langs[i] for i in range(300) if held(i)]
     assert np.mean(right) > 0.95
     assert [found[300 + i]["lang_pred"] for i in range(4)] == ["und"] * 4
+    assert not len(language.grams("\u0301\u0302 \u0301")) and len(language.grams("e\u0301"))
     assert found[300 + len(HARD)]["lang_pred"] == "aa" and 0.6 < found[300 + len(HARD)]["score"] < 0.9
     assert all(0 <= r["score"] <= 1 and r["held_out"] == held(i) for i, r in found.items())
 
