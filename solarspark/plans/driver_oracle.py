@@ -829,6 +829,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT CASE (SELECT algorithm FROM top) WHEN 'GBT' THEN g.f ELSE r.f END, 'importance', 1.0::DOUBLE
         FROM {FOREST} r CROSS JOIN {BOOSTED} g""",
     "dq_incremental": PREPROCESS,
+    "dq_laid_out": PREPROCESS,
     "dq_job_describe": " UNION ALL ".join(f"""
         SELECT '{source}' AS source, '{c}' AS "column", count("{c}") AS count, round(avg("{c}"), 6) AS mean,
                round(stddev_samp("{c}"), 6) AS stddev, round(min("{c}"), 6) AS min, round(max("{c}"), 6) AS max

@@ -622,6 +622,14 @@ def incremental(spark, sf_dir):
         spark, store, raw["irradiance"], city="view", year=2024))
 
 
+def laid_out(spark, sf_dir):
+    """The same from tables laid out by plant and time."""
+    raw, folder = sources(spark, sf_dir), scratch_path(spark)
+    buckets = jobs.lay_out(raw["generation"], raw["weather"], folder)
+    return _comparable(jobs.preprocess_laid_out(
+        spark, folder, buckets, raw["irradiance"], city="view", year=2024))
+
+
 def job_audit(spark, sf_dir):
     tables = jobs.audit_sources(**sources(spark, sf_dir))
     return tables["nulls"].join(tables["duplicates"], "source").select(
@@ -873,5 +881,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         best_params, best_scores, split_report, null_keys, analysis_cities, analysis_monthly,
         analysis_irradiance, malformed, city_year_scan, analysis_missing, analysis_dc_power,
         analysis_boxes, baseline_job, tuned_job, incremental, job_describe,
-        job_volume)
+        job_volume, laid_out)
 }

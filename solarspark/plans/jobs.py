@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from solarspark import fixed_values as fixed
@@ -33,8 +33,11 @@ from solarspark.operators.quarantine import holds_malformed, malformed_counts, m
 from solarspark.operators.sampling import first_in_time
 from solarspark.operators.stats import density_by_class
 from solarspark.session import materialize
+from solarspark.sources.layout import lay_out_together, open_by_key
 from solarspark.sources.writers import write_csv, write_dataset
 
+WEATHER_KEY = ("PLANT_ID", "DATETIME")
+
 
 # Audit of the raw sources.
 
@@ -140,6 +143,26 @@ def combine(readings: DataFrame, sensors: DataFrame, irradiance: DataFrame,
     return merged.select(*fixed.PREPROCESSED_COLUMNS)
 
 
+def lay_out(generation: DataFrame, weather: DataFrame, folder: str) -> int:
+    """Clean readings and clean weather as tables laid out by the key that joins them.
+
+    Returns the number of their buckets, with which ``preprocess_laid_out`` joins them as often
+    as needed without a shuffle.
+    """
+    return lay_out_together({"generation": clean_generation(generation), "weather": clean_weather(weather)},
+                            folder, WEATHER_KEY)
+
+
+def preprocess_laid_out(spark: SparkSession, folder: str, buckets: int, irradiance: DataFrame, **options) -> DataFrame:
+    """The analysis-ready table of sources laid out before; ``options`` as for ``combine``.
+
+    The check of the weather key and the join both find the rows of a key together already.
+    """
+    readings, sensors = (open_by_key(spark, f"{folder}/{name}", WEATHER_KEY, buckets)
+                         for name in ("generation", "weather"))
+    return combine(readings, sensors, irradiance, **options)
+
+
 def validate_preprocessed(sources: dict[str, DataFrame], result: DataFrame,
                           minimum: int = fixed.MIN_TOTAL_ROWS) -> dict[str, DataFrame]:
     """Rows in, rows and columns out, remaining NULLs, label distribution."""

@@ -140,3 +140,31 @@ def test_an_audit_scans_a_source_once(spark):
     text = final_plan(audit.profile(li, ["l_quantity", "l_tax"]))
     assert text.count("FileScan parquet") == 1 and "Expand" not in text
     assert "partial_count" in text and "partial_stddev" in text
+
+
+def test_tables_laid_out_by_key_join_without_a_shuffle(spark, small_thresholds, tmp_path, monkeypatch):
+    from solarspark.sources import layout
+    monkeypatch.setattr(layout, "ROWS_PER_BUCKET", 500)
+    keys = ("p", "t")
+    readings = spark.range(3000).select((F.col("id") % 50).alias("p"), (F.col("id") % 77).cast("int").alias("t"),
+                                        F.col("id").cast("double").alias("y"))
+    weather = spark.range(50 * 77).select((F.col("id") % 50).alias("p"), (F.col("id") / 50).cast("int").alias("t"),
+                                          F.col("id").alias("w"))
+    folder = f"{tmp_path}/tables"
+    buckets = layout.lay_out_together({"readings": readings, "weather": weather}, folder, keys)
+    assert buckets == 8
+
+    def joined():
+        left, right = (layout.open_by_key(spark, f"{folder}/{n}", keys, buckets) for n in ("readings", "weather"))
+        return left.join(merge.with_unique_key(right, ["t", "p"]), ["t", "p"], "left")
+
+    expected = sorted(map(tuple, readings.join(weather, ["t", "p"], "left").collect()))
+    for again in range(2):
+        text = final_plan(joined())
+        assert "Exchange" not in text and "SortMergeJoin" in text
+        assert sorted(map(tuple, joined().select("t", "p", "y", "w").collect())) == expected
+        # Another session knows the files only.
+        for name in ("readings", "weather"):
+            spark.sql(f"DROP TABLE {layout._name(f'{folder}/{name}')}")
+    layout.write_by_key(weather.limit(10), f"{folder}/weather", keys, buckets)
+    assert layout.open_by_key(spark, f"{folder}/weather", keys, buckets).count() == 10
