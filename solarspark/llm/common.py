@@ -16,6 +16,9 @@ from ..session import scratch_path
 #: Rows are handed to Python in steps of so many characters at most.
 STEP_CHARS = 8_000_000
 
+#: So many 64-bit keys at most are sent to all tasks.
+FEW_KEYS = 1_000_000
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -51,6 +54,16 @@ def free(*tables: DataFrame) -> None:
             folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """Rows of ``docs`` whose ``key`` is not in ``gone``, which is computed once.
+
+    Up to ``FEW_KEYS`` numbers are sent to all tasks, so that the texts stay where they are;
+    more are met by a shuffle.
+    """
+    gone = staged(gone)
+    return docs.join(F.broadcast(gone) if gone.count() <= FEW_KEYS else gone, key, "left_anti")
+
+
 def bit_table(df: DataFrame, mark: str, bits: int):
     """Broadcast table of 2**bits bits, those at the first ``bits`` bits of every ``mark`` set.
 

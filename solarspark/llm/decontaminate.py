@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, steps
+from .common import staged, steps, without
 
 BITS = 22  # the bit table has 2**22 places
 BROADCAST_GRAMS = 100_000  # a benchmark of more kept grams is joined by a shuffle
@@ -201,7 +201,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -
     named = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
     hit = decontaminate(named, benchmark, window, id_col="__row").where("contaminated").select(
         F.col("doc_id").alias("__row")).distinct()
-    return named.join(hit, "__row", "left_anti").select(*docs.columns)
+    return without(named, hit, "__row").select(*docs.columns)
 
 
 #: The same by joining all windows as texts.

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import STEP_CHARS, bit_table, free, staged, steps, unpacked
+from .common import STEP_CHARS, bit_table, free, staged, steps, unpacked, without
 from .components import components
 from .decontaminate import _gram_hashes, _Hashes
 
@@ -286,7 +286,7 @@ def keep_first(docs: DataFrame, percent: int = 90, n: int = 3) -> DataFrame:
     with a null id, which nothing can name.
     """
     spare = similar_components(docs, percent, n).where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(spare, "doc_id", "left_anti").select(*docs.columns)
+    kept = without(docs, spare, "doc_id").select(*docs.columns)
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept
