@@ -54,6 +54,14 @@ def free(*tables: DataFrame) -> None:
             folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let go of shuffle files of what has been staged since.
+
+    Spark deletes them when the driver collects its garbage, which may be long after.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """Rows of ``docs`` whose ``key`` is not in ``gone``, which is computed once.
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import math
 from bisect import bisect_left
-from functools import lru_cache
+from functools import lru_cache, partial, reduce
 from itertools import combinations
 
 import numpy as np
@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import STEP_CHARS, bit_table, free, staged, steps, unpacked, without
+from .common import STEP_CHARS, bit_table, free, free_shuffles, staged, steps, unpacked, without
 from .components import components
 from .decontaminate import _gram_hashes, _Hashes
 
@@ -40,6 +40,7 @@ BLOCK_BYTES = 32_000_000  # and their elements, unless one set has more
 FEW = 8  # up to so many differing elements, ranges are combined
 BAND_BITS = 10
 RARE = 12  # an element of so many sets at most is counted pair by pair
+LOTS = 3  # signatures are made and shuffled lot by lot, so that their disk is needed once for each lot
 ROUNDS = 2  # of dropping signatures that cannot lead to a link
 BITS = 27  # the table of candidate sets has 2**27 places at most, eight for each set below that
 
@@ -186,7 +187,7 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
                 [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64())],
                 names=["doc_id", "key", "n"])
 
-    def sign(batches):
+    def sign(batches, lot):
         hashes, seen = _Hashes(), set()
         for batch in steps(batches, limit=STEP_CHARS // 4):
             nodes, signed = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -198,7 +199,8 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
                 if len(seen) > 200_000:
                     seen.clear()
                 seen.add(key)
-                signed.append(signatures(elements, percent))
+                own = signatures(elements, percent)
+                signed.append(own[(own.view(np.uint64) >> np.uint64(40)) % np.uint64(LOTS) == lot])
                 nodes.append(np.full(len(signed[-1]), int.from_bytes(key[:7], "big")))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(signed)), pa.array(np.concatenate(nodes))], names=["sig", "node"])
@@ -210,7 +212,12 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
         ends = signed.select("sig", "node", F.min("node").over(alike).alias("hub"), F.max("node").over(alike).alias("last"))
         return ends.where("hub <> last")
 
-    signed = staged(shared_by_several(texts.mapInArrow(sign, "sig bigint, node bigint")).select("sig", "node").distinct())
+    lots = []
+    for lot in range(LOTS):
+        lots.append(staged(shared_by_several(texts.mapInArrow(
+            partial(sign, lot=lot), "sig bigint, node bigint")).select("sig", "node").distinct()))
+        free_shuffles(docs.sparkSession)
+    signed = reduce(DataFrame.unionByName, lots)
     band = F.col("sig").bitwiseAND((1 << BAND_BITS) - 1).cast("int")
     needed = F.get(F.array(*map(F.lit, _bands(percent)[3])), F.col("band"))
     for _ in range(ROUNDS):
@@ -220,6 +227,7 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
         left = staged(shared_by_several(signed.join(strong, ["node", "band"]).select("sig", "node")))
         free(signed, strong)
         signed = left
+        free_shuffles(docs.sparkSession)
     hubs = signed.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     groups = staged(components(hubs))
     free(signed)
@@ -251,6 +259,7 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
     large = staged(once.groupBy("label").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.length("elements")) / BLOCK_BYTES)).cast("int").alias("blocks"))
         .where("blocks > 1"))
+    free_shuffles(docs.sparkSession)
     once = once.join(large, "label", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(
