@@ -40,7 +40,6 @@ BLOCK_BYTES = 32_000_000  # and their elements, unless one set has more
 FEW = 8  # up to so many differing elements, ranges are combined
 BAND_BITS = 10
 RARE = 12  # an element of so many sets at most is counted pair by pair
-LOTS = 3  # signatures are made and shuffled lot by lot, so that their disk is needed once for each lot
 ROUNDS = 2  # of dropping signatures that cannot lead to a link
 BITS = 27  # the table of candidate sets has 2**27 places at most, eight for each set below that
 
@@ -164,9 +163,12 @@ def linked(sets: list[np.ndarray], percent: int, split: int | None = None) -> np
 
 
 def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: str = "doc_id",
-                       text_col: str = "text") -> DataFrame:
+                       text_col: str = "text", lots: int = 1) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
+    Signatures are made and shuffled in ``lots``: more need less disk at a time, and read the
+    texts as often.
+
     ``component_id`` is the smallest id reachable over links of at least ``percent`` percent
     similarity. Null and empty texts have an empty set and are linked with nothing; texts
     of fewer than ``n`` words have one gram. Repeated rows and ids give a row each and are
@@ -200,7 +202,7 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
                     seen.clear()
                 seen.add(key)
                 own = signatures(elements, percent)
-                signed.append(own[(own.view(np.uint64) >> np.uint64(40)) % np.uint64(LOTS) == lot])
+                signed.append(own[(own.view(np.uint64) >> np.uint64(40)) % np.uint64(lots) == lot])
                 nodes.append(np.full(len(signed[-1]), int.from_bytes(key[:7], "big")))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(signed)), pa.array(np.concatenate(nodes))], names=["sig", "node"])
@@ -212,12 +214,12 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
         ends = signed.select("sig", "node", F.min("node").over(alike).alias("hub"), F.max("node").over(alike).alias("last"))
         return ends.where("hub <> last")
 
-    lots = []
-    for lot in range(LOTS):
-        lots.append(staged(shared_by_several(texts.mapInArrow(
+    parts = []
+    for lot in range(lots):
+        parts.append(staged(shared_by_several(texts.mapInArrow(
             partial(sign, lot=lot), "sig bigint, node bigint")).select("sig", "node").distinct()))
         free_shuffles(docs.sparkSession)
-    signed = reduce(DataFrame.unionByName, lots)
+    signed = reduce(DataFrame.unionByName, parts)
     band = F.col("sig").bitwiseAND((1 << BAND_BITS) - 1).cast("int")
     needed = F.get(F.array(*map(F.lit, _bands(percent)[3])), F.col("band"))
     for _ in range(ROUNDS):
@@ -288,13 +290,13 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def keep_first(docs: DataFrame, percent: int = 90, n: int = 3) -> DataFrame:
+def keep_first(docs: DataFrame, percent: int = 90, n: int = 3, lots: int = 2) -> DataFrame:
     """One document of each component: the one with the smallest id, unchanged.
 
     Of rows that repeat this id one stays. Documents without words all stay, and so do rows
     with a null id, which nothing can name.
     """
-    spare = similar_components(docs, percent, n).where("doc_id <> component_id").select("doc_id").distinct()
+    spare = similar_components(docs, percent, n, lots=lots).where("doc_id <> component_id").select("doc_id").distinct()
     kept = without(docs, spare, "doc_id").select(*docs.columns)
     repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if repeated.isEmpty():
