@@ -829,12 +829,15 @@ def analysis_dc_power(spark, sf_dir):
     """Centres and the bins around the readings before and after cleaning."""
     tables = analyses.dc_power(generation_source(spark, sf_dir),
                                table(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").alias("DC_POWER")))
-    return merge.union_all([
-        tables[f"{name}_center"].crossJoin(tables[f"{name}_histogram"].agg(
-            F.count("*").alias("bins"), F.sum("count").alias("binned"), F.max("count").alias("fullest")))
-        .select(F.lit(name).alias("phase"), "n", "zeros", *[r6(c).alias(c) for c in ("mean", "median", "zero_share")],
-                "bins", "binned", "fullest")
-        for name in ("before", "after")])
+    def phase(name):
+        filled = tables[f"{name}_histogram"].agg(
+            F.count("*").alias("bins"), F.sum("count").alias("binned"), F.max("count").alias("fullest"))
+        filled = filled.select(F.struct("*").alias("h")).scalar()
+        return tables[f"{name}_center"].select(
+            F.lit(name).alias("phase"), "n", "zeros", *[r6(c).alias(c) for c in ("mean", "median", "zero_share")],
+            *[filled.getField(c).alias(c) for c in ("bins", "binned", "fullest")])
+
+    return merge.union_all([phase("before"), phase("after")])
 
 
 def analysis_boxes(spark, sf_dir):
