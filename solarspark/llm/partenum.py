@@ -39,6 +39,9 @@ BLOCK = 2000  # sets of a candidate component compared in one task, against as m
 BLOCK_BYTES = 32_000_000  # and their elements, unless one set has more
 FEW = 8  # up to so many differing elements, ranges are combined
 BAND_BITS = 10
+RANGE = 500_000  # elements of all these sets counted at once, about
+ROWS = 256  # of the table of pairs worked on at once
+PART_CELLS = 4_000_000  # of a table of sets and frequent elements
 RARE = 12  # an element of so many sets at most is counted pair by pair
 ROUNDS = 2  # of dropping signatures that cannot lead to a link
 BITS = 27  # the table of candidate sets has 2**27 places at most, eight for each set below that
@@ -114,23 +117,18 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
-def linked(sets: list[np.ndarray], percent: int, split: int | None = None) -> np.ndarray:
-    """Label of each set: the first one it reaches through sets at least that similar.
-
-    With ``split`` only pairs of one set before it and one from it on are compared.
-    """
+def _shared_counts(sets: list[np.ndarray], common: np.ndarray) -> None:
+    """Add to ``common`` how many elements each set shares with those before it, or with any by products."""
     m = len(sets)
-    sizes = np.array([len(s) for s in sets], np.float32)
     flat = np.concatenate(sets)
-    owner = np.repeat(np.arange(m), sizes.astype(int))
+    owner = np.repeat(np.arange(m, dtype=np.int32), [len(s) for s in sets])
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
-    new = np.r_[True, flat[1:] != flat[:-1]]
+    new = np.r_[True, flat[1:] != flat[:-1]][:len(flat)]
     column = np.cumsum(new) - 1
     shared = np.bincount(column)[column] > 1  # an element of one set alone is in no intersection
     column, owner = column[shared], owner[shared]
     column = np.unique(column, return_inverse=True)[1] if len(column) else column
-    common = np.zeros((m, m), np.float32)
     degree = np.bincount(column)
     # Elements of few sets add to their pairs one by one, those of many by products.
     for d in np.unique(degree[degree <= RARE]).tolist():
@@ -138,18 +136,39 @@ def linked(sets: list[np.ndarray], percent: int, split: int | None = None) -> np
         for i in range(d):
             for j in range(i):
                 np.add.at(common, (owners[:, j], owners[:, i]), 1)
-    common += common.T
+                np.add.at(common, (owners[:, i], owners[:, j]), 1)
     often = degree[column] > RARE
     column, owner = column[often], owner[often]
     column = np.unique(column, return_inverse=True)[1] if len(column) else column
-    width = max(256, min(4096, 16_000_000 // max(m, 1)))
+    width = max(256, min(4096, PART_CELLS // max(m, 1)))
     for start in range(0, int(column.max()) + 1 if len(column) else 0, width):
         a, b = np.searchsorted(column, [start, start + width])
         part = np.zeros((m, min(width, int(column[b - 1]) + 1 - start)), np.float32)
         part[owner[a:b], column[a:b] - start] = 1
-        common += part @ part.T
+        for row in range(0, m, ROWS):
+            common[row:row + ROWS] += part[row:row + ROWS] @ part.T
+
+
+def linked(sets: list[np.ndarray], percent: int, split: int | None = None) -> np.ndarray:
+    """Label of each set: the first one it reaches through sets at least that similar.
+
+    With ``split`` only pairs of one set before it and one from it on are compared. Sets are
+    sorted. They are counted range by range of the hashed domain, some ``RANGE`` elements at a
+    time, so that beside the sets only the table of their pairs takes much memory.
+    """
+    m = len(sets)
+    sizes = np.array([len(s) for s in sets], np.float32)
+    ranges = 1 + sum(map(len, sets)) // RANGE
+    borders = (np.arange(1, ranges, dtype=np.float64) / ranges * 2.0 ** 64).astype(np.uint64)
+    cuts = [np.r_[0, np.searchsorted(s, borders), len(s)] for s in sets]
+    common = np.zeros((m, m), np.float32)
+    for i in range(ranges):
+        _shared_counts([s[c[i]:c[i + 1]] for s, c in zip(sets, cuts)], common)
     np.fill_diagonal(common, sizes)
-    near = 100 * common >= percent * (sizes[:, None] + sizes[None] - common)
+    near = np.zeros((m, m), bool)
+    for row in range(0, m, ROWS):
+        own = common[row:row + ROWS]
+        near[row:row + ROWS] = 100 * own >= percent * (sizes[row:row + ROWS, None] + sizes[None] - own)
     if split is not None:
         near[:split, :split] = near[split:, split:] = False
     labels = np.full(m, -1)
@@ -270,7 +289,8 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
 
     def compare(table: pa.Table) -> pa.Table:
         keys = table.column("key").to_pylist()
-        raw = [np.frombuffer(e, np.uint64) for e in table.column("elements").to_pylist()]
+        # Views of what Arrow holds, no copies.
+        raw = [np.frombuffer(e.as_buffer(), np.uint64) for e in table.column("elements")]
         blocks = table.column("block").to_numpy()
         order = sorted(range(len(keys)), key=lambda i: (blocks[i], keys[i]))
         split = int((blocks == blocks.min()).sum())

@@ -277,6 +277,22 @@ def test_signatures_of_similar_sets_meet():
                     assert set(partenum.signatures(np.sort(a), percent)) & set(partenum.signatures(np.sort(b), percent))
 
 
+def test_long_sets_are_compared_in_little_memory(monkeypatch):
+    import tracemalloc
+    rng = np.random.default_rng(3)
+    base = np.unique(rng.integers(0, 2**64, 8000, dtype=np.uint64))
+    sets = [np.unique(np.r_[base[rng.random(len(base)) > 0.05], rng.integers(0, 2**64, 100, dtype=np.uint64)])
+            for _ in range(100)] + [base[:100], base[50:200]]
+    whole = partenum.linked(sets, 80)
+    monkeypatch.setattr(partenum, "RANGE", 50_000)
+    tracemalloc.start()
+    labels = partenum.linked(sets, 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert labels.tolist() == whole.tolist() == [0] * 100 + [100, 101]
+    assert peak < sum(s.nbytes for s in sets)
+
+
 def test_keep_first(documents):
     a = " ".join(f"w{i}" for i in range(50))
     docs = documents([a, a + " x", "other text here", None, None, a, a], [5, 3, 9, 10, 11, 3, None])
