@@ -197,3 +197,15 @@ def test_temporal_split(spark):
     train, test = split.by_month(df)
     assert sorted(column(train, "DATETIME")) == [stamps[0], stamps[3]]
     assert column(test, "DATETIME") == [stamps[1]]
+
+
+def test_profile_counts_every_copy(spark, monkeypatch):
+    from solarspark.operators import audit
+    monkeypatch.setattr(audit, "LOT", 3)
+    rows = [(1, 2.0)] * 10 + [(None, None)] * 4 + [(None, float("nan"))] * 3 + [(2, 5.0)]
+    found = audit.profile(spark.createDataFrame(rows, "a int, b double"), ["b"]).first()
+    assert (found["total"], found["distinct_rows"], found["missing0"], found["missing1"]) == (18, 4, 7, 7)
+    assert (found["n0"], found["min0"], found["max0"]) == (11, 2.0, 5.0)
+    assert abs(found["mean0"] - 25 / 11) < 1e-12 and abs(found["sd0"] ** 2 - 90 / 121 * 11 / 10) < 1e-12
+    none = audit.profile(spark.createDataFrame([], "a int, b double"), ["b"]).first()
+    assert (none["total"], none["distinct_rows"], none["missing1"], none["mean0"]) == (0, 0, 0, None)
