@@ -36,6 +36,7 @@ TRIE_PHRASES = 300_000  # phrases of one trie, about
 ROW_WORDS = 60_000  # words of one staged row, more only where a piece has more
 HELD = 400_000  # distinct words counted in a task before they are handed on
 FEW_PARTS = 300_000  # so many parts of phrases at most are sent to all tasks
+TASKS_PER_CORE = 2  # tasks that go through the encoded texts
 RANKED = 1_000_000  # phrases ranked in one task
 NO_LANGUAGE = "und"
 
@@ -174,6 +175,16 @@ def _stretches(batches) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
 
 # --- candidates
 
+def _in_few_tasks(coded: DataFrame) -> DataFrame:
+    """The same rows in ``TASKS_PER_CORE`` tasks for each core at most.
+
+    A task that counts or proposes hands on a row for each bin or phrase it meets, and frequent
+    ones are met everywhere. Their rows then grow with their number, not with that times the
+    number of files. A task keeps tables of fixed sizes however much it reads.
+    """
+    return coded.coalesce(TASKS_PER_CORE * coded.sparkSession.sparkContext.defaultParallelism)
+
+
 def _hopeful(lang: str, words: np.ndarray, places: np.ndarray, k: int, shorter: np.ndarray) -> tuple:
     """Places of phrases of k words whose both parts of k - 1 words are in the table, their hashes, all words."""
     flat = np.r_[np.uint64(0), words][places]
@@ -402,7 +413,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, most: int = 5, lang_
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     single = counted.where(F.col("n") >= min_count)
     shorter = bit_table(single, "mark", BITS)
-    coded = staged(_encoded(texts, shorter, seed))
+    coded = _in_few_tasks(staged(_encoded(texts, shorter, seed)))
     levels = [single.select("lang", "words", F.lit(1).alias("k"), "n")]
     for k in range(2, most + 1):
         candidates = staged(_candidates(coded, k, shorter, min_count))

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from solarspark.llm import phrases
 
@@ -136,3 +137,10 @@ def test_double_array():
         inside = {r.tobytes() for r in rows}
         assert [x >= 0 for x in walk(other)] == [r.tobytes() in inside for r in other]
         assert len(base) < 1.5 * len(rows) * depth + 2000
+
+
+def test_many_files_are_read_in_few_tasks(spark):
+    most = phrases.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    coded = spark.range(0, 100, 1, 5 * most).select(F.spark_partition_id().alias("p"))
+    few = phrases._in_few_tasks(coded).select(F.spark_partition_id().alias("p"))
+    assert few.distinct().count() == most and few.count() == 100
