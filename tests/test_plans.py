@@ -168,3 +168,47 @@ def test_tables_laid_out_by_key_join_without_a_shuffle(spark, small_thresholds,
             spark.sql(f"DROP TABLE {layout._name(f'{folder}/{name}')}")
     layout.write_by_key(weather.limit(10), f"{folder}/weather", keys, buckets)
     assert layout.open_by_key(spark, f"{folder}/weather", keys, buckets).count() == 10
+
+
+def test_an_audit_shuffles_rows_without_sums(spark):
+    from solarspark.operators import audit
+    li = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    text = final_plan(audit.profile(li, ["l_quantity", "l_tax"]))
+    assert text.index("partial_stddev") < text.index("Exchange hashpartitioning")
+
+
+def _readings(spark):
+    return spark.createDataFrame(
+        [("2020-05-15 00:00:00", i % 2, f"s{i % 7}", 1.0, 2.0, float(i % 7), 3.0) for i in range(20)],
+        "DATE_TIME string, PLANT_ID int, SOURCE_KEY string, DC_POWER double, AC_POWER double,"
+        " DAILY_YIELD double, TOTAL_YIELD double")
+
+
+def test_dropping_copies_and_joining_weather_share_a_shuffle(spark):
+    from solarspark.plans import jobs
+    readings = jobs.clean_generation(_readings(spark))
+    weather = spark.range(3).select(F.col("id").cast("int").alias("PLANT_ID"), F.lit("s").alias("SOURCE_KEY"),
+                                    F.timestamp_seconds("id").cast("timestamp_ntz").alias("DATETIME"))
+    alone, joined = plan(readings), plan(merge.attach_weather(readings, weather.hint("merge")))
+    assert readings.count() == 14 and "SortMergeJoin" in joined
+    assert joined.count("Exchange hashpartitioning") == alone.count("Exchange hashpartitioning") + 1
+
+
+def test_laying_out_stages_nothing(spark, tmp_path, monkeypatch):
+    from solarspark.plans import jobs
+    from solarspark.sources import layout
+    monkeypatch.setattr(layout, "stage", None)
+    monkeypatch.setattr(layout, "ROWS_PER_BUCKET", 5)
+    weather = spark.sql("SELECT '2020-05-15 00:00:00' DATE_TIME, 1 PLANT_ID, 's' SOURCE_KEY, 1.0D AMBIENT_TEMPERATURE,"
+                        " 2.0D MODULE_TEMPERATURE, 3.0D IRRADIATION")
+    buckets = jobs.lay_out(_readings(spark), weather, f"{tmp_path}/tables")
+    assert buckets == 4 and spark.read.parquet(f"{tmp_path}/tables/generation").count() == 14
+    for name in ("generation", "weather"):
+        spark.sql(f"DROP TABLE {layout._name(f'{tmp_path}/tables/{name}')}")
+
+
+def test_group_mean_shares_the_shuffle_of_the_rows(spark):
+    from solarspark.plans import jobs
+    text = final_plan(jobs.clean_generation(_readings(spark).withColumn(
+        "PLANT_ID", F.when(F.col("TOTAL_YIELD") > 0, F.col("PLANT_ID")))))
+    assert len([line for line in text.splitlines() if "REPARTITION_BY_COL" in line and "Reused" not in line]) == 1
