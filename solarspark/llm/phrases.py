@@ -22,20 +22,22 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import ExitStack, contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bit_table, staged, steps, unpacked
+from .common import bit_table, free, staged, steps, unpacked
 
 BITS = 24  # bins and bit tables have 2**24 places
 TRIE_PHRASES = 300_000  # phrases of one trie, about
 ROW_WORDS = 60_000  # words of one staged row, more only where a piece has more
 HELD = 400_000  # distinct words counted in a task before they are handed on
 FEW_PARTS = 300_000  # so many parts of phrases at most are sent to all tasks
+ROWS_AT_ONCE = 16  # staged rows a task is handed together
 TASKS_PER_CORE = 2  # tasks that go through the encoded texts
 RANKED = 1_000_000  # phrases ranked in one task
 NO_LANGUAGE = "und"
@@ -175,6 +177,21 @@ def _stretches(batches) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
 
 # --- candidates
 
+@contextmanager
+def _few_rows_at_once(spark: SparkSession) -> Iterator[None]:
+    """Rows computed inside go to Python, and come from files, ``ROWS_AT_ONCE`` at a time.
+
+    A row of encoded text holds up to ``ROW_WORDS`` words, so the session's thousands of them
+    would be all that a task reads.
+    """
+    with ExitStack() as undo:
+        for name in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"):
+            before = spark.conf.get(name)
+            undo.callback(spark.conf.set, name, before)
+            spark.conf.set(name, ROWS_AT_ONCE)
+        yield
+
+
 def _in_few_tasks(coded: DataFrame) -> DataFrame:
     """The same rows in ``TASKS_PER_CORE`` tasks for each core at most.
 
@@ -205,24 +222,25 @@ def _hopeful(lang: str, words: np.ndarray, places: np.ndarray, k: int, shorter:
 def _candidates(coded: DataFrame, k: int, shorter, min_count: int) -> DataFrame:
     """``lang, words, mark``: distinct phrases of k words that may be frequent."""
     def count(batches):
-        known, bins, waiting, held = unpacked(shorter), np.zeros(1 << BITS, np.int32), [], 0
+        known, bins, held = unpacked(shorter), np.zeros(1 << BITS, np.int32), 0
         for lang, words, places in _stretches(batches):
-            waiting.append(_place(_hopeful(lang, words, places, k, known)[1], bins))
-            held += len(waiting[-1])
+            at = _place(_hopeful(lang, words, places, k, known)[1], bins)
+            np.add.at(bins, at, 1)
+            held += len(at)
             if held > 2_000_000:
-                np.add(bins, np.bincount(np.concatenate(waiting), minlength=1 << BITS), out=bins, casting="unsafe")
                 np.minimum(bins, min_count, out=bins)
-                waiting, held = [], 0
-        np.add.at(bins, np.concatenate([np.zeros(0, np.int64), *waiting]), 1)
+                held = 0
         used = np.flatnonzero(bins)
         for start in range(0, len(used), 1_000_000):
             part = used[start:start + 1_000_000]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part.astype(np.int32)), pa.array(np.minimum(bins[part], min_count))], names=["bin", "n"])
 
-    binned = coded.mapInArrow(count, "bin int, n int").groupBy("bin").agg(F.sum("n").alias("n"))
-    often = bit_table(binned.where(F.col("n") >= min_count).select(
-        F.shiftleft(F.col("bin").cast("bigint"), 64 - BITS).alias("mark")), "mark", BITS)
+    with _few_rows_at_once(coded.sparkSession):
+        binned = coded.mapInArrow(count, "bin int, n int").groupBy("bin").agg(F.sum("n").alias("n"))
+        binned = staged(binned.where(F.col("n") >= min_count).select("bin"))
+    often = bit_table(binned.select(F.shiftleft(F.col("bin").cast("bigint"), 64 - BITS).alias("mark")), "mark", BITS)
+    free(binned)
 
     def propose(batches):
         known, chosen, seen = unpacked(shorter), unpacked(often), set()
@@ -242,7 +260,8 @@ def _candidates(coded: DataFrame, k: int, shorter, min_count: int) -> DataFrame:
                      pa.array(mark[new].view(np.int64))], names=["lang", "words", "mark"])
 
     found = coded.mapInArrow(propose, "lang string, words binary, mark bigint")
-    return found.groupBy("lang", "words").agg(F.first("mark").alias("mark"))
+    with _few_rows_at_once(coded.sparkSession):
+        return staged(found.groupBy("lang", "words").agg(F.first("mark").alias("mark")))
 
 
 # --- tries
@@ -392,7 +411,9 @@ def _count_by_trie(coded: DataFrame, trie, k: int) -> DataFrame:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["state", "n"])
 
-    return coded.mapInArrow(run, "state int, n bigint").groupBy("state").agg(F.sum("n").alias("n"))
+    counts = coded.mapInArrow(run, "state int, n bigint").groupBy("state").agg(F.sum("n").alias("n"))
+    with _few_rows_at_once(coded.sparkSession):
+        return staged(counts)
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 100, most: int = 5, lang_col: str = "lang",
@@ -416,7 +437,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, most: int = 5, lang_
     coded = _in_few_tasks(staged(_encoded(texts, shorter, seed)))
     levels = [single.select("lang", "words", F.lit(1).alias("k"), "n")]
     for k in range(2, most + 1):
-        candidates = staged(_candidates(coded, k, shorter, min_count))
+        candidates = _candidates(coded, k, shorter, min_count)
         count = candidates.count()
         if not count:
             break
@@ -427,7 +448,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, most: int = 5, lang_
             own = tries.where(F.col("shard") == shard)
             rows = own.where("base is not null").select("base", "check", "symbols", "names").collect()
             if rows:
-                counts = staged(_count_by_trie(coded, rows[0], k))
+                counts = _count_by_trie(coded, rows[0], k)
                 found.append(own.select("lang", "words", "mark", "state").join(counts.where(F.col("n") >= min_count), "state"))
         level = found[0]
         for more in found[1:]:

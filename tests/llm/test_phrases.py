@@ -144,3 +144,23 @@ def test_many_files_are_read_in_few_tasks(spark):
     coded = spark.range(0, 100, 1, 5 * most).select(F.spark_partition_id().alias("p"))
     few = phrases._in_few_tasks(coded).select(F.spark_partition_id().alias("p"))
     assert few.distinct().count() == most and few.count() == 100
+
+
+def test_a_task_gets_few_encoded_rows_at_once(spark, monkeypatch):
+    shorter = phrases.bit_table(spark.range(1).selectExpr("0L mark"), "mark", phrases.BITS)
+    coded = spark.createDataFrame([("en", b"\x07" * 8 + b"\x09" * 8, b"\x01\0\0\0\x02\0\0\0")] * 400,
+                                  "lang string, words binary, places binary").coalesce(1)
+    real = phrases._stretches
+
+    def counted(batches):
+        def watched():
+            for batch in batches:
+                assert batch.num_rows <= phrases.ROWS_AT_ONCE
+                yield batch
+        return real(watched())
+
+    monkeypatch.setattr(phrases, "_stretches", counted)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = phrases._candidates(phrases._in_few_tasks(coded), 2, shorter, 100).collect()
+    assert len(found) == 1 and found[0].words == b"\x07" * 8 + b"\x09" * 8
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
