@@ -1,11 +1,13 @@
 """Landing in batches gives what one load gives."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 import fixtures
 from solarspark.plans import incremental, jobs
-from solarspark.sources import readers
+from solarspark.sources import layout, readers
 
 
 @pytest.fixture(scope="module")
@@ -75,3 +77,45 @@ def test_state_is_renewed_after_a_failure_between_rows_and_state(spark, raw, tmp
             incremental.land_generation(gen, store)
     incremental.land_generation(gen, store)
     assert rows_of(incremental.landed_generation(spark, store)) == rows_of(jobs.clean_generation(gen))
+
+
+def test_only_the_batch_is_shuffled_and_the_weather_joins_in_place(spark, raw, tmp_path, monkeypatch):
+    store, gen, plans = f"{tmp_path}/store", raw["generation"], []
+    real = layout.add_by_month
+
+    def seen(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        real(df, *args, **kwargs)
+
+    monkeypatch.setattr(layout, "add_by_month", seen)
+    for lot in (gen.filter("PLANT_ID = 1"), gen, gen):
+        incremental.land_generation(lot, store)
+    incremental.land_weather(raw["weather"], store)
+    assert [p.count("Exchange ") for p in plans] == [1, 1, 1, 1]
+    joined = incremental.landed_generation(spark, store).join(
+        incremental.landed_weather(spark, store).drop("SOURCE_KEY").hint("merge"), ["DATETIME", "PLANT_ID"], "left")
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and not re.search(r"Exchange hashpartitioning\([^)]*DATETIME", text)
+
+
+def test_a_landing_without_new_rows_leaves_the_state_alone(spark, raw, tmp_path):
+    store, gen = f"{tmp_path}/store", raw["generation"]
+    incremental.land_generation(gen, store)
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("*.parquet")}
+    assert incremental.land_generation(gen, store).isEmpty()
+    parts = {p: p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("MONTH=*/*.parquet")}
+    assert parts == files
+
+
+def test_a_store_that_has_outgrown_its_buckets_gets_more(spark, raw, tmp_path, monkeypatch):
+    store, gen = f"{tmp_path}/store", raw["generation"]
+    incremental.land_generation(gen, store)
+    whole = rows_of(incremental.landed_generation(spark, store))
+    assert layout.newest(spark, f"{store}/generation") == 2
+    monkeypatch.setattr(layout, "ROWS_PER_BUCKET", 5)
+    more = gen.limit(1).withColumn("SOURCE_KEY", F.lit("new"))
+    assert [r.rows for r in incremental.land_generation(more, store).collect()] == [1]
+    assert layout.newest(spark, f"{store}/generation") > 4
+    assert [p.name for p in (tmp_path / "store" / "generation").glob("rows-2")] == []
+    assert rows_of(incremental.landed_generation(spark, store)) == rows_of(jobs.clean_generation(gen.unionByName(more)))
+    assert len(whole) + 1 == incremental.landed_generation(spark, store).count()
