@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, sha256, staged, steps
+from .common import kept, map_texts, sha256, staged, steps
 
 TABLE_WORDS = 200_000
 COUNT_BINS = 100_000  # counts are compared one by one up to here, beyond by powers of two
@@ -69,15 +69,13 @@ class WordTokenizer:
         return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
 
 
-_loaded: dict[str, WordTokenizer] = {}
-
-
 def load(path: str) -> WordTokenizer:
-    if path not in _loaded:
+    loaded = kept("bpe").setdefault("tokenizers", {})
+    if path not in loaded:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _loaded[path] = WordTokenizer(path)
-    return _loaded[path]
+        loaded[path] = WordTokenizer(path)
+    return loaded[path]
 
 
 def word_counts(docs: DataFrame, path: str) -> DataFrame:
@@ -147,12 +145,13 @@ def _encoder(docs: DataFrame, path: str, table_words: int):
         (table.column("word").to_pylist(), ids, table.column("decoded").to_pylist())))
 
     def encode(texts):
-        tokenizer = load(path)
-        if _tables.get("of") != mark:
+        tokenizer, held = load(path), kept("bpe")
+        if held.get("of") != mark:
+            held.pop("table", None)  # an older one goes before the next is made
             words, ids, decoded = pickle.loads(sent.value)
-            _tables.update(of=mark, table=dict(zip(words, zip(ids, decoded))), tail={
+            held.update(of=mark, table=dict(zip(words, zip(ids, decoded))), tail={
                 s: (np.array([i], "<u4").tobytes(), s) for s, i in tokenizer.special.items()})
-        table, tail, out = _tables["table"], _tables["tail"], []
+        table, tail, out = held["table"], held["tail"], []
         for text in texts:
             words = tokenizer.words(text)
             rare = [w for w in dict.fromkeys(words) if w not in table and w not in tail]
@@ -169,9 +168,6 @@ def _encoder(docs: DataFrame, path: str, table_words: int):
     return encode
 
 
-_tables: dict = {}
-
-
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
                  table_words: int = TABLE_WORDS) -> DataFrame:
     """``doc_id, ids, decoded`` for every row: token ids and their decoded text.

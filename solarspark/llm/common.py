@@ -72,6 +72,20 @@ def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     return docs.join(F.broadcast(gone) if gone.count() <= FEW_KEYS else gone, key, "left_anti")
 
 
+_kept: dict = {}
+
+
+def kept(operator: str) -> dict:
+    """What the tasks of an operator leave in their Python process for its next tasks.
+
+    Processes outlive operators, so what another one left is let go here.
+    """
+    if _kept.get("operator") != operator:
+        _kept.clear()
+        _kept.update(operator=operator, held={})
+    return _kept["held"]
+
+
 def bit_table(df: DataFrame, mark: str, bits: int):
     """Broadcast table of 2**bits bits, those at the first ``bits`` bits of every ``mark`` set.
 

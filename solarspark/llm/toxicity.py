@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import learnable, map_texts
+from .common import kept, learnable, map_texts
 
 WINDOW, STRIDE = 48, 36
 HIDDEN, WIDTH = 8, 16
@@ -356,14 +356,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> Netw
     return train([r[1] for r in rows], [r[2] for r in rows], share)
 
 
-_scorers: dict = {}
-
-
 def _scorer(sent) -> Scorer:
-    net = sent.value
-    if _scorers.get("of") is not net:
-        _scorers.update(of=net, scorer=Scorer(net))
-    return _scorers["scorer"]
+    net, held = sent.value, kept("toxicity")
+    if held.get("of") is not net:
+        held.update(of=net, scorer=Scorer(net))
+    return held["scorer"]
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
