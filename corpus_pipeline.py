@@ -1,4 +1,7 @@
-"""The corpus pipeline: documents through five operators, each stage written and read again."""
+"""The corpus pipeline: documents through five operators, each stage written and read again.
+
+Stages are computed by whoever writes them, so the session keeps handing over few texts at once.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from solarspark.llm.bpe import encode_digests
-from solarspark.llm.common import read, staged
+from solarspark.llm.common import few_at_once, read, staged
 from solarspark.llm.decontaminate import drop_contaminated
 from solarspark.llm.partenum import keep_first
 from solarspark.llm.queries import tokenizer
@@ -21,6 +24,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts score as low as texts can and stay. Repeated rows score alike.
     """
+    few_at_once(spark)
     return keep_clean(docs.select(DOCUMENTS), read(spark, sf_dir, "labels"))
 
 
@@ -30,6 +34,7 @@ def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Near-duplicate stages take five words and a similarity of 0.8. Null and empty texts and
     rows with a null id all stay; of rows that repeat an id that stays, one does.
     """
+    few_at_once(spark)
     return keep_first(docs.select(DOCUMENTS), percent=80, n=5)
 
 
@@ -38,6 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Each row is judged by its text; null and empty ones stay, repeated rows go together.
     """
+    few_at_once(spark)
     return drop_contaminated(docs.select(DOCUMENTS), read(spark, sf_dir, "benchmark"))
 
 
@@ -46,12 +52,14 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text stays null and keeps its n_chars, others are counted anew.
     """
+    few_at_once(spark)
     length = F.coalesce(F.char_length("text").cast("bigint"), F.col("n_chars"))
     return redact_secrets(docs.select(DOCUMENTS)).withColumn("n_chars", length)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of what is left, a row each; a null text counts as empty."""
+    few_at_once(spark)
     return encode_digests(docs, tokenizer("word_bpe_49k.json"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,9 @@ STEP_CHARS = 8_000_000
 #: So many 64-bit keys at most are sent to all tasks.
 FEW_KEYS = 1_000_000
 
+#: Texts go to Python, and come from files, so many at a time where ``few_at_once`` was called.
+TEXTS_AT_ONCE = 512
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -33,14 +37,39 @@ def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is computed inside are deleted as soon as it is done."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, True)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def few_at_once(spark: SparkSession, rows: int = TEXTS_AT_ONCE) -> None:
+    """From now on the session hands over ``rows`` rows at a time, unless it has less already.
+
+    With thousands of texts a batch, each task holds them several times over outside the heap
+    and in Python, and the executor's heap grows by arrays of that size.
+    """
+    for name in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"):
+        if not 0 < int(spark.conf.get(name)) <= rows:
+            spark.conf.set(name, rows)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, lineage cut.
 
-    The table is compressed well and deleted when the application ends.
+    The table is compressed well and deleted when the application ends; shuffle files that
+    it took go as soon as it is written.
     """
     spark = df.sparkSession
     path = scratch_path(spark)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_go(spark):
+        df.write.option("compression", "zstd").parquet(path)
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
@@ -55,7 +84,7 @@ def free(*tables: DataFrame) -> None:
 
 
 def free_shuffles(spark: SparkSession) -> None:
-    """Let go of shuffle files of what has been staged since.
+    """Let go of shuffle files of what has been computed since without being staged.
 
     Spark deletes them when the driver collects its garbage, which may be long after.
     """

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import STEP_CHARS, bit_table, free, free_shuffles, staged, steps, unpacked, without
+from .common import FEW_KEYS, STEP_CHARS, bit_table, free, free_shuffles, staged, steps, unpacked, without
 from .components import components
 from .decontaminate import _gram_hashes, _Hashes
 
@@ -245,7 +245,9 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
         signed = signed.withColumn("band", band)
         strong = staged(signed.groupBy("node", "band").agg(F.count("*").alias("n")).where(F.col("n") >= needed)
                         .select("node", "band"))
-        left = staged(shared_by_several(signed.join(strong, ["node", "band"]).select("sig", "node")))
+        few = strong.count() <= FEW_KEYS  # then signatures are not shuffled to meet them
+        left = staged(shared_by_several(signed.join(
+            F.broadcast(strong) if few else strong, ["node", "band"]).select("sig", "node")))
         free(signed, strong)
         signed = left
         free_shuffles(docs.sparkSession)
