@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import pickle
 import re
+import struct
 import unicodedata
 import uuid
 from collections import Counter
@@ -29,6 +30,7 @@ from .common import kept, map_texts, sha256, staged, steps
 TABLE_WORDS = 200_000
 COUNT_BINS = 100_000  # counts are compared one by one up to here, beyond by powers of two
 MAX_TAIL = 100_000  # rare words a task remembers
+BEYOND = re.compile("[\U00010000-\U0010ffff]")  # characters outside the first plane
 
 
 class WordTokenizer:
@@ -46,13 +48,16 @@ class WordTokenizer:
         split = spec["pre_tokenizer"]["pretokenizers"][0]
         assert kinds == ["NFC", "Replace", "Lowercase"] and spec["post_processor"] is None
         assert split["behavior"] == "Removed" and split["invert"] and spec["decoder"] is None
-        self.pattern = regex.compile(split["pattern"]["Regex"])
-        self.library = tokenizers.Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        library = tokenizers.Tokenizer.from_file(path)
+        self.merges = library.model
+        self.pattern = re.compile(spelled_out(split["pattern"]["Regex"]))
+        self.pattern_beyond = regex.compile(split["pattern"]["Regex"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.between = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.pieces = {i: p for p, i in self.library.get_vocab(with_added_tokens=True).items()}
+        self.pieces = {i: p for p, i in library.get_vocab(with_added_tokens=True).items()}
+        # Printable bytes stand for themselves, the others for the letters from 256 on.
+        others = [b for b in range(256) if b == 32 or not chr(b).isprintable()]
+        self.letters = {b: 256 + i for i, b in enumerate(others)}
 
     def words(self, text: str) -> list[str]:
         """Words and special tokens of a text in order."""
@@ -63,10 +68,39 @@ class WordTokenizer:
             return out
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            if BEYOND.search(text):
+                return self.pattern_beyond.findall(text.lower())
         return self.pattern.findall(text.lower())
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        """The ids of each word; a special token has its own.
+
+        Words are normalised and split already, so the library merges their bytes and does no more.
+        """
+        out = []
+        for word in words:
+            if word in self.special:
+                out.append([self.special[word]])
+                continue
+            if not (word.isascii() and word.isprintable()):
+                word = word.encode().decode("latin-1").translate(self.letters)
+            out.append([token.id for token in self.merges.tokenize(word)])
+        return out
+
+
+def spelled_out(pattern: str) -> str:
+    """The pattern with the characters listed that the library puts in each of its classes.
+
+    Python's own ``re`` takes half the time that a search by properties takes, as long as the
+    characters are those of the first plane; texts with others are split by properties.
+    """
+    from tokenizers import Regex
+    from tokenizers.pre_tokenizers import Split
+    plane = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
+    for name in (r"\p{L}", r"\p{N}", r"\s"):
+        runs = [run for run, _ in Split(Regex(name + "+"), "removed", invert=True).pre_tokenize_str(plane)]
+        pattern = pattern.replace(name, "".join(re.escape(r[0]) + "-" + re.escape(r[-1]) for r in runs))
+    return pattern
 
 
 def load(path: str) -> WordTokenizer:
@@ -147,21 +181,25 @@ def _encoder(docs: DataFrame, path: str, table_words: int):
     def encode(texts):
         tokenizer, held = load(path), kept("bpe")
         if held.get("of") != mark:
-            held.pop("table", None)  # an older one goes before the next is made
+            held.pop("known", None)  # an older one goes before the next is made
             words, ids, decoded = pickle.loads(sent.value)
-            held.update(of=mark, table=dict(zip(words, zip(ids, decoded))), tail={
-                s: (np.array([i], "<u4").tobytes(), s) for s, i in tokenizer.special.items()})
-        table, tail, out = held["table"], held["tail"], []
+            known = dict(zip(words, zip(ids, decoded)))
+            known.update((s, (struct.pack("<I", i), s)) for s, i in tokenizer.special.items())
+            held.update(of=mark, known=known, tail=[])
+        known, tail, out = held["known"], held["tail"], []
         for text in texts:
             words = tokenizer.words(text)
-            rare = [w for w in dict.fromkeys(words) if w not in table and w not in tail]
-            if len(tail) + len(rare) > MAX_TAIL:
-                tail.clear()
-                tail.update({s: (np.array([i], "<u4").tobytes(), s) for s, i in tokenizer.special.items()})
-                rare = [w for w in dict.fromkeys(words) if w not in table and w not in tail]
-            for word, ids in zip(rare, tokenizer.encode_words(rare)):
-                tail[word] = (np.array(ids, "<u4").tobytes(), " ".join(map(tokenizer.pieces.__getitem__, ids)))
-            found = [table.get(w) or tail[w] for w in words]
+            found = list(map(known.get, words))
+            if None in found:
+                rare = list({w for w, f in zip(words, found) if f is None})
+                for word, ids in zip(rare, tokenizer.encode_words(rare)):
+                    known[word] = struct.pack(f"<{len(ids)}I", *ids), " ".join([tokenizer.pieces[i] for i in ids])
+                found = list(map(known.get, words))
+                tail += rare
+                if len(tail) > MAX_TAIL:
+                    for word in tail:
+                        del known[word]
+                    tail.clear()
             out.append((b"".join([f[0] for f in found]), " ".join([f[1] for f in found])))
         return out
 
