@@ -30,7 +30,7 @@ from .common import kept, map_texts, sha256, staged, steps
 TABLE_WORDS = 200_000
 COUNT_BINS = 100_000  # counts are compared one by one up to here, beyond by powers of two
 MAX_TAIL = 100_000  # rare words a task remembers
-BEYOND = re.compile("[\U00010000-\U0010ffff]")  # characters outside the first plane
+PLANE = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))  # the first one
 
 
 class WordTokenizer:
@@ -48,13 +48,19 @@ class WordTokenizer:
         split = spec["pre_tokenizer"]["pretokenizers"][0]
         assert kinds == ["NFC", "Replace", "Lowercase"] and spec["post_processor"] is None
         assert split["behavior"] == "Removed" and split["invert"] and spec["decoder"] is None
-        library = tokenizers.Tokenizer.from_file(path)
-        self.merges = library.model
+        self.library = tokenizers.Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.normalizer, self.merges = self.library.normalizer, self.library.model
         self.pattern = re.compile(spelled_out(split["pattern"]["Regex"]))
-        self.pattern_beyond = regex.compile(split["pattern"]["Regex"])
+        self.by_property = regex.compile(split["pattern"]["Regex"])
+        lowered = tokenizers.normalizers.Lowercase().normalize_str("".join(c + "\r" for c in PLANE if c != "\r"))
+        newer = [c for c, low in zip(PLANE.replace("\r", ""), lowered.split("\r")) if c.replace("Σ", "σ").lower() != low]
+        # Characters that Python lowers otherwise, or that are outside the first plane.
+        self.odd = re.compile(f"[{''.join(map(re.escape, newer))}\U00010000-\U0010ffff]")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.between = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.pieces = {i: p for p, i in library.get_vocab(with_added_tokens=True).items()}
+        self.pieces = {i: p for p, i in self.library.get_vocab(with_added_tokens=True).items()}
         # Printable bytes stand for themselves, the others for the letters from 256 on.
         others = [b for b in range(256) if b == 32 or not chr(b).isprintable()]
         self.letters = {b: 256 + i for i, b in enumerate(others)}
@@ -68,14 +74,19 @@ class WordTokenizer:
             return out
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-            if BEYOND.search(text):
-                return self.pattern_beyond.findall(text.lower())
+            if self.odd.search(text):
+                return self.by_property.findall(text.lower())
         return self.pattern.findall(text.lower())
 
+    def settled(self, word: str) -> bool:
+        return (not self.odd.search(word) and self.pattern.fullmatch(word) is not None
+                and self.normalizer.normalize_str(word) == word)
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """The ids of each word; a special token has its own.
 
-        Words are normalised and split already, so the library merges their bytes and does no more.
+        The library merges the bytes of words that it would neither normalise nor split again.
+        Others, whose characters are newer than Python's tables, it gets as a text.
         """
         out = []
         for word in words:
@@ -83,6 +94,9 @@ class WordTokenizer:
                 out.append([self.special[word]])
                 continue
             if not (word.isascii() and word.isprintable()):
+                if not self.settled(word):
+                    out.append(self.library.encode(word, add_special_tokens=False).ids)
+                    continue
                 word = word.encode().decode("latin-1").translate(self.letters)
             out.append([token.id for token in self.merges.tokenize(word)])
         return out
@@ -92,13 +106,12 @@ def spelled_out(pattern: str) -> str:
     """The pattern with the characters listed that the library puts in each of its classes.
 
     Python's own ``re`` takes half the time that a search by properties takes, as long as the
-    characters are those of the first plane; texts with others are split by properties.
+    characters are those of the first plane.
     """
     from tokenizers import Regex
     from tokenizers.pre_tokenizers import Split
-    plane = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x10000)]))
     for name in (r"\p{L}", r"\p{N}", r"\s"):
-        runs = [run for run, _ in Split(Regex(name + "+"), "removed", invert=True).pre_tokenize_str(plane)]
+        runs = [run for run, _ in Split(Regex(name + "+"), "removed", invert=True).pre_tokenize_str(PLANE)]
         pattern = pattern.replace(name, "".join(re.escape(r[0]) + "-" + re.escape(r[-1]) for r in runs))
     return pattern
 
