@@ -1,12 +1,13 @@
 """Landing in batches gives what one load gives."""
 
+import os
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import fixtures
-from solarspark.plans import incremental, jobs
+from solarspark.plans import driver_queries, incremental, jobs
 from solarspark.sources import layout, readers
 
 
@@ -119,3 +120,24 @@ def test_a_store_that_has_outgrown_its_buckets_gets_more(spark, raw, tmp_path, m
     assert [p.name for p in (tmp_path / "store" / "generation").glob("rows-2")] == []
     assert rows_of(incremental.landed_generation(spark, store)) == rows_of(jobs.clean_generation(gen.unionByName(more)))
     assert len(whole) + 1 == incremental.landed_generation(spark, store).count()
+
+
+def test_query_lands_the_same_weather_in_every_batch(spark, tmp_path, monkeypatch):
+    # Sums of doubles depend on the order in which tasks hand them on; here they never come out alike.
+    ids = spark.range(12)
+    ids.select(F.col("id").alias("o_orderkey"), (F.col("id") % 6).alias("o_custkey"), (F.col("id") * 0.1).alias("o_totalprice"),
+               F.lit("2020-05-15").cast("timestamp_ntz").alias("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    ids.select(F.col("id").alias("l_orderkey"), F.col("id").alias("l_partkey"), (F.col("id") % 6).alias("l_suppkey"),
+               F.lit(2).alias("l_linenumber"), F.lit(5.0).alias("l_quantity"), F.lit(9.0).alias("l_extendedprice"),
+               F.lit(0.5).alias("l_discount"), F.lit(0.5).alias("l_tax"),
+               F.lit("2020-05-15").cast("timestamp_ntz").alias("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    ids.select(F.col("id").alias("event_id"), F.lit("2024-05-15").cast("timestamp_ntz").alias("ts"), F.col("id").alias("user_id"),
+               F.lit("view").alias("event_type"), F.lit(1.0).alias("value")).write.parquet(f"{tmp_path}/events.parquet")
+    last_bits = F.udf(lambda mean: mean + os.urandom(1)[0] * 1e-9, "double").asNondeterministic()
+    real = driver_queries.weather_source
+    monkeypatch.setattr(driver_queries, "weather_source",
+                        lambda *a: real(*a).withColumn("IRRADIATION", last_bits("IRRADIATION")))
+    rows = driver_queries.incremental(spark, str(tmp_path)).collect()
+    # Order 0 has no time.
+    assert sorted(r.PLANT_ID for r in rows) == sorted(i % 6 for i in range(1, 12))
+    assert all(r.IRRADIATION is not None for r in rows)
