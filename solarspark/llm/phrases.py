@@ -5,17 +5,19 @@ rare for any phrase. A seed under which two words of a language have one hash is
 for the next, so a hash stands for its word. Then for each length from two words on:
 
 1. positions where both shorter phrases, the one from here and the one from the next word,
-   may be frequent are counted by the hash of the phrase in a fixed number of bins;
-2. phrases at such positions whose bin reaches the least count are the candidates. Both
+   may be frequent are counted by the hash of the phrase, in one bin of each of two rows of
+   bins. Their number follows that of the words, so that bins do not fill up; where a row
+   would be too long, phrases are taken in lots by their hash;
+2. phrases at such positions whose two bins reach the least count are the candidates. Both
    steps keep every frequent phrase: a part is as frequent as the whole, and a bin as the
    phrases in it;
-3. candidates are dealt into tries of a bounded number of phrases. Each is built as a
-   double array in one task and sent to all others, where numpy moves the states of all
-   positions of a text on together, byte by byte of the numbers of their words, and counts
-   the accepting states. The counts of all tasks are summed.
+3. candidates are dealt by their first word into tries of a bounded number of phrases. Each is
+   built as a double array in one task and sent to all others, where numpy moves the states of
+   those positions of a text on together that begin with such a word, byte by byte of the
+   numbers of their words, and counts the accepting states. The counts of all tasks are summed.
 
-Frequent phrases are looked up in bit tables of a fixed size, which let others pass but
-lose none.
+So each position is walked about once for each length, however many tries there are. Frequent
+phrases are looked up in bit tables, which let others pass but lose none.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from contextlib import ExitStack, contextmanager
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +33,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import bit_table, free, staged, steps, unpacked
+from .common import bit_table, free, shuffles_go, staged, steps
 
-BITS = 24  # bins and bit tables have 2**24 places
+BITS = 27  # bit tables have 2**27 places at most, eight for each phrase below that
+BIN_BITS = 26  # a row of bins has 2**26 bytes at most
+LOAD = 6  # bins count a sixth of the least count on average, at most
+BLOB = 1 << 18  # bins summed together
+MARKS = 1_000_000  # phrases put into bins at once, about
+SEEN = 8_000_000  # phrases a task remembers to have proposed
 TRIE_PHRASES = 300_000  # phrases of one trie, about
 ROW_WORDS = 60_000  # words of one staged row, more only where a piece has more
 HELD = 400_000  # distinct words counted in a task before they are handed on
@@ -88,8 +96,23 @@ def _by_language(batch: pa.RecordBatch) -> dict[str, list[str]]:
     return texts
 
 
-def _place(marks: np.ndarray, table: np.ndarray) -> np.ndarray:
-    return (marks >> np.uint64(65 - len(table).bit_length())).astype(np.int64)
+def _table(df: DataFrame):
+    """Broadcast bit table of the marks of the staged ``df``."""
+    return bit_table(df, "mark", min(BITS, max(10, (8 * df.count()).bit_length())))
+
+
+def _bits(table) -> np.ndarray:
+    return np.frombuffer(table.value, np.uint8)
+
+
+def _in(places: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether the bits at ``places`` are set."""
+    return (bits[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8) & np.uint8(1)).view(bool)
+
+
+def _held(marks: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether the first bits of ``marks`` are in a bit table."""
+    return _in(marks >> np.uint64(65 - (8 * len(bits)).bit_length()), bits)
 
 
 # --- words
@@ -135,14 +158,14 @@ def _encoded(texts: DataFrame, frequent, seed: int) -> DataFrame:
     """``lang, words, places``: distinct word hashes of a stretch of text and, for each place, which
     of them stands there (counted from 1) or a break (0)."""
     def run(batches):
-        words, table = _Words(seed), unpacked(frequent)
+        words, table = _Words(seed), _bits(frequent)
         for batch in steps(batches):
             langs, names, places = [], [], []
             for lang, found in _by_language(batch).items():
                 tokens = tokens_of(found)
                 codes = np.fromiter(map(words.__getitem__, tokens), np.uint64, len(tokens))
                 codes = codes[codes != 1]
-                codes[~table[_place(next(_marks(codes, lang, 1)), table)]] = 0
+                codes[~_held(next(_marks(codes, lang, 1)), table)] = 0
                 # Only words next to another one can be in a phrase, and one break between them is enough.
                 full = np.r_[False, codes != 0, False]
                 codes = codes[(full[1:-1] & (full[:-2] | full[2:])) | (~full[1:-1] & full[:-2])]
@@ -195,9 +218,9 @@ def _few_rows_at_once(spark: SparkSession) -> Iterator[None]:
 def _in_few_tasks(coded: DataFrame) -> DataFrame:
     """The same rows in ``TASKS_PER_CORE`` tasks for each core at most.
 
-    A task that counts or proposes hands on a row for each bin or phrase it meets, and frequent
-    ones are met everywhere. Their rows then grow with their number, not with that times the
-    number of files. A task keeps tables of fixed sizes however much it reads.
+    A task that counts or proposes hands on all bins and each phrase it meets, and frequent
+    ones are met everywhere. They then grow with their number, not with that times the
+    number of files. A task keeps tables of bounded sizes however much it reads.
     """
     return coded.coalesce(TASKS_PER_CORE * coded.sparkSession.sparkContext.defaultParallelism)
 
@@ -214,54 +237,141 @@ def _hopeful(lang: str, words: np.ndarray, places: np.ndarray, k: int, shorter:
         whole &= full[j:j + len(mark)]
     at = np.flatnonzero(whole)
     if k > 2:  # words are in the table anyway
-        kept = shorter[_place(before, shorter)]
+        kept = _held(before, shorter)
         at = at[kept[at] & kept[at + 1]]
     return at, mark[at], flat
 
 
-def _candidates(coded: DataFrame, k: int, shorter, min_count: int) -> DataFrame:
-    """``lang, words, mark``: distinct phrases of k words that may be frequent."""
+def _lots(words: int, min_count: int) -> tuple[int, int]:
+    """Lots of phrases, and bits of the place of a bin, for a text of so many words."""
+    places = max(1, words // max(1, min_count // LOAD))
+    bits = min(BIN_BITS if min_count < 256 else BIN_BITS - 2, max(10, places.bit_length()))
+    return -(-places >> bits), bits
+
+
+def _of_lot(marks: np.ndarray, lot: int, lots: int) -> np.ndarray:
+    return (marks & np.uint64(4095)) % np.uint64(lots) == lot
+
+
+def _bins_of(marks: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of phrases in both rows of bins: the first ``bits`` bits of their marks, and the next."""
+    return marks >> np.uint64(64 - bits), marks << np.uint64(bits) >> np.uint64(64 - bits)
+
+
+def _add_to(bins: np.ndarray, places: np.ndarray, most: int) -> None:
+    """Count ``places`` in ``bins``, up to ``most``."""
+    places = np.sort(places.astype(np.uint32))
+    first = np.flatnonzero(np.r_[True, places[1:] != places[:-1]][:len(places)])
+    at = places[first]
+    bins[at] = np.minimum(bins[at] + np.diff(np.r_[first, len(places)]), most)
+
+
+class _Seen:
+    """Numbers that were met: sorted arrays, each at least twice as long as the next."""
+
+    def __init__(self):
+        self.parts: list[np.ndarray] = []
+
+    def new(self, marks: np.ndarray) -> np.ndarray:
+        """Which of these sorted, distinct numbers are met for the first time, or the first after very many."""
+        fresh = np.ones(len(marks), bool)
+        for part in self.parts:
+            at = np.searchsorted(part, marks)
+            fresh &= part[np.minimum(at, len(part) - 1)] != marks
+        if sum(map(len, self.parts)) > SEEN:
+            self.parts = []
+        last = marks[fresh]
+        while len(last) and self.parts and len(self.parts[-1]) < 2 * len(last):
+            last = np.sort(np.concatenate([self.parts.pop(), last]))
+        self.parts += [last] if len(last) else []
+        return fresh
+
+
+def _often(coded: DataFrame, k: int, shorter, min_count: int, lot: int, lots: int, bits: int):
+    """Broadcast bits of the bins that phrases of k words reach ``min_count`` times, both rows one after the other."""
+    kind, blob = np.uint8 if min_count < 256 else np.uint32, min(BLOB, 1 << bits)
+
     def count(batches):
-        known, bins, held = unpacked(shorter), np.zeros(1 << BITS, np.int32), 0
-        for lang, words, places in _stretches(batches):
-            at = _place(_hopeful(lang, words, places, k, known)[1], bins)
-            np.add.at(bins, at, 1)
-            held += len(at)
-            if held > 2_000_000:
-                np.minimum(bins, min_count, out=bins)
-                held = 0
-        used = np.flatnonzero(bins)
-        for start in range(0, len(used), 1_000_000):
-            part = used[start:start + 1_000_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), pa.array(np.minimum(bins[part], min_count))], names=["bin", "n"])
+        known, bins = _bits(shorter), np.zeros((2, 1 << bits), kind)
+        waiting, held = [], 0
 
-    with _few_rows_at_once(coded.sparkSession):
-        binned = coded.mapInArrow(count, "bin int, n int").groupBy("bin").agg(F.sum("n").alias("n"))
-        binned = staged(binned.where(F.col("n") >= min_count).select("bin"))
-    often = bit_table(binned.select(F.shiftleft(F.col("bin").cast("bigint"), 64 - BITS).alias("mark")), "mark", BITS)
-    free(binned)
+        def add():
+            for row, places in zip(bins, _bins_of(np.concatenate(waiting), bits)):
+                _add_to(row, places, min_count)
+            waiting.clear()
 
-    def propose(batches):
-        known, chosen, seen = unpacked(shorter), unpacked(often), set()
         for lang, words, places in _stretches(batches):
-            at, mark, flat = _hopeful(lang, words, places, k, known)
-            kept = chosen[_place(mark, chosen)]
-            mark, first = np.unique(mark[kept], return_index=True)
-            at = at[kept][first]
-            new = [i for i, m in enumerate(mark.tolist()) if m not in seen]
-            if len(seen) > 1_000_000:
-                seen.clear()
-            seen.update(mark[new].tolist())
-            if new:
-                phrases = flat[at[new][:, None] + np.arange(k)].astype("<u8")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(new), pa.string()), pa.array([p.tobytes() for p in phrases], pa.binary()),
-                     pa.array(mark[new].view(np.int64))], names=["lang", "words", "mark"])
-
-    found = coded.mapInArrow(propose, "lang string, words binary, mark bigint")
-    with _few_rows_at_once(coded.sparkSession):
-        return staged(found.groupBy("lang", "words").agg(F.first("mark").alias("mark")))
+            marks = _hopeful(lang, words, places, k, known)[1]
+            waiting.append(marks[_of_lot(marks, lot, lots)] if lots > 1 else marks)
+            held += len(waiting[-1])
+            if held > MARKS:
+                add()
+                held = 0
+        if waiting:
+            add()
+        for i, part in enumerate(bins.reshape(-1, blob)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.tobytes()])], names=["part", "n"])
+
+    def reached(table: pa.Table) -> pa.Table:
+        total = np.zeros(blob, np.int64)
+        for part in table.column("n"):
+            total += np.frombuffer(part.as_buffer(), kind)
+        often = np.packbits(total >= min_count, bitorder="little").tobytes()
+        return pa.table({"part": table.column("part")[:1], "bits": pa.array([often])})
+
+    with _few_rows_at_once(coded.sparkSession), shuffles_go(coded.sparkSession):
+        found = coded.mapInArrow(count, "part int, n binary").groupBy("part").applyInArrow(
+            reached, "part int, bits binary").toArrow()
+    out = np.zeros((2 << bits) // blob * blob // 8, np.uint8).reshape(-1, blob // 8)
+    for part, often in zip(found.column("part").to_pylist(), found.column("bits").to_pylist()):
+        out[part] = np.frombuffer(often, np.uint8)
+    return coded.sparkSession.sparkContext.broadcast(out.tobytes())
+
+
+def _words_in(coded: DataFrame) -> int:
+    return (coded.agg(F.sum(F.length("places"))).first()[0] or 0) // 4
+
+
+def _candidates(coded: DataFrame, k: int, shorter, min_count: int, words: int | None = None) -> DataFrame:
+    """``lang, words, mark``: distinct phrases of k words that may be frequent, in a text of so many words."""
+    lots, bits = _lots(_words_in(coded) if words is None else words, min_count)
+
+    def propose(batches, lot, often):
+        known, seen = _bits(shorter), _Seen()
+        chosen = _bits(often).reshape(2, -1)
+        for batch in batches:
+            langs, found, marks = [], [], []
+            for lang, words, places in _stretches([batch]):
+                at, mark, flat = _hopeful(lang, words, places, k, known)
+                on = _of_lot(mark, lot, lots) if lots > 1 else np.ones(len(mark), bool)
+                for row, places in zip(chosen, _bins_of(mark, bits)):
+                    on[on] = _in(places[on], row)
+                mark, first = np.unique(mark[on], return_index=True)
+                langs.append(lang)
+                marks.append(mark)
+                found.append((flat, at[on][first]))
+            if not marks:
+                continue
+            mark, first = np.unique(np.concatenate(marks), return_index=True)
+            first = np.sort(first[seen.new(mark)])
+            ends = np.cumsum([len(m) for m in marks])
+            for lang, mark, (flat, at), end in zip(langs, marks, found, ends):
+                own = first[slice(*np.searchsorted(first, [end - len(mark), end]))] - (end - len(mark))
+                if len(own):
+                    phrases = flat[at[own][:, None] + np.arange(k)].astype("<u8")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(own), pa.string()), pa.array([p.tobytes() for p in phrases], pa.binary()),
+                         pa.array(mark[own].view(np.int64))], names=["lang", "words", "mark"])
+
+    out = []
+    for lot in range(lots):
+        often = _often(coded, k, shorter, min_count, lot, lots, bits)
+        found = coded.mapInArrow(partial(propose, lot=lot, often=often), "lang string, words binary, mark bigint")
+        with _few_rows_at_once(coded.sparkSession):
+            out.append(staged(found.groupBy("lang", "words").agg(F.first("mark").alias("mark"))))
+        often.destroy()
+    return reduce(DataFrame.unionByName, out)
 
 
 # --- tries
@@ -362,7 +472,13 @@ def _tries(candidates: DataFrame, k: int, parts: int) -> DataFrame:
             **{c: pa.array([b, *rest], pa.binary()) for c, b in zip(("base", "check", "symbols"), blobs)},
             "names": pa.array([names, *rest], pa.list_(pa.string()))})
 
-    return candidates.withColumn("shard", F.pmod(F.xxhash64("lang", "words"), F.lit(parts)).cast("int")).groupBy(
+    candidates = candidates.withColumn("first", F.expr("substring(words, 1, 8)"))
+    # A word that begins very many phrases has them in several tries.
+    common = candidates.groupBy("lang", "first").count().where(F.col("count") > TRIE_PHRASES // 8).select(
+        "lang", "first", F.lit(True).alias("common"))
+    dealt = candidates.join(F.broadcast(staged(common)), ["lang", "first"], "left")
+    key = F.when(F.col("common"), F.xxhash64("lang", "words")).otherwise(F.xxhash64("lang", "first"))
+    return dealt.select(F.pmod(key, F.lit(parts)).cast("int").alias("shard"), "lang", "words", "mark").groupBy(
         "shard").applyInArrow(build, "shard int, lang string, words binary, mark bigint, state int, base binary,"
                                      " check binary, symbols binary, names array<string>")
 
@@ -376,8 +492,8 @@ def _advance(base, check, state: np.ndarray, at: np.ndarray, digits: np.ndarray)
     return state, at
 
 
-def _count_by_trie(coded: DataFrame, trie, k: int) -> DataFrame:
-    """``state, n``: how often each accepting state of a broadcast trie is reached."""
+def _count_by_trie(coded: DataFrame, trie, k: int, min_count: int) -> DataFrame:
+    """``state, n``: accepting states of a broadcast trie that are reached ``min_count`` times or more."""
     sent = coded.sparkSession.sparkContext.broadcast(
         (trie["base"], trie["check"], trie["symbols"], list(trie["names"])))
 
@@ -395,12 +511,19 @@ def _count_by_trie(coded: DataFrame, trie, k: int) -> DataFrame:
             number = np.searchsorted(symbols, words)
             known = symbols[np.minimum(number, len(symbols) - 1)] == words
             digits = np.r_[np.zeros((1, width), np.uint8), _digits(number, width)]
-            known = np.r_[False, known][places]
-            at = np.flatnonzero(known[:max(0, len(known) - k + 1)])
-            state = np.full(len(at), roots[lang], np.int32)
-            for j in range(k):
-                on = known[at + j]
-                state, at = _advance(base, check, state[on], at[on], digits[places[at[on] + j]])
+            # Only positions whose word begins a phrase of this trie are walked, from its state on.
+            at = 1 + np.flatnonzero(known)
+            state, at = _advance(base, check, np.full(len(at), roots[lang], np.int32), at, digits[at])
+            begun = np.full(len(words) + 1, -1, np.int32)
+            begun[at] = state
+            known = np.r_[False, known]
+            state = begun[places[:max(0, len(places) - k + 1)]]
+            at = np.flatnonzero(state >= 0)
+            state = state[at]
+            for j in range(1, k):
+                word = places[at + j]
+                on = known[word]
+                state, at = _advance(base, check, state[on], at[on], digits[word[on]])
             waiting.append(state)
             held += len(state)
             if held > 1_000_000:
@@ -413,7 +536,9 @@ def _count_by_trie(coded: DataFrame, trie, k: int) -> DataFrame:
 
     counts = coded.mapInArrow(run, "state int, n bigint").groupBy("state").agg(F.sum("n").alias("n"))
     with _few_rows_at_once(coded.sparkSession):
-        return staged(counts)
+        counts = staged(counts.where(F.col("n") >= min_count))
+    sent.destroy()
+    return counts
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = 100, most: int = 5, lang_col: str = "lang",
@@ -433,29 +558,30 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, most: int = 5, lang_
         seed += 1
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     single = counted.where(F.col("n") >= min_count)
-    shorter = bit_table(single, "mark", BITS)
+    shorter = _table(single)
     coded = _in_few_tasks(staged(_encoded(texts, shorter, seed)))
     levels = [single.select("lang", "words", F.lit(1).alias("k"), "n")]
+    total = _words_in(coded)
     for k in range(2, most + 1):
-        candidates = _candidates(coded, k, shorter, min_count)
+        candidates = _candidates(coded, k, shorter, min_count, total)
         count = candidates.count()
         if not count:
             break
         parts = -(-count // TRIE_PHRASES)
         tries = staged(_tries(candidates, k, parts))
+        free(candidates)
         found = []
         for shard in range(parts):  # one broadcast trie at a time
-            own = tries.where(F.col("shard") == shard)
-            rows = own.where("base is not null").select("base", "check", "symbols", "names").collect()
+            rows = tries.where((F.col("shard") == shard) & F.col("base").isNotNull()).select(
+                "base", "check", "symbols", "names").collect()
             if rows:
-                counts = _count_by_trie(coded, rows[0], k)
-                found.append(own.select("lang", "words", "mark", "state").join(counts.where(F.col("n") >= min_count), "state"))
-        level = found[0]
-        for more in found[1:]:
-            level = level.unionByName(more)
-        level = staged(level.select("lang", "words", "mark", F.lit(k).alias("k"), "n"))
+                found.append(_count_by_trie(coded, rows[0], k, min_count).withColumn("shard", F.lit(shard)))
+        counts = reduce(DataFrame.unionByName, found)
+        level = staged(tries.select("shard", "lang", "words", "mark", "state").join(counts, ["shard", "state"]).select(
+            "lang", "words", "mark", F.lit(k).alias("k"), "n"))
+        free(tries, counts)
         levels.append(level.select("lang", "words", "k", "n"))
-        shorter = bit_table(level, "mark", BITS)
+        shorter = _table(level)
     phrases = levels[0]
     for more in levels[1:]:
         phrases = phrases.unionByName(more)

@@ -164,3 +164,32 @@ def test_a_task_gets_few_encoded_rows_at_once(spark, monkeypatch):
     found = phrases._candidates(phrases._in_few_tasks(coded), 2, shorter, 100).collect()
     assert len(found) == 1 and found[0].words == b"\x07" * 8 + b"\x09" * 8
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_bins_and_tries_keep_up_with_the_words(spark, documents, monkeypatch):
+    """In lots, with full bins kept from filling up, and by first words: still a full count, and few candidates."""
+    for name, value in (("BIN_BITS", 11), ("TRIE_PHRASES", 100), ("ROW_WORDS", 50), ("BLOB", 512), ("MARKS", 300)):
+        monkeypatch.setattr(phrases, name, value)
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(150)], k=60)) + " a b c d" for _ in range(500)]
+    texts += [f"top w{i}" for i in range(40) for _ in range(9)]  # a word that begins more phrases than a trie should take
+    counted = []
+    real = phrases._candidates
+    monkeypatch.setattr(phrases, "_candidates", lambda *a: counted.append(real(*a).cache()) or counted[-1])
+    assert phrases._lots(32_000, 9)[0] > 10
+    assert found_of(phrases.collocations(documents(texts), 9)) == brute([(None, t) for t in texts], 9)
+    pairs = Counter(p for t in texts for p in zip(t.split(), t.split()[1:]))
+    often = sum(n >= 9 for n in pairs.values())
+    assert often <= counted[0].count() < 1.2 * often < 0.2 * len(pairs)
+
+
+def test_a_position_is_walked_in_the_trie_of_its_first_word_only(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "TRIE_PHRASES", 80)
+    candidates = spark.range(2000).select(
+        F.lit("en").alias("lang"), F.col("id").alias("mark"),
+        F.expr("unhex(concat(lpad(hex(if(id < 500, 1, 2 + id div 3)), 16, '0'), lpad(hex(id), 16, '0')))").alias("words"))
+    dealt = phrases._tries(candidates, 2, 25).groupBy(F.expr("substring(words, 1, 8)").alias("first")).agg(
+        F.countDistinct("shard").alias("shards"), F.count("*").alias("n"))
+    assert {r["shards"] for r in dealt.where("n < 10").collect()} == {1}
+    assert dealt.where("n = 500").first()["shards"] == 25
+    assert phrases._tries(candidates, 2, 25).groupBy("shard").count().agg(F.max("count")).first()[0] < 160
