@@ -13,9 +13,12 @@ all ranges but k, so
 
 Signatures that only one set has are dropped, and then all of a set in a band with fewer
 left than similar sets share; that is done twice, as it leaves others alone. What is left
-links sets as candidates. Components of candidates are
-small; their sets meet in one task, or block by block if there are many, and are compared
-exactly. Equal sets are one class from the beginning, so copies cost nothing further.
+links sets as candidates. Links by chance run most sets with a common passage together into
+one component that grows with the corpus. So in components of many sets only those are linked
+that share one of their rarest elements: similar sets do, if each offers as many as it may lack
+in the other and one more, in one order for all. Components are small then; their sets meet in
+one task, or block by block if there are many, and are compared exactly. Equal sets are one
+class from the beginning, so copies cost nothing further.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import FEW_KEYS, STEP_CHARS, bit_table, free, free_shuffles, staged, steps, unpacked, without
+from .common import FEW_KEYS, STEP_CHARS, bit_table, free, free_shuffles, shuffles_go, staged, steps, unpacked, without
 from .components import components
 from .decontaminate import _gram_hashes, _Hashes
 
@@ -43,6 +46,9 @@ RANGE = 500_000  # elements of all these sets counted at once, about
 ROWS = 256  # of the table of pairs worked on at once
 PART_CELLS = 4_000_000  # of a table of sets and frequent elements
 RARE = 12  # an element of so many sets at most is counted pair by pair
+FEW_SETS = 200  # candidate components of more sets are linked again by rare elements
+COUNT_BITS = 24  # elements are counted in 2**24 places at most
+COUNTS = 1 << 16  # places summed together
 ROUNDS = 2  # of dropping signatures that cannot lead to a link
 BITS = 27  # the table of candidate sets has 2**27 places at most, eight for each set below that
 
@@ -181,6 +187,69 @@ def linked(sets: list[np.ndarray], percent: int, split: int | None = None) -> np
     return labels
 
 
+def rarest(elements: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """Of a set the elements, least counted first, of which sets at least that similar share one;
+    without those that no other set has. ``counts`` are by the first bits of an element."""
+    n = len(elements)
+    often = counts[elements >> np.uint64(65 - len(counts).bit_length())]
+    first = np.lexsort((elements, often))[:n + (-percent * n) // 100 + 1]
+    return elements[first[often[first] > 1]]
+
+
+def _shared_by_several(signed: DataFrame) -> DataFrame:
+    """``sig, node, hub, last``: rows whose ``sig`` several nodes have, and the least and last of these."""
+    alike = Window.partitionBy("sig")
+    ends = signed.select("sig", "node", F.min("node").over(alike).alias("hub"), F.max("node").over(alike).alias("last"))
+    return ends.where("hub <> last")
+
+
+def _linked_by_rare(sets: DataFrame, percent: int) -> DataFrame:
+    """``node, label``: sets (node, elements) that share a rare element, by component; others are left out."""
+    spark = sets.sparkSession
+    total = sets.agg(F.sum(F.length("elements"))).first()[0] or 0
+    bits = min(COUNT_BITS, max(10, (total // 8).bit_length()))
+    size = min(COUNTS, 1 << bits)
+
+    def found(batches):
+        for batch in steps(batches, "elements"):
+            yield batch, [np.frombuffer(e.as_buffer(), np.uint64) for e in batch.column("elements")]
+
+    def count(batches):
+        counts = np.zeros(1 << bits, np.uint16)
+        for _, held in found(batches):
+            for elements in held:
+                at = elements >> np.uint64(64 - bits)  # several elements of a set in one place count once
+                counts[at] = np.minimum(counts[at], 65_534) + np.uint16(1)
+        for i, part in enumerate(counts.reshape(-1, size)):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.tobytes()])], names=["part", "n"])
+
+    def summed(table: pa.Table) -> pa.Table:
+        total = np.zeros(size, np.int64)
+        for part in table.column("n"):
+            total += np.frombuffer(part.as_buffer(), np.uint16)
+        return pa.table({"part": table.column("part")[:1], "n": pa.array([np.minimum(total, 65_535).astype(np.uint16).tobytes()])})
+
+    few = sets.coalesce(2 * spark.sparkContext.defaultParallelism)  # each hands on all its counts
+    with shuffles_go(spark):
+        parts = few.select("elements").mapInArrow(count, "part int, n binary").groupBy("part").applyInArrow(
+            summed, "part int, n binary").toArrow()
+    counts = np.zeros((1 << bits) // size * size, np.uint16).reshape(-1, size)
+    for part, n in zip(parts.column("part").to_pylist(), parts.column("n").to_pylist()):
+        counts[part] = np.frombuffer(n, np.uint16)
+    sent = spark.sparkContext.broadcast(counts.tobytes())
+
+    def rare(batches):
+        counts = np.frombuffer(sent.value, np.uint16)
+        for batch, held in found(batches):
+            kept = [rarest(elements, counts, percent) for elements in held]
+            nodes = np.repeat(batch.column("node").to_numpy(), [len(k) for k in kept])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(kept).view(np.int64)), pa.array(nodes)], names=["sig", "node"])
+
+    shared = _shared_by_several(sets.select("node", "elements").mapInArrow(rare, "sig bigint, node bigint"))
+    return components(shared.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+
+
 def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: str = "doc_id",
                        text_col: str = "text", lots: int = 1) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
@@ -227,15 +296,9 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
                 [pa.array(np.concatenate(signed)), pa.array(np.concatenate(nodes))], names=["sig", "node"])
 
     rows = staged(texts.mapInArrow(summarise, "doc_id bigint, key binary, n bigint"))
-    alike = Window.partitionBy("sig")
-
-    def shared_by_several(signed):
-        ends = signed.select("sig", "node", F.min("node").over(alike).alias("hub"), F.max("node").over(alike).alias("last"))
-        return ends.where("hub <> last")
-
     parts = []
     for lot in range(lots):
-        parts.append(staged(shared_by_several(texts.mapInArrow(
+        parts.append(staged(_shared_by_several(texts.mapInArrow(
             partial(sign, lot=lot), "sig bigint, node bigint")).select("sig", "node").distinct()))
         free_shuffles(docs.sparkSession)
     signed = reduce(DataFrame.unionByName, parts)
@@ -246,7 +309,7 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
         strong = staged(signed.groupBy("node", "band").agg(F.count("*").alias("n")).where(F.col("n") >= needed)
                         .select("node", "band"))
         few = strong.count() <= FEW_KEYS  # then signatures are not shuffled to meet them
-        left = staged(shared_by_several(signed.join(
+        left = staged(_shared_by_several(signed.join(
             F.broadcast(strong) if few else strong, ["node", "band"]).select("sig", "node")))
         free(signed, strong)
         signed = left
@@ -279,6 +342,14 @@ def similar_components(docs: DataFrame, percent: int = 90, n: int = 3, id_col: s
 
     own = texts.mapInArrow(sets, "key binary, node bigint, elements binary")
     once = staged(own.groupBy("node", "key").agg(F.first("elements").alias("elements")).join(groups, "node"))
+    many = staged(once.groupBy("label").agg(F.count("*").alias("sets"), F.sum(F.length("elements")).alias("bytes"))
+                  .where((F.col("sets") > FEW_SETS) | (F.col("bytes") > BLOCK_BYTES)).select("label", F.lit(True).alias("many")))
+    free_shuffles(docs.sparkSession)
+    if not many.isEmpty():
+        again = staged(_linked_by_rare(once.join(F.broadcast(many), "label"), percent)).withColumnRenamed("label", "own")
+        again = F.broadcast(again) if again.count() <= FEW_KEYS else again
+        once = (once.join(F.broadcast(many), "label", "left").join(again, "node", "left")
+                .where("many is null or own is not null").withColumn("label", F.coalesce("own", "label")))
     large = staged(once.groupBy("label").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.length("elements")) / BLOCK_BYTES)).cast("int").alias("blocks"))
         .where("blocks > 1"))

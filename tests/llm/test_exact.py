@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import oracle
 from solarspark.llm import bpe, decontaminate, fingerprint, partenum, secrets, token_counts
@@ -295,6 +296,43 @@ def test_components_are_exact(documents, monkeypatch, percent, block):
     assert [found[i]["component_id"] for i in range(len(texts))] == expected
 
 
+@pytest.mark.parametrize("percent,few", [(90, 3), (80, 40)])
+def test_sets_with_a_common_passage_do_not_all_meet(documents, monkeypatch, percent, few):
+    rng = random.Random(percent)
+    passages = [[f"p{j}w{i}" for i in range(70)] for j in range(3)]
+    texts = _near_texts(rng)
+    for i in range(300):
+        own = [f"o{rng.randrange(10**6)}" for _ in range(30)]
+        texts.append(" ".join(passages[i % 3] + own))
+        if i % 10 == 0:
+            texts.append(" ".join(passages[i % 3] + own[:-1]))
+    seen, real = [], partenum.staged
+    monkeypatch.setattr(partenum, "staged", lambda df: seen.append(real(df)) or seen[-1])
+    monkeypatch.setattr(partenum, "FEW_SETS", few, raising=False)
+    monkeypatch.setattr(partenum, "COUNTS", 256, raising=False)
+    monkeypatch.setattr(partenum, "BLOCK", 45)
+    sizes, expected = brute_components(texts, percent)
+    found = by_id(partenum.similar_components(documents(texts), percent))
+    assert [found[i]["component_id"] for i in range(len(texts))] == expected
+    candidates = next(df for df in seen if df.columns == ["node", "label"])
+    assert candidates.groupBy("label").count().agg(F.max("count")).first()[0] > 45
+    assert [df.count() for df in seen if df.columns == ["label", "blocks"]] == [0]
+
+
+def test_similar_sets_share_a_rarest_element():
+    rng = np.random.default_rng(6)
+    for percent in (80, 90):
+        for n in (1, 2, 5, 9, 10, 40, 300):
+            for _ in range(20):
+                pool = np.unique(rng.integers(0, 2**64, 2 * n, dtype=np.uint64))
+                counts = rng.integers(2, 5, 1 << 10).astype(np.uint16)
+                rng.shuffle(pool)
+                a, b = pool[:n], pool[rng.integers(0, n // 4 + 1):n + rng.integers(0, n // 4 + 1)]
+                common = len(np.intersect1d(a, b))
+                if common and 100 * common >= percent * (len(a) + len(b) - common):
+                    assert len(np.intersect1d(*(partenum.rarest(np.sort(s), counts, percent) for s in (a, b))))
+
+
 def test_signatures_of_similar_sets_meet():
     rng = np.random.default_rng(5)
     for percent in (80, 90, 95):
